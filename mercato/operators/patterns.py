@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import duration
+from ..session import materialize
 
 # ---------------------------------------------------------------- J7 / J7t
 
@@ -149,6 +150,17 @@ def _exit_state(cands: np.ndarray, n_own: int, k: int, entry: int) -> tuple[int,
     return max(0, entry - n_own), picks
 
 
+def _nsjoin(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` where NULL keys match each other (a NULL uid is a key too)."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols],
+                     *[c for c in right.columns if c not in cols])
+    cond = None
+    for c in cols:
+        e = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in cols])
+
+
 def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq: str,
                             times: int, within, payload: Iterable[str] = (),
                             bucket_factor: int = 16) -> DataFrame:
@@ -157,62 +169,97 @@ def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq
     A match is emitted at its ``times``-th event and all its events are
     discarded, so every match has exactly ``times`` events. Output as
     ``repeated_all``.
+
+    Fast path: when a key's candidate ends are at least ``times`` positions
+    apart (and none reaches back into an earlier bucket) every candidate is
+    picked; this is decided with window functions, no Python. Only keys with
+    overlapping candidates take the state-machine path.
     """
     keys, payload = list(keys), list(payload)
     k = int(times)
+    if k < 2:
+        raise ValueError("a repetition pattern needs at least 2 events")
     w_us = duration.micros(within)
-    rows = _bucketed(events, keys, ts, seq, payload, w_us, w_us * bucket_factor)
     part = [*keys, "_bucket"]
+    bucket = Window.partitionBy(*part)
+    rows = (_bucketed(events, keys, ts, seq, payload, w_us, w_us * bucket_factor)
+            .withColumn("_n_ctx", F.sum(F.when(F.col("_own"), 0).otherwise(1)).over(bucket))
+            .withColumn("_n_own", F.sum(F.when(F.col("_own"), 1).otherwise(0)).over(bucket)))
+    # several passes read these rows: write them once to the shared checkpoint folder
+    rows = materialize(rows)
     own = rows.where(F.col("_own"))
-    n_ctx = rows.groupBy(*part).agg(
-        F.sum(F.when(F.col("_own"), 0).otherwise(1)).alias("_n_ctx"),
-        F.sum(F.when(F.col("_own"), 1).otherwise(0)).alias("_n_own"))
-    cands = (own.where(F.col("_cnt") >= k).select(*part, "_pos")
-             .join(n_ctx, part).withColumn("_idx", F.col("_pos") - F.col("_n_ctx")))
+    counts = own.where(F.col("_pos") == F.col("_n_ctx") + 1).select(*part, "_n_ctx", "_n_own")
+    cands = (own.where(F.col("_cnt") >= k).select(*part, "_pos", "_n_ctx", "_n_own")
+             .withColumn("_idx", F.col("_pos") - F.col("_n_ctx")))
+    gap = F.col("_idx") - F.lag("_idx").over(Window.partitionBy(*part).orderBy("_idx"))
+    cands = cands.withColumn("_gap", gap)
+    simple = (cands.groupBy(*keys)
+              .agg(F.bool_and((F.col("_idx") >= k) & (F.coalesce("_gap", F.lit(k)) >= k))
+                   .alias("_simple")))
+    cands = _nsjoin(cands, simple, keys)
+    fast = cands.where(F.col("_simple")).select(*part, "_pos")
+    slow = cands.where(~F.col("_simple"))
+    slow_counts = _nsjoin(counts, simple.where(~F.col("_simple")), keys)
 
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                            for f in rows.select(*part).schema.fields)
+    # Many (key, bucket) groups per Python call: rows are hashed into as many
+    # slots as there are shuffle partitions and split again inside the call.
+    slots = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def tables(pdf: pd.DataFrame) -> pd.DataFrame:
-        c = np.sort(pdf["_idx"].to_numpy())
-        n = int(pdf["_n_own"].iloc[0])
-        exits = [_exit_state(c, n, k, e)[0] for e in range(k)]
-        out = pdf[part].iloc[:1].copy()
-        out["_exits"] = [exits]
-        return out
+    def slot(cols):
+        return F.pmod(F.hash(*[F.col(c) for c in cols]), F.lit(slots))
 
-    exit_tables = cands.select(*part, "_idx", "_n_own").groupBy(*part).applyInPandas(
-        tables, f"{key_schema}, _exits array<int>")
+    def groups(pdf: pd.DataFrame, cols):
+        return pdf.groupby(cols, dropna=False, sort=False) if len(pdf) else []
 
-    summary = n_ctx.select(*part, "_n_own").join(exit_tables, part, "left")
+    def tables(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, g in groups(pdf, part):
+            c = np.sort(g["_idx"].to_numpy())
+            n = int(g["_n_own"].iloc[0])
+            row = g[part].iloc[:1].copy()
+            row["_exits"] = [[_exit_state(c, n, k, e)[0] for e in range(k)]]
+            out.append(row)
+        return pd.concat(out, ignore_index=True) if out else pdf[part].assign(_exits=None)
+
+    exit_tables = (slow.select(*part, "_idx", "_n_own").withColumn("_slot", slot(part))
+                   .groupBy("_slot").applyInPandas(tables, f"{key_schema}, _exits array<int>"))
+    summary = _nsjoin(slow_counts.select(*part, "_n_own"), exit_tables, part, "left")
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_bucket")
-        state, entries = 0, []
-        for n_own, exits in zip(pdf["_n_own"].to_numpy(), pdf["_exits"]):
-            entries.append(state)
-            if exits is None or (isinstance(exits, float) and np.isnan(exits)):
-                state = max(0, state - int(n_own))
-            else:
-                state = int(exits[state])
-        out = pdf[part].copy()
-        out["_entry"] = entries
-        return out[out.index.isin(pdf.index[pdf["_exits"].notna()])]
-
-    entries = summary.groupBy(*keys).applyInPandas(chain, f"{key_schema}, _entry int")
+        out = []
+        for _, g in groups(pdf, keys):
+            g = g.sort_values("_bucket")
+            state, entries = 0, []
+            for n_own, exits in zip(g["_n_own"].to_numpy(), g["_exits"]):
+                entries.append(state)
+                if exits is None or (isinstance(exits, float) and np.isnan(exits)):
+                    state = max(0, state - int(n_own))
+                else:
+                    state = int(exits[state])
+            res = g[part].copy()
+            res["_entry"] = entries
+            out.append(res[g["_exits"].notna().to_numpy()])
+        return pd.concat(out, ignore_index=True) if out else pdf[part].assign(_entry=0)
+
+    entries = (summary.withColumn("_slot", slot(keys)).groupBy("_slot")
+               .applyInPandas(chain, f"{key_schema}, _entry int"))
 
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        c = np.sort(pdf["_idx"].to_numpy())
-        n = int(pdf["_n_own"].iloc[0])
-        _, picks = _exit_state(c, n, k, int(pdf["_entry"].iloc[0]))
-        out = pd.concat([pdf[part].iloc[:1]] * len(picks), ignore_index=True) \
-            if picks else pdf[part].iloc[:0].copy()
-        out["_pick"] = np.asarray(picks, dtype="int64") + int(pdf["_n_ctx"].iloc[0])
-        return out
-
-    picks = (cands.join(entries, part)
-             .select(*part, "_idx", "_n_own", "_n_ctx", "_entry")
-             .groupBy(*part).applyInPandas(replay, f"{key_schema}, _pick bigint"))
-    ends = (own.join(picks.withColumnRenamed("_pick", "_pos"), [*part, "_pos"])
-            .withColumn("_len", F.lit(k)))
+        out = []
+        for _, g in groups(pdf, part):
+            c = np.sort(g["_idx"].to_numpy())
+            _, picks = _exit_state(c, int(g["_n_own"].iloc[0]), k, int(g["_entry"].iloc[0]))
+            res = g[part].iloc[[0] * len(picks)].reset_index(drop=True)
+            res["_pos"] = np.asarray(picks, dtype="int64") + int(g["_n_ctx"].iloc[0])
+            out.append(res)
+        return pd.concat(out, ignore_index=True) if out else pdf[part].assign(_pos=0)
+
+    slow_picks = (_nsjoin(slow, entries, part)
+                  .select(*part, "_idx", "_n_own", "_n_ctx", "_entry")
+                  .withColumn("_slot", slot(part))
+                  .groupBy("_slot").applyInPandas(replay, f"{key_schema}, _pos bigint"))
+    picks = fast.unionByName(slow_picks)
+    ends = _nsjoin(own, picks, [*part, "_pos"]).withColumn("_len", F.lit(k))
     return _match_rows(ends, rows, keys, payload, "_len")

@@ -50,8 +50,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local test run) is a fresh scratch folder taken.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
+    if path and spark.sparkContext.getCheckpointDir():
+        return path
     if not path:
         path = tempfile.mkdtemp(prefix="mercato-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Cut a long or many-times-reused lineage: a reliable checkpoint written to
+    the shared ``spark.checkpoint.dir`` (never a local checkpoint), so a lost
+    executor does not force recomputation from the sources."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -179,12 +179,13 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("").alias("sql"),
         ))
 
-    inserts = o.select((F.col("o_orderkey") * 3).alias("offset"),
-                       envelope("INSERT", created, 1, _order_row()).alias("value"))
-    updates = o.where(has_items).select(
-        (F.col("o_orderkey") * 3 + 1).alias("offset"),
-        envelope("UPDATE", updated, 2, _order_row("F")).alias("value"))
-    deletes = o.where(~has_items).select(
-        (F.col("o_orderkey") * 3 + 2).alias("offset"),
-        envelope("DELETE", deleted, 3, _order_row()).alias("value"))
-    return inserts.unionByName(updates).unionByName(deletes)
+    # one pass over the orders: each emits its INSERT and then its UPDATE or DELETE
+    msgs = F.array(
+        F.struct((F.col("o_orderkey") * 3).alias("offset"),
+                 envelope("INSERT", created, 1, _order_row()).alias("value")),
+        F.when(has_items, F.struct((F.col("o_orderkey") * 3 + 1).alias("offset"),
+                                   envelope("UPDATE", updated, 2, _order_row("F")).alias("value")))
+        .otherwise(F.struct((F.col("o_orderkey") * 3 + 2).alias("offset"),
+                            envelope("DELETE", deleted, 3, _order_row()).alias("value"))),
+    )
+    return o.select(F.explode(msgs).alias("m")).select("m.offset", "m.value")

@@ -38,4 +38,5 @@ def interval(duration) -> Column:
 
 def interval_us(us: int) -> Column:
     """Whole microseconds (>= 0) -> a day-time interval literal."""
-    return F.expr(f"make_dt_interval(0, 0, 0, {us // 1_000_000}.{us % 1_000_000:06d})")
+    # a literal, so streaming joins can read the bound and evict state
+    return F.expr(f"INTERVAL {int(us)} MICROSECONDS")

@@ -1 +1,5 @@
 """Sinks: keyed snapshot stores written from ``foreachBatch``."""
+
+from .snapshot import SnapshotStore, changelog_sink, upsert_sink
+
+__all__ = ["SnapshotStore", "changelog_sink", "upsert_sink"]

@@ -69,8 +69,15 @@ def window_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str
 
 
 def earliest_per_key(df: DataFrame, key: str, ts: str) -> DataFrame:
-    """One row per key, the earliest (J6 input cleaning, see J6q)."""
+    """One row per key, the earliest (J6 input cleaning, see J6q).
+
+    A plain ``min`` (hash aggregate) when only the time is carried, else
+    ``min_by`` of the other columns; both combine map-side, so a hot key
+    costs one row per task.
+    """
     others = [c for c in df.columns if c != key]
+    if others == [ts]:
+        return df.groupBy(key).agg(F.min(ts).alias(ts))
     return (df.groupBy(key)
             .agg(F.min_by(F.struct(*others), F.col(ts)).alias("_r"))
             .select(key, "_r.*"))

@@ -91,11 +91,13 @@ def _bucketed(events: DataFrame, keys: list[str], ts: str, seq: str, payload: li
     """Own rows plus context rows (previous bucket's last W), numbered per bucket."""
     base = events.select(*keys, F.col(seq).alias("_seq"), F.col(ts).alias("_ts"),
                          *payload).withColumn("_t", _us("_ts"))
-    base = base.withColumn("_bucket", F.floor(F.col("_t") / bucket_us))
-    own = base.withColumn("_own", F.lit(True))
-    ctx = (base.where(F.col("_t") >= (F.col("_bucket") + 1) * bucket_us - w_us)
-           .withColumn("_bucket", F.col("_bucket") + 1).withColumn("_own", F.lit(False)))
-    rows = own.unionByName(ctx)
+    home = F.floor(F.col("_t") / bucket_us)
+    # one pass: every row goes to its own bucket, and also to the next one as
+    # context when it lies in the last W of its bucket
+    tail = F.col("_t") >= (home + 1) * bucket_us - w_us
+    copies = F.when(tail, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
+    rows = (base.withColumn("_own", F.explode(copies))
+            .withColumn("_bucket", F.when(F.col("_own"), home).otherwise(home + 1)))
     part = [*keys, "_bucket"]
     order = Window.partitionBy(*part).orderBy("_t", "_seq")
     recent = Window.partitionBy(*part).orderBy("_t").rangeBetween(-(w_us - 1), 0)
@@ -182,9 +184,14 @@ def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq
     w_us = duration.micros(within)
     part = [*keys, "_bucket"]
     bucket = Window.partitionBy(*part)
+    order = bucket.orderBy("_t", "_seq")
     rows = (_bucketed(events, keys, ts, seq, payload, w_us, w_us * bucket_factor)
             .withColumn("_n_ctx", F.sum(F.when(F.col("_own"), 0).otherwise(1)).over(bucket))
-            .withColumn("_n_own", F.sum(F.when(F.col("_own"), 1).otherwise(0)).over(bucket)))
+            .withColumn("_n_own", F.sum(F.when(F.col("_own"), 1).otherwise(0)).over(bucket))
+            # a match ending here starts k-1 rows back; its second event is k-2 back
+            .withColumn("_start_ts", F.lag("_ts", k - 1).over(order)))
+    for p in payload:
+        rows = rows.withColumn(f"_2_{p}", F.lag(p, k - 2).over(order))
     # several passes read these rows: write them once to the shared checkpoint folder
     rows = materialize(rows)
     own = rows.where(F.col("_own"))
@@ -261,5 +268,7 @@ def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq
                   .withColumn("_slot", slot(part))
                   .groupBy("_slot").applyInPandas(replay, f"{key_schema}, _pos bigint"))
     picks = fast.unionByName(slow_picks)
-    ends = _nsjoin(own, picks, [*part, "_pos"]).withColumn("_len", F.lit(k))
-    return _match_rows(ends, rows, keys, payload, "_len")
+    ends = _nsjoin(own, picks, [*part, "_pos"])
+    return ends.select(*keys, F.lit(k).cast("bigint").alias("click_count"),
+                       *[F.col(f"_2_{p}").alias(p) for p in payload],
+                       F.col("_start_ts").alias("start_ts"), F.col("_ts").alias("end_ts"))

@@ -13,33 +13,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _with_children(tree: DataFrame, children: DataFrame, id_col: str, parent_col: str) -> DataFrame:
-    """Nodes that are the parent of some node in ``children``.
-
-    The parent ids are found with a partial aggregate (one row per parent);
-    in any real hierarchy each upper level is far smaller than the one below,
-    so AQE can broadcast the filtered level after measuring it.
-    """
-    ids = children.select(F.col(parent_col).alias("_pid")).where(F.col("_pid").isNotNull()).distinct()
-    return tree.join(ids, F.col(id_col) == F.col("_pid"), "left_semi")
-
-
 def flatten_hierarchy(tree: DataFrame, id_col: str = "id", name_col: str = "name",
                       parent_col: str = "pid") -> DataFrame:
     """Area -> city -> province (J2): inner, so nodes without a grandparent vanish.
 
-    Output: areaid, aname, cid, city, proid, province. The parent and
-    grandparent sides are first cut down to nodes that have children, so the
-    two joins never pair the (large) leaf level with itself.
+    Output: areaid, aname, cid, city, proid, province.
+
+    Both upper roles are taken from ``parents``, the nodes that have children
+    (every grandparent has one). They are found with a partial aggregate of
+    the parent ids and a semi-join; in any real hierarchy the upper levels are
+    far smaller than the leaves, so after AQE measures them both joins become
+    broadcasts and the leaf level is never shuffled against itself. The two
+    roles read one identical sub-plan, which Spark computes once.
     """
-    parents = _with_children(tree, tree, id_col, parent_col)
-    grandparents = _with_children(tree, parents, id_col, parent_col)
+    ids = (tree.select(F.col(parent_col).alias("_pid")).where(F.col("_pid").isNotNull())
+           .distinct())
+    parents = (tree.join(ids, F.col(id_col) == F.col("_pid"), "left_semi")
+               .select(F.col(id_col).alias("_id"), F.col(name_col).alias("_name"),
+                       F.col(parent_col).alias("_parent")))
+    city = parents.select(F.col("_id").alias("cid"), F.col("_name").alias("city"),
+                          F.col("_parent").alias("_province_id"))
+    province = parents.select(F.col("_id").alias("proid"), F.col("_name").alias("province"))
     area = tree.select(F.col(id_col).alias("areaid"), F.col(name_col).alias("aname"),
                        F.col(parent_col).alias("_city_id"))
-    city = parents.select(F.col(id_col).alias("cid"), F.col(name_col).alias("city"),
-                          F.col(parent_col).alias("_province_id"))
-    province = grandparents.select(F.col(id_col).alias("proid"),
-                                   F.col(name_col).alias("province"))
     return (area.join(city, F.col("_city_id") == F.col("cid"))
             .join(province, F.col("_province_id") == F.col("proid"))
             .select("areaid", "aname", "cid", "city", "proid", "province"))

@@ -300,3 +300,40 @@ FROM store""",
 SELECT row_key, concat_ws('-', aname, areaid, cid, city, proid, province) AS text
 FROM store""",
 }
+
+
+# ---------------------------------------------------------------- streamed twins
+# Append mode emits a window once the watermark (max event time seen, no
+# delay) reaches its end, so each streamed query equals its batch oracle cut
+# at the final watermark. Joins and the keyed store emit every row.
+
+AD_CLOSED = "(SELECT max(ts) FROM ad_clicks)"
+
+ORACLES["stream_ad_click_sliding"] = f"""WITH {AD_CLICKS},
+w AS ({_sliding('ad_clicks', 'product_id', 'ts', AD_WIDTH, AD_SLIDE,
+                'count(*) AS click_count')})
+SELECT product_id, window_start, window_end, {TEXT_TS.format('window_end')} AS end_time,
+       click_count FROM w
+WHERE window_end <= {AD_CLOSED}"""
+
+ORACLES["stream_blacklist_tumbling"] = f"""WITH {AD_CLICKS},
+w AS ({_tumbling('ad_clicks', 'uid, product_id', 'ts', P['blacklist_window'],
+                 'count(*) AS click_count')})
+SELECT uid, product_id, window_start, window_end, {TEXT_TS.format('window_end')} AS end_time,
+       click_count
+FROM w WHERE click_count >= {P['blacklist_threshold']} AND window_end <= {AD_CLOSED}"""
+
+ORACLES["stream_channel_users"] = f"""WITH ch AS (
+  SELECT c.c_mktsegment AS channel, CAST(e.user_id AS VARCHAR) AS uid,
+         date_trunc('millisecond', e.ts) AS ts
+  FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey),
+u AS ({_tumbling('ch', 'channel', 'ts', P['channel_window'], 'count(DISTINCT uid) AS user_count')})
+SELECT channel, window_start, window_end, user_count FROM u
+WHERE window_end <= (SELECT max(ts) FROM ch)"""
+
+ORACLES["stream_click_browse_interval"] = ORACLES["click_browse_interval"]
+
+ORACLES["stream_city_order_sliding"] = f"""SELECT * FROM ({CITY_SLIDING})
+WHERE window_end <= (SELECT max(o_orderdate) FROM orders)"""
+
+ORACLES["stream_changelog_state"] = ORACLES["changelog_state"]

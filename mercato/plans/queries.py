@@ -347,10 +347,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from .streamed import STREAMED
+
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return fn(prepare(spark), sf_dir)
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         return run
-    return {name: wrap(fn) for name, fn in QUERIES.items()}
+    return {name: wrap(fn) for name, fn in {**QUERIES, **STREAMED}.items()}

@@ -10,7 +10,7 @@ from mercato.operators import changelog as cl
 from mercato.operators import parse, windows
 from mercato.sinks import SnapshotStore, changelog_sink
 from mercato.sources import domain
-from mercato.streaming import jobs
+from mercato.streaming import feeds, jobs
 
 from conftest import SF_SMALL
 
@@ -18,13 +18,8 @@ PARTS = 4
 
 
 def _split_write(df, path, parts=PARTS):
-    """Write in offset order, one file per step, so file order is event order."""
-    bounds = df.agg(F.min("offset"), F.max("offset")).first()
-    lo, hi = bounds[0], bounds[1] + 1
-    step = (hi - lo + parts - 1) // parts
-    for i in range(parts):
-        (df.where((F.col("offset") >= lo + i * step) & (F.col("offset") < lo + (i + 1) * step))
-         .coalesce(1).write.mode("append").json(path))
+    """Write in offset order, one file per micro-batch."""
+    feeds.write_feed(df, path, F.col("offset"), parts=parts)
 
 
 def _run(spark, df, name, scratch):

@@ -337,3 +337,8 @@ ORACLES["stream_city_order_sliding"] = f"""SELECT * FROM ({CITY_SLIDING})
 WHERE window_end <= (SELECT max(o_orderdate) FROM orders)"""
 
 ORACLES["stream_changelog_state"] = ORACLES["changelog_state"]
+
+ORACLES["stream_blacklist_repeat_skip"] = f"""SELECT * FROM (
+{ORACLES["blacklist_repeat_skip"]})
+WHERE end_ts < (SELECT max(date_trunc('second', ts)) FROM events
+                WHERE event_type = 'click' AND json_extract_string(props, '$.k') IS NOT NULL)"""

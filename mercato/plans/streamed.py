@@ -18,7 +18,7 @@ from ..operators import changelog as cl
 from ..operators import dims, parse, windows
 from ..sinks import SnapshotStore, changelog_sink
 from ..sources import domain
-from ..streaming import feeds, jobs
+from ..streaming import feeds, jobs, stateful
 from .presets import FIXTURE as P
 from .queries import ORDER_FIELDS, area_dimension
 
@@ -119,6 +119,19 @@ def stream_changelog_state(spark, sf):
     return parse.decode_row(store.read(), ORDER_FIELDS, keep=["row_key", "es"])
 
 
+def stream_blacklist_repeat_skip(spark, sf):
+    """J8 on a stream: a custom stateful operator (applyInPandasWithState with
+    event-time timeouts); matches ending before the final watermark."""
+    src, folder = _envelope_stream(spark, sf, "blacklist_repeat_skip")
+    clicks = jobs.watermarked(parse.parse_ad_clicks(src, keep=["offset"]), "ts", NO_DELAY)
+    job = stateful.repeated_skip_past_last_stream(
+        clicks, ["uid", "product_id"], "ts", "offset", P["repeat_times"], P["repeat_within"])
+    out = feeds.drain_to_parquet(job, folder)
+    return out.select("uid", "product_id", "click_count", "area",
+                      to_wall_time("start_ts").alias("start_ts"),
+                      to_wall_time("end_ts").alias("end_ts"))
+
+
 STREAMED = {
     "stream_ad_click_sliding": stream_ad_click_sliding,
     "stream_blacklist_tumbling": stream_blacklist_tumbling,
@@ -126,4 +139,5 @@ STREAMED = {
     "stream_click_browse_interval": stream_click_browse_interval,
     "stream_city_order_sliding": stream_city_order_sliding,
     "stream_changelog_state": stream_changelog_state,
+    "stream_blacklist_repeat_skip": stream_blacklist_repeat_skip,
 }

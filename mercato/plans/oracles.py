@@ -342,3 +342,30 @@ ORACLES["stream_blacklist_repeat_skip"] = f"""SELECT * FROM (
 {ORACLES["blacklist_repeat_skip"]})
 WHERE end_ts < (SELECT max(date_trunc('second', ts)) FROM events
                 WHERE event_type = 'click' AND json_extract_string(props, '$.k') IS NOT NULL)"""
+
+ORACLES["stream_click_browse_window"] = ORACLES["click_browse_window"]
+
+# A start is final once no payment can still arrive; the bound is strict
+# (t_end < start + W) and rows below the watermark are late, so: start + W <= watermark.
+ORACLES["stream_order_timeout"] = f"""SELECT * FROM ({ORACLES["order_timeout"]})
+WHERE epoch_us(start_ts) + {PAY_US} <= (SELECT epoch_us(max(date_trunc('second', ts))) FROM events)"""
+
+# Two inputs: the global watermark is the smaller of their latest times. The
+# tolerance is inclusive and a row exactly at the watermark is not late, so an
+# unmatched row leaves once t + tolerance < watermark; matches leave at once.
+ORACLES["stream_order_pay_match"] = f"""WITH m AS ({ORACLES["order_pay_match"]}),
+wm AS (SELECT least((SELECT max(o_orderdate) FROM orders),
+                    (SELECT max(s) FROM (SELECT min(l_shipdate) AS s FROM lineitem
+                                         GROUP BY l_orderkey))) AS t)
+SELECT m.* FROM m, wm
+WHERE outcome = 'matched'
+   OR (outcome = 'unmatched_order' AND epoch_us(order_ts) + {TOL_US} < epoch_us(wm.t))
+   OR (outcome = 'unmatched_pay' AND epoch_us(pay_ts) + {TOL_US} < epoch_us(wm.t))"""
+
+ORACLES["stream_city_order_total"] = ORACLES["city_order_total"]
+
+ORACLES["stream_city_serving_state"] = f"""WITH sliding AS (
+  SELECT * FROM ({CITY_SLIDING}) WHERE window_end <= (SELECT max(o_orderdate) FROM orders))
+SELECT province || city AS redis_key, total_money, order_count, epoch_ms(window_end) AS time
+FROM sliding
+QUALIFY row_number() OVER (PARTITION BY province, city ORDER BY window_end DESC) = 1"""

@@ -13,10 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import format_ts, to_event_time, to_wall_time
+from ..functions.time import format_ts, to_event_time, to_wall_time, ts_to_millis
 from ..operators import changelog as cl
 from ..operators import dims, parse, windows
-from ..sinks import SnapshotStore, changelog_sink
+from ..sinks import SnapshotStore, changelog_sink, upsert_sink
 from ..sources import domain
 from ..streaming import feeds, jobs, stateful
 from .presets import FIXTURE as P
@@ -56,39 +56,81 @@ def stream_channel_users(spark, sf):
     return out.select("channel", "window_start", "window_end", "user_count")
 
 
-def stream_click_browse_interval(spark, sf):
-    """J4 between two streams (clicks, browses), state bounded by both watermarks."""
-    folder = feeds.run_folder(spark, "click_browse_interval")
-    for kind, name in (("click", "clicks"), ("view", "browses")):
+def _click_browse_streams(spark, sf, name):
+    folder = feeds.run_folder(spark, name)
+    for kind, side_name in (("click", "clicks"), ("view", "browses")):
         log = domain.click_log(spark, sf, kind).withColumn("ts", F.col("ts").cast("string"))
-        feeds.write_feed(log, f"{folder}/{name}", F.col("event_id"))
+        feeds.write_feed(log, f"{folder}/{side_name}", F.col("event_id"))
     schema = "user_id bigint, event_id bigint, ts string"
 
-    def side(name, key, id_col, ts_col):
+    def side(side_name, key, id_col, ts_col):
         return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-                .json(f"{folder}/{name}")
+                .json(f"{folder}/{side_name}")
                 .select(F.col("user_id").alias(key), F.col("event_id").alias(id_col),
                         F.col("ts").cast("timestamp_ntz").alias(ts_col)))
 
+    return (side("clicks", "user_id", "click_id", "click_ts"),
+            side("browses", "b_user_id", "browse_id", "browse_ts"), folder)
+
+
+def stream_click_browse_interval(spark, sf):
+    """J4 between two streams (clicks, browses), state bounded by both watermarks."""
+    clicks, browses, folder = _click_browse_streams(spark, sf, "click_browse_interval")
     lower, upper = P["interval_bounds"]
-    job = jobs.click_browse_pairs(side("clicks", "user_id", "click_id", "click_ts"),
-                                  side("browses", "b_user_id", "browse_id", "browse_ts"),
-                                  lower, upper, NO_DELAY)
+    job = jobs.click_browse_pairs(clicks, browses, lower, upper, NO_DELAY)
     return feeds.drain_to_parquet(job, folder)
 
 
-def stream_city_order_sliding(spark, sf):
-    """A2 on a stream: the change log (INSERTs) -> typed orders -> area lookup
-    (stream x static) -> sliding totals per city, emitted as windows close."""
-    folder = feeds.run_folder(spark, "city_order_sliding")
-    log = domain.change_log(spark, sf)
-    feeds.write_feed(log, f"{folder}/feed", F.get_json_object("value", "$.es").cast("bigint"))
+def stream_click_browse_window(spark, sf):
+    """J5 between two streams: pairs in the same tumbling window."""
+    clicks, browses, folder = _click_browse_streams(spark, sf, "click_browse_window")
+    job = jobs.click_browse_windows(clicks, browses, P["window_join_width"], NO_DELAY)
+    return feeds.drain_to_parquet(job, folder)
+
+
+def stream_order_timeout(spark, sf):
+    """J7t on a stream: a left outer interval join; a created order leaves as a
+    timeout once the watermark passes its creation time + W."""
+    folder = feeds.run_folder(spark, "order_timeout")
+    feeds.write_feed(domain.order_status_lines(spark, sf), f"{folder}/feed", F.col("offset"))
+    src = jobs.json_lines_source(spark, f"{folder}/feed", max_files_per_trigger=1)
+    return feeds.drain_to_parquet(jobs.order_timeouts(src, P["pay_within"], NO_DELAY), folder)
+
+
+def stream_order_pay_match(spark, sf):
+    """J6 on two streams (orders by order date, payments by first ship date):
+    matches as they meet, unmatched rows once the watermark passes t + tolerance."""
+    folder = feeds.run_folder(spark, "order_pay_match")
+    for side_name, df in (("orders", domain.order_events(spark, sf)),
+                          ("pays", domain.pay_events(spark, sf))):
+        feeds.write_feed(df.withColumn("ts", F.col("ts").cast("string")),
+                         f"{folder}/{side_name}", F.unix_micros(F.col("ts").cast("timestamp")))
+    schema = "order_id bigint, ts string"
+
+    def side(side_name, ts_col):
+        return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+                .json(f"{folder}/{side_name}")
+                .select("order_id", F.col("ts").cast("timestamp_ntz").alias(ts_col)))
+
+    job = jobs.order_pay_outcomes(side("orders", "order_ts"), side("pays", "pay_ts"),
+                                  P["match_tolerance"], NO_DELAY)
+    return feeds.drain_to_parquet(job, folder)
+
+
+def _typed_order_stream(spark, sf, folder):
+    """Change-log feed in change-time order -> INSERTed trade orders."""
+    feeds.write_feed(domain.change_log(spark, sf), f"{folder}/feed",
+                     F.get_json_object("value", "$.es").cast("bigint"))
     src = jobs.json_lines_source(spark, f"{folder}/feed", max_files_per_trigger=1)
     changes = parse.parse_changes(src, types=("INSERT",))
     orders = parse.decode_row(parse.filter_table(changes, domain.CHANGE_TABLE), {
         "order_id": ("o_orderkey", "bigint"), "cust": ("o_custkey", "bigint"),
         "total_money": ("o_totalprice", "double"), "create_time": ("o_orderdate", "timestamp_ntz")})
-    orders = (orders.withColumn("area_id", F.col("cust") * 10 + domain.LEVEL_AREA)
+    return orders.withColumn("area_id", F.col("cust") * 10 + domain.LEVEL_AREA)
+
+
+def _city_sliding_stream(spark, sf, folder):
+    orders = (_typed_order_stream(spark, sf, folder)
               .withColumn("create_time", to_event_time("create_time"))
               .withWatermark("create_time", NO_DELAY))
     joined = dims.lookup(orders, area_dimension(spark, sf), "area_id", "areaid")
@@ -96,9 +138,62 @@ def stream_city_order_sliding(spark, sf):
     out = windows.window_aggregate(joined, "create_time", ["city", "province"],
                                    {"total_money": ("money", "total_money"),
                                     "order_count": ("count", None)}, width, slide)
-    out = out.withColumn("window_start", to_wall_time("window_start")) \
-             .withColumn("window_end", to_wall_time("window_end"))
-    return feeds.drain_to_parquet(out, folder)
+    return out.withColumn("window_start", to_wall_time("window_start")) \
+              .withColumn("window_end", to_wall_time("window_end"))
+
+
+def stream_city_order_sliding(spark, sf):
+    """A2 on a stream: the change log (INSERTs) -> typed orders -> area lookup
+    (stream x static) -> sliding totals per city, emitted as windows close."""
+    folder = feeds.run_folder(spark, "city_order_sliding")
+    return feeds.drain_to_parquet(_city_sliding_stream(spark, sf, folder), folder)
+
+
+def stream_city_serving_state(spark, sf):
+    """K4 on a stream: closed sliding windows are upserted per (province, city)
+    into a keyed serving table; the later window wins."""
+    folder = feeds.run_folder(spark, "city_serving_state")
+    closed = _city_sliding_stream(spark, sf, folder).select(
+        F.concat("province", "city").alias("redis_key"), "total_money", "order_count",
+        ts_to_millis("window_end").alias("time"))
+    store = SnapshotStore(spark, f"{folder}/store",
+                          "redis_key string, total_money double, order_count bigint, time bigint")
+    q = jobs.start(closed, "city_serving_state", f"{folder}/checkpoint",
+                   foreach_batch=upsert_sink(store, "redis_key", "time"))
+    _await(q)
+    return store.read()
+
+
+def stream_city_order_total(spark, sf):
+    """A1 / A1b on a stream: running totals per city in update mode (the
+    reference's retract stream), upserted per city into a keyed store; the
+    final store holds the full-history totals."""
+    folder = feeds.run_folder(spark, "city_order_total")
+    joined = dims.lookup(_typed_order_stream(spark, sf, folder), area_dimension(spark, sf),
+                         "area_id", "areaid")
+    totals = windows.aggregate(joined, ["city", "province"],
+                               {"total_money": ("money", "total_money"),
+                                "order_count": ("count", None)})
+    store = SnapshotStore(spark, f"{folder}/store",
+                          "city_key string, city string, province string, "
+                          "total_money double, order_count bigint, batch bigint")
+
+    def sink(batch, batch_id):
+        rows = batch.select(F.to_json(F.array("province", "city")).alias("city_key"),
+                            "city", "province", "total_money", "order_count",
+                            F.lit(batch_id).cast("bigint").alias("batch"))
+        store.write_batch(batch_id, lambda cur: cl.upsert_rows(cur, rows, "city_key", "batch"))
+
+    q = jobs.start(totals, "city_order_total", f"{folder}/checkpoint",
+                   output_mode="update", foreach_batch=sink)
+    _await(q)
+    return store.read().select("city", "province", "total_money", "order_count")
+
+
+def _await(q):
+    q.awaitTermination(600)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
 
 
 def stream_changelog_state(spark, sf):
@@ -113,9 +208,7 @@ def stream_changelog_state(spark, sf):
                           "row_key string, row map<string,string>, es bigint")
     q = jobs.start(changes, "changelog_state", f"{folder}/checkpoint",
                    foreach_batch=changelog_sink(store, cl.apply_row_changes))
-    q.awaitTermination(600)
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _await(q)
     return parse.decode_row(store.read(), ORDER_FIELDS, keep=["row_key", "es"])
 
 
@@ -137,7 +230,12 @@ STREAMED = {
     "stream_blacklist_tumbling": stream_blacklist_tumbling,
     "stream_channel_users": stream_channel_users,
     "stream_click_browse_interval": stream_click_browse_interval,
+    "stream_click_browse_window": stream_click_browse_window,
+    "stream_order_timeout": stream_order_timeout,
+    "stream_order_pay_match": stream_order_pay_match,
     "stream_city_order_sliding": stream_city_order_sliding,
+    "stream_city_serving_state": stream_city_serving_state,
+    "stream_city_order_total": stream_city_order_total,
     "stream_changelog_state": stream_changelog_state,
     "stream_blacklist_repeat_skip": stream_blacklist_repeat_skip,
 }

@@ -132,6 +132,26 @@ def click_browse_pairs(clicks: DataFrame, browses: DataFrame, lower, upper, dela
                  "click_ts", "browse_ts")
 
 
+def click_browse_windows(clicks: DataFrame, browses: DataFrame, width, delay) -> DataFrame:
+    """Tumbling-window join of two streams.
+
+    The window is the event-time column of each side and part of the join key,
+    so state is dropped once the watermark passes the window end; the raw
+    times are carried as TIMESTAMP_NTZ (a second event-time column is refused).
+    """
+    w = duration.text(width)
+    c = watermarked(clicks, "click_ts", delay)
+    c = c.select("user_id", "click_id", to_wall_time("click_ts").alias("click_ts"),
+                 F.window("click_ts", w).alias("_lw"))
+    b = watermarked(browses, "browse_ts", delay)
+    b = b.select("b_user_id", "browse_id", to_wall_time("browse_ts").alias("browse_ts"),
+                 F.window("browse_ts", w).alias("_rw"))
+    j = c.join(b, (F.col("user_id") == F.col("b_user_id")) & (F.col("_lw") == F.col("_rw")))
+    return j.select("user_id", "click_id", "click_ts", "browse_id", "browse_ts",
+                    to_wall_time(F.col("_lw.start")).alias("window_start"),
+                    to_wall_time(F.col("_lw.end")).alias("window_end"))
+
+
 def order_pay_outcomes(orders: DataFrame, pays: DataFrame, tolerance, delay) -> DataFrame:
     """Two-stream match with timeout (J6); unmatched rows leave after the watermark."""
     o = watermarked(orders, "order_ts", delay)

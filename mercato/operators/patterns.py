@@ -1,6 +1,7 @@
 """Event patterns.
 
-J7 "A then B within W" is a bucketed interval join plus a per-start minimum.
+J7 "A then B within W" finds each start's nearest following end with a
+backwards window per (key, W-bucket): linear, no pairs.
 
 J8 "k or more events of a key within W" is computed over *time buckets*
 rather than whole keys. Each key's events are cut into buckets of
@@ -41,28 +42,45 @@ def _us(col: str):
 
 
 def _first_follower(events: DataFrame, key: str, ts: str, seq: str, start_cond,
-                    end_cond, within, payload: Iterable[str]) -> tuple[DataFrame, DataFrame]:
+                    end_cond, within, payload: Iterable[str]) -> DataFrame:
+    """Every start row with the first end row after it, if that end is within W.
+
+    No pairs are formed. Time is cut into W-wide buckets; a start's first end
+    within W lies in its own bucket or the next, so each bucket holds its own
+    starts and ends plus the next bucket's ends as context. Ordered backwards
+    in (time, seq), the nearest following end of a start is the last end seen
+    so far: ``last(ignorenulls)`` over a growing frame, linear per bucket.
+    Output: order_id, start_seq, start_ts, payload, end_seq, end_ts (NULL when
+    the first end is missing or too late).
+    """
     payload = list(payload)
     w_us = duration.micros(within)
-    starts = events.where(start_cond).select(
-        F.col(key).alias("order_id"), F.col(seq).alias("start_seq"),
-        F.col(ts).alias("start_ts"), *payload)
-    ends = events.where(end_cond).select(
-        F.col(key).alias("_ek"), F.col(seq).alias("end_seq"), F.col(ts).alias("end_ts"))
-    s_bucket = F.floor(_us("start_ts") / w_us)
-    s2 = starts.withColumn("_b", F.explode(F.array(s_bucket, s_bucket + 1)))
-    e2 = ends.withColumn("_eb", F.floor(_us("end_ts") / w_us))
-    after = ((F.col("end_ts") > F.col("start_ts"))
-             | ((F.col("end_ts") == F.col("start_ts")) & (F.col("end_seq") > F.col("start_seq"))))
-    cond = ((F.col("order_id") == F.col("_ek")) & (F.col("_b") == F.col("_eb")) & after
-            & (F.col("end_ts") < F.col("start_ts") + duration.interval_us(w_us)))
-    pairs = s2.join(e2, cond, "inner")
-    first = (pairs.groupBy("order_id", "start_seq", "start_ts", *payload)
-             .agg(F.min(F.struct("end_ts", "end_seq")).alias("_first"))
-             .select("order_id", "start_seq", "start_ts", *payload,
-                     F.col("_first.end_seq").alias("end_seq"),
-                     F.col("_first.end_ts").alias("end_ts")))
-    return starts, first
+    t = _us(ts)
+    bucket = F.floor(t / w_us)
+    is_start, is_end = F.coalesce(start_cond, F.lit(False)), F.coalesce(end_cond, F.lit(False))
+    # starts go to their bucket; ends to theirs and, as context, to the one before
+    targets = F.concat(
+        F.when(is_start, F.array(F.struct(bucket.alias("b"), F.lit(True).alias("s"))))
+        .otherwise(F.array().cast("array<struct<b:bigint,s:boolean>>")),
+        F.when(is_end, F.array(F.struct(bucket.alias("b"), F.lit(False).alias("s")),
+                               F.struct((bucket - 1).alias("b"), F.lit(False).alias("s"))))
+        .otherwise(F.array().cast("array<struct<b:bigint,s:boolean>>")))
+    rows = (events.select(F.col(key).alias("order_id"), F.col(seq).alias("_seq"),
+                          F.col(ts).alias("_ts"), t.alias("_t"), *payload,
+                          F.explode(targets).alias("_to"))
+            .select("*", F.col("_to.b").alias("_b"), F.col("_to.s").alias("_start")))
+    back = (Window.partitionBy("order_id", "_b").orderBy(F.desc("_t"), F.desc("_seq"))
+            .rowsBetween(Window.unboundedPreceding, -1))
+    end_here = F.when(~F.col("_start"), F.struct(F.col("_ts").alias("ts"),
+                                                 F.col("_t").alias("t"),
+                                                 F.col("_seq").alias("seq")))
+    nxt = F.last(end_here, ignorenulls=True).over(back)
+    found = (rows.select("*", nxt.alias("_next")).where(F.col("_start"))
+             .withColumn("_ok", F.col("_next.t") - F.col("_t") < w_us))
+    return found.select(
+        "order_id", F.col("_seq").alias("start_seq"), F.col("_ts").alias("start_ts"), *payload,
+        F.when(F.col("_ok"), F.col("_next.seq")).alias("end_seq"),
+        F.when(F.col("_ok"), F.col("_next.ts")).alias("end_ts"))
 
 
 def followed_by(events: DataFrame, key: str, ts: str, seq: str, start_cond, end_cond,
@@ -70,17 +88,19 @@ def followed_by(events: DataFrame, key: str, ts: str, seq: str, start_cond, end_
     """Completed matches of "start, later end, within W" per key.
 
     Every start row opens its own attempt; events in between are skipped; the
-    first end with ``0 <= t_end - t_start < W`` (ties: later ``seq``) completes
-    it. Output: order_id, start_seq, start_ts, payload, end_seq, end_ts.
+    first end after the start (ties: later ``seq``) completes it if
+    ``t_end - t_start < W``. Output: order_id, start_seq, start_ts, payload,
+    end_seq, end_ts.
     """
-    return _first_follower(events, key, ts, seq, start_cond, end_cond, within, payload)[1]
+    found = _first_follower(events, key, ts, seq, start_cond, end_cond, within, payload)
+    return found.where(F.col("end_seq").isNotNull())
 
 
 def timed_out(events: DataFrame, key: str, ts: str, seq: str, start_cond, end_cond,
               within, payload: Iterable[str] = ()) -> DataFrame:
     """Start rows that no end completes within W (J7t, the timeout side output)."""
-    starts, first = _first_follower(events, key, ts, seq, start_cond, end_cond, within, payload)
-    return starts.join(first.select("start_seq"), "start_seq", "left_anti").select(starts.columns)
+    found = _first_follower(events, key, ts, seq, start_cond, end_cond, within, payload)
+    return found.where(F.col("end_seq").isNull()).drop("end_seq", "end_ts")
 
 
 # ---------------------------------------------------------------- J8 / J8n

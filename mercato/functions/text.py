@@ -45,3 +45,17 @@ def channel_message(channel, user_count) -> Column:
 def pair_message(left, right, separator: str = " ==> ") -> Column:
     """Presentation line of a joined pair."""
     return F.concat_ws(separator, _c(left), _c(right))
+
+
+def match_message(order_id, outcome, order_first) -> Column:
+    """Presentation line of a two-stream match.
+
+    The reference prints a match from whichever side arrives second, and its two
+    branches differ by one space; unmatched rows leave on a side output.
+    """
+    # Fixed values (must equal the reference's output lines).
+    oid = _c(order_id).cast("string")
+    return (F.when((_c(outcome) == "matched") & _c(order_first),
+                   F.concat(F.lit("order id: "), oid, F.lit(" matched")))
+            .when(_c(outcome) == "matched", F.concat(F.lit("order id:"), oid, F.lit(" matched")))
+            .otherwise(F.concat(F.lit("order id: "), oid, F.lit(" fail to match"))))

@@ -140,6 +140,16 @@ ORDER_TYPED = """row_key, CAST(o_orderkey AS BIGINT) AS o_orderkey,
        CAST(o_custkey AS BIGINT) AS o_custkey, status AS o_orderstatus, o_totalprice,
        o_orderdate, o_orderpriority"""
 
+ORDER_PAY = f"""WITH ord AS (SELECT o_orderkey AS ok, min(o_orderdate) AS order_ts
+             FROM orders GROUP BY o_orderkey),
+pay AS (SELECT l_orderkey AS pk, min(l_shipdate) AS pay_ts FROM lineitem GROUP BY l_orderkey)
+SELECT coalesce(ok, pk) AS order_id, order_ts, pay_ts,
+       CASE WHEN ok IS NOT NULL AND pk IS NOT NULL THEN 'matched'
+            WHEN ok IS NOT NULL THEN 'unmatched_order' ELSE 'unmatched_pay' END AS outcome
+FROM ord FULL OUTER JOIN pay ON ok = pk
+ AND epoch_us(pay_ts) >= epoch_us(order_ts) - {TOL_US}
+ AND epoch_us(pay_ts) <= epoch_us(order_ts) + {TOL_US}"""
+
 ORACLES: dict[str, str] = {
     "city_order_total": f"""WITH {AREA_DIM}
 SELECT d.city, d.province,
@@ -259,15 +269,15 @@ SELECT c.user_id, c.click_id, c.click_ts, b.browse_id, b.browse_ts,
 FROM c JOIN b ON c.user_id = b.b_user_id
  AND epoch_us(c.click_ts) // {JOIN_WIDTH_US} = epoch_us(b.browse_ts) // {JOIN_WIDTH_US}""",
 
-    "order_pay_match": f"""WITH ord AS (SELECT o_orderkey AS ok, min(o_orderdate) AS order_ts
-             FROM orders GROUP BY o_orderkey),
-pay AS (SELECT l_orderkey AS pk, min(l_shipdate) AS pay_ts FROM lineitem GROUP BY l_orderkey)
-SELECT coalesce(ok, pk) AS order_id, order_ts, pay_ts,
-       CASE WHEN ok IS NOT NULL AND pk IS NOT NULL THEN 'matched'
-            WHEN ok IS NOT NULL THEN 'unmatched_order' ELSE 'unmatched_pay' END AS outcome
-FROM ord FULL OUTER JOIN pay ON ok = pk
- AND epoch_us(pay_ts) >= epoch_us(order_ts) - {TOL_US}
- AND epoch_us(pay_ts) <= epoch_us(order_ts) + {TOL_US}""",
+    "order_pay_match": ORDER_PAY,
+
+    "order_pay_message": f"""WITH m AS ({ORDER_PAY})
+SELECT order_id, outcome,
+       CASE WHEN outcome = 'matched' AND coalesce(order_ts <= pay_ts, true)
+                 THEN 'order id: ' || CAST(order_id AS VARCHAR) || ' matched'
+            WHEN outcome = 'matched' THEN 'order id:' || CAST(order_id AS VARCHAR) || ' matched'
+            ELSE 'order id: ' || CAST(order_id AS VARCHAR) || ' fail to match' END AS message
+FROM m""",
 
     "changelog_rows": f"""WITH {CHANGES}
 SELECT row_key, 'dwshow' AS database, 'orders' AS "table", type, es, change_id,
@@ -369,3 +379,7 @@ ORACLES["stream_city_serving_state"] = f"""WITH sliding AS (
 SELECT province || city AS redis_key, total_money, order_count, epoch_ms(window_end) AS time
 FROM sliding
 QUALIFY row_number() OVER (PARTITION BY province, city ORDER BY window_end DESC) = 1"""
+
+# A payment is seen once the watermark passes it: end_ts < watermark.
+ORACLES["stream_order_paid"] = f"""SELECT * FROM ({ORACLES["order_paid"]})
+WHERE end_ts < (SELECT max(date_trunc('second', ts)) FROM events)"""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import duration
-from ..functions.text import channel_message
+from ..functions.text import channel_message, match_message
 from ..functions.time import format_ts, ts_to_millis
 from ..operators import changelog as cl
 from ..operators import dims, joins, parse, patterns, windows
@@ -253,6 +253,14 @@ def order_pay_match(spark, sf):
                                     P["match_tolerance"])
 
 
+def order_pay_message(spark, sf):
+    """P14 on J6: the printed lines of the match job (main and side outputs)."""
+    out = order_pay_match(spark, sf)
+    order_first = F.coalesce(F.col("order_ts") <= F.col("pay_ts"), F.lit(True))
+    return out.select("order_id", "outcome",
+                      match_message("order_id", "outcome", order_first).alias("message"))
+
+
 # ------------------------------------------------------------ change log and stores
 
 def changelog_rows(spark, sf):
@@ -336,6 +344,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "click_browse_interval": click_browse_interval,
     "click_browse_window": click_browse_window,
     "order_pay_match": order_pay_match,
+    "order_pay_message": order_pay_message,
     "changelog_rows": changelog_rows,
     "changelog_state": changelog_state,
     "changelog_partial": changelog_partial,

@@ -88,13 +88,31 @@ def stream_click_browse_window(spark, sf):
     return feeds.drain_to_parquet(job, folder)
 
 
-def stream_order_timeout(spark, sf):
-    """J7t on a stream: a left outer interval join; a created order leaves as a
-    timeout once the watermark passes its creation time + W."""
-    folder = feeds.run_folder(spark, "order_timeout")
+def _order_outcomes(spark, sf, name):
+    folder = feeds.run_folder(spark, name)
     feeds.write_feed(domain.order_status_lines(spark, sf), f"{folder}/feed", F.col("offset"))
     src = jobs.json_lines_source(spark, f"{folder}/feed", max_files_per_trigger=1)
-    return feeds.drain_to_parquet(jobs.order_timeouts(src, P["pay_within"], NO_DELAY), folder)
+    rows = jobs.watermarked(parse.parse_order_lines(src, keep=["offset"]), "ts", NO_DELAY)
+    job = stateful.followed_by_stream(rows, "order_id", "ts", "offset",
+                                      F.col("status") == "1", F.col("status") == "2",
+                                      P["pay_within"], payload="money")
+    return feeds.drain_to_parquet(job, folder)
+
+
+def stream_order_timeout(spark, sf):
+    """J7t on a stream: a created order times out once the watermark passes its
+    creation time + W with no payment (stateful, no pairs)."""
+    out = _order_outcomes(spark, sf, "order_timeout")
+    return out.where(F.col("outcome") == "timeout").select(
+        "order_id", "start_seq", to_wall_time("start_ts").alias("start_ts"), "money")
+
+
+def stream_order_paid(spark, sf):
+    """J7 on a stream: created orders with their first payment within W."""
+    out = _order_outcomes(spark, sf, "order_paid")
+    return out.where(F.col("outcome") == "paid").select(
+        "order_id", "start_seq", to_wall_time("start_ts").alias("start_ts"), "money",
+        "end_seq", to_wall_time("end_ts").alias("end_ts"))
 
 
 def stream_order_pay_match(spark, sf):
@@ -232,6 +250,7 @@ STREAMED = {
     "stream_click_browse_interval": stream_click_browse_interval,
     "stream_click_browse_window": stream_click_browse_window,
     "stream_order_timeout": stream_order_timeout,
+    "stream_order_paid": stream_order_paid,
     "stream_order_pay_match": stream_order_pay_match,
     "stream_city_order_sliding": stream_city_order_sliding,
     "stream_city_serving_state": stream_city_serving_state,

@@ -22,7 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if name in FACTS:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        try:
+            cores = spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # a session without a SparkContext (Spark Connect)
+            return df
+        if splits < cores:
             df = df.repartition(cores)
     return df

@@ -69,6 +69,14 @@ def watermarked(df: DataFrame, ts: str, delay) -> DataFrame:
     return df.withColumn(ts, to_event_time(ts)).withWatermark(ts, duration.text(delay))
 
 
+def with_processing_time(df: DataFrame, col: str = "proc_ts") -> DataFrame:
+    """Processing-time mode (W2): stamp rows with the micro-batch's current time.
+
+    Windows over it are not reproducible; the registered jobs use event time.
+    """
+    return df.withColumn(col, F.current_timestamp())
+
+
 def _wall(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, to_wall_time(c))

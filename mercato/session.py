@@ -24,6 +24,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # streaming state in RocksDB: spills to disk instead of living on the heap
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
@@ -54,7 +57,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return path
     if not path:
         path = tempfile.mkdtemp(prefix="mercato-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set(CHECKPOINT_CONF, path)
+        try:
+            spark.conf.set(CHECKPOINT_CONF, path)
+        except Exception:  # a core setting the session refuses to change at runtime
+            pass
     spark.sparkContext.setCheckpointDir(path)
     return path
 

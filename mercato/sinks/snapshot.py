@@ -1,9 +1,10 @@
 """Keyed snapshot stores on shared storage, written from ``foreachBatch``.
 
 There is no table format here (no Delta/Iceberg), so a store is a folder of
-immutable versions, ``<root>/v=<batch_id>/`` in Parquet, plus a pointer
-table ``<root>/_pointer`` naming the current version. A batch writes a new
-version from (current version + batch) and then moves the pointer, so:
+immutable versions, ``<root>/v=<batch_id>/`` in Parquet, plus an append-only
+pointer table ``<root>/_pointer`` whose largest entry names the current
+version. A batch writes a new version from (current version + batch) and then
+appends its id to the pointer (a file commit, never a delete), so:
 
 * a reader sees either the old or the new version, never half of one;
 * a replayed batch (same ``batch_id`` after a failure) finds the pointer
@@ -55,7 +56,7 @@ class SnapshotStore:
         merged = merge(self.read())
         merged.write.mode("overwrite").parquet(f"{self.root}/v={batch_id}")
         (self.spark.createDataFrame([(int(batch_id),)], "version bigint")
-         .coalesce(1).write.mode("overwrite").parquet(self._pointer_path()))
+         .coalesce(1).write.mode("append").parquet(self._pointer_path()))
         return True
 
 

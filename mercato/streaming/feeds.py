@@ -9,6 +9,7 @@ the session's shared ``spark.checkpoint.dir``; each run takes a fresh one.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,13 +45,38 @@ def write_feed(df: DataFrame, path: str, order: Column, parts: int = 4,
     return path
 
 
+@contextlib.contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Number of state partitions for streams started inside the block.
+
+    A stream fixes its state partitions (``spark.sql.shuffle.partitions``) at
+    its first batch, from the session copy taken when it starts; here that is
+    the cluster's parallelism instead of a batch-sized default. The session's
+    own setting is restored afterwards.
+    """
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    if n is None:
+        try:
+            n = spark.sparkContext.defaultParallelism
+        except Exception:  # no SparkContext (Spark Connect): keep the session's value
+            n = int(old)
+    spark.conf.set(key, str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set(key, old)
+
+
 def drain_to_parquet(stream: DataFrame, folder: str, output_mode: str = "append",
                      timeout_s: int = 600) -> DataFrame:
     """Run ``stream`` over everything available into Parquet; return what it wrote."""
     spark = stream.sparkSession
-    q = (stream.writeStream.outputMode(output_mode).format("parquet")
-         .option("path", f"{folder}/data").option("checkpointLocation", f"{folder}/checkpoint")
-         .trigger(availableNow=True).start())
+    with state_partitions(spark):
+        q = (stream.writeStream.outputMode(output_mode).format("parquet")
+             .option("path", f"{folder}/data")
+             .option("checkpointLocation", f"{folder}/checkpoint")
+             .trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

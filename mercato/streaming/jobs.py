@@ -173,6 +173,8 @@ def order_pay_outcomes(orders: DataFrame, pays: DataFrame, tolerance, delay) ->
 def start(df: DataFrame, name: str, checkpoint: str, output_mode: str = "append",
           sink: str = "memory", foreach_batch=None, available_now: bool = True):
     """Start a query with a checkpoint (W10); ``foreach_batch`` for keyed stores."""
+    from .feeds import state_partitions
+
     writer = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if foreach_batch is not None:
         writer = writer.foreachBatch(foreach_batch)
@@ -180,4 +182,5 @@ def start(df: DataFrame, name: str, checkpoint: str, output_mode: str = "append"
         writer = writer.format(sink).queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    with state_partitions(df.sparkSession):
+        return writer.start()

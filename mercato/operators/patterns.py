@@ -13,13 +13,15 @@ A key that holds a third of all rows is thus spread over many tasks.
   closes one match per length ``k .. c_j``; they are generated with
   ``sequence`` and labelled by a lookup of the match's second event.
 * Skip past last (J8): picks are greedy in event order (a pick at j blocks
-  every later match starting at or before j). The only thing a bucket
-  needs from the past is how many of its first positions are blocked, a
-  number in ``0 .. k-1``. So each bucket maps entry state -> exit state
-  (a table of k numbers, computed in ``applyInPandas`` on its candidate
-  positions), one small pass per key chains those tables in time order
-  (one row per bucket, not per event), and a last pass replays every bucket
-  from its true entry state.
+  every later match starting at or before j). The only thing a segment of
+  the sequence needs from the past is how many of its first positions are
+  blocked, a number in ``0 .. k-1``. So each segment (a bucket, cut again
+  into chunks of at most ``chunk_rows`` positions) maps entry state -> exit
+  state (a table of k numbers, computed in ``applyInPandas`` on its
+  candidate positions), one small pass per key chains those tables in order
+  (one row per segment, not per event), and a last pass replays every
+  segment from its true entry state. Keys whose candidates cannot overlap
+  skip all of this (every candidate is a pick).
 """
 
 from __future__ import annotations
@@ -185,7 +187,7 @@ def _nsjoin(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inne
 
 def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq: str,
                             times: int, within, payload: Iterable[str] = (),
-                            bucket_factor: int = 16) -> DataFrame:
+                            bucket_factor: int = 16, chunk_rows: int = 1 << 20) -> DataFrame:
     """Runs of ``times`` events within W, each event used at most once.
 
     A match is emitted at its ``times``-th event and all its events are
@@ -195,7 +197,8 @@ def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq
     Fast path: when a key's candidate ends are at least ``times`` positions
     apart (and none reaches back into an earlier bucket) every candidate is
     picked; this is decided with window functions, no Python. Only keys with
-    overlapping candidates take the state-machine path.
+    overlapping candidates take the state-machine path, in segments of at most
+    ``chunk_rows`` positions.
     """
     keys, payload = list(keys), list(payload)
     k = int(times)
@@ -228,10 +231,24 @@ def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq
     slow = cands.where(~F.col("_simple"))
     slow_counts = _nsjoin(counts, simple.where(~F.col("_simple")), keys)
 
-    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                           for f in rows.select(*part).schema.fields)
-    # Many (key, bucket) groups per Python call: rows are hashed into as many
-    # slots as there are shuffle partitions and split again inside the call.
+    # The state machine composes over any cut of a key's event sequence, so a
+    # bucket is cut again into chunks of at most ``chunk_rows`` positions: no
+    # Python group ever holds more candidates than that.
+    chunk = int(chunk_rows)
+    seg = [*part, "_chunk"]
+    slow = (slow.withColumn("_chunk", F.floor((F.col("_idx") - 1) / chunk))
+            .withColumn("_cidx", F.col("_idx") - F.col("_chunk") * chunk)
+            .withColumn("_cn", F.least(F.lit(chunk), F.col("_n_own") - F.col("_chunk") * chunk)))
+    segments = (slow_counts
+                .withColumn("_chunk", F.explode(F.sequence(
+                    F.lit(0).cast("bigint"), F.ceil(F.col("_n_own") / chunk).cast("bigint") - 1)))
+                .withColumn("_cn", F.least(F.lit(chunk),
+                                           F.col("_n_own") - F.col("_chunk") * chunk)))
+
+    seg_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                           for f in slow.select(*seg).schema.fields)
+    # Many segments per Python call: rows are hashed into as many slots as there
+    # are shuffle partitions and split again inside the call.
     slots = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def slot(cols):
@@ -242,50 +259,53 @@ def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq
 
     def tables(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, g in groups(pdf, part):
-            c = np.sort(g["_idx"].to_numpy())
-            n = int(g["_n_own"].iloc[0])
-            row = g[part].iloc[:1].copy()
+        for _, g in groups(pdf, seg):
+            c = np.sort(g["_cidx"].to_numpy())
+            n = int(g["_cn"].iloc[0])
+            row = g[seg].iloc[:1].copy()
             row["_exits"] = [[_exit_state(c, n, k, e)[0] for e in range(k)]]
             out.append(row)
-        return pd.concat(out, ignore_index=True) if out else pdf[part].assign(_exits=None)
+        return pd.concat(out, ignore_index=True) if out else pdf[seg].assign(_exits=None)
 
-    exit_tables = (slow.select(*part, "_idx", "_n_own").withColumn("_slot", slot(part))
-                   .groupBy("_slot").applyInPandas(tables, f"{key_schema}, _exits array<int>"))
-    summary = _nsjoin(slow_counts.select(*part, "_n_own"), exit_tables, part, "left")
+    exit_tables = (slow.select(*seg, "_cidx", "_cn").withColumn("_slot", slot(seg))
+                   .groupBy("_slot").applyInPandas(tables, f"{seg_schema}, _exits array<int>"))
+    summary = _nsjoin(segments.select(*seg, "_cn"), exit_tables, seg, "left")
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, g in groups(pdf, keys):
-            g = g.sort_values("_bucket")
+            g = g.sort_values(["_bucket", "_chunk"])
             state, entries = 0, []
-            for n_own, exits in zip(g["_n_own"].to_numpy(), g["_exits"]):
+            for n, exits in zip(g["_cn"].to_numpy(), g["_exits"]):
                 entries.append(state)
                 if exits is None or (isinstance(exits, float) and np.isnan(exits)):
-                    state = max(0, state - int(n_own))
+                    state = max(0, state - int(n))
                 else:
                     state = int(exits[state])
-            res = g[part].copy()
+            res = g[seg].copy()
             res["_entry"] = entries
             out.append(res[g["_exits"].notna().to_numpy()])
-        return pd.concat(out, ignore_index=True) if out else pdf[part].assign(_entry=0)
+        return pd.concat(out, ignore_index=True) if out else pdf[seg].assign(_entry=0)
 
     entries = (summary.withColumn("_slot", slot(keys)).groupBy("_slot")
-               .applyInPandas(chain, f"{key_schema}, _entry int"))
+               .applyInPandas(chain, f"{seg_schema}, _entry int"))
 
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, g in groups(pdf, part):
-            c = np.sort(g["_idx"].to_numpy())
-            _, picks = _exit_state(c, int(g["_n_own"].iloc[0]), k, int(g["_entry"].iloc[0]))
+        for _, g in groups(pdf, seg):
+            c = np.sort(g["_cidx"].to_numpy())
+            _, picks = _exit_state(c, int(g["_cn"].iloc[0]), k, int(g["_entry"].iloc[0]))
             res = g[part].iloc[[0] * len(picks)].reset_index(drop=True)
-            res["_pos"] = np.asarray(picks, dtype="int64") + int(g["_n_ctx"].iloc[0])
+            offset = int(g["_chunk"].iloc[0]) * chunk + int(g["_n_ctx"].iloc[0])
+            res["_pos"] = np.asarray(picks, dtype="int64") + offset
             out.append(res)
         return pd.concat(out, ignore_index=True) if out else pdf[part].assign(_pos=0)
 
-    slow_picks = (_nsjoin(slow, entries, part)
-                  .select(*part, "_idx", "_n_own", "_n_ctx", "_entry")
-                  .withColumn("_slot", slot(part))
+    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                           for f in rows.select(*part).schema.fields)
+    slow_picks = (_nsjoin(slow, entries, seg)
+                  .select(*seg, "_cidx", "_cn", "_n_ctx", "_entry")
+                  .withColumn("_slot", slot(seg))
                   .groupBy("_slot").applyInPandas(replay, f"{key_schema}, _pos bigint"))
     picks = fast.unionByName(slow_picks)
     ends = _nsjoin(own, picks, [*part, "_pos"])

@@ -25,8 +25,9 @@ def brute(events, k, w):
     return sorted(all_m), sorted(skip)
 
 
-@pytest.mark.parametrize("seed,k,factor", [(1, 3, 1), (2, 4, 1), (3, 3, 2), (4, 5, 3)])
-def test_random_keys(spark, seed, k, factor):
+@pytest.mark.parametrize("seed,k,factor,chunk", [(1, 3, 1, 1 << 20), (2, 4, 1, 5),
+                                                 (3, 3, 2, 2), (4, 5, 3, 7)])
+def test_random_keys(spark, seed, k, factor, chunk):
     rng = np.random.default_rng(seed)
     w = 10
     rows, per_key = [], {}
@@ -44,7 +45,8 @@ def test_random_keys(spark, seed, k, factor):
     got_all = patterns.repeated_all(df, ["uid", "product_id"], "ts", "offset", k,
                                     f"{w} seconds", bucket_factor=factor).collect()
     got_skip = patterns.repeated_skip_past_last(df, ["uid", "product_id"], "ts", "offset", k,
-                                                f"{w} seconds", bucket_factor=factor).collect()
+                                                f"{w} seconds", bucket_factor=factor,
+                                                chunk_rows=chunk).collect()
     for key, evs in per_key.items():
         exp_all, exp_skip = brute(evs, k, w)
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import AREA_DIMENSION_COLUMNS
+
 
 def flatten_hierarchy(tree: DataFrame, id_col: str = "id", name_col: str = "name",
                       parent_col: str = "pid") -> DataFrame:
@@ -38,7 +40,7 @@ def flatten_hierarchy(tree: DataFrame, id_col: str = "id", name_col: str = "name
                        F.col(parent_col).alias("_city_id"))
     return (area.join(city, F.col("_city_id") == F.col("cid"))
             .join(province, F.col("_province_id") == F.col("proid"))
-            .select("areaid", "aname", "cid", "city", "proid", "province"))
+            .select(*AREA_DIMENSION_COLUMNS))
 
 
 def latest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:

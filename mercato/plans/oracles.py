@@ -11,8 +11,6 @@ from __future__ import annotations
 from ..functions import duration
 from .presets import FIXTURE as P
 
-DAY_US = 86_400_000_000
-
 AREA_DIM = """area_dim AS (
   SELECT CAST(c.c_custkey AS BIGINT) * 10 + 3 AS areaid, c.c_name AS aname,
          CAST(n.n_nationkey AS BIGINT) * 10 + 2 AS cid, n.n_name AS city,

@@ -16,6 +16,7 @@ from ..functions.text import channel_message, match_message
 from ..functions.time import format_ts, ts_to_millis
 from ..operators import changelog as cl
 from ..operators import dims, joins, parse, patterns, windows
+from ..schemas import AREA_DIMENSION_COLUMNS
 from ..session import prepare
 from ..sources import domain
 from .presets import FIXTURE
@@ -300,7 +301,7 @@ def _dimension_store(spark, sf):
     which duplicate is later.
     """
     dim = area_dimension(spark, sf)
-    rows = cl.as_text_row(dim, "areaid", ["aname", "areaid", "cid", "city", "proid", "province"])
+    rows = cl.as_text_row(dim, "areaid", AREA_DIMENSION_COLUMNS)
     rows = rows.withColumn("_seq", F.col("row_key").cast("bigint"))
     empty = rows.where(F.lit(False))
     return cl.upsert_rows(empty, rows, "row_key", "_seq").drop("_seq")

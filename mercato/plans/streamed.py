@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.time import format_ts, to_event_time, to_wall_time, ts_to_millis
 from ..operators import changelog as cl
 from ..operators import dims, parse, windows
+from ..schemas import STATISTICS_TYPES
 from ..sinks import SnapshotStore, changelog_sink, upsert_sink
 from ..sources import domain
 from ..streaming import feeds, jobs, stateful
@@ -140,7 +141,7 @@ def _typed_order_stream(spark, sf, folder):
     feeds.write_feed(domain.change_log(spark, sf), f"{folder}/feed",
                      F.get_json_object("value", "$.es").cast("bigint"))
     src = jobs.json_lines_source(spark, f"{folder}/feed", max_files_per_trigger=1)
-    changes = parse.parse_changes(src, types=("INSERT",))
+    changes = parse.parse_changes(src, types=STATISTICS_TYPES)
     orders = parse.decode_row(parse.filter_table(changes, domain.CHANGE_TABLE), {
         "order_id": ("o_orderkey", "bigint"), "cust": ("o_custkey", "bigint"),
         "total_money": ("o_totalprice", "double"), "create_time": ("o_orderdate", "timestamp_ntz")})

@@ -21,9 +21,6 @@ CHANGE_ENVELOPE = (
 # Order status lines: order_id,status,time,money
 ORDER_DETAIL_CSV = "order_id string, status string, time string, money double"
 
-# Area tree node as stored (all cells text).
-AREA_DETAIL = "id int, name string, pid int"
-
 # Flattened area dimension.
 AREA_DIMENSION_COLUMNS = ("areaid", "aname", "cid", "city", "proid", "province")
 

@@ -310,6 +310,15 @@ FROM store""",
 }
 
 
+# The stored orders are those the change log leaves: every order with line items.
+ORACLES["city_order_total_stored"] = f"""WITH {AREA_DIM}
+SELECT d.city, d.province,
+       CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_money,
+       count(*) AS order_count
+FROM orders o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid
+WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+GROUP BY d.city, d.province"""
+
 # ---------------------------------------------------------------- streamed twins
 # Append mode emits a window once the watermark (max event time seen, no
 # delay) reaches its end, so each streamed query equals its batch oracle cut

@@ -307,6 +307,29 @@ def _dimension_store(spark, sf):
     return cl.upsert_rows(empty, rows, "row_key", "_seq").drop("_seq")
 
 
+def city_order_total_stored(spark, sf):
+    """Feature 1 end to end as the warehouse runs it: both inputs are read back
+    from their keyed stores as JSON (S3) and decoded with coercion (P7), then
+    joined and totalled (J1, A1). The order store is the change log applied
+    (K1), so deleted orders are gone and updated ones carry their new cells.
+    """
+    dim_json = cl.scan_as_json(_dimension_store(spark, sf))
+    dim = dim_json.select(F.from_json("json", "map<string,string>").alias("row"))
+    dim = parse.decode_row(dim, {"areaid": ("areaid", "bigint"), "city": ("city", "string"),
+                                 "province": ("province", "string")})
+    snapshot = cl.apply_row_changes(cl.empty_snapshot(spark), order_changes(spark, sf))
+    orders_json = snapshot.select("row_key", F.to_json("row").alias("json"))
+    orders = parse.decode_row(
+        orders_json.select(F.from_json("json", "map<string,string>").alias("row")),
+        {"cust": ("o_custkey", "bigint"), "total_money": ("o_totalprice", "double")})
+    per_area = (orders.groupBy((F.col("cust") * 10 + domain.LEVEL_AREA).alias("area_id"))
+                .agg(F.sum(F.col("total_money").cast(MONEY)).alias("_m"),
+                     F.count(F.lit(1)).alias("_n")))
+    joined = dims.lookup(per_area, dim, "area_id", "areaid")
+    return joined.groupBy("city", "province").agg(
+        F.sum("_m").cast("double").alias("total_money"), F.sum("_n").alias("order_count"))
+
+
 def row_upsert(spark, sf):
     """K2 + P15: the dimension written as text rows keyed by its first field."""
     return _dimension_store(spark, sf)
@@ -353,6 +376,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_upsert": row_upsert,
     "row_as_json": row_as_json,
     "row_as_dashed": row_as_dashed,
+    "city_order_total_stored": city_order_total_stored,
 }
 
 

@@ -157,21 +157,21 @@ def running_totals(df: DataFrame, keys: Iterable[str], order_col: str, measures:
     for kind, _ in measures.values():
         if kind not in ("count", "sum", "money"):
             raise ValueError("running totals support count, sum and money")
-    rows = df.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk)))
-    per_chunk = rows.groupBy(*keys, "_chunk").agg(
+    chunk_id = F.floor(F.col(order_col) / F.lit(chunk))
+    # one non-null key per (key, range); struct equality matches NULL fields, so
+    # the offsets join and the range window share one partitioning: the rows
+    # are shuffled once
+    rows = df.withColumn("_rk", F.struct(*[F.col(k) for k in keys], chunk_id.alias("_chunk")))
+    per_chunk = rows.groupBy("_rk").agg(
         *[_partial(kind, col).alias(f"_c_{name}") for name, (kind, col) in measures.items()])
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(
-        Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*[F.col(f"_rk.{k}") for k in keys]).orderBy("_rk._chunk") \
+        .rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_chunk.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_chunk").alias("_k_chunk"),
-        *[F.coalesce(F.sum(f"_c_{name}").over(before), F.lit(0)).alias(f"_o_{name}")
-          for name in measures])
-    cond = F.col("_chunk") == F.col("_k_chunk")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    within = Window.partitionBy(*keys, "_chunk").orderBy(order_col).rowsBetween(
+        "_rk", *[F.coalesce(F.sum(f"_c_{name}").over(before), F.lit(0)).alias(f"_o_{name}")
+                 for name in measures])
+    within = Window.partitionBy("_rk").orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    joined = rows.join(offsets, cond, "inner")
+    joined = rows.join(offsets, "_rk", "inner")
     return joined.select(
         *df.columns,
         *[_finish(kind, F.col(f"_o_{name}") + _partial(kind, col).over(within)).alias(name)

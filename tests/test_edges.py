@@ -124,7 +124,8 @@ def test_panes_equal_direct_windows(spark):
 
 def test_running_totals_equal_plain_window(spark):
     from pyspark.sql import Window
-    rows = [("c-1" if i % 4 else "c2", i * 7 + 1, float(i % 13) + 0.25) for i in range(500)]
+    rows = [("c-1" if i % 4 else (None if i % 8 else "c2"), i * 7 + 1, float(i % 13) + 0.25)
+            for i in range(500)]
     df = spark.createDataFrame(rows, "city string, order_id long, money double")
     out = windows.running_totals(df, ["city"], "order_id",
                                  {"m": ("money", "money"), "n": ("count", None)}, chunk=64)

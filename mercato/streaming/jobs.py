@@ -161,9 +161,13 @@ def click_browse_windows(clicks: DataFrame, browses: DataFrame, width, delay) ->
 
 
 def order_pay_outcomes(orders: DataFrame, pays: DataFrame, tolerance, delay) -> DataFrame:
-    """Two-stream match with timeout (J6); unmatched rows leave after the watermark."""
-    o = watermarked(orders, "order_ts", delay)
-    p = watermarked(pays, "pay_ts", delay)
+    """Two-stream match with timeout (J6); unmatched rows leave after the watermark.
+
+    Each side keeps only the first row per key within the watermark (the
+    earliest, for streams in time order), as the batch form keeps the earliest.
+    """
+    o = watermarked(orders, "order_ts", delay).dropDuplicatesWithinWatermark(["order_id"])
+    p = watermarked(pays, "pay_ts", delay).dropDuplicatesWithinWatermark(["order_id"])
     out = joins.match_with_timeout(o.withColumnRenamed("order_id", "k"),
                                    p.withColumnRenamed("order_id", "k"),
                                    "k", "order_ts", "pay_ts", tolerance, dedupe=False)

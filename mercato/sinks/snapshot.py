@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,10 +36,17 @@ class SnapshotStore:
         return f"{self.root}/_pointer"
 
     def current_version(self) -> int | None:
+        """Latest committed version; None only when the store does not exist yet.
+
+        Any other read error propagates: treating it as "empty" would rebuild the
+        store from one batch and lose everything before it.
+        """
         try:
             rows = self.spark.read.parquet(self._pointer_path()).agg(F.max("version")).collect()
-        except Exception:  # no pointer yet: empty store
-            return None
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
         return rows[0][0]
 
     def read(self) -> DataFrame:

@@ -100,3 +100,14 @@ def test_stream_match_keeps_earliest_per_key(spark, scratch):
     # order_2 matches; stream rows are those the final watermark (8 s) has closed
     assert ("order_1", "matched") not in got and ("order_2", "matched") in got
     assert set(got) <= {(r.order_id, r.outcome) for r in batch.collect()}
+
+
+def test_snapshot_store_versions(spark, scratch):
+    from mercato.sinks import SnapshotStore
+    st = SnapshotStore(spark, os.path.join(scratch, "store"), "k string, v bigint")
+    assert st.current_version() is None and st.read().count() == 0  # created on first write
+    one = spark.createDataFrame([("a", 1)], "k string, v bigint")
+    assert st.write_batch(0, lambda cur: cur.unionByName(one))
+    assert not st.write_batch(0, lambda cur: cur.limit(0))  # replayed batch: skipped
+    assert st.write_batch(1, lambda cur: cur.unionByName(one.selectExpr("'b' k", "2L v")))
+    assert st.current_version() == 1 and sorted(r.k for r in st.read().collect()) == ["a", "b"]

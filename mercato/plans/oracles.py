@@ -390,3 +390,10 @@ QUALIFY row_number() OVER (PARTITION BY province, city ORDER BY window_end DESC)
 # A payment is seen once the watermark passes it: end_ts < watermark.
 ORACLES["stream_order_paid"] = f"""SELECT * FROM ({ORACLES["order_paid"]})
 WHERE end_ts < (SELECT max(date_trunc('second', ts)) FROM events)"""
+
+ORACLES["stream_ad_click_sliding_panes"] = ORACLES["stream_ad_click_sliding"]
+
+ORACLES["stream_blacklist_repeat_all"] = f"""SELECT * FROM (
+{ORACLES["blacklist_repeat_all"]})
+WHERE end_ts < (SELECT max(date_trunc('second', ts)) FROM events
+                WHERE event_type = 'click' AND json_extract_string(props, '$.k') IS NOT NULL)"""

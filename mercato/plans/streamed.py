@@ -42,6 +42,16 @@ def stream_ad_click_sliding(spark, sf):
                       format_ts("window_end").alias("end_time"), "click_count")
 
 
+def stream_ad_click_sliding_panes(spark, sf):
+    """A3 from panes on a stream: pane counts chained into sliding windows."""
+    src, folder = _envelope_stream(spark, sf, "ad_click_sliding_panes")
+    width, slide = P["ad_window"]
+    out = feeds.drain_to_parquet(jobs.ad_click_counts_panes(src, width, slide, NO_DELAY),
+                                 folder)
+    return out.select("product_id", "window_start", "window_end",
+                      format_ts("window_end").alias("end_time"), "click_count")
+
+
 def stream_blacklist_tumbling(spark, sf):
     """A4 + P10 on a stream."""
     src, folder = _envelope_stream(spark, sf, "blacklist_tumbling")
@@ -251,8 +261,21 @@ def stream_blacklist_repeat_skip(spark, sf):
                       to_wall_time("end_ts").alias("end_ts"))
 
 
+def stream_blacklist_repeat_all(spark, sf):
+    """J8n on a stream: every run of k or more clicks within W (stateful)."""
+    src, folder = _envelope_stream(spark, sf, "blacklist_repeat_all")
+    clicks = jobs.watermarked(parse.parse_ad_clicks(src, keep=["offset"]), "ts", NO_DELAY)
+    job = stateful.repeated_all_stream(
+        clicks, ["uid", "product_id"], "ts", "offset", P["repeat_times"], P["repeat_within"])
+    out = feeds.drain_to_parquet(job, folder)
+    return out.select("uid", "product_id", "click_count", "area",
+                      to_wall_time("start_ts").alias("start_ts"),
+                      to_wall_time("end_ts").alias("end_ts"))
+
+
 STREAMED = {
     "stream_ad_click_sliding": stream_ad_click_sliding,
+    "stream_ad_click_sliding_panes": stream_ad_click_sliding_panes,
     "stream_blacklist_tumbling": stream_blacklist_tumbling,
     "stream_channel_users": stream_channel_users,
     "stream_click_browse_interval": stream_click_browse_interval,
@@ -265,4 +288,5 @@ STREAMED = {
     "stream_city_order_total": stream_city_order_total,
     "stream_changelog_state": stream_changelog_state,
     "stream_blacklist_repeat_skip": stream_blacklist_repeat_skip,
+    "stream_blacklist_repeat_all": stream_blacklist_repeat_all,
 }

@@ -1,7 +1,8 @@
 """Event patterns.
 
 J7 "A then B within W" finds each start's nearest following end with a
-backwards window per (key, W-bucket): linear, no pairs.
+backwards window per (key, minute), and across minutes from one summary row
+per active minute: linear, no pairs, no group larger than a key-minute.
 
 J8 "k or more events of a key within W" is computed over *time buckets*
 rather than whole keys. Each key's events are cut into buckets of
@@ -44,40 +45,47 @@ def _us(col: str):
 
 
 def _first_follower(events: DataFrame, key: str, ts: str, seq: str, start_cond,
-                    end_cond, within, payload: Iterable[str]) -> DataFrame:
+                    end_cond, within, payload: Iterable[str],
+                    sub_bucket="1 minute") -> DataFrame:
     """Every start row with the first end row after it, if that end is within W.
 
-    No pairs are formed. Time is cut into W-wide buckets; a start's first end
-    within W lies in its own bucket or the next, so each bucket holds its own
-    starts and ends plus the next bucket's ends as context. Ordered backwards
-    in (time, seq), the nearest following end of a start is the last end seen
-    so far: ``last(ignorenulls)`` over a growing frame, linear per bucket.
+    No pairs are formed, and no group is larger than one key's events of one
+    ``sub_bucket`` of time:
+
+    1. per (key, sub-bucket), ordered backwards in (time, seq), the nearest
+       following end inside the sub-bucket is the last end seen so far
+       (``last(ignorenulls)`` over a growing frame: linear);
+    2. per key, over one row per active sub-bucket, the first end of the next
+       sub-bucket that has one (same backwards window, on the summary);
+    3. a start takes (1) if it has one, else (2), joined on (key, sub-bucket).
+
     Output: order_id, start_seq, start_ts, payload, end_seq, end_ts (NULL when
     the first end is missing or too late).
     """
     payload = list(payload)
     w_us = duration.micros(within)
-    t = _us(ts)
-    bucket = F.floor(t / w_us)
-    is_start, is_end = F.coalesce(start_cond, F.lit(False)), F.coalesce(end_cond, F.lit(False))
-    # starts go to their bucket; ends to theirs and, as context, to the one before
-    targets = F.concat(
-        F.when(is_start, F.array(F.struct(bucket.alias("b"), F.lit(True).alias("s"))))
-        .otherwise(F.array().cast("array<struct<b:bigint,s:boolean>>")),
-        F.when(is_end, F.array(F.struct(bucket.alias("b"), F.lit(False).alias("s")),
-                               F.struct((bucket - 1).alias("b"), F.lit(False).alias("s"))))
-        .otherwise(F.array().cast("array<struct<b:bigint,s:boolean>>")))
-    rows = (events.select(F.col(key).alias("order_id"), F.col(seq).alias("_seq"),
-                          F.col(ts).alias("_ts"), t.alias("_t"), *payload,
-                          F.explode(targets).alias("_to"))
-            .select("*", F.col("_to.b").alias("_b"), F.col("_to.s").alias("_start")))
+    s_us = max(1, min(duration.micros(sub_bucket), w_us))
+    is_start = F.coalesce(start_cond, F.lit(False))
+    is_end = F.coalesce(end_cond, F.lit(False))
+    rows = (events.where(is_start | is_end)
+            .select(F.col(key).alias("order_id"), F.col(seq).alias("_seq"),
+                    F.col(ts).alias("_ts"), _us(ts).alias("_t"), *payload,
+                    is_start.alias("_start"), is_end.alias("_end"))
+            .withColumn("_b", F.floor(F.col("_t") / s_us)))
+    end_here = F.when(F.col("_end"), F.struct(F.col("_t").alias("t"), F.col("_seq").alias("seq"),
+                                              F.col("_ts").alias("ts")))
     back = (Window.partitionBy("order_id", "_b").orderBy(F.desc("_t"), F.desc("_seq"))
             .rowsBetween(Window.unboundedPreceding, -1))
-    end_here = F.when(~F.col("_start"), F.struct(F.col("_ts").alias("ts"),
-                                                 F.col("_t").alias("t"),
-                                                 F.col("_seq").alias("seq")))
-    nxt = F.last(end_here, ignorenulls=True).over(back)
-    found = (rows.select("*", nxt.alias("_next")).where(F.col("_start"))
+    starts = (rows.select("*", F.last(end_here, ignorenulls=True).over(back).alias("_in"))
+              .where(F.col("_start")))
+    # one row per (key, active sub-bucket): its first end, if any
+    buckets = rows.groupBy("order_id", "_b").agg(F.min(end_here).alias("_first"))
+    later = (Window.partitionBy("order_id").orderBy(F.desc("_b"))
+             .rowsBetween(Window.unboundedPreceding, -1))
+    after = buckets.select("order_id", "_b",
+                           F.last("_first", ignorenulls=True).over(later).alias("_after"))
+    found = (_nsjoin(starts, after, ["order_id", "_b"], "left")
+             .withColumn("_next", F.coalesce("_in", "_after"))
              .withColumn("_ok", F.col("_next.t") - F.col("_t") < w_us))
     return found.select(
         "order_id", F.col("_seq").alias("start_seq"), F.col("_ts").alias("start_ts"), *payload,
@@ -86,7 +94,7 @@ def _first_follower(events: DataFrame, key: str, ts: str, seq: str, start_cond,
 
 
 def followed_by(events: DataFrame, key: str, ts: str, seq: str, start_cond, end_cond,
-                within, payload: Iterable[str] = ()) -> DataFrame:
+                within, payload: Iterable[str] = (), sub_bucket="1 minute") -> DataFrame:
     """Completed matches of "start, later end, within W" per key.
 
     Every start row opens its own attempt; events in between are skipped; the
@@ -94,14 +102,16 @@ def followed_by(events: DataFrame, key: str, ts: str, seq: str, start_cond, end_
     ``t_end - t_start < W``. Output: order_id, start_seq, start_ts, payload,
     end_seq, end_ts.
     """
-    found = _first_follower(events, key, ts, seq, start_cond, end_cond, within, payload)
+    found = _first_follower(events, key, ts, seq, start_cond, end_cond, within, payload,
+                            sub_bucket)
     return found.where(F.col("end_seq").isNotNull())
 
 
 def timed_out(events: DataFrame, key: str, ts: str, seq: str, start_cond, end_cond,
-              within, payload: Iterable[str] = ()) -> DataFrame:
+              within, payload: Iterable[str] = (), sub_bucket="1 minute") -> DataFrame:
     """Start rows that no end completes within W (J7t, the timeout side output)."""
-    found = _first_follower(events, key, ts, seq, start_cond, end_cond, within, payload)
+    found = _first_follower(events, key, ts, seq, start_cond, end_cond, within, payload,
+                            sub_bucket)
     return found.where(F.col("end_seq").isNull()).drop("end_seq", "end_ts")
 
 

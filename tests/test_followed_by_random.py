@@ -23,8 +23,8 @@ def brute(events, w):
     return out
 
 
-@pytest.mark.parametrize("seed", [7, 8, 9])
-def test_random(spark, seed):
+@pytest.mark.parametrize("seed,sub", [(7, "1 minute"), (8, "3 seconds"), (9, "1 second")])
+def test_random(spark, seed, sub):
     rng = np.random.default_rng(seed)
     w = 10
     rows, per_key, seq = [], {}, 0
@@ -39,7 +39,7 @@ def test_random(spark, seed):
         per_key[key] = evs
     df = spark.createDataFrame(rows, "offset long, order_id string, status string, ts timestamp_ntz")
     args = dict(key="order_id", ts="ts", seq="offset", start_cond=F.col("status") == "1",
-                end_cond=F.col("status") == "2", within=f"{w} seconds")
+                end_cond=F.col("status") == "2", within=f"{w} seconds", sub_bucket=sub)
     paid = {r.start_seq: r.end_seq for r in patterns.followed_by(df, **args).collect()}
     late = {r.start_seq for r in patterns.timed_out(df, **args).collect()}
     for key, evs in per_key.items():

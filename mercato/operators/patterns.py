@@ -71,20 +71,22 @@ def _first_follower(events: DataFrame, key: str, ts: str, seq: str, start_cond,
             .select(F.col(key).alias("order_id"), F.col(seq).alias("_seq"),
                     F.col(ts).alias("_ts"), _us(ts).alias("_t"), *payload,
                     is_start.alias("_start"), is_end.alias("_end"))
-            .withColumn("_b", F.floor(F.col("_t") / s_us)))
+            # one non-null key per (key, sub-bucket): the window, the summary and
+            # the join below share its partitioning (struct equality matches NULLs)
+            .withColumn("_bk", F.struct(F.col("order_id").alias("k"),
+                                        F.floor(F.col("_t") / s_us).alias("b"))))
     end_here = F.when(F.col("_end"), F.struct(F.col("_t").alias("t"), F.col("_seq").alias("seq"),
                                               F.col("_ts").alias("ts")))
-    back = (Window.partitionBy("order_id", "_b").orderBy(F.desc("_t"), F.desc("_seq"))
+    back = (Window.partitionBy("_bk").orderBy(F.desc("_t"), F.desc("_seq"))
             .rowsBetween(Window.unboundedPreceding, -1))
     starts = (rows.select("*", F.last(end_here, ignorenulls=True).over(back).alias("_in"))
               .where(F.col("_start")))
     # one row per (key, active sub-bucket): its first end, if any
-    buckets = rows.groupBy("order_id", "_b").agg(F.min(end_here).alias("_first"))
-    later = (Window.partitionBy("order_id").orderBy(F.desc("_b"))
+    buckets = rows.groupBy("_bk").agg(F.min(end_here).alias("_first"))
+    later = (Window.partitionBy("_bk.k").orderBy(F.desc("_bk.b"))
              .rowsBetween(Window.unboundedPreceding, -1))
-    after = buckets.select("order_id", "_b",
-                           F.last("_first", ignorenulls=True).over(later).alias("_after"))
-    found = (_nsjoin(starts, after, ["order_id", "_b"], "left")
+    after = buckets.select("_bk", F.last("_first", ignorenulls=True).over(later).alias("_after"))
+    found = (starts.join(after, "_bk", "left")
              .withColumn("_next", F.coalesce("_in", "_after"))
              .withColumn("_ok", F.col("_next.t") - F.col("_t") < w_us))
     return found.select(

@@ -24,6 +24,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoint files of collected DataFrames are removed by the context cleaner
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # streaming state in RocksDB: spills to disk instead of living on the heap
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")

@@ -132,9 +132,11 @@ def _bucketed(events: DataFrame, keys: list[str], ts: str, seq: str, payload: li
     copies = F.when(tail, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
     rows = (base.withColumn("_own", F.explode(copies))
             .withColumn("_bucket", F.when(F.col("_own"), home).otherwise(home + 1)))
-    part = [*keys, "_bucket"]
-    order = Window.partitionBy(*part).orderBy("_t", "_seq")
-    recent = Window.partitionBy(*part).orderBy("_t").rangeBetween(-(w_us - 1), 0)
+    # one non-null key per (key, bucket); later joins on it (plus a position)
+    # find both sides already partitioned by it
+    rows = rows.withColumn("_bk", F.struct(*[F.col(k) for k in keys], F.col("_bucket")))
+    order = Window.partitionBy("_bk").orderBy("_t", "_seq")
+    recent = Window.partitionBy("_bk").orderBy("_t").rangeBetween(-(w_us - 1), 0)
     rows = rows.withColumn("_pos", F.row_number().over(order))
     rows = rows.withColumn("_prev_ts", F.lag("_ts", 1).over(order))
     # events in (t - W, t] up to this one, this one included
@@ -144,18 +146,15 @@ def _bucketed(events: DataFrame, keys: list[str], ts: str, seq: str, payload: li
 def _match_rows(ends: DataFrame, rows: DataFrame, keys: list[str], payload: list[str],
                 count_col: str) -> DataFrame:
     """Label matches (end, length) with their second event's payload and start time."""
-    ends = ends.withColumn("_second", F.col("_pos") - F.col(count_col) + 2)
-    second = rows.select(*[F.col(k).alias(f"_s_{k}") for k in keys],
-                         F.col("_bucket").alias("_s_bucket"), F.col("_pos").alias("_s_pos"),
-                         F.col("_prev_ts").alias("start_ts"),
+    ends = ends.withColumn("_pos", F.col("_pos") - F.col(count_col) + 2) \
+        .withColumnRenamed("_ts", "_end_ts")
+    second = rows.select("_bk", "_pos", F.col("_prev_ts").alias("start_ts"),
                          *[F.col(p).alias(f"_s_{p}") for p in payload])
-    cond = (F.col("_bucket") == F.col("_s_bucket")) & (F.col("_second") == F.col("_s_pos"))
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
-    joined = ends.join(second, cond, "left")
+    joined = ends.select("_bk", "_pos", *keys, count_col, "_end_ts").join(
+        second, ["_bk", "_pos"], "left")
     return joined.select(*keys, F.col(count_col).cast("bigint").alias("click_count"),
                          *[F.col(f"_s_{p}").alias(p) for p in payload],
-                         "start_ts", F.col("_ts").alias("end_ts"))
+                         "start_ts", F.col("_end_ts").alias("end_ts"))
 
 
 def repeated_all(events: DataFrame, keys: Iterable[str], ts: str, seq: str, times: int,
@@ -218,7 +217,7 @@ def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq
         raise ValueError("a repetition pattern needs at least 2 events")
     w_us = duration.micros(within)
     part = [*keys, "_bucket"]
-    bucket = Window.partitionBy(*part)
+    bucket = Window.partitionBy("_bk")
     order = bucket.orderBy("_t", "_seq")
     rows = (_bucketed(events, keys, ts, seq, payload, w_us, w_us * bucket_factor)
             .withColumn("_n_ctx", F.sum(F.when(F.col("_own"), 0).otherwise(1)).over(bucket))

@@ -18,8 +18,8 @@ A key that holds a third of all rows is thus spread over many tasks.
   the sequence needs from the past is how many of its first positions are
   blocked, a number in ``0 .. k-1``. So each segment (a bucket, cut again
   into chunks of at most ``chunk_rows`` positions) maps entry state -> exit
-  state (a table of k numbers, computed in ``applyInPandas`` on its
-  candidate positions), one small pass per key chains those tables in order
+  state (a table of k numbers, computed in pandas on its candidate positions,
+  streamed through ``mapInPandas`` one segment at a time), one small pass per key chains those tables in order
   (one row per segment, not per event), and a last pass replays every
   segment from its true entry state. Keys whose candidates cannot overlap
   skip all of this (every candidate is a pick).
@@ -196,6 +196,39 @@ def _nsjoin(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inne
     return left.join(r, cond, how).drop(*[f"_r_{c}" for c in cols])
 
 
+def _stream_groups(df: DataFrame, group_cols: list[str], order_cols: list[str], per_group,
+                   schema: str) -> DataFrame:
+    """``per_group(pdf) -> pdf`` for every group, holding one group at a time.
+
+    Rows are hash-partitioned by the group columns and sorted within each
+    partition; ``mapInPandas`` then walks the partition's Arrow batches and only
+    keeps the group that may continue into the next batch. Unlike a grouped
+    ``applyInPandas``, nothing larger than one group is ever in memory, and the
+    groups here are bounded (a segment, or one key's segment summaries).
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartition(n, *group_cols).sortWithinPartitions(*group_cols, *order_cols)
+
+    def run(batches):
+        carry = None
+        for pdf in batches:
+            if carry is not None and len(carry):
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
+            gid = pdf.groupby(group_cols, dropna=False, sort=False).ngroup().to_numpy()
+            open_ = gid == gid[-1]  # sorted input: the last group is at the end
+            carry, done = pdf[open_], pdf[~open_]
+            if len(done):
+                out = [per_group(g) for _, g in
+                       done.groupby(group_cols, dropna=False, sort=False)]
+                yield pd.concat(out, ignore_index=True)
+        if carry is not None and len(carry):
+            yield per_group(carry)
+
+    return ordered.mapInPandas(run, schema)
+
+
 def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq: str,
                             times: int, within, payload: Iterable[str] = (),
                             bucket_factor: int = 16, chunk_rows: int = 1 << 20) -> DataFrame:
@@ -258,66 +291,46 @@ def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq
 
     seg_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                            for f in slow.select(*seg).schema.fields)
-    # Many segments per Python call: rows are hashed into as many slots as there
-    # are shuffle partitions and split again inside the call.
-    slots = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def slot(cols):
-        return F.pmod(F.hash(*[F.col(c) for c in cols]), F.lit(slots))
-
-    def groups(pdf: pd.DataFrame, cols):
-        return pdf.groupby(cols, dropna=False, sort=False) if len(pdf) else []
-
-    def tables(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, g in groups(pdf, seg):
-            c = np.sort(g["_cidx"].to_numpy())
-            n = int(g["_cn"].iloc[0])
-            row = g[seg].iloc[:1].copy()
-            row["_exits"] = [[_exit_state(c, n, k, e)[0] for e in range(k)]]
-            out.append(row)
-        return pd.concat(out, ignore_index=True) if out else pdf[seg].assign(_exits=None)
-
-    exit_tables = (slow.select(*seg, "_cidx", "_cn").withColumn("_slot", slot(seg))
-                   .groupBy("_slot").applyInPandas(tables, f"{seg_schema}, _exits array<int>"))
+
+    def tables(g: pd.DataFrame) -> pd.DataFrame:
+        c = g["_cidx"].to_numpy()
+        n = int(g["_cn"].iloc[0])
+        row = g[seg].iloc[:1].copy()
+        row["_exits"] = [[_exit_state(c, n, k, e)[0] for e in range(k)]]
+        return row
+
+    exit_tables = _stream_groups(slow.select(*seg, "_cidx", "_cn"), seg, ["_cidx"], tables,
+                                 f"{seg_schema}, _exits array<int>")
     summary = _nsjoin(segments.select(*seg, "_cn"), exit_tables, seg, "left")
 
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, g in groups(pdf, keys):
-            g = g.sort_values(["_bucket", "_chunk"])
-            state, entries = 0, []
-            for n, exits in zip(g["_cn"].to_numpy(), g["_exits"]):
-                entries.append(state)
-                if exits is None or (isinstance(exits, float) and np.isnan(exits)):
-                    state = max(0, state - int(n))
-                else:
-                    state = int(exits[state])
-            res = g[seg].copy()
-            res["_entry"] = entries
-            out.append(res[g["_exits"].notna().to_numpy()])
-        return pd.concat(out, ignore_index=True) if out else pdf[seg].assign(_entry=0)
-
-    entries = (summary.withColumn("_slot", slot(keys)).groupBy("_slot")
-               .applyInPandas(chain, f"{seg_schema}, _entry int"))
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, g in groups(pdf, seg):
-            c = np.sort(g["_cidx"].to_numpy())
-            _, picks = _exit_state(c, int(g["_cn"].iloc[0]), k, int(g["_entry"].iloc[0]))
-            res = g[part].iloc[[0] * len(picks)].reset_index(drop=True)
-            offset = int(g["_chunk"].iloc[0]) * chunk + int(g["_n_ctx"].iloc[0])
-            res["_pos"] = np.asarray(picks, dtype="int64") + offset
-            out.append(res)
-        return pd.concat(out, ignore_index=True) if out else pdf[part].assign(_pos=0)
+    def chain(g: pd.DataFrame) -> pd.DataFrame:
+        state, entries = 0, []
+        for n, exits in zip(g["_cn"].to_numpy(), g["_exits"]):
+            entries.append(state)
+            if exits is None or (isinstance(exits, float) and np.isnan(exits)):
+                state = max(0, state - int(n))
+            else:
+                state = int(exits[state])
+        res = g[seg].copy()
+        res["_entry"] = entries
+        return res[g["_exits"].notna().to_numpy()]
+
+    entries = _stream_groups(summary, keys, ["_bucket", "_chunk"], chain,
+                             f"{seg_schema}, _entry int")
+
+    def replay(g: pd.DataFrame) -> pd.DataFrame:
+        c = g["_cidx"].to_numpy()
+        _, picks = _exit_state(c, int(g["_cn"].iloc[0]), k, int(g["_entry"].iloc[0]))
+        res = g[part].iloc[[0] * len(picks)].reset_index(drop=True)
+        offset = int(g["_chunk"].iloc[0]) * chunk + int(g["_n_ctx"].iloc[0])
+        res["_pos"] = np.asarray(picks, dtype="int64") + offset
+        return res
 
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                            for f in rows.select(*part).schema.fields)
-    slow_picks = (_nsjoin(slow, entries, seg)
-                  .select(*seg, "_cidx", "_cn", "_n_ctx", "_entry")
-                  .withColumn("_slot", slot(seg))
-                  .groupBy("_slot").applyInPandas(replay, f"{key_schema}, _pos bigint"))
+    slow_picks = _stream_groups(
+        _nsjoin(slow, entries, seg).select(*seg, "_cidx", "_cn", "_n_ctx", "_entry"),
+        seg, ["_cidx"], replay, f"{key_schema}, _pos bigint")
     picks = fast.unionByName(slow_picks)
     ends = _nsjoin(own, picks, [*part, "_pos"])
     return ends.select(*keys, F.lit(k).cast("bigint").alias("click_count"),

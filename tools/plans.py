@@ -25,7 +25,7 @@ from mercato.session import build_session  # noqa: E402
 KEEP = ("Exchange", "BroadcastExchange", "ReusedExchange", "SortMergeJoin",
         "BroadcastHashJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct",
         "Window", "Generate", "HashAggregate", "SortAggregate", "ObjectHashAggregate",
-        "FlatMapGroupsInPandas", "BatchEvalPython", "ArrowEvalPython")
+        "FlatMapGroupsInPandas", "MapInPandas", "BatchEvalPython", "ArrowEvalPython")
 
 
 def final_plan(df) -> str:

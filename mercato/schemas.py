@@ -5,7 +5,8 @@ JSON payloads carry every leaf as text; they are parsed as strings or
 turns a quoted number into NULL.
 """
 
-# App event envelope: {"lagou_event": [...], "attr": {...}}
+# App event envelope: {"lagou_event": [...], "attr": {...}}.
+# Fixed values (must equal the reference's message format): the field names.
 EVENT_ENVELOPE = (
     "lagou_event array<struct<name: string, json: map<string,string>, time: bigint>>, "
     "attr map<string,string>"

@@ -47,3 +47,33 @@ def test_match_messages(spark):
                                "id string, outcome string, first boolean")
     got = [r.m for r in df.select(fx.match_message("id", "outcome", "first").alias("m")).collect()]
     assert got == ["order id: o1 matched", "order id:o2 matched", "order id: o3 fail to match"]
+
+
+def test_presets_are_well_formed():
+    from mercato.functions import duration
+    from mercato.plans import presets
+    for preset in (presets.SPEC, presets.LITERAL, presets.LITERAL_AS_RUN, presets.FIXTURE):
+        for name in ("order_window", "ad_window"):
+            width, slide = (duration.micros(x) for x in preset[name])
+            assert width > 0 and slide > 0 and width % slide == 0  # panes need it
+        lo, hi = (duration.micros(x) for x in preset["interval_bounds"])
+        assert lo <= 0 <= hi or lo <= hi
+        for name in ("blacklist_window", "repeat_within", "channel_window", "pay_within",
+                     "window_join_width", "match_tolerance", "watermark_delay"):
+            assert duration.micros(preset[name]) > 0
+    assert duration.micros(presets.SPEC["ad_window"][0]) // \
+        duration.micros(presets.SPEC["ad_window"][1]) == 720
+
+
+def test_approximate_distinct_is_close(spark):
+    from conftest import SF_CHECK
+    from mercato.operators import windows
+    from mercato.plans import queries as q
+    ch = q.channel_events(spark, SF_CHECK)
+    exact = {(r.channel, r.window_start): r.user_count for r in
+             windows.distinct_count(ch, "ts", ["channel"], "uid", "7 days").collect()}
+    approx = {(r.channel, r.window_start): r.user_count for r in
+              windows.distinct_count(ch, "ts", ["channel"], "uid", "7 days",
+                                     approximate=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - v) <= max(2, 0.1 * v) for k, v in exact.items())

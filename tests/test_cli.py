@@ -66,3 +66,60 @@ def test_order_timeouts(spark, scratch):
           "--watermark-delay", "500 milliseconds", "--available-now"])
     got = sorted(r.order_id for r in spark.read.parquet(out).collect())
     assert got == ["1001", "8457"]
+
+
+import pytest  # noqa: E402
+
+from mercato.plans import streamed  # noqa: E402
+
+ENVELOPE_JOBS = [
+    ("ad-clicks", streamed.stream_ad_click_sliding_panes,
+     ["product_id", "window_start", "window_end", "click_count"]),
+    ("blacklist", streamed.stream_blacklist_tumbling,
+     ["uid", "product_id", "window_start", "window_end", "click_count"]),
+    ("channels", streamed.stream_channel_users,
+     ["channel", "window_start", "window_end", "user_count"]),
+    ("blacklist-pattern", streamed.stream_blacklist_repeat_skip,
+     ["uid", "product_id", "click_count", "area", "start_ts", "end_ts"]),
+]
+
+
+@pytest.fixture(scope="module")
+def envelope_feed(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("env-feed"))
+    feeds.write_feed(domain.event_envelopes(spark, SF_SMALL), path, F.col("offset"))
+    return path
+
+
+@pytest.mark.parametrize("job,twin,cols", ENVELOPE_JOBS)
+def test_envelope_jobs_match_streamed_twins(spark, scratch, envelope_feed, job, twin, cols):
+    out = os.path.join(scratch, job)
+    _run([job, "--path", envelope_feed, "--max-files-per-trigger", "1", "--out", out,
+          "--preset", "fixture", "--watermark-delay", "0 seconds", "--available-now"])
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select(*cols).collect())
+    want = sorted(tuple(r) for r in twin(spark, SF_SMALL).select(*cols).collect())
+    assert got == want and len(got) > 0
+
+
+def test_city_sliding_matches_streamed_twin(spark, scratch):
+    tree = os.path.join(scratch, "tree")
+    domain.area_tree(spark, SF_SMALL).write.parquet(tree)
+    dim = os.path.join(scratch, "dim")
+    _run(["area-dimension", "--path", tree, "--out", dim])
+    by_customer = os.path.join(scratch, "dim_by_customer")
+    (spark.read.parquet(dim).withColumn("areaid", ((F.col("areaid") - 3) / 10).cast("bigint"))
+     .write.parquet(by_customer))
+    feed = os.path.join(scratch, "changes")
+    feeds.write_feed(domain.change_log(spark, SF_SMALL), feed,
+                     F.get_json_object("value", "$.es").cast("bigint"))
+    out = os.path.join(scratch, "serving")
+    _run(["city-sliding", "--path", feed, "--max-files-per-trigger", "1", "--out", out,
+          "--dimension", by_customer, "--table", "orders", "--order-key", "o_orderkey",
+          "--area-key", "o_custkey", "--money-key", "o_totalprice", "--time-key", "o_orderdate",
+          "--preset", "fixture", "--watermark-delay", "0 seconds", "--available-now"])
+    from mercato.sinks import SnapshotStore
+    store = SnapshotStore(spark, out, "redis_key string, total_money double, "
+                          "order_count bigint, time bigint")
+    got = sorted(tuple(r) for r in store.read().collect())
+    want = sorted(tuple(r) for r in streamed.stream_city_serving_state(spark, SF_SMALL).collect())
+    assert got == want and len(got) > 0

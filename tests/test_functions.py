@@ -77,3 +77,20 @@ def test_approximate_distinct_is_close(spark):
                                      approximate=True).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - v) <= max(2, 0.1 * v) for k, v in exact.items())
+
+
+def test_typed_decoding_coerces_text(spark):
+    """Cells stored as text come back typed; quoted numbers and 0/1 flags work,
+    malformed text is NULL instead of failing (the sample trade-order row)."""
+    from mercato.operators import parse
+    row = spark.createDataFrame(
+        [({"areaId": "370203", "isPay": "0", "isRefund": "1", "totalMoney": "10468.0",
+           "orderId": "x1", "createTime": "2020-06-28 18:14:01"},)], "row map<string,string>")
+    r = parse.decode_row(row, {
+        "area_id": ("areaId", "int"), "is_pay": ("isPay", "boolean"),
+        "is_refund": ("isRefund", "boolean"), "total_money": ("totalMoney", "double"),
+        "order_id": ("orderId", "bigint"), "create_time": ("createTime", "timestamp_ntz"),
+        "missing": ("nope", "string")}).first()
+    assert (r.area_id, r.is_pay, r.is_refund, r.total_money) == (370203, False, True, 10468.0)
+    assert r.order_id is None and r.missing is None
+    assert r.create_time == dt.datetime(2020, 6, 28, 18, 14, 1)

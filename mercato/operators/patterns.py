@@ -206,8 +206,9 @@ def _stream_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
     ``applyInPandas``, nothing larger than one group is ever in memory, and the
     groups here are bounded (a segment, or one key's segment summaries).
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartition(n, *group_cols).sortWithinPartitions(*group_cols, *order_cols)
+    # no explicit count: AQE may merge small partitions, and a merged partition
+    # still holds whole groups
+    ordered = df.repartition(*group_cols).sortWithinPartitions(*group_cols, *order_cols)
 
     def run(batches):
         carry = None

@@ -138,3 +138,13 @@ def test_stateful_pattern_drops_late_rows(spark, scratch):
     got = [(r.click_count, r.start_ts.second, r.end_ts.second - r.start_ts.second)
            for r in spark.table("late_pattern").collect()]
     assert len(got) == 1 and got[0][0] == 3 and got[0][2] == 5
+
+
+def test_materialize_uses_the_shared_checkpoint_folder(spark):
+    from mercato.session import CHECKPOINT_CONF, materialize
+    folder = spark.conf.get(CHECKPOINT_CONF)
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    df = spark.range(1000).withColumn("x", F.col("id") * 2)
+    cut = materialize(df)
+    assert sorted(r.x for r in cut.collect()) == [2 * i for i in range(1000)]
+    assert set(os.listdir(folder)) - before  # a reliable checkpoint was written there

@@ -143,8 +143,12 @@ def test_stateful_pattern_drops_late_rows(spark, scratch):
 def test_materialize_uses_the_shared_checkpoint_folder(spark):
     from mercato.session import CHECKPOINT_CONF, materialize
     folder = spark.conf.get(CHECKPOINT_CONF)
-    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    def tree():
+        return {os.path.join(d, n) for d, subs, files in os.walk(folder) for n in subs + files}
+
+    before = tree()
     df = spark.range(1000).withColumn("x", F.col("id") * 2)
     cut = materialize(df)
     assert sorted(r.x for r in cut.collect()) == [2 * i for i in range(1000)]
-    assert set(os.listdir(folder)) - before  # a reliable checkpoint was written there
+    assert tree() - before  # a reliable checkpoint was written under the shared folder

@@ -129,7 +129,10 @@ def order_timeouts(lines: DataFrame, within, delay) -> DataFrame:
     """Feature 6: created orders (status 1) without a payment (status 2) within W (J7t).
 
     One watermarked stream, two branches, a left outer interval join: a start
-    row comes out with NULL ends once the watermark passes ``start + W``.
+    row comes out with NULL ends once the watermark passes ``start + W``. This
+    Spark-native form pairs each start with its key's ends inside W; the
+    stateful ``stateful.followed_by_stream`` forms no pairs and is what the
+    registered query and the launcher use.
     """
     w_us = duration.micros(within)
     rows = watermarked(parse.parse_order_lines(lines, keep=["offset"]), "ts", delay)

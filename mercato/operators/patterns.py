@@ -239,11 +239,11 @@ def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq
     discarded, so every match has exactly ``times`` events. Output as
     ``repeated_all``.
 
-    Fast path: when a key's candidate ends are at least ``times`` positions
-    apart (and none reaches back into an earlier bucket) every candidate is
-    picked; this is decided with window functions, no Python. Only keys with
-    overlapping candidates take the state-machine path, in segments of at most
-    ``chunk_rows`` positions.
+    Fast path: in a bucket whose candidate ends are at least ``times``
+    positions apart (and none reaches back into the previous bucket) every
+    candidate is picked; this is decided with window functions, no Python.
+    Only buckets with overlapping candidates take the state-machine path, in
+    segments of at most ``chunk_rows`` positions.
     """
     keys, payload = list(keys), list(payload)
     k = int(times)
@@ -268,27 +268,41 @@ def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq
              .withColumn("_idx", F.col("_pos") - F.col("_n_ctx")))
     gap = F.col("_idx") - F.lag("_idx").over(Window.partitionBy(*part).orderBy("_idx"))
     cands = cands.withColumn("_gap", gap)
-    simple = (cands.groupBy(*keys)
-              .agg(F.bool_and((F.col("_idx") >= k) & (F.coalesce("_gap", F.lit(k)) >= k))
-                   .alias("_simple")))
-    cands = _nsjoin(cands, simple, keys)
+    # A bucket whose candidates are k or more apart and none reaches back into
+    # the previous bucket picks every candidate whatever its entry state, and
+    # leaves a constant exit state: no Python for it.
+    per_bucket = (cands.groupBy(*part)
+                  .agg(F.bool_and((F.col("_idx") >= k) & (F.coalesce("_gap", F.lit(k)) >= k))
+                       .alias("_simple"), F.max("_idx").alias("_last")))
+    cands = _nsjoin(cands, per_bucket.select(*part, "_simple"), part)
     fast = cands.where(F.col("_simple")).select(*part, "_pos")
     slow = cands.where(~F.col("_simple"))
-    slow_counts = _nsjoin(counts, simple.where(~F.col("_simple")), keys)
+    slow_keys = per_bucket.where(~F.col("_simple")).select(*keys).distinct()
+    # every bucket of a key with a slow bucket takes part in the chain
+    slow_counts = _nsjoin(_nsjoin(counts, slow_keys, keys),
+                          per_bucket.select(*part, "_simple", "_last"), part, "left")
 
     # The state machine composes over any cut of a key's event sequence, so a
-    # bucket is cut again into chunks of at most ``chunk_rows`` positions: no
-    # Python group ever holds more candidates than that.
+    # slow bucket is cut again into chunks of at most ``chunk_rows`` positions:
+    # no Python group ever holds more candidates than that. Other buckets are
+    # one segment each: simple ones with a constant exit table, buckets without
+    # candidates with none (the state just runs down).
     chunk = int(chunk_rows)
     seg = [*part, "_chunk"]
     slow = (slow.withColumn("_chunk", F.floor((F.col("_idx") - 1) / chunk))
             .withColumn("_cidx", F.col("_idx") - F.col("_chunk") * chunk)
             .withColumn("_cn", F.least(F.lit(chunk), F.col("_n_own") - F.col("_chunk") * chunk)))
+    is_slow = F.coalesce(~F.col("_simple"), F.lit(False))
+    n_chunks = F.when(is_slow, F.ceil(F.col("_n_own") / chunk)).otherwise(F.lit(1))
     segments = (slow_counts
                 .withColumn("_chunk", F.explode(F.sequence(
-                    F.lit(0).cast("bigint"), F.ceil(F.col("_n_own") / chunk).cast("bigint") - 1)))
-                .withColumn("_cn", F.least(F.lit(chunk),
-                                           F.col("_n_own") - F.col("_chunk") * chunk)))
+                    F.lit(0).cast("bigint"), n_chunks.cast("bigint") - 1)))
+                .withColumn("_cn", F.when(is_slow, F.least(
+                    F.lit(chunk), F.col("_n_own") - F.col("_chunk") * chunk))
+                    .otherwise(F.col("_n_own")))
+                .withColumn("_const", F.when(F.col("_simple"), F.array_repeat(
+                    F.greatest(F.lit(0), F.col("_last") + k - 1 - F.col("_n_own")).cast("int"),
+                    k))))
 
     seg_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                            for f in slow.select(*seg).schema.fields)
@@ -302,7 +316,8 @@ def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq
 
     exit_tables = _stream_groups(slow.select(*seg, "_cidx", "_cn"), seg, ["_cidx"], tables,
                                  f"{seg_schema}, _exits array<int>")
-    summary = _nsjoin(segments.select(*seg, "_cn"), exit_tables, seg, "left")
+    summary = (_nsjoin(segments.select(*seg, "_cn", "_const"), exit_tables, seg, "left")
+               .withColumn("_exits", F.coalesce("_exits", "_const")).drop("_const"))
 
     def chain(g: pd.DataFrame) -> pd.DataFrame:
         state, entries = 0, []

@@ -26,7 +26,8 @@ def brute(events, k, w):
 
 
 @pytest.mark.parametrize("seed,k,factor,chunk", [(1, 3, 1, 1 << 20), (2, 4, 1, 5),
-                                                 (3, 3, 2, 2), (4, 5, 3, 7)])
+                                                 (3, 3, 2, 2), (4, 5, 3, 7),
+                                                 (5, 3, 1, 3), (6, 2, 1, 1 << 20)])
 def test_random_keys(spark, seed, k, factor, chunk):
     rng = np.random.default_rng(seed)
     w = 10

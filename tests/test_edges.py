@@ -155,3 +155,19 @@ def test_repetition_matches_do_not_overlap(spark):
     assert got == [(T0, T0 + dt.timedelta(seconds=2)),
                    (T0 + dt.timedelta(seconds=3), T0 + dt.timedelta(seconds=5)),
                    (T0 + dt.timedelta(seconds=30), T0 + dt.timedelta(seconds=32))]
+
+
+def test_incremental_apply_equals_whole(spark):
+    """Two batches applied in turn give the snapshot of one batch with all changes."""
+    from conftest import SF_SMALL
+    from mercato.plans import queries as q
+    changes = q.order_changes(spark, SF_SMALL)
+    mid = changes.approxQuantile("es", [0.5], 0.0)[0]
+    first, second = changes.where(F.col("es") < mid), changes.where(F.col("es") >= mid)
+    for apply in (cl.apply_row_changes, cl.apply_column_changes):
+        whole = apply(cl.empty_snapshot(spark), changes)
+        step = apply(apply(cl.empty_snapshot(spark), first), second)
+
+        def rows(df):
+            return sorted((r.row_key, r.es, tuple(sorted(r.row.items()))) for r in df.collect())
+        assert rows(step) == rows(whole)

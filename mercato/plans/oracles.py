@@ -397,3 +397,16 @@ ORACLES["stream_blacklist_repeat_all"] = f"""SELECT * FROM (
 {ORACLES["blacklist_repeat_all"]})
 WHERE end_ts < (SELECT max(date_trunc('second', ts)) FROM events
                 WHERE event_type = 'click' AND json_extract_string(props, '$.k') IS NOT NULL)"""
+
+# Orders pass the watermark in (order date, order key) order; those at the last
+# order date are still pending when the stream ends.
+ORACLES["stream_city_order_running"] = f"""WITH {AREA_DIM},
+t AS (SELECT d.city, d.province, o.o_orderkey AS order_id, o.o_orderdate AS od,
+             CAST(o.o_totalprice AS DECIMAL(18,2)) AS m
+      FROM orders o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid)
+SELECT city, province, order_id, CAST(sum(m) OVER w AS DOUBLE) AS running_money,
+       count(*) OVER w AS running_count
+FROM t
+WINDOW w AS (PARTITION BY city, province ORDER BY od, order_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+QUALIFY od < (SELECT max(o_orderdate) FROM orders)"""

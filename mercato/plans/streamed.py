@@ -273,6 +273,28 @@ def stream_blacklist_repeat_all(spark, sf):
                       to_wall_time("end_ts").alias("end_ts"))
 
 
+def stream_city_order_running(spark, sf):
+    """A1b on a stream: each city's new total after every order (the per-row
+    changelog of feature 1), as orders pass the watermark in change-time order."""
+    folder = feeds.run_folder(spark, "city_order_running")
+    feeds.write_feed(domain.change_log(spark, sf), f"{folder}/feed",
+                     F.get_json_object("value", "$.es").cast("bigint"))
+    src = jobs.json_lines_source(spark, f"{folder}/feed", max_files_per_trigger=1)
+    changes = parse.filter_table(parse.parse_changes(src, types=STATISTICS_TYPES,
+                                                     keep=["offset"]), domain.CHANGE_TABLE)
+    orders = parse.decode_row(changes, {
+        "order_id": ("o_orderkey", "bigint"), "cust": ("o_custkey", "bigint"),
+        "total_money": ("o_totalprice", "double"),
+        "create_time": ("o_orderdate", "timestamp_ntz")}, keep=["offset"])
+    orders = (orders.withColumn("area_id", F.col("cust") * 10 + domain.LEVEL_AREA)
+              .withColumn("create_time", to_event_time("create_time"))
+              .withWatermark("create_time", NO_DELAY))
+    joined = dims.lookup(orders, _static_dimension(spark, sf), "area_id", "areaid")
+    job = stateful.running_totals_stream(joined, ["city", "province"], "create_time", "offset",
+                                         "order_id", "total_money")
+    return feeds.drain_to_parquet(job, folder)
+
+
 STREAMED = {
     "stream_ad_click_sliding": stream_ad_click_sliding,
     "stream_ad_click_sliding_panes": stream_ad_click_sliding_panes,
@@ -286,6 +308,7 @@ STREAMED = {
     "stream_city_order_sliding": stream_city_order_sliding,
     "stream_city_serving_state": stream_city_serving_state,
     "stream_city_order_total": stream_city_order_total,
+    "stream_city_order_running": stream_city_order_running,
     "stream_changelog_state": stream_changelog_state,
     "stream_blacklist_repeat_skip": stream_blacklist_repeat_skip,
     "stream_blacklist_repeat_all": stream_blacklist_repeat_all,

@@ -8,6 +8,7 @@ job                what it does                                           writes
 area-dimension     area tree (id, name, pid) -> flattened dimension       Parquet
 ingest             change log -> keyed snapshot (K1)                      store
 city-totals        change log INSERTs x dimension -> totals per city      store
+city-running       same, each city's new total after every order          Parquet
 city-sliding       same, sliding windows -> latest window per city (K4)   store
 ad-clicks          event envelopes -> sliding clicks per product          Parquet
 blacklist          event envelopes -> tumbling counts >= threshold        Parquet
@@ -71,11 +72,12 @@ def _start(df: DataFrame, args, output_mode: str = "append", foreach_batch=None)
 
 def _orders(spark: SparkSession, args) -> DataFrame:
     """Change-log INSERTs of the trade-order table -> typed orders with an area id."""
-    changes = parse.parse_changes(_source(spark, args), types=STATISTICS_TYPES)
+    changes = parse.parse_changes(_source(spark, args), types=STATISTICS_TYPES, keep=["offset"])
     changes = parse.filter_table(changes, args.table)
     return parse.decode_row(changes, {
         "order_id": (args.order_key, "bigint"), "area_id": (args.area_key, "bigint"),
-        "total_money": (args.money_key, "double"), "create_time": (args.time_key, "timestamp_ntz")})
+        "total_money": (args.money_key, "double"), "create_time": (args.time_key, "timestamp_ntz")},
+        keep=["offset"])
 
 
 def run(args) -> object:
@@ -93,7 +95,7 @@ def run(args) -> object:
         store = SnapshotStore(spark, args.out, SNAPSHOT)
         return _start(changes, args, foreach_batch=changelog_sink(store, cl.apply_row_changes))
 
-    if args.job in ("city-totals", "city-sliding"):
+    if args.job in ("city-totals", "city-sliding", "city-running"):
         if not (args.dimension and args.table):
             raise SystemExit("city jobs need --dimension and --table")
         dim = spark.read.parquet(args.dimension)
@@ -117,6 +119,10 @@ def run(args) -> object:
         orders = (orders.withColumn("create_time", to_event_time("create_time"))
                   .withWatermark("create_time", duration.text(delay)))
         joined = dims.lookup(orders, dim, "area_id", "areaid")
+        if args.job == "city-running":
+            return _start(stateful.running_totals_stream(
+                joined, ["city", "province"], "create_time", "offset", "order_id",
+                "total_money"), args)
         width, slide = p["order_window"]
         closed = windows.window_aggregate(joined, "create_time", ["city", "province"],
                                           {"total_money": ("money", "total_money"),
@@ -157,6 +163,7 @@ def run(args) -> object:
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="mercato", description=__doc__.split("\n\n")[0])
     ap.add_argument("job", choices=["area-dimension", "ingest", "city-totals", "city-sliding",
+                                    "city-running",
                                     "ad-clicks", "blacklist", "blacklist-pattern", "channels",
                                     "order-timeouts"])
     ap.add_argument("--path", help="input folder (files) or Parquet table (area-dimension)")

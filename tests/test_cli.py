@@ -123,3 +123,26 @@ def test_city_sliding_matches_streamed_twin(spark, scratch):
     got = sorted(tuple(r) for r in store.read().collect())
     want = sorted(tuple(r) for r in streamed.stream_city_serving_state(spark, SF_SMALL).collect())
     assert got == want and len(got) > 0
+
+
+def test_city_running_matches_streamed_twin(spark, scratch):
+    tree = os.path.join(scratch, "tree")
+    domain.area_tree(spark, SF_SMALL).write.parquet(tree)
+    dim = os.path.join(scratch, "dim")
+    _run(["area-dimension", "--path", tree, "--out", dim])
+    by_customer = os.path.join(scratch, "dim_by_customer")
+    (spark.read.parquet(dim).withColumn("areaid", ((F.col("areaid") - 3) / 10).cast("bigint"))
+     .write.parquet(by_customer))
+    feed = os.path.join(scratch, "changes")
+    feeds.write_feed(domain.change_log(spark, SF_SMALL), feed,
+                     F.get_json_object("value", "$.es").cast("bigint"))
+    out = os.path.join(scratch, "running")
+    _run(["city-running", "--path", feed, "--max-files-per-trigger", "1", "--out", out,
+          "--dimension", by_customer, "--table", "orders", "--order-key", "o_orderkey",
+          "--area-key", "o_custkey", "--money-key", "o_totalprice", "--time-key", "o_orderdate",
+          "--watermark-delay", "0 seconds", "--available-now"])
+    cols = ["city", "province", "order_id", "running_money", "running_count"]
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select(*cols).collect())
+    want = sorted(tuple(r) for r in
+                  streamed.stream_city_order_running(spark, SF_SMALL).select(*cols).collect())
+    assert got == want and len(got) > 0

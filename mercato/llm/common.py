@@ -26,3 +26,23 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def texts_of(column, max_bytes: int = 4 << 20):
+    """Cut an Arrow text column into runs of at most ``max_bytes`` (one text at
+    least): yields lists of str, null as ''. Bounds what a task holds as Python
+    objects whatever the batch size."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    if not len(column):
+        return
+    sizes = pc.fill_null(pc.binary_length(column.cast(pa.large_string())), 0).to_numpy(
+        zero_copy_only=False)
+    ends = sizes.cumsum()
+    start = 0
+    while start < len(sizes):
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(ends.searchsorted(base + max_bytes, "right")))
+        yield [x or "" for x in column.slice(start, stop - start).to_pylist()]
+        start = stop

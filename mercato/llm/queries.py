@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import chat, exact_dedup, sentencepiece, token_count
+from mercato.llm import chat, exact_dedup, quality, sentencepiece, token_count
 from mercato.llm.common import read
 
 
@@ -15,6 +15,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(read(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, read(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", F.coalesce(quality.fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
+        "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def tokenizer_file(name: str) -> str:
     """A public vocabulary file, installed on every node."""
     import public_tokenizers
@@ -52,6 +60,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_exact_dedup": op2_exact_dedup,
+        "op5_quality": op5_quality,
         "op7_sentencepiece": op7_sentencepiece,
         "op9_chat_format": op9_chat_format,
         "op10_token_count": op10_token_count,

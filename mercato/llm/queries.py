@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import chat, decontaminate, exact_dedup, quality, sentencepiece, token_count
+from mercato.llm import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    jaccard,
+    quality,
+    sentencepiece,
+    token_count,
+)
 from mercato.llm.common import read
 
 
@@ -25,6 +33,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("spans") > 0).alias("contaminated"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents"), size=3, threshold=90)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, read(spark, sf_dir, "labels"))
@@ -71,6 +83,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_exact_dedup": op2_exact_dedup,
         "op3_decontaminate": op3_decontaminate,
+        "op4_jaccard_join": op4_jaccard_join,
         "op5_quality": op5_quality,
         "op7_sentencepiece": op7_sentencepiece,
         "op9_chat_format": op9_chat_format,

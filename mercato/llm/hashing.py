@@ -66,3 +66,20 @@ def sequence(codes: np.ndarray, size: int) -> np.ndarray:
         total = (total ^ codes[i:i + n]) * _M
         total ^= total >> np.uint64(29)
     return mix(total)
+
+
+def planes(values: np.ndarray, keep: int | None = None) -> bytes:
+    """The bytes of unsigned numbers by significance, lowest first (``keep`` of them):
+    equal high bytes then lie together and compress away."""
+    width = values.dtype.itemsize
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, width)[:, :keep].T.tobytes()
+
+
+def from_planes(raw: bytes, count: int, kind=np.uint64) -> np.ndarray:
+    """Numbers written by ``planes``."""
+    width = np.dtype(kind).itemsize
+    out = np.zeros((count, width), np.uint8)
+    if count:
+        kept = np.frombuffer(raw, np.uint8).reshape(-1, count)
+        out[:, :len(kept)] = kept.T
+    return out.view(kind).ravel()

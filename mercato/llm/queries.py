@@ -14,11 +14,16 @@ from mercato.llm import (
     jaccard,
     quality,
     sentencepiece,
+    substring,
     token_count,
 )
 from mercato.llm.common import read
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(read(spark, sf_dir, "documents"), window=13)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(read(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op2_exact_dedup": op2_exact_dedup,
         "op3_decontaminate": op3_decontaminate,
         "op4_jaccard_join": op4_jaccard_join,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm import (
+    bytes_dedup,
     chat,
     decontaminate,
     exact_dedup,
@@ -50,6 +51,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytes_dedup.dedup(read(spark, sf_dir, "documents"), window=400)
+
+
 def tokenizer_file(name: str) -> str:
     """A public vocabulary file, installed on every node."""
     import public_tokenizers
@@ -91,6 +96,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontaminate": op3_decontaminate,
         "op4_jaccard_join": op4_jaccard_join,
         "op5_quality": op5_quality,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_sentencepiece": op7_sentencepiece,
         "op9_chat_format": op9_chat_format,
         "op10_token_count": op10_token_count,

@@ -68,9 +68,12 @@ def statistics(text: str) -> list[float]:
             sum(x.rstrip().endswith((".", "!", "?")) for x in lines) / m, np.log1p(sizes.max())]
 
 
+def _matrix_of(texts: list[str]) -> np.ndarray:
+    return np.array([statistics(t) for t in texts], np.float64).reshape(len(texts), len(NAMES))
+
+
 def _matrix(column) -> np.ndarray:
-    rows = [statistics(t) for texts in texts_of(column) for t in texts]
-    return np.array(rows, np.float64).reshape(len(rows), len(NAMES))
+    return np.concatenate([np.zeros((0, len(NAMES))), *map(_matrix_of, texts_of(column))])
 
 
 @dataclass

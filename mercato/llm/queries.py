@@ -12,6 +12,7 @@ from mercato.llm import (
     chat,
     decontaminate,
     exact_dedup,
+    html_extract,
     jaccard,
     quality,
     sentencepiece,
@@ -73,6 +74,11 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("text") == given).alias("round_trip"))
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(read(spark, sf_dir, "documents"),
                                     tokenizer_file("word_bpe_49k.json"))
@@ -98,6 +104,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality": op5_quality,
         "op6_suffix_dedup": op6_suffix_dedup,
         "op7_sentencepiece": op7_sentencepiece,
+        "op8_html_extract": op8_html_extract,
         "op9_chat_format": op9_chat_format,
         "op10_token_count": op10_token_count,
     }

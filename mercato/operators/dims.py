@@ -9,54 +9,57 @@ where AQE's skew handling splits hot keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import AREA_DIMENSION_COLUMNS
 
 
 def flatten_hierarchy(tree: DataFrame, id_col: str = "id", name_col: str = "name",
-                      parent_col: str = "pid") -> DataFrame:
+                      parent_col: str = "pid", level_col: str | None = None,
+                      levels: tuple[int, int, int] = (1, 2, 3)) -> DataFrame:
     """Area -> city -> province (J2): inner, so nodes without a grandparent vanish.
 
-    Output: areaid, aname, cid, city, proid, province.
-
-    Both upper roles are taken from ``parents``, the nodes that have children
-    (every grandparent has one). They are found with a partial aggregate of
-    the parent ids and a semi-join; in any real hierarchy the upper levels are
-    far smaller than the leaves, so after AQE measures them both joins become
-    broadcasts and the leaf level is never shuffled against itself. The two
-    roles read one identical sub-plan, which Spark computes once.
+    Output: areaid, aname, cid, city, proid, province. Where the tree has a
+    ``level_col``, each role reads its own level only (``levels``: province, city,
+    area), one scan per level. Without it every node may be any of the three, so
+    the tree is joined to itself twice. Spark broadcasts the upper levels when
+    it finds them small.
     """
-    ids = (tree.select(F.col(parent_col).alias("_pid")).where(F.col("_pid").isNotNull())
-           .distinct())
-    parents = (tree.join(ids, F.col(id_col) == F.col("_pid"), "left_semi")
-               .select(F.col(id_col).alias("_id"), F.col(name_col).alias("_name"),
-                       F.col(parent_col).alias("_parent")))
-    city = parents.select(F.col("_id").alias("cid"), F.col("_name").alias("city"),
-                          F.col("_parent").alias("_province_id"))
-    province = parents.select(F.col("_id").alias("proid"), F.col("_name").alias("province"))
-    area = tree.select(F.col(id_col).alias("areaid"), F.col(name_col).alias("aname"),
+    def role(level: int) -> DataFrame:
+        return tree.where(F.col(level_col) == level) if level_col else tree
+
+    province, city, area = (role(level) for level in levels)
+    city = city.select(F.col(id_col).alias("cid"), F.col(name_col).alias("city"),
+                       F.col(parent_col).alias("_province_id"))
+    province = province.select(F.col(id_col).alias("proid"), F.col(name_col).alias("province"))
+    area = area.select(F.col(id_col).alias("areaid"), F.col(name_col).alias("aname"),
                        F.col(parent_col).alias("_city_id"))
-    return (area.join(city, F.col("_city_id") == F.col("cid"))
-            .join(province, F.col("_province_id") == F.col("proid"))
-            .select(*AREA_DIMENSION_COLUMNS))
+    upper = city.join(province, F.col("_province_id") == F.col("proid"))
+    return area.join(upper, F.col("_city_id") == F.col("cid")).select(*AREA_DIMENSION_COLUMNS)
 
 
 def latest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
     """One row per key, the one with the greatest ``order_col`` (last duplicate wins).
 
-    ``max_by`` is a declarative aggregate, so a hot key is combined map-side.
+    ``row_number`` = 1 is also applied on the map side, so a hot key costs one row
+    per task. Rows of equal order are told apart by their other columns.
     """
-    others = [c for c in df.columns if c != key]
-    return (df.groupBy(key)
-            .agg(F.max_by(F.struct(*others), F.col(order_col)).alias("_r"))
-            .select(key, "_r.*"))
+    others = [F.col(c).desc() for c in df.columns if c not in (key, order_col)]
+    newest = Window.partitionBy(key).orderBy(F.col(order_col).desc(), *others)
+    return df.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-           how: str = "inner") -> DataFrame:
-    """Fact rows enriched with their dimension row."""
+           how: str = "inner", latest_by: str | None = None) -> DataFrame:
+    """Fact rows enriched with their dimension row.
+
+    ``latest_by`` names the column that orders a dimension whose keys may repeat:
+    the last row of a key counts, so no fact is doubled. A dimension with unique
+    keys does without.
+    """
+    if latest_by is not None:
+        dim = latest_per_key(dim, dim_key, latest_by)
     return fact.join(dim, fact[fact_key] == dim[dim_key], how)
 
 

@@ -94,15 +94,17 @@ def match_with_timeout(orders: DataFrame, pays: DataFrame, key: str, order_ts: s
     """
     o = orders.select(F.col(key).alias("_ok"), F.col(order_ts).alias("order_ts"))
     p = pays.select(F.col(key).alias("_pk"), F.col(pay_ts).alias("pay_ts"))
+    # rows without a key match nothing; the flags say which side a row came from
     if dedupe:
         o, p = earliest_per_key(o, "_ok", "order_ts"), earliest_per_key(p, "_pk", "pay_ts")
     tol = duration.micros(tolerance)
     cond = ((F.col("_ok") == F.col("_pk"))
             & (F.col("pay_ts") >= _shift("order_ts", -tol))
             & (F.col("pay_ts") <= _shift("order_ts", tol)))
+    o, p = o.withColumn("_ordered", F.lit(True)), p.withColumn("_paid", F.lit(True))
     j = o.join(p, cond, "full_outer")
-    outcome = (F.when(F.col("_ok").isNotNull() & F.col("_pk").isNotNull(), F.lit("matched"))
-               .when(F.col("_ok").isNotNull(), F.lit("unmatched_order"))
+    outcome = (F.when(F.col("_ordered").isNotNull() & F.col("_paid").isNotNull(), F.lit("matched"))
+               .when(F.col("_ordered").isNotNull(), F.lit("unmatched_order"))
                .otherwise(F.lit("unmatched_pay")))
     return j.select(F.coalesce("_ok", "_pk").alias("order_id"), "order_ts", "pay_ts",
                     outcome.alias("outcome"))

@@ -72,6 +72,7 @@ def row_key(pk_names: Column, row: Column) -> Column:
 
     Without key columns the key is a hash of the row, not a random id, so a
     retried batch writes the same keys. A key with a missing value is NULL.
+    (A DELETE without key columns names no row: ``parse_changes`` gives it NULL.)
     """
     values = F.transform(pk_names, lambda k: row[k])
     joined = F.when(F.exists(values, lambda v: v.isNull()), F.lit(None)).otherwise(
@@ -81,16 +82,21 @@ def row_key(pk_names: Column, row: Column) -> Column:
 
 def parse_changes(envelopes: DataFrame, value_col: str = "value",
                   types: Iterable[str] = INGEST_TYPES,
-                  keep: Iterable[str] | None = None) -> DataFrame:
+                  keep: Iterable[str] | None = None, observe=None) -> DataFrame:
     """Change-log envelope -> one row per changed row.
 
     Columns: database, table, type, pk_names, row (map of text), es, change_id,
     pos (index in ``data``), row_key. ``types`` is matched exactly, as the
-    ingestion job does; anything else is dropped.
+    ingestion job does; anything else is dropped, and counted as
+    ``dropped_types`` under the metrics name ``observe`` (a query's progress, or
+    an ``Observation``). A DELETE without key columns is rejected: NULL key.
     """
     env = F.from_json(F.col(value_col), CHANGE_ENVELOPE)
     parsed = envelopes.select(*_keep(envelopes, keep), env.alias("_c"))
-    parsed = parsed.where(F.col("_c.type").isin(list(types)))
+    wanted = F.coalesce(F.col("_c.type").isin(list(types)), F.lit(False))
+    if observe is not None:
+        parsed = parsed.observe(observe, F.count_if(~wanted).alias("dropped_types"))
+    parsed = parsed.where(wanted)
     rows = parsed.select(
         *_keep(parsed, keep),
         F.col("_c.database").alias("database"),
@@ -101,7 +107,9 @@ def parse_changes(envelopes: DataFrame, value_col: str = "value",
         F.col("_c.id").alias("change_id"),
         F.posexplode(F.col("_c.data")).alias("pos", "row"),
     )
-    return rows.withColumn("row_key", row_key(F.col("pk_names"), F.col("row")))
+    nameless = (F.lower("type") == "delete") & (F.size("pk_names") == 0)
+    return rows.withColumn("row_key", F.when(
+        ~nameless, row_key(F.col("pk_names"), F.col("row"))))
 
 
 def filter_database(changes: DataFrame, database: str = "dwshow") -> DataFrame:

@@ -150,26 +150,31 @@ def _match_rows(ends: DataFrame, rows: DataFrame, keys: list[str], payload: list
         .withColumnRenamed("_ts", "_end_ts")
     second = rows.select("_bk", "_pos", F.col("_prev_ts").alias("start_ts"),
                          *[F.col(p).alias(f"_s_{p}") for p in payload])
-    joined = ends.select("_bk", "_pos", *keys, count_col, "_end_ts").join(
+    joined = ends.select("_bk", "_pos", *keys, count_col, "shortest_start_ts", "_end_ts").join(
         second, ["_bk", "_pos"], "left")
     return joined.select(*keys, F.col(count_col).cast("bigint").alias("click_count"),
                          *[F.col(f"_s_{p}").alias(p) for p in payload],
-                         "start_ts", F.col("_end_ts").alias("end_ts"))
+                         "start_ts", "shortest_start_ts", F.col("_end_ts").alias("end_ts"))
 
 
 def repeated_all(events: DataFrame, keys: Iterable[str], ts: str, seq: str, times: int,
-                 within, payload: Iterable[str] = (), bucket_factor: int = 16) -> DataFrame:
-    """Every run of ``times`` or more consecutive events of a key spanning < W (J8n).
-
-    One output row per match (start, end): keys, click_count, payload of the
-    match's second event, start_ts, end_ts.
+                 within, payload: Iterable[str] = (), bucket_factor: int = 16,
+                 expand: bool = False) -> DataFrame:
+    """Runs of ``times`` or more consecutive events of a key spanning < W (J8n).
+
+    An end event closes a run of every length from ``times`` to the events in its W.
+    One output row per end: keys, click_count of the longest run, payload of its second
+    event, its start_ts, where the shortest run starts, end_ts. With ``expand`` a row
+    for every run (quadratic in the events of a W).
     """
     keys, payload = list(keys), list(payload)
     w_us = duration.micros(within)
     rows = _bucketed(events, keys, ts, seq, payload, w_us, w_us * bucket_factor)
-    ends = (rows.where(F.col("_own") & (F.col("_cnt") >= times))
-            .withColumn("_len", F.explode(F.sequence(F.lit(times), F.col("_cnt")))))
-    return _match_rows(ends, rows, keys, payload, "_len")
+    rows = rows.withColumn("shortest_start_ts", F.lag("_ts", times - 1).over(
+        Window.partitionBy("_bk").orderBy("_t", "_seq")) if times > 1 else F.col("_ts"))
+    ends = rows.where(F.col("_own") & (F.col("_cnt") >= times))
+    lengths = F.explode(F.sequence(F.lit(times), F.col("_cnt"))) if expand else F.col("_cnt")
+    return _match_rows(ends.withColumn("_len", lengths), rows, keys, payload, "_len")
 
 
 def _exit_state(cands: np.ndarray, n_own: int, k: int, entry: int) -> tuple[int, list[int]]:

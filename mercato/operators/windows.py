@@ -143,15 +143,15 @@ def distinct_count(df: DataFrame, ts: str, keys: Iterable[str], distinct_col: st
 
 
 def running_totals(df: DataFrame, keys: Iterable[str], order_col: str, measures: Measures,
-                   chunk: int = 1 << 16) -> DataFrame:
-    """Per-key running totals after each row, in ``order_col`` order.
+                   chunk: int = 1 << 16, then: Iterable[str] = ()) -> DataFrame:
+    """Per-key running totals after each row, in ``order_col`` order (A1b), rows of
+    equal ``order_col`` in the order of the ``then`` columns.
 
     A plain ``Window.partitionBy(keys)`` puts a whole key in one task. Here
-    ``order_col`` (an integral, unique order such as an order id) is cut into
-    ranges of ``chunk`` values: totals per (key, range) are combined into
-    offsets, then each (key, range) runs its own window and adds its offset.
-    No task sees more than ``chunk`` rows of one key; ``sum``/``count``/
-    ``money`` only.
+    ``order_col`` (an integral order such as an order id) is cut into ranges of
+    ``chunk`` values: totals per (key, range) are combined into offsets, then each
+    (key, range) runs its own window and adds its offset. A task sees one key's
+    rows of one range; ``sum``/``count``/``money`` only.
     """
     keys = list(keys)
     for kind, _ in measures.values():
@@ -169,7 +169,7 @@ def running_totals(df: DataFrame, keys: Iterable[str], order_col: str, measures:
     offsets = per_chunk.select(
         "_rk", *[F.coalesce(F.sum(f"_c_{name}").over(before), F.lit(0)).alias(f"_o_{name}")
                  for name in measures])
-    within = Window.partitionBy("_rk").orderBy(order_col).rowsBetween(
+    within = Window.partitionBy("_rk").orderBy(order_col, *then).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     joined = rows.join(offsets, "_rk", "inner")
     return joined.select(

@@ -36,21 +36,44 @@ STATUS_LINES = """lines AS (
          date_trunc('second', ts) AS ts, value AS money
   FROM events)"""
 
-CHANGES = """last_ship AS (
+# Every 97th order names customer -1, who has no area.
+ORDERS = """(SELECT * REPLACE (CASE WHEN o_orderkey % 97 = 0 THEN -1 ELSE o_custkey END AS o_custkey)
+   FROM orders)"""
+
+# Accepted changes of the ingested database, one row per changed row; cells a message
+# does not carry are NULL.
+CHANGES = f"""last_ship AS (
   SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey),
 o AS (
-  SELECT orders.*, s.last_ship FROM orders LEFT JOIN last_ship s ON s.l_orderkey = o_orderkey),
+  SELECT x.*, s.last_ship, CAST(o_orderkey AS VARCHAR) AS k, epoch_ms(o_orderdate) AS created,
+         epoch_ms(greatest(o_orderdate, s.last_ship)) + 3600000 AS updated
+  FROM {ORDERS} x LEFT JOIN last_ship s ON s.l_orderkey = o_orderkey),
 changes AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS row_key, 'INSERT' AS type, epoch_ms(o_orderdate) AS es,
-         CAST(1 AS BIGINT) AS change_id, o_orderstatus AS status, o.* FROM o
+  SELECT 'dwshow' AS database, 'orders' AS tbl, k AS row_key, 'INSERT' AS type, created AS es,
+         CAST(1 AS BIGINT) AS change_id, 0 AS pos, CAST(o_orderkey AS BIGINT) AS o_orderkey,
+         CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus AS status, o_totalprice, o_orderdate,
+         o_orderpriority FROM o
   UNION ALL
-  SELECT CAST(o_orderkey AS VARCHAR), 'UPDATE',
-         epoch_ms(greatest(o_orderdate, last_ship)) + 3600000, 2, 'F', o.*
+  SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'DWSHOW' ELSE 'dwshow' END, 'orders', k, 'UPDATE', updated,
+         2, 0, o_orderkey, o_custkey, 'F', o_totalprice, o_orderdate, o_orderpriority
   FROM o WHERE last_ship IS NOT NULL
   UNION ALL
-  SELECT CAST(o_orderkey AS VARCHAR), 'DELETE', epoch_ms(o_orderdate) + CAST(30 AS BIGINT) * 86400000, 3,
-         o_orderstatus, o.*
-  FROM o WHERE last_ship IS NULL)"""
+  SELECT 'dwshow', 'orders', k, 'DELETE', created + CAST(30 AS BIGINT) * 86400000, 3, 0, o_orderkey,
+         o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  FROM o WHERE last_ship IS NULL
+  UNION ALL
+  SELECT 'dwshow', 'orders', k, 'UPDATE', updated + 3600000, 4, 0, o_orderkey, NULL, NULL, NULL, NULL,
+         'PATCHED' FROM o WHERE last_ship IS NOT NULL AND o_orderkey % 5 = 0
+  UNION ALL
+  SELECT 'dwshow', 'order_notes', k || '_' || (p + 1), 'INSERT', created + 1000, 5, p, o_orderkey,
+         NULL, NULL, NULL, NULL, NULL
+  FROM (SELECT *, unnest([0, 1]) AS p FROM o WHERE o_orderkey % 4 = 0)
+  UNION ALL
+  SELECT 'dwshow', 'orders', NULL, 'DELETE', created + 1000, 6, 0, o_orderkey, o_custkey,
+         o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM o WHERE o_orderkey % 89 = 0
+  UNION ALL
+  SELECT 'dwshow', 'order_flags', k, 'INSERT', created + CAST(400 AS BIGINT) * 86400000, 7, 0,
+         o_orderkey, NULL, 'X', NULL, NULL, NULL FROM o WHERE o_orderkey % 4 = 0)"""
 
 
 def _us(d) -> int:
@@ -99,7 +122,7 @@ TOL_US = _us(P["match_tolerance"])
 CITY_SLIDING = f"""WITH {AREA_DIM},
 t AS (SELECT d.city, d.province, o.o_orderdate AS ts,
              CAST(o.o_totalprice AS DECIMAL(18,2)) AS m
-      FROM orders o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid)
+      FROM {ORDERS} o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid)
 {_sliding('t', 'city, province', 'ts', ORDER_WIDTH, ORDER_SLIDE,
           'CAST(sum(m) AS DOUBLE) AS total_money, count(*) AS order_count')}"""
 
@@ -129,13 +152,16 @@ CLICKS_BROWSES = """c AS (SELECT user_id, event_id AS click_id, ts AS click_ts F
 b AS (SELECT user_id AS b_user_id, event_id AS browse_id, ts AS browse_ts FROM events
       WHERE event_type = 'view')"""
 
+# The stored dimension: the current areas, and retired ones that stayed from before.
 DIM_TEXT = f"""WITH {AREA_DIM},
+kept AS (SELECT * FROM area_dim UNION ALL
+         SELECT * REPLACE (-areaid AS areaid, 'retired' AS aname) FROM area_dim
+         WHERE areaid % 100 = 3),
 store AS (SELECT CAST(areaid AS VARCHAR) AS row_key, aname, CAST(areaid AS VARCHAR) AS areaid,
                  CAST(cid AS VARCHAR) AS cid, city, CAST(proid AS VARCHAR) AS proid, province
-          FROM area_dim)"""
+          FROM kept)"""
 
-ORDER_TYPED = """row_key, CAST(o_orderkey AS BIGINT) AS o_orderkey,
-       CAST(o_custkey AS BIGINT) AS o_custkey, status AS o_orderstatus, o_totalprice,
+ORDER_TYPED = """row_key, o_orderkey, o_custkey, status AS o_orderstatus, o_totalprice,
        o_orderdate, o_orderpriority"""
 
 ORDER_PAY = f"""WITH ord AS (SELECT o_orderkey AS ok, min(o_orderdate) AS order_ts
@@ -153,14 +179,14 @@ ORACLES: dict[str, str] = {
 SELECT d.city, d.province,
        CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_money,
        count(*) AS order_count
-FROM orders o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid
+FROM {ORDERS} o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid
 GROUP BY d.city, d.province""",
 
     "city_order_running": f"""WITH {AREA_DIM}
 SELECT d.city, d.province, o.o_orderkey AS order_id,
        CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) OVER w AS DOUBLE) AS running_money,
        count(*) OVER w AS running_count
-FROM orders o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid
+FROM {ORDERS} o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid
 WINDOW w AS (PARTITION BY d.city, d.province ORDER BY o.o_orderkey
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
 
@@ -170,12 +196,12 @@ SELECT areaid, aname, cid, city, proid, province FROM area_dim""",
     "order_area_lookup": f"""WITH {AREA_DIM}
 SELECT o.o_orderkey AS order_id, CAST(o.o_custkey AS BIGINT) * 10 + 3 AS area_id, d.city,
        d.province, o.o_totalprice AS total_money
-FROM orders o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid""",
+FROM {ORDERS} o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid""",
 
     "order_area_missing": f"""WITH {AREA_DIM}
 SELECT o.o_orderkey AS order_id, CAST(o.o_custkey AS BIGINT) * 10 + 3 AS area_id,
        o.o_totalprice AS total_money
-FROM orders o
+FROM {ORDERS} o
 WHERE NOT EXISTS (SELECT 1 FROM area_dim d WHERE d.areaid = CAST(o.o_custkey AS BIGINT) * 10 + 3)""",
 
     "city_order_sliding": CITY_SLIDING,
@@ -198,13 +224,19 @@ SELECT uid, product_id, window_start, window_end, {TEXT_TS.format('window_end')}
        click_count
 FROM w WHERE click_count >= {P['blacklist_threshold']}""",
 
-    "blacklist_repeat_all": f"""WITH {RANKED_CLICKS}
-SELECT j.uid, j.product_id, j.rn - s.rn + 1 AS click_count, s2.area, s.ts AS start_ts,
-       j.ts AS end_ts
-FROM r j
-JOIN r s ON s.uid = j.uid AND s.product_id = j.product_id AND s.rn <= j.rn - {K - 1}
-        AND epoch_us(j.ts) - epoch_us(s.ts) < {REPEAT_US}
-JOIN r s2 ON s2.uid = s.uid AND s2.product_id = s.product_id AND s2.rn = s.rn + 1""",
+    "blacklist_repeat_all": f"""WITH {RANKED_CLICKS},
+longest AS (
+  SELECT j.uid, j.product_id, j.ts AS end_ts, j.rn, min(s.rn) AS first
+  FROM r j JOIN r s ON s.uid = j.uid AND s.product_id = j.product_id AND s.rn <= j.rn
+   AND epoch_us(j.ts) - epoch_us(s.ts) < {REPEAT_US}
+  GROUP BY ALL)
+SELECT l.uid, l.product_id, l.rn - l.first + 1 AS click_count, s2.area, s1.ts AS start_ts,
+       sk.ts AS shortest_start_ts, l.end_ts
+FROM longest l
+JOIN r s1 ON s1.uid = l.uid AND s1.product_id = l.product_id AND s1.rn = l.first
+JOIN r s2 ON s2.uid = l.uid AND s2.product_id = l.product_id AND s2.rn = l.first + 1
+JOIN r sk ON sk.uid = l.uid AND sk.product_id = l.product_id AND sk.rn = l.rn - {K - 1}
+WHERE l.rn - l.first + 1 >= {K}""",
 
     "blacklist_repeat_skip": f"""WITH RECURSIVE {RANKED_CLICKS},
 cand AS (
@@ -278,22 +310,33 @@ SELECT order_id, outcome,
 FROM m""",
 
     "changelog_rows": f"""WITH {CHANGES}
-SELECT row_key, 'dwshow' AS database, 'orders' AS "table", type, es, change_id,
-       CAST(0 AS INTEGER) AS pos, status AS o_orderstatus, o_totalprice
-FROM changes""",
+SELECT row_key, database, tbl AS "table", type, es, change_id, pos, status AS o_orderstatus,
+       o_totalprice
+FROM changes WHERE tbl = 'orders'""",
 
     "changelog_state": f"""WITH {CHANGES},
-latest AS (SELECT * FROM changes
-           QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY es DESC, change_id DESC) = 1)
-SELECT es, {ORDER_TYPED} FROM latest WHERE type <> 'DELETE'""",
+latest AS (SELECT * FROM changes WHERE row_key IS NOT NULL
+           QUALIFY row_number() OVER (PARTITION BY tbl, row_key
+                                      ORDER BY es DESC, change_id DESC, pos DESC) = 1)
+SELECT tbl AS "table", es, {ORDER_TYPED} FROM latest WHERE type <> 'DELETE'""",
 
+    # cell by cell: the latest put that carries it, after the key's last deletion
     "changelog_partial": f"""WITH {CHANGES},
-latest AS (SELECT * FROM changes
-           QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY es DESC, change_id DESC) = 1)
-SELECT es, {ORDER_TYPED} FROM latest WHERE type <> 'DELETE'""",
+c AS (SELECT *, es * 100 + change_id AS ord FROM changes WHERE row_key IS NOT NULL),
+d AS (SELECT tbl, row_key, max(ord) AS gone FROM c WHERE type = 'DELETE' GROUP BY ALL),
+puts AS (SELECT c.* FROM c LEFT JOIN d USING (tbl, row_key)
+         WHERE type <> 'DELETE' AND (gone IS NULL OR ord > gone))
+SELECT tbl AS "table", row_key, max(es) AS es,
+       max_by(o_orderkey, ord) FILTER (WHERE o_orderkey IS NOT NULL) AS o_orderkey,
+       max_by(o_custkey, ord) FILTER (WHERE o_custkey IS NOT NULL) AS o_custkey,
+       max_by(status, ord) FILTER (WHERE status IS NOT NULL) AS o_orderstatus,
+       max_by(o_totalprice, ord) FILTER (WHERE o_totalprice IS NOT NULL) AS o_totalprice,
+       max_by(o_orderdate, ord) FILTER (WHERE o_orderdate IS NOT NULL) AS o_orderdate,
+       max_by(o_orderpriority, ord) FILTER (WHERE o_orderpriority IS NOT NULL) AS o_orderpriority
+FROM puts GROUP BY tbl, row_key""",
 
     "typed_orders": f"""WITH {CHANGES}
-SELECT {ORDER_TYPED} FROM changes WHERE type = 'INSERT'""",
+SELECT {ORDER_TYPED} FROM changes WHERE type = 'INSERT' AND tbl = 'orders'""",
 
     "row_upsert": f"""{DIM_TEXT}
 SELECT * FROM store""",
@@ -315,98 +358,28 @@ ORACLES["city_order_total_stored"] = f"""WITH {AREA_DIM}
 SELECT d.city, d.province,
        CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_money,
        count(*) AS order_count
-FROM orders o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid
+FROM {ORDERS} o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid
 WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
 GROUP BY d.city, d.province"""
 
 # ---------------------------------------------------------------- streamed twins
-# Append mode emits a window once the watermark (max event time seen, no
-# delay) reaches its end, so each streamed query equals its batch oracle cut
-# at the final watermark. Joins and the keyed store emit every row.
-
-AD_CLOSED = "(SELECT max(ts) FROM ad_clicks)"
-
-ORACLES["stream_ad_click_sliding"] = f"""WITH {AD_CLICKS},
-w AS ({_sliding('ad_clicks', 'product_id', 'ts', AD_WIDTH, AD_SLIDE,
-                'count(*) AS click_count')})
-SELECT product_id, window_start, window_end, {TEXT_TS.format('window_end')} AS end_time,
-       click_count FROM w
-WHERE window_end <= {AD_CLOSED}"""
-
-ORACLES["stream_blacklist_tumbling"] = f"""WITH {AD_CLICKS},
-w AS ({_tumbling('ad_clicks', 'uid, product_id', 'ts', P['blacklist_window'],
-                 'count(*) AS click_count')})
-SELECT uid, product_id, window_start, window_end, {TEXT_TS.format('window_end')} AS end_time,
-       click_count
-FROM w WHERE click_count >= {P['blacklist_threshold']} AND window_end <= {AD_CLOSED}"""
-
-ORACLES["stream_channel_users"] = f"""WITH ch AS (
-  SELECT c.c_mktsegment AS channel, CAST(e.user_id AS VARCHAR) AS uid,
-         date_trunc('millisecond', e.ts) AS ts
-  FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey),
-u AS ({_tumbling('ch', 'channel', 'ts', P['channel_window'], 'count(DISTINCT uid) AS user_count')})
-SELECT channel, window_start, window_end, user_count FROM u
-WHERE window_end <= (SELECT max(ts) FROM ch)"""
-
-ORACLES["stream_click_browse_interval"] = ORACLES["click_browse_interval"]
-
-ORACLES["stream_city_order_sliding"] = f"""SELECT * FROM ({CITY_SLIDING})
-WHERE window_end <= (SELECT max(o_orderdate) FROM orders)"""
-
-ORACLES["stream_changelog_state"] = ORACLES["changelog_state"]
-
-ORACLES["stream_blacklist_repeat_skip"] = f"""SELECT * FROM (
-{ORACLES["blacklist_repeat_skip"]})
-WHERE end_ts < (SELECT max(date_trunc('second', ts)) FROM events
-                WHERE event_type = 'click' AND json_extract_string(props, '$.k') IS NOT NULL)"""
-
-ORACLES["stream_click_browse_window"] = ORACLES["click_browse_window"]
-
-# A start is final once no payment can still arrive; the bound is strict
-# (t_end < start + W) and rows below the watermark are late, so: start + W <= watermark.
-ORACLES["stream_order_timeout"] = f"""SELECT * FROM ({ORACLES["order_timeout"]})
-WHERE epoch_us(start_ts) + {PAY_US} <= (SELECT epoch_us(max(date_trunc('second', ts))) FROM events)"""
-
-# Two inputs: the global watermark is the smaller of their latest times. The
-# tolerance is inclusive and a row exactly at the watermark is not late, so an
-# unmatched row leaves once t + tolerance < watermark; matches leave at once.
-ORACLES["stream_order_pay_match"] = f"""WITH m AS ({ORACLES["order_pay_match"]}),
-wm AS (SELECT least((SELECT max(o_orderdate) FROM orders),
-                    (SELECT max(s) FROM (SELECT min(l_shipdate) AS s FROM lineitem
-                                         GROUP BY l_orderkey))) AS t)
-SELECT m.* FROM m, wm
-WHERE outcome = 'matched'
-   OR (outcome = 'unmatched_order' AND epoch_us(order_ts) + {TOL_US} < epoch_us(wm.t))
-   OR (outcome = 'unmatched_pay' AND epoch_us(pay_ts) + {TOL_US} < epoch_us(wm.t))"""
-
-ORACLES["stream_city_order_total"] = ORACLES["city_order_total"]
-
-ORACLES["stream_city_serving_state"] = f"""WITH sliding AS (
-  SELECT * FROM ({CITY_SLIDING}) WHERE window_end <= (SELECT max(o_orderdate) FROM orders))
-SELECT province || city AS redis_key, total_money, order_count, epoch_ms(window_end) AS time
-FROM sliding
-QUALIFY row_number() OVER (PARTITION BY province, city ORDER BY window_end DESC) = 1"""
-
-# A payment is seen once the watermark passes it: end_ts < watermark.
-ORACLES["stream_order_paid"] = f"""SELECT * FROM ({ORACLES["order_paid"]})
-WHERE end_ts < (SELECT max(date_trunc('second', ts)) FROM events)"""
-
-ORACLES["stream_ad_click_sliding_panes"] = ORACLES["stream_ad_click_sliding"]
+# A replayed log ends with a marker that closes everything, so each streamed query
+# gives all rows of its batch query (late rows in the feed are dropped).
 
-ORACLES["stream_blacklist_repeat_all"] = f"""SELECT * FROM (
-{ORACLES["blacklist_repeat_all"]})
-WHERE end_ts < (SELECT max(date_trunc('second', ts)) FROM events
-                WHERE event_type = 'click' AND json_extract_string(props, '$.k') IS NOT NULL)"""
+for _name in ("ad_click_sliding", "ad_click_sliding_panes", "blacklist_tumbling", "channel_users",
+              "click_browse_interval", "click_browse_window", "order_timeout", "order_paid",
+              "order_pay_match", "city_order_sliding", "city_serving_state", "city_order_total",
+              "city_order_total_stored", "order_area_missing", "changelog_state",
+              "changelog_partial", "blacklist_repeat_skip", "blacklist_repeat_all"):
+    ORACLES[f"stream_{_name}"] = ORACLES[_name]
 
-# Orders pass the watermark in (order date, order key) order; those at the last
-# order date are still pending when the stream ends.
+# The stream numbers orders as the log brings them, by order date.
 ORACLES["stream_city_order_running"] = f"""WITH {AREA_DIM},
 t AS (SELECT d.city, d.province, o.o_orderkey AS order_id, o.o_orderdate AS od,
              CAST(o.o_totalprice AS DECIMAL(18,2)) AS m
-      FROM orders o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid)
+      FROM {ORDERS} o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid)
 SELECT city, province, order_id, CAST(sum(m) OVER w AS DOUBLE) AS running_money,
        count(*) OVER w AS running_count
 FROM t
 WINDOW w AS (PARTITION BY city, province ORDER BY od, order_id
-             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-QUALIFY od < (SELECT max(o_orderdate) FROM orders)"""
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""

@@ -18,7 +18,9 @@ from ..operators import changelog as cl
 from ..operators import dims, joins, parse, patterns, windows
 from ..schemas import AREA_DIMENSION_COLUMNS
 from ..session import prepare
+from ..sinks import KeyedLog
 from ..sources import domain
+from ..streaming.feeds import run_folder
 from .presets import FIXTURE
 
 P = FIXTURE
@@ -36,7 +38,7 @@ ORDER_FIELDS = {
 # ------------------------------------------------------------ shared inputs
 
 def area_dimension(spark: SparkSession, sf: str) -> DataFrame:
-    return dims.flatten_hierarchy(domain.area_tree(spark, sf))
+    return dims.flatten_hierarchy(domain.area_tree(spark, sf), level_col="level")
 
 
 def ad_clicks(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,14 +68,18 @@ def city_order_total(spark, sf):
 
 
 def city_order_running(spark, sf):
-    """The city total after each order, in order-id order."""
-    joined = dims.lookup(domain.trade_orders(spark, sf), area_dimension(spark, sf),
+    """The city total after each order, in order-id order. Orders are numbered by
+    the ids of their city and province; the names are looked up afterwards."""
+    dim = area_dimension(spark, sf)
+    joined = dims.lookup(domain.trade_orders(spark, sf), dim.select("areaid", "cid", "proid"),
                          "area_id", "areaid")
-    rows = joined.select("city", "province", "order_id", "total_money")
-    out = windows.running_totals(rows, ["city", "province"], "order_id",
+    rows = joined.select("cid", "proid", "order_id", "total_money")
+    out = windows.running_totals(rows, ["cid", "proid"], "order_id",
                                  {"running_money": ("money", "total_money"),
                                   "running_count": ("count", None)})
-    return out.select("city", "province", "order_id", "running_money", "running_count")
+    names = dim.select("cid", "proid", "city", "province").distinct()
+    return out.join(names, ["cid", "proid"]).select(
+        "city", "province", "order_id", "running_money", "running_count")
 
 
 def area_flatten(spark, sf):
@@ -82,9 +88,13 @@ def area_flatten(spark, sf):
 
 
 def order_area_lookup(spark, sf):
-    """Orders with their city and province."""
-    joined = dims.lookup(domain.trade_orders(spark, sf), area_dimension(spark, sf),
-                         "area_id", "areaid")
+    """Orders with their city and province, from a dimension that also holds an
+    older row of every other area; the last row of a key counts."""
+    dim = area_dimension(spark, sf).withColumn("seq", F.lit(1))
+    stale = dim.where(F.col("areaid") % 20 == 3).withColumns(
+        {"city": F.lit("stale"), "province": F.lit("stale"), "seq": F.lit(0)})
+    joined = dims.lookup(domain.trade_orders(spark, sf), stale.unionByName(dim),
+                         "area_id", "areaid", latest_by="seq")
     return joined.select("order_id", "area_id", "city", "province", "total_money")
 
 
@@ -272,56 +282,74 @@ def changelog_rows(spark, sf):
                      F.col("row")["o_totalprice"].try_cast("double").alias("o_totalprice"))
 
 
-def _typed_snapshot(snapshot: DataFrame) -> DataFrame:
-    return parse.decode_row(snapshot, ORDER_FIELDS, keep=["row_key", "es"])
+def typed_state(state: DataFrame) -> DataFrame:
+    """State rows of all tables, the orders' cells typed."""
+    return parse.decode_row(state, ORDER_FIELDS, keep=["table", "row_key", "es"])
 
 
 def changelog_state(spark, sf):
-    """K1: the keyed snapshot after applying the whole change log (row level)."""
-    snap = cl.apply_row_changes(cl.empty_snapshot(spark), order_changes(spark, sf))
-    return _typed_snapshot(snap)
+    """K1: the keyed state after the whole change log (row level), every table apart."""
+    return typed_state(cl.row_state(order_changes(spark, sf)))
 
 
 def changelog_partial(spark, sf):
-    """The same snapshot with column-level puts."""
-    snap = cl.apply_column_changes(cl.empty_snapshot(spark), order_changes(spark, sf))
-    return _typed_snapshot(snap)
+    """The state with column-level puts: a message's missing cells stay."""
+    return typed_state(cl.cell_state(order_changes(spark, sf)))
 
 
 def typed_orders(spark, sf):
     """Inserted order rows decoded from text cells to typed columns."""
-    ch = order_changes(spark, sf).where(F.col("type") == "INSERT")
-    return parse.decode_row(ch, ORDER_FIELDS, keep=["row_key"])
+    ch = parse.filter_table(order_changes(spark, sf), domain.CHANGE_TABLE)
+    return parse.decode_row(ch.where(F.col("type") == "INSERT"), ORDER_FIELDS, keep=["row_key"])
 
 
 def _dimension_store(spark, sf):
-    """The dimension as the keyed store holds it: text cells, key = first field.
+    """The dimension as the keyed store holds it (K2): text cells, key = first field.
 
-    Written into an empty store; the dimension's own order (``areaid``) says
-    which duplicate is later.
+    An earlier write left every other area under another name, which the current
+    dimension overwrites, and retired areas that it does not touch.
     """
     dim = area_dimension(spark, sf)
-    rows = cl.as_text_row(dim, "areaid", AREA_DIMENSION_COLUMNS)
-    rows = rows.withColumn("_seq", F.col("row_key").cast("bigint"))
-    empty = rows.where(F.lit(False))
-    return cl.upsert_rows(empty, rows, "row_key", "_seq").drop("_seq")
+
+    def rows(areas: DataFrame, seq: int) -> DataFrame:
+        return cl.as_text_row(areas, "areaid", AREA_DIMENSION_COLUMNS).withColumn("_seq", F.lit(seq))
+
+    renamed = dim.where(F.col("areaid") % 20 == 3).withColumn("aname", F.lit("renamed"))
+    retired = (dim.where(F.col("areaid") % 100 == 3).withColumn("aname", F.lit("retired"))
+               .withColumn("areaid", -F.col("areaid")))
+    return cl.upsert_rows(rows(renamed.unionByName(retired), 0), rows(dim, 1),
+                          "row_key", "_seq").drop("_seq")
+
+
+def change_store(spark: SparkSession, root: str, state=cl.cell_state) -> KeyedLog:
+    """The keyed store of ingested tables: a folder per table, state by ``state``."""
+    return KeyedLog(spark, root, cl.CHANGE_SCHEMA, state, partition_by=("database", "table"))
 
 
 def city_order_total_stored(spark, sf):
-    """Feature 1 end to end as the warehouse runs it: both inputs are read back
-    from their keyed stores as JSON (S3) and decoded with coercion (P7), then
-    joined and totalled (J1, A1). The order store is the change log applied
-    (K1), so deleted orders are gone and updated ones carry their new cells.
+    """Feature 1 end to end as the warehouse runs it: the change log is ingested into
+    its keyed store and the dimension into another (K1b, K2); both are read back as
+    JSON (S3) and decoded with coercion (P7), then joined and totalled (J1, A1).
+    Deleted orders are gone and updated ones carry their new cells.
     """
-    dim_json = cl.scan_as_json(_dimension_store(spark, sf))
+    folder = run_folder(spark, "city_order_total_stored")
+    store = change_store(spark, f"{folder}/changes")
+    store.append(cl.supported(order_changes(spark, sf)))
+    _dimension_store(spark, sf).write.parquet(f"{folder}/dimension")
+
+    dim_json = cl.scan_as_json(spark.read.parquet(f"{folder}/dimension"))
     dim = dim_json.select(F.from_json("json", "map<string,string>").alias("row"))
     dim = parse.decode_row(dim, {"areaid": ("areaid", "bigint"), "city": ("city", "string"),
                                  "province": ("province", "string")})
-    snapshot = cl.apply_row_changes(cl.empty_snapshot(spark), order_changes(spark, sf))
-    orders_json = snapshot.select("row_key", F.to_json("row").alias("json"))
-    orders = parse.decode_row(
-        orders_json.select(F.from_json("json", "map<string,string>").alias("row")),
-        {"cust": ("o_custkey", "bigint"), "total_money": ("o_totalprice", "double")})
+    kept = parse.filter_table(store.read(), domain.CHANGE_TABLE)
+    orders_json = kept.select("row_key", F.to_json("row").alias("json"))
+    return city_totals_of(orders_json.select(F.from_json("json", "map<string,string>").alias("row")),
+                          dim, "o_custkey", "o_totalprice")
+
+
+def city_totals_of(kept: DataFrame, dim: DataFrame, customer: str, money: str) -> DataFrame:
+    """Totals per city of stored orders (``row``: cells as text), per area first."""
+    orders = parse.decode_row(kept, {"cust": (customer, "bigint"), "total_money": (money, "double")})
     per_area = (orders.groupBy((F.col("cust") * 10 + domain.LEVEL_AREA).alias("area_id"))
                 .agg(F.sum(F.col("total_money").cast(MONEY)).alias("_m"),
                      F.count(F.lit(1)).alias("_n")))

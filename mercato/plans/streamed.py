@@ -1,43 +1,102 @@
 """Streamed twins of the batch queries.
 
 Each replays its input, derived from the test tables, as a file stream in log
-order (events by event id, the change log by change time), runs the streaming
-job with ``availableNow``, and returns the rows its sink wrote. Append mode
-emits a window once the watermark passes its end, so the result equals the
-batch query restricted to windows the final watermark has closed; the oracles
-apply that cut. Joins and the change-log store emit everything.
+order (events by event id, the change log by change time), runs the streaming job
+with ``availableNow``, and returns the rows its sink wrote. The replayed log ends
+with a marker message (``END_OF_LOG``), so windows, timeouts and pending events
+all leave and the result is the batch query's. Envelope logs also bring late rows
+(old events once more, before the marker), which the watermark drops.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import format_ts, to_event_time, to_wall_time, ts_to_millis
+from ..functions.time import format_ts, to_wall_time, ts_to_millis
 from ..operators import changelog as cl
 from ..operators import dims, parse, windows
 from ..schemas import STATISTICS_TYPES
 from ..session import materialize
-from ..sinks import SnapshotStore, changelog_sink, upsert_sink
+from ..sinks import KeyedLog
 from ..sources import domain
 from ..streaming import feeds, jobs, stateful
+from ..streaming.running import RunningTotals
 from .presets import FIXTURE as P
-from .queries import ORDER_FIELDS, area_dimension
+from .queries import area_dimension, change_store, city_totals_of, typed_state
 
 NO_DELAY = "0 seconds"
-
-
-def _envelope_stream(spark: SparkSession, sf: str, name: str) -> tuple[DataFrame, str]:
+LATE_DAYS = 21
+END_MS = int(jobs.END_OF_LOG.replace(tzinfo=dt.UTC).timestamp() * 1000)
+END_TEXT = jobs.END_OF_LOG.isoformat(sep=" ")
+
+
+# ------------------------------------------------------------ replayed logs
+
+def _marker(spark: SparkSession, value) -> DataFrame:
+    """A message log's last message: ``value`` (a column) at ``END_OF_LOG``."""
+    return spark.range(1).select(F.lit(-1).cast("bigint").alias("offset"), value.alias("value"))
+
+
+def envelope_log(spark: SparkSession, sf: str, path: str, order=None) -> str:
+    """Event envelopes in log order, late rows (every 50th event, if more than
+    ``LATE_DAYS`` old by the end of the log), the end marker."""
+    envelopes = domain.event_envelopes(spark, sf)
+    times = domain.table(spark, sf, "events").select(F.col("event_id").alias("offset"), "ts")
+    last = times.agg(F.max("ts").alias("last"))
+    old = (times.join(last).where((F.col("offset") % 50 == 1) & (
+        F.col("ts") < F.col("last") - F.expr(f"INTERVAL {LATE_DAYS} DAYS"))).select("offset"))
+    end = F.to_json(F.struct(
+        F.array(F.struct(F.lit("ad").alias("name"),
+                         F.struct(F.lit("0").alias("product_id")).alias("json"),
+                         F.lit(END_MS).alias("time"))).alias("lagou_event"),
+        F.struct(F.lit("").alias("area"), F.lit("").alias("uid"),
+                 F.lit("").alias("channel")).alias("attr")))
+    return feeds.write_feed(envelopes, path, F.col("offset") if order is None else order, tail=[
+        envelopes.join(old, "offset", "left_semi"), _marker(spark, end)])
+
+
+def status_line_log(spark: SparkSession, sf: str, path: str) -> str:
+    """Order status lines in log order, the end marker (a created order)."""
+    return feeds.write_feed(domain.order_status_lines(spark, sf), path, F.col("offset"), tail=[
+        _marker(spark, F.lit(f",1,{END_TEXT},0"))])
+
+
+def change_log(spark: SparkSession, sf: str, path: str) -> str:
+    """The change log in change-time order, the end marker (an inserted order)."""
+    row = F.create_map(F.lit("o_orderdate"), F.lit(END_TEXT), F.lit("o_custkey"), F.lit("0"))
+    end = F.to_json(F.struct(
+        F.array(row).alias("data"), F.lit(domain.CHANGE_DATABASE).alias("database"),
+        F.lit(END_MS).alias("es"), F.lit(0).alias("id"), F.array(F.lit("o_orderkey")).alias("pkNames"),
+        F.lit(domain.CHANGE_TABLE).alias("table"), F.lit("INSERT").alias("type")))
+    return feeds.write_feed(domain.change_log(spark, sf), path,
+                            F.get_json_object("value", "$.es").cast("bigint"),
+                            tail=[_marker(spark, end)])
+
+
+def _timed_log(df: DataFrame, path: str, key: str, order) -> str:
+    """Rows (key, ..., ts) with their times as text, in time order, the end marker."""
+    text = df.withColumn("ts", F.col("ts").cast("string"))
+    end = text.sparkSession.range(1).select(*[
+        F.lit(END_TEXT if c == "ts" else -1).cast(kind).alias(c) for c, kind in text.dtypes])
+    return feeds.write_feed(text, path, order, tail=[end])
+
+
+def _envelope_stream(spark: SparkSession, sf: str, name: str, order=None) -> tuple[DataFrame, str]:
     folder = feeds.run_folder(spark, name)
-    feeds.write_feed(domain.event_envelopes(spark, sf), f"{folder}/feed", F.col("offset"))
+    envelope_log(spark, sf, f"{folder}/feed", order)
     return jobs.json_lines_source(spark, f"{folder}/feed", max_files_per_trigger=1), folder
 
 
 def stream_ad_click_sliding(spark, sf):
-    """A3 on a stream: sliding counts per product, emitted as windows close."""
-    src, folder = _envelope_stream(spark, sf, "ad_click_sliding")
+    """A3 on a stream: sliding counts per product, emitted as windows close. The log
+    is out of order by up to 20 events, which the watermark's delay allows for (W4)."""
+    scrambled = F.col("offset") + F.pmod(F.col("offset") * 7919, F.lit(20))
+    src, folder = _envelope_stream(spark, sf, "ad_click_sliding", scrambled)
     width, slide = P["ad_window"]
-    out = feeds.drain_to_parquet(jobs.ad_click_counts(src, width, slide, NO_DELAY), folder)
+    out = feeds.drain_to_parquet(jobs.ad_click_counts(src, width, slide, "3 days"), folder)
     return out.select("product_id", "window_start", "window_end",
                       format_ts("window_end").alias("end_time"), "click_count")
 
@@ -71,8 +130,8 @@ def stream_channel_users(spark, sf):
 def _click_browse_streams(spark, sf, name):
     folder = feeds.run_folder(spark, name)
     for kind, side_name in (("click", "clicks"), ("view", "browses")):
-        log = domain.click_log(spark, sf, kind).withColumn("ts", F.col("ts").cast("string"))
-        feeds.write_feed(log, f"{folder}/{side_name}", F.col("event_id"))
+        log = domain.click_log(spark, sf, kind)
+        _timed_log(log, f"{folder}/{side_name}", "event_id", F.col("event_id"))
     schema = "user_id bigint, event_id bigint, ts string"
 
     def side(side_name, key, id_col, ts_col):
@@ -102,7 +161,7 @@ def stream_click_browse_window(spark, sf):
 
 def _order_outcomes(spark, sf, name):
     folder = feeds.run_folder(spark, name)
-    feeds.write_feed(domain.order_status_lines(spark, sf), f"{folder}/feed", F.col("offset"))
+    status_line_log(spark, sf, f"{folder}/feed")
     src = jobs.json_lines_source(spark, f"{folder}/feed", max_files_per_trigger=1)
     rows = jobs.watermarked(parse.parse_order_lines(src, keep=["offset"]), "ts", NO_DELAY)
     job = stateful.followed_by_stream(rows, "order_id", "ts", "offset",
@@ -133,8 +192,8 @@ def stream_order_pay_match(spark, sf):
     folder = feeds.run_folder(spark, "order_pay_match")
     for side_name, df in (("orders", domain.order_events(spark, sf)),
                           ("pays", domain.pay_events(spark, sf))):
-        feeds.write_feed(df.withColumn("ts", F.col("ts").cast("string")),
-                         f"{folder}/{side_name}", F.unix_micros(F.col("ts").cast("timestamp")))
+        _timed_log(df, f"{folder}/{side_name}", "order_id",
+                   F.unix_micros(F.col("ts").cast("timestamp")))
     schema = "order_id bigint, ts string"
 
     def side(side_name, ts_col):
@@ -154,52 +213,77 @@ def _static_dimension(spark, sf):
 
 
 def _typed_order_stream(spark, sf, folder):
-    """Change-log feed in change-time order -> INSERTed trade orders."""
-    feeds.write_feed(domain.change_log(spark, sf), f"{folder}/feed",
-                     F.get_json_object("value", "$.es").cast("bigint"))
+    """Change log in change-time order -> INSERTed trade orders."""
+    change_log(spark, sf, f"{folder}/feed")
     src = jobs.json_lines_source(spark, f"{folder}/feed", max_files_per_trigger=1)
-    changes = parse.parse_changes(src, types=STATISTICS_TYPES)
+    changes = parse.filter_database(parse.parse_changes(src, types=STATISTICS_TYPES, keep=["offset"],
+                                                        observe="change_types"))
     orders = parse.decode_row(parse.filter_table(changes, domain.CHANGE_TABLE), {
         "order_id": ("o_orderkey", "bigint"), "cust": ("o_custkey", "bigint"),
-        "total_money": ("o_totalprice", "double"), "create_time": ("o_orderdate", "timestamp_ntz")})
-    return orders.withColumn("area_id", F.col("cust") * 10 + domain.LEVEL_AREA)
+        "total_money": ("o_totalprice", "double"),
+        "create_time": ("o_orderdate", "timestamp_ntz")}, keep=["offset"])
+    orders = orders.withColumn("area_id", F.col("cust") * 10 + domain.LEVEL_AREA)
+    return jobs.watermarked(orders, "create_time", NO_DELAY)
 
 
 def _city_sliding_stream(spark, sf, folder):
-    orders = (_typed_order_stream(spark, sf, folder)
-              .withColumn("create_time", to_event_time("create_time"))
-              .withWatermark("create_time", NO_DELAY))
-    joined = dims.lookup(orders, _static_dimension(spark, sf), "area_id", "areaid")
-    width, slide = P["order_window"]
-    out = windows.window_aggregate(joined, "create_time", ["city", "province"],
-                                   {"total_money": ("money", "total_money"),
-                                    "order_count": ("count", None)}, width, slide)
-    return out.withColumn("window_start", to_wall_time("window_start")) \
-              .withColumn("window_end", to_wall_time("window_end"))
+    joined = dims.lookup(_typed_order_stream(spark, sf, folder), _static_dimension(spark, sf),
+                         "area_id", "areaid")
+    return jobs.city_totals_panes(joined, *P["order_window"])
 
 
 def stream_city_order_sliding(spark, sf):
     """A2 on a stream: the change log (INSERTs) -> typed orders -> area lookup
-    (stream x static) -> sliding totals per city, emitted as windows close."""
+    (stream x static) -> pane totals -> sliding totals per city."""
     folder = feeds.run_folder(spark, "city_order_sliding")
     return feeds.drain_to_parquet(_city_sliding_stream(spark, sf, folder), folder)
 
 
+def stream_order_area_missing(spark, sf):
+    """The J3 audit on a stream: inserted orders without an area."""
+    folder = feeds.run_folder(spark, "order_area_missing")
+    missing = dims.lookup_missing(_typed_order_stream(spark, sf, folder),
+                                  _static_dimension(spark, sf), "area_id", "areaid", streaming=True)
+    return feeds.drain_to_parquet(missing.select("order_id", "area_id", "total_money"), folder)
+
+
+def serving_store(spark: SparkSession, root: str) -> KeyedLog:
+    """The serving table: per key the latest window (K4)."""
+    return KeyedLog(spark, root, "redis_key string, total_money double, order_count bigint, "
+                    "time bigint", lambda log: dims.latest_per_key(log, "redis_key", "time"))
+
+
+def serving_rows(closed: DataFrame) -> DataFrame:
+    return closed.select(F.concat("province", "city").alias("redis_key"), "total_money",
+                         "order_count", ts_to_millis("window_end").alias("time"))
+
+
 def stream_city_serving_state(spark, sf):
-    """K4 on a stream: closed sliding windows are upserted per (province, city)
-    into a keyed serving table; the later window wins."""
+    """K4 on a stream: closed sliding windows go to a keyed serving table; per
+    (province, city) the later window wins."""
     folder = feeds.run_folder(spark, "city_serving_state")
-    closed = _city_sliding_stream(spark, sf, folder).select(
-        F.concat("province", "city").alias("redis_key"), "total_money", "order_count",
-        ts_to_millis("window_end").alias("time"))
-    store = SnapshotStore(spark, f"{folder}/store",
-                          "redis_key string, total_money double, order_count bigint, time bigint")
-    q = jobs.start(closed, "city_serving_state", f"{folder}/checkpoint",
-                   foreach_batch=upsert_sink(store, "redis_key", "time"))
-    _await(q)
+    store = serving_store(spark, f"{folder}/store")
+    feeds.run_to_end(jobs.start(serving_rows(_city_sliding_stream(spark, sf, folder)),
+                                "city_serving_state", f"{folder}/checkpoint",
+                                foreach_batch=store.sink()))
     return store.read()
 
 
+def totals_store(spark: SparkSession, root: str) -> KeyedLog:
+    """Totals per city as a stream in update mode renews them: the last one counts."""
+    return KeyedLog(
+        spark, root, "city_key string, city string, province string, total_money double, "
+        "order_count bigint, at timestamp, batch bigint",
+        lambda log: dims.latest_per_key(
+            log.withColumn("seq", F.struct("at", "batch")).drop("at", "batch"), "city_key", "seq"))
+
+
+def renewed_totals(batch: DataFrame, batch_id: int) -> DataFrame:
+    return batch.select(F.to_json(F.array("province", "city")).alias("city_key"), "city",
+                        "province", "total_money", "order_count",
+                        F.current_timestamp().alias("at"), F.lit(batch_id).cast("bigint").alias("batch"))
+
+
 def stream_city_order_total(spark, sf):
     """A1 / A1b on a stream: running totals per city in update mode (the
     reference's retract stream), upserted per city into a keyed store; the
@@ -210,42 +294,40 @@ def stream_city_order_total(spark, sf):
     totals = windows.aggregate(joined, ["city", "province"],
                                {"total_money": ("money", "total_money"),
                                 "order_count": ("count", None)})
-    store = SnapshotStore(spark, f"{folder}/store",
-                          "city_key string, city string, province string, "
-                          "total_money double, order_count bigint, batch bigint")
-
-    def sink(batch, batch_id):
-        rows = batch.select(F.to_json(F.array("province", "city")).alias("city_key"),
-                            "city", "province", "total_money", "order_count",
-                            F.lit(batch_id).cast("bigint").alias("batch"))
-        store.write_batch(batch_id, lambda cur: cl.upsert_rows(cur, rows, "city_key", "batch"))
-
-    q = jobs.start(totals, "city_order_total", f"{folder}/checkpoint",
-                   output_mode="update", foreach_batch=sink)
-    _await(q)
+    store = totals_store(spark, f"{folder}/store")
+    feeds.run_to_end(jobs.start(totals, "city_order_total", f"{folder}/checkpoint",
+                                output_mode="update", foreach_batch=store.sink(renewed_totals)))
     return store.read().select("city", "province", "total_money", "order_count")
 
 
-def _await(q):
-    q.awaitTermination(600)
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+def _ingested(spark, sf, name, state):
+    """The change log ingested by a stream into a keyed store (K1, K3)."""
+    folder = feeds.run_folder(spark, name)
+    change_log(spark, sf, f"{folder}/feed")
+    src = jobs.json_lines_source(spark, f"{folder}/feed", max_files_per_trigger=1)
+    changes = parse.filter_database(parse.parse_changes(src, observe="change_types"))
+    store = change_store(spark, f"{folder}/store", state)
+    feeds.run_to_end(jobs.start(changes.where(F.col("es") < END_MS), name, f"{folder}/checkpoint",
+                                foreach_batch=store.sink(lambda batch, _: cl.supported(batch))))
+    return store.read()
 
 
 def stream_changelog_state(spark, sf):
-    """K1 on a stream: each micro-batch of changes is merged into a versioned
-    snapshot from ``foreachBatch``; returns the final snapshot, typed."""
-    folder = feeds.run_folder(spark, "changelog_state")
-    feeds.write_feed(domain.change_log(spark, sf), f"{folder}/feed",
-                     F.get_json_object("value", "$.es").cast("bigint"))
-    src = jobs.json_lines_source(spark, f"{folder}/feed", max_files_per_trigger=1)
-    changes = parse.filter_database(parse.parse_changes(src))
-    store = SnapshotStore(spark, f"{folder}/store",
-                          "row_key string, row map<string,string>, es bigint")
-    q = jobs.start(changes, "changelog_state", f"{folder}/checkpoint",
-                   foreach_batch=changelog_sink(store, cl.apply_row_changes))
-    _await(q)
-    return parse.decode_row(store.read(), ORDER_FIELDS, keep=["row_key", "es"])
+    """K1 on a stream: micro-batches of changes go to the keyed store; its row-level
+    state at the end, typed."""
+    return typed_state(_ingested(spark, sf, "changelog_state", cl.row_state))
+
+
+def stream_changelog_partial(spark, sf):
+    """K1b on a stream: the same with column-level puts."""
+    return typed_state(_ingested(spark, sf, "changelog_partial", cl.cell_state))
+
+
+def stream_city_order_total_stored(spark, sf):
+    """Feature 1 from the orders a stream has ingested and the store has kept."""
+    kept = parse.filter_table(_ingested(spark, sf, "city_order_total_stored", cl.cell_state),
+                              domain.CHANGE_TABLE)
+    return city_totals_of(kept, area_dimension(spark, sf), "o_custkey", "o_totalprice")
 
 
 def stream_blacklist_repeat_skip(spark, sf):
@@ -270,29 +352,21 @@ def stream_blacklist_repeat_all(spark, sf):
     out = feeds.drain_to_parquet(job, folder)
     return out.select("uid", "product_id", "click_count", "area",
                       to_wall_time("start_ts").alias("start_ts"),
+                      to_wall_time("shortest_start_ts").alias("shortest_start_ts"),
                       to_wall_time("end_ts").alias("end_ts"))
 
 
 def stream_city_order_running(spark, sf):
     """A1b on a stream: each city's new total after every order (the per-row
-    changelog of feature 1), as orders pass the watermark in change-time order."""
+    changelog of feature 1), as the orders arrive."""
     folder = feeds.run_folder(spark, "city_order_running")
-    feeds.write_feed(domain.change_log(spark, sf), f"{folder}/feed",
-                     F.get_json_object("value", "$.es").cast("bigint"))
-    src = jobs.json_lines_source(spark, f"{folder}/feed", max_files_per_trigger=1)
-    changes = parse.filter_table(parse.parse_changes(src, types=STATISTICS_TYPES,
-                                                     keep=["offset"]), domain.CHANGE_TABLE)
-    orders = parse.decode_row(changes, {
-        "order_id": ("o_orderkey", "bigint"), "cust": ("o_custkey", "bigint"),
-        "total_money": ("o_totalprice", "double"),
-        "create_time": ("o_orderdate", "timestamp_ntz")}, keep=["offset"])
-    orders = (orders.withColumn("area_id", F.col("cust") * 10 + domain.LEVEL_AREA)
-              .withColumn("create_time", to_event_time("create_time"))
-              .withWatermark("create_time", NO_DELAY))
-    joined = dims.lookup(orders, _static_dimension(spark, sf), "area_id", "areaid")
-    job = stateful.running_totals_stream(joined, ["city", "province"], "create_time", "offset",
-                                         "order_id", "total_money")
-    return feeds.drain_to_parquet(job, folder)
+    joined = dims.lookup(_typed_order_stream(spark, sf, folder), _static_dimension(spark, sf),
+                         "area_id", "areaid")
+    totals = RunningTotals(spark, f"{folder}/totals", ["city", "province"], "order_id", "total_money",
+                           "create_time", "offset")
+    feeds.run_to_end(jobs.start(joined, "city_order_running", f"{folder}/checkpoint",
+                                foreach_batch=totals.sink))
+    return totals.read()
 
 
 STREAMED = {
@@ -309,7 +383,10 @@ STREAMED = {
     "stream_city_serving_state": stream_city_serving_state,
     "stream_city_order_total": stream_city_order_total,
     "stream_city_order_running": stream_city_order_running,
+    "stream_order_area_missing": stream_order_area_missing,
+    "stream_city_order_total_stored": stream_city_order_total_stored,
     "stream_changelog_state": stream_changelog_state,
+    "stream_changelog_partial": stream_changelog_partial,
     "stream_blacklist_repeat_skip": stream_blacklist_repeat_skip,
     "stream_blacklist_repeat_all": stream_blacklist_repeat_all,
 }

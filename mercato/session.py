@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,14 +54,19 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset (a
-    local test run) is a fresh scratch folder taken.
+    The cluster names it in ``spark.checkpoint.dir``. Only on a local master (a
+    test run, where one machine is all there is) may it be unset: a scratch
+    folder is taken and removed at exit. On a cluster that is an error, since
+    each executor would see a folder of its own.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if path and spark.sparkContext.getCheckpointDir():
         return path
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="mercato-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         try:
             spark.conf.set(CHECKPOINT_CONF, path)
         except Exception:  # a core setting the session refuses to change at runtime

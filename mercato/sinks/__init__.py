@@ -1,5 +1,5 @@
-"""Sinks: keyed snapshot stores written from ``foreachBatch``."""
+"""Sinks of the warehouse's jobs."""
 
-from .snapshot import SnapshotStore, changelog_sink, upsert_sink
+from .keyed import KeyedLog
 
-__all__ = ["SnapshotStore", "changelog_sink", "upsert_sink"]
+__all__ = ["KeyedLog"]

@@ -10,16 +10,22 @@ Rules (not data):
 * area tree: region = province, nation = city, customer = area. A node id is
   ``key * 10 + level`` with level 1, 2, 3, so ids never collide between levels
   and need no lookup table; the root level points to parent 0.
-* trade orders: one per ``orders`` row; its area is the customer's area node.
+* trade orders: one per ``orders`` row; its area is the customer's area node. Every
+  97th order names customer -1, whose area does not exist.
 * event envelopes: one per ``events`` row. ``click`` is named ``ad``; the ad's
   product is ``props.k % 5``; area is the customer's nation, channel the
-  customer's market segment.
+  customer's market segment. Every 11th ad envelope holds an older ad before it,
+  every 13th envelope an older non-ad event after it.
 * order status lines: ``click`` = status 1 (created), ``purchase`` = status 2
   (paid), other types 3, 4, 5; the order id is the user.
 * change log: every order is INSERTed at its order date; an order with line
   items is UPDATEd to status F one hour after the later of its order date and
   its last ship date; an order without line items is DELETEd 30 days after its
-  order date.
+  order date. Every 5th order with line items is UPDATEd again an hour later by
+  a message that carries its key and priority only. Beside these, by key: rows of
+  two other tables (one with the same keys, one with composite keys and two rows
+  per message), of another database, in types that are not taken, a database name
+  in capitals, and DELETEs that name no key.
 """
 
 from __future__ import annotations
@@ -34,8 +40,10 @@ LEVEL_PROVINCE, LEVEL_CITY, LEVEL_AREA = 1, 2, 3
 ROOT_PARENT = 0
 PRODUCTS = 5
 STATUS_BY_EVENT = {"click": "1", "purchase": "2", "view": "3", "signup": "4", "error": "5"}
+# Fixed value (must equal the reference's): the database that is ingested.
 CHANGE_DATABASE = "dwshow"
 CHANGE_TABLE = "orders"
+NO_CUSTOMER_EVERY = 97
 DAY_MS = 86_400_000
 
 
@@ -44,25 +52,30 @@ def node_id(key, level: int):
 
 
 def area_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, name, pid) nodes of three levels, as the stored area table."""
+    """(id, name, pid, level) nodes of three levels, as the stored area table."""
     region = table(spark, sf_dir, "region").select(
         node_id("r_regionkey", LEVEL_PROVINCE).alias("id"), F.col("r_name").alias("name"),
-        F.lit(ROOT_PARENT).cast("bigint").alias("pid"))
+        F.lit(ROOT_PARENT).cast("bigint").alias("pid"), F.lit(LEVEL_PROVINCE).alias("level"))
     nation = table(spark, sf_dir, "nation").select(
         node_id("n_nationkey", LEVEL_CITY).alias("id"), F.col("n_name").alias("name"),
-        node_id("n_regionkey", LEVEL_PROVINCE).alias("pid"))
+        node_id("n_regionkey", LEVEL_PROVINCE).alias("pid"), F.lit(LEVEL_CITY).alias("level"))
     customer = table(spark, sf_dir, "customer").select(
         node_id("c_custkey", LEVEL_AREA).alias("id"), F.col("c_name").alias("name"),
-        node_id("c_nationkey", LEVEL_CITY).alias("pid"))
+        node_id("c_nationkey", LEVEL_CITY).alias("pid"), F.lit(LEVEL_AREA).alias("level"))
     return region.unionByName(nation).unionByName(customer)
 
 
+def ordering_customer():
+    return F.when(F.col("o_orderkey") % NO_CUSTOMER_EVERY == 0, F.lit(-1).cast("bigint")).otherwise(
+        F.col("o_custkey").cast("bigint"))
+
+
 def trade_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trade orders keyed by order id, located in an area node."""
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
-        node_id("o_custkey", LEVEL_AREA).alias("area_id"),
-        F.col("o_custkey").alias("user_id"),
+        (ordering_customer() * 10 + LEVEL_AREA).alias("area_id"),
+        ordering_customer().alias("user_id"),
         F.col("o_totalprice").alias("total_money"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderdate").alias("create_time"),
@@ -85,17 +98,22 @@ def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events.join(_customer_attrs(spark, sf_dir),
                      F.col("user_id") == F.col("c_custkey"), "left")
     is_ad = F.col("event_type") == "click"
-    product = (F.get_json_object("props", "$.k").cast("bigint") % PRODUCTS).cast("string")
-    payload = F.struct(
-        F.when(is_ad, product).alias("product_id"),
-        F.when(is_ad, F.lit("0")).alias("ad_action"),
-        F.when(is_ad, F.lit("ad")).otherwise(F.lit("common")).alias("event_type"),
-    )
-    event = F.struct(
-        F.when(is_ad, F.lit("ad")).otherwise(F.col("event_type")).alias("name"),
-        payload.alias("json"),
-        ts_to_millis("ts").alias("time"),
-    )
+    k = F.get_json_object("props", "$.k").cast("bigint")
+
+    def event(name, product, kind, millis):
+        payload = F.struct(product.cast("string").alias("product_id"),
+                           F.when(is_ad, F.lit("0")).alias("ad_action"), kind.alias("event_type"))
+        return F.struct(name.alias("name"), payload.alias("json"), millis.alias("time"))
+
+    at = ts_to_millis("ts")
+    common = F.lit("common")
+    events = F.array(
+        F.when(is_ad & (F.col("event_id") % 11 == 0),
+               event(F.lit("ad"), (k + 1) % PRODUCTS, F.lit("ad"), at - 1000)),
+        event(F.when(is_ad, F.lit("ad")).otherwise(F.col("event_type")),
+              F.when(is_ad, k % PRODUCTS), F.when(is_ad, F.lit("ad")).otherwise(common), at),
+        F.when(F.col("event_id") % 13 == 0,
+               event(common, F.lit(None).cast("bigint"), common, at - 500)))
     attr = F.struct(
         F.col("area").alias("area"),
         F.col("user_id").cast("string").alias("uid"),
@@ -104,7 +122,8 @@ def event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return ev.select(
         F.col("event_id").alias("offset"),
-        F.to_json(F.struct(F.array(event).alias("lagou_event"), attr.alias("attr"))).alias("value"),
+        F.to_json(F.struct(F.filter(events, lambda e: e.isNotNull()).alias("lagou_event"),
+                           attr.alias("attr"))).alias("value"),
     )
 
 
@@ -141,51 +160,69 @@ def pay_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.min("l_shipdate").alias("ts")))
 
 
+def _row(**cells):
+    """A row as the log carries it: every cell as text."""
+    return F.create_map(*[x for k, v in cells.items() for x in (F.lit(k), v.cast("string"))])
+
+
 def _order_row(status=None):
-    cols = {
-        "o_orderkey": F.col("o_orderkey").cast("string"),
-        "o_custkey": F.col("o_custkey").cast("string"),
-        "o_orderstatus": F.col("o_orderstatus") if status is None else F.lit(status),
-        "o_totalprice": F.col("o_totalprice").cast("string"),
-        "o_orderdate": F.col("o_orderdate").cast("string"),
-        "o_orderpriority": F.col("o_orderpriority"),
-    }
-    return F.create_map(*[x for k, v in cols.items() for x in (F.lit(k), v)])
+    return _row(o_orderkey=F.col("o_orderkey"), o_custkey=ordering_customer(),
+                o_orderstatus=F.col("o_orderstatus") if status is None else F.lit(status),
+                o_totalprice=F.col("o_totalprice"), o_orderdate=F.col("o_orderdate"),
+                o_orderpriority=F.col("o_orderpriority"))
 
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(offset, value): change-log JSON envelopes for the orders table."""
+    """(offset, value): change-log JSON envelopes, see the rules above."""
     orders = table(spark, sf_dir, "orders")
     last_ship = (table(spark, sf_dir, "lineitem")
                  .groupBy(F.col("l_orderkey").alias("k"))
                  .agg(F.max("l_shipdate").alias("last_ship")))
     o = orders.join(last_ship, F.col("o_orderkey") == F.col("k"), "left")
+    key = F.col("o_orderkey")
     created = ts_to_millis("o_orderdate")
     has_items = F.col("last_ship").isNotNull()
     updated = ts_to_millis(F.greatest("o_orderdate", "last_ship")) + 3_600_000
     deleted = created + 30 * DAY_MS
+    database = F.lit(CHANGE_DATABASE)
 
-    def envelope(kind: str, es, seq: int, row):
-        return F.to_json(F.struct(
-            F.array(row).alias("data"),
-            F.lit(CHANGE_DATABASE).alias("database"),
+    def message(seq: int, kind: str, es, *rows, database=database, table=CHANGE_TABLE,
+                pk=("o_orderkey",)):
+        value = F.to_json(F.struct(
+            F.array(*rows).alias("data"),
+            database.alias("database"),
             es.alias("es"),
             F.lit(seq).cast("bigint").alias("id"),
             F.lit(False).alias("isDdl"),
-            F.array(F.lit("o_orderkey")).alias("pkNames"),
-            F.lit(CHANGE_TABLE).alias("table"),
+            F.array(*[F.lit(c) for c in pk]).cast("array<string>").alias("pkNames"),
+            F.lit(table).alias("table"),
             (es + 500).alias("ts"),
             F.lit(kind).alias("type"),
             F.lit("").alias("sql"),
         ))
-
-    # one pass over the orders: each emits its INSERT and then its UPDATE or DELETE
-    msgs = F.array(
-        F.struct((F.col("o_orderkey") * 3).alias("offset"),
-                 envelope("INSERT", created, 1, _order_row()).alias("value")),
-        F.when(has_items, F.struct((F.col("o_orderkey") * 3 + 1).alias("offset"),
-                                   envelope("UPDATE", updated, 2, _order_row("F")).alias("value")))
-        .otherwise(F.struct((F.col("o_orderkey") * 3 + 2).alias("offset"),
-                            envelope("DELETE", deleted, 3, _order_row()).alias("value"))),
+        return F.struct((key * 16 + seq).alias("offset"), value.alias("value"))
+
+    def note(line: str, text: str):
+        return _row(o_orderkey=key, line=F.lit(line), note=F.lit(text))
+
+    capitals = F.when(key % 3 == 0, F.upper(database)).otherwise(database)
+    # one pass over the orders: each emits all of its messages
+    messages = F.array(
+        message(1, "INSERT", created, _order_row()),
+        F.when(has_items, message(2, "UPDATE", updated, _order_row("F"), database=capitals))
+        .otherwise(message(3, "DELETE", deleted, _order_row())),
+        F.when(has_items & (key % 5 == 0), message(
+            4, "UPDATE", updated + 3_600_000, _row(o_orderkey=key, o_orderpriority=F.lit("PATCHED")))),
+        F.when(key % 4 == 0, message(5, "INSERT", created + 1000, note("1", "a"), note("2", "b"),
+                                     table="order_notes", pk=("o_orderkey", "line"))),
+        F.when(key % 89 == 0, message(6, "DELETE", created + 1000, _order_row(), pk=())),
+        F.when(key % 4 == 0, message(
+            7, "INSERT", created + 400 * DAY_MS, _row(o_orderkey=key, o_orderstatus=F.lit("X")),
+            table="order_flags")),
+        F.when(key % 6 == 0, message(8, "INSERT", updated + DAY_MS, _order_row("Z"),
+                                     database=F.lit("elsewhere"))),
+        F.when(key % 10 == 0, message(9, "insert", created + 500 * DAY_MS, _order_row("L"))),
+        F.when(key % 10 == 1, message(10, "ALTER", created + 500 * DAY_MS, _order_row("A"))),
     )
-    return o.select(F.explode(msgs).alias("m")).select("m.offset", "m.value")
+    return (o.select(F.explode(F.filter(messages, lambda m: m.isNotNull())).alias("m"))
+            .select("m.offset", "m.value"))

@@ -1,4 +1,5 @@
-"""Parquet table scans. Column pruning and filter pushdown are left to Catalyst."""
+"""Parquet table scans. Column pruning, filter pushdown and the cutting of files
+into splits (``spark.sql.files.maxPartitionBytes``) are left to Spark."""
 
 from __future__ import annotations
 
@@ -8,25 +9,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-# Fact tables: row-heavy work (JSON, windows) runs on their scans.
-FACTS = ("orders", "lineitem", "events")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one table.
-
-    A fact table whose scan has fewer splits than the cluster has cores (one
-    small file, one row group) is spread round-robin over the default
-    parallelism; a large table already scans in many splits and is returned
-    as is, so on a cluster this adds nothing.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in FACTS:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # a session without a SparkContext (Spark Connect)
-            return df
-        if splits < cores:
-            df = df.repartition(cores)
-    return df
+    """Scan one table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -1,10 +1,15 @@
-"""Replay a derived table as a file stream, and drain a streaming query.
+"""Replay a derived table as a file stream, and run a streaming query to its end.
 
-Used by the streamed queries and tests: a table of messages is written as
-several JSON-lines files in log order (one file per micro-batch with
-``maxFilesPerTrigger=1``), a streaming job reads them with ``availableNow``,
-and its sink output is read back as a static DataFrame. All folders live under
-the session's shared ``spark.checkpoint.dir``; each run takes a fresh one.
+A table of messages is written as JSON-lines files in log order (one file per
+micro-batch with ``maxFilesPerTrigger=1``), a streaming job reads them with
+``availableNow``, and its sink output is read back as a static DataFrame. All
+folders live under the session's shared ``spark.checkpoint.dir``; each run takes
+a fresh one.
+
+A replayed log is finite, so it ends with a marker: one message dated
+``END_OF_LOG`` that moves the watermark past everything and is dropped behind it
+(``jobs.watermarked``). Open windows, timeouts and pending events then leave, as
+they do when a bounded input ends.
 """
 
 from __future__ import annotations
@@ -22,62 +27,88 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/mercato-streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def write_feed(df: DataFrame, path: str, order: Column, parts: int = 4,
-               rows_per_file: int = 1_000_000) -> str:
-    """Write ``df`` as one JSON-lines file per range of ``order``, in order.
+def write_feed(df: DataFrame, path: str, order: Column, files: int = 4,
+               tail: list[DataFrame] | None = None) -> str:
+    """Write ``df`` as at most ``files`` JSON-lines files in the order of ``order``.
 
-    Appends run one after another and each holds exactly one file, so file
-    order (what a file stream follows) is log order and every micro-batch
-    is one contiguous stretch of the log. The number of ranges grows with the
-    row count so that no file holds more than about ``rows_per_file`` rows.
+    One job: the rows are range-partitioned and sorted by ``order`` (NULLs first),
+    so a range is a contiguous stretch of the log and holds about as many rows as
+    any other. A file stream follows modification times, which a parallel write
+    leaves in any order, so they are set to the order of the ranges afterwards.
+    ``tail`` frames (late rows, the end marker) follow, one file each.
     """
-    lo, hi, n = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
-    if lo is None:
-        df.limit(0).repartition(1).write.mode("append").json(path)
-        return path
-    parts = max(parts, -(-n // rows_per_file))
-    step = (hi - lo) / parts if hi > lo else 1
-    for i in range(parts):
-        lower = order >= F.lit(lo + i * step) if i else F.lit(True)
-        upper = order < F.lit(lo + (i + 1) * step) if i < parts - 1 else F.lit(True)
-        # one file per append; the work before it stays parallel
-        df.where(lower & upper).repartition(1).write.mode("append").json(path)
+    (df.withColumn("_order", order)
+     .repartitionByRange(files, F.col("_order").asc_nulls_first())
+     .sortWithinPartitions(F.col("_order").asc_nulls_first()).drop("_order")
+     .write.json(path))
+    for extra in tail or []:
+        extra.select(*df.columns).coalesce(1).write.mode("append").json(f"{path}/_tail")
+        _move(df.sparkSession, f"{path}/_tail", path)
+    _in_order(df.sparkSession, path)
     return path
 
 
+def _files(spark: SparkSession, path: str) -> tuple:
+    """The file system of a folder, and the status of its data files by name."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s for s in fs.listStatus(folder) if s.getPath().getName().startswith(("part-", "tail-"))]
+    return fs, sorted(found, key=lambda s: s.getPath().getName())
+
+
+def _move(spark: SparkSession, source: str, path: str) -> None:
+    """Move the files of ``source`` behind those of ``path`` (by name)."""
+    fs, found = _files(spark, source)
+    _, there = _files(spark, path)
+    n = sum(s.getPath().getName().startswith("tail-") for s in there)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for i, s in enumerate(found):
+        fs.rename(s.getPath(), target(f"{path}/tail-{n + i:05d}.json"))
+    fs.delete(target(source), True)
+
+
+def _in_order(spark: SparkSession, path: str) -> None:
+    """Give the files of a feed modification times in the order of their names."""
+    fs, found = _files(spark, path)
+    last = max((s.getModificationTime() for s in found), default=0)
+    for i, s in enumerate(reversed(found)):
+        fs.setTimes(s.getPath(), last - i * 1000, -1)
+
+
 @contextlib.contextmanager
 def state_partitions(spark: SparkSession, n: int | None = None):
     """Number of state partitions for streams started inside the block.
 
-    A stream fixes its state partitions (``spark.sql.shuffle.partitions``) at
-    its first batch, from the session copy taken when it starts; here that is
-    the cluster's parallelism instead of a batch-sized default. The session's
-    own setting is restored afterwards.
+    A stream fixes its state partitions (``spark.sql.shuffle.partitions``) at its
+    first batch, for the life of its checkpoint, from the session copy taken when
+    it starts. ``None`` keeps the session's value; the setting is restored.
     """
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
-    if n is None:
-        try:
-            n = spark.sparkContext.defaultParallelism
-        except Exception:  # no SparkContext (Spark Connect): keep the session's value
-            n = int(old)
-    spark.conf.set(key, str(n))
+    if n is not None:
+        spark.conf.set(key, str(n))
     try:
-        yield n
+        yield
     finally:
         spark.conf.set(key, old)
 
 
+def run_to_end(query) -> None:
+    """Wait, without a limit, for an ``availableNow`` query to end; raise if it failed."""
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
 def drain_to_parquet(stream: DataFrame, folder: str, output_mode: str = "append",
-                     timeout_s: int = 600) -> DataFrame:
+                     partitions: int | None = None) -> DataFrame:
     """Run ``stream`` over everything available into Parquet; return what it wrote."""
     spark = stream.sparkSession
-    with state_partitions(spark):
-        q = (stream.writeStream.outputMode(output_mode).format("parquet")
-             .option("path", f"{folder}/data")
-             .option("checkpointLocation", f"{folder}/checkpoint")
-             .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    with state_partitions(spark, partitions):
+        query = (stream.writeStream.outputMode(output_mode).format("parquet")
+                 .option("path", f"{folder}/data")
+                 .option("checkpointLocation", f"{folder}/checkpoint")
+                 .trigger(availableNow=True).start())
+    run_to_end(query)
     return spark.read.schema(stream.schema).parquet(f"{folder}/data")

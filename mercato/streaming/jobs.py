@@ -12,12 +12,15 @@ The jobs reuse the batch operators. What differs on a stream:
   is refused next to the window.
 
 Results match the batch operators on rows whose windows / timeouts are closed
-by the final watermark (Spark, like the reference, emits a window in append
-mode only after the watermark passes its end).
+by the watermark (Spark, like the reference, emits a window in append mode only
+after the watermark passes its end). A finite log that ends with a message dated
+``END_OF_LOG`` closes all of them.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,8 @@ from ..functions.time import to_event_time, to_wall_time
 from ..operators import joins, parse, windows
 
 VALUE_SCHEMA = "offset bigint, value string"
+# later than any event; a message of this time only moves the watermark
+END_OF_LOG = dt.datetime(2200, 1, 1)
 
 
 # ----------------------------------------------------------------- sources
@@ -65,8 +70,17 @@ def text_lines_source(spark: SparkSession, path: str,
 # ----------------------------------------------------------------- helpers
 
 def watermarked(df: DataFrame, ts: str, delay) -> DataFrame:
-    """Event time as TIMESTAMP with a bounded-lateness watermark."""
-    return df.withColumn(ts, to_event_time(ts)).withWatermark(ts, duration.text(delay))
+    """Event time as TIMESTAMP with a bounded-lateness watermark.
+
+    Behind the watermark, rows without a time (unparsable text) and the end
+    marker go. How many had no time is the metric ``no_<ts>`` of the query's
+    progress. The filter names the event time, so Spark keeps it behind the
+    watermark.
+    """
+    timed = (df.withColumn(ts, to_event_time(ts))
+             .observe(f"no_{ts}", F.count_if(F.col(ts).isNull()).alias("dropped"))
+             .withWatermark(ts, duration.text(delay)))
+    return timed.where(F.col(ts) < F.lit(END_OF_LOG).cast("timestamp"))
 
 
 def with_processing_time(df: DataFrame, col: str = "proc_ts") -> DataFrame:
@@ -110,6 +124,23 @@ def ad_click_counts_panes(envelopes: DataFrame, width, slide, delay) -> DataFram
     return _wall(out, "window_start", "window_end")
 
 
+def city_totals_panes(orders: DataFrame, width, slide) -> DataFrame:
+    """Feature 2 from panes on a stream: watermarked, joined orders are totalled per
+    city and slide-wide pane, and the pane totals feed the sliding windows (A2); a
+    row is copied once, not width/slide times."""
+    panes = (orders.groupBy(F.window("create_time", duration.text(slide)).alias("_pane"),
+                            "city", "province")
+             .agg(F.sum(F.col("total_money").cast(windows.MONEY)).alias("_m"),
+                  F.count(F.lit(1)).alias("_n"))
+             .select("city", "province", "_m", "_n", F.window_time("_pane").alias("_pane_ts")))
+    out = (panes.groupBy(F.window("_pane_ts", duration.text(width), duration.text(slide))
+                         .alias("_w"), "city", "province")
+           .agg(F.sum("_m").cast("double").alias("total_money"), F.sum("_n").alias("order_count"))
+           .select("city", "province", F.col("_w.start").alias("window_start"),
+                   F.col("_w.end").alias("window_end"), "total_money", "order_count"))
+    return _wall(out, "window_start", "window_end")
+
+
 def blacklist_counts(envelopes: DataFrame, width, threshold: int, delay) -> DataFrame:
     """Feature 4 (window): clicks per (user, product) and tumbling window, >= k (A4, P10)."""
     clicks = watermarked(parse.parse_ad_clicks(envelopes, keep=["offset"]), "ts", delay)
@@ -125,31 +156,6 @@ def channel_users(envelopes: DataFrame, width, delay) -> DataFrame:
     return _wall(out, "window_start", "window_end")
 
 
-def order_timeouts(lines: DataFrame, within, delay) -> DataFrame:
-    """Feature 6: created orders (status 1) without a payment (status 2) within W (J7t).
-
-    One watermarked stream, two branches, a left outer interval join: a start
-    row comes out with NULL ends once the watermark passes ``start + W``. This
-    Spark-native form pairs each start with its key's ends inside W; the
-    stateful ``stateful.followed_by_stream`` forms no pairs and is what the
-    registered query and the launcher use.
-    """
-    w_us = duration.micros(within)
-    rows = watermarked(parse.parse_order_lines(lines, keep=["offset"]), "ts", delay)
-    starts = rows.where(F.col("status") == "1").select(
-        "order_id", F.col("offset").alias("start_seq"), F.col("ts").alias("start_ts"), "money")
-    ends = rows.where(F.col("status") == "2").select(
-        F.col("order_id").alias("_ek"), F.col("offset").alias("end_seq"),
-        F.col("ts").alias("end_ts"))
-    cond = ((F.col("order_id") == F.col("_ek"))
-            & (F.col("end_ts") >= F.col("start_ts"))
-            & (F.col("end_ts") < F.col("start_ts") + duration.interval_us(w_us))
-            & ((F.col("end_ts") > F.col("start_ts")) | (F.col("end_seq") > F.col("start_seq"))))
-    joined = starts.join(ends, cond, "left_outer")
-    return _wall(joined.where(F.col("_ek").isNull())
-                 .select("order_id", "start_seq", "start_ts", "money"), "start_ts")
-
-
 def click_browse_pairs(clicks: DataFrame, browses: DataFrame, lower, upper, delay) -> DataFrame:
     """Interval join of two streams (J4), bounded state through both watermarks."""
     c = watermarked(clicks, "click_ts", delay)
@@ -195,8 +201,10 @@ def order_pay_outcomes(orders: DataFrame, pays: DataFrame, tolerance, delay) ->
 
 
 def start(df: DataFrame, name: str, checkpoint: str, output_mode: str = "append",
-          sink: str = "memory", foreach_batch=None, available_now: bool = True):
-    """Start a query with a checkpoint (W10); ``foreach_batch`` for keyed stores."""
+          sink: str = "memory", foreach_batch=None, available_now: bool = True,
+          partitions: int | None = None):
+    """Start a query with a checkpoint (W10); ``foreach_batch`` for keyed stores,
+    ``partitions`` for its state (fixed for the life of the checkpoint)."""
     from .feeds import state_partitions
 
     writer = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
@@ -206,5 +214,5 @@ def start(df: DataFrame, name: str, checkpoint: str, output_mode: str = "append"
         writer = writer.format(sink).queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    with state_partitions(df.sparkSession):
+    with state_partitions(df.sparkSession, partitions):
         return writer.start()

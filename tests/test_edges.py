@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import os
+import random
 
 from pyspark.sql import functions as F
 
@@ -63,11 +65,9 @@ def test_changelog_edge_types(spark):
     keys = {r.row_key for r in changes.collect()}
     assert "2" not in keys and "3" not in keys and "4" not in keys
     assert len([k for k in keys if len(k) == 64]) == 1  # hashed key, not random
-    row_state = {r.row_key: dict(r.row) for r in
-                 cl.apply_row_changes(cl.empty_snapshot(spark), changes).collect()}
+    row_state = {r.row_key: dict(r.row) for r in cl.row_state(changes).collect()}
     assert row_state["1"] == {"k": "1", "b": "new", "c": None}
-    col_state = {r.row_key: dict(r.row) for r in
-                 cl.apply_column_changes(cl.empty_snapshot(spark), changes).collect()}
+    col_state = {r.row_key: dict(r.row) for r in cl.cell_state(changes).collect()}
     # cells put before the DELETE are gone; later puts merge column by column
     assert col_state["1"] == {"k": "1", "a": "again", "b": "new", "c": None}
 
@@ -77,10 +77,10 @@ def test_changelog_replay_changes_nothing(spark):
                             "pkNames": ["k"], "data": [{"k": str(i % 3), "v": str(i)}]}))
             for i, t in enumerate(["INSERT", "INSERT", "INSERT", "UPDATE", "DELETE"])]
     changes = parse.parse_changes(spark.createDataFrame(rows, "offset long, value string"))
-    once = cl.apply_row_changes(cl.empty_snapshot(spark), changes)
-    twice = cl.apply_row_changes(once, changes)
-    assert sorted(map(tuple, once.select("row_key", "es").collect())) == \
-        sorted(map(tuple, twice.select("row_key", "es").collect()))
+    for state in (cl.row_state, cl.cell_state):
+        once, twice = state(changes), state(changes.unionByName(changes))
+        assert sorted(map(tuple, once.select("row_key", "es").collect())) == \
+            sorted(map(tuple, twice.select("row_key", "es").collect()))
 
 
 def test_timeout_boundary_is_strict(spark):
@@ -157,17 +157,78 @@ def test_repetition_matches_do_not_overlap(spark):
                    (T0 + dt.timedelta(seconds=30), T0 + dt.timedelta(seconds=32))]
 
 
-def test_incremental_apply_equals_whole(spark):
-    """Two batches applied in turn give the snapshot of one batch with all changes."""
+def _change(i, kind, key, es, table="t", pk=("k",), **cells):
+    return (i, json.dumps({"database": "dwshow", "table": table, "type": kind, "es": es, "id": i,
+                           "pkNames": list(pk), "data": [{"k": key, **cells}]}))
+
+
+def test_state_does_not_depend_on_batches_or_arrival(spark, scratch):
+    """Shuffled changes appended in random batches give the state of the whole log."""
+    from mercato.plans.queries import change_store
+    rnd = random.Random(3)
+    rows = [_change(i, rnd.choice(["INSERT", "UPDATE", "UPDATE", "DELETE"]), str(rnd.randrange(6)),
+                    rnd.randrange(40), rnd.choice(["t", "u"]),
+                    **{rnd.choice("ab"): str(i)}) for i in range(120)]
+    changes = parse.parse_changes(spark.createDataFrame(rows, "offset long, value string"),
+                                  keep=["offset"])
+
+    def rows_of(df):
+        return sorted((r.database, r.table, r.row_key, r.es, tuple(sorted(r.row.items())))
+                      for r in df.collect())
+
+    for name, state in (("row", cl.row_state), ("cell", cl.cell_state)):
+        store = change_store(spark, os.path.join(scratch, name), state)
+        order = list(range(len(rows)))
+        rnd.shuffle(order)
+        for k in range(0, len(order), 40):
+            store.append(cl.supported(changes.where(F.col("offset").isin(order[k:k + 40]))))
+        assert rows_of(store.read()) == rows_of(state(changes))
+        smaller = store.compact(os.path.join(scratch, f"{name}-compact"),
+                                cl.latest_changes if state is cl.row_state else lambda log: log)
+        assert rows_of(smaller.read()) == rows_of(state(changes))
+
+
+def test_tables_stay_apart_and_late_changes_lose(spark):
+    rows = [_change(1, "INSERT", "1", 100, "orders", v="new"), _change(2, "INSERT", "1", 5, "users", v="u"),
+            _change(3, "UPDATE", "1", 1, "orders", v="old"), _change(4, "INSERT", "2", 9, "orders"),
+            _change(5, "DELETE", "2", 20, "orders"), _change(6, "UPDATE", "2", 10, "orders", v="late")]
+    changes = parse.parse_changes(spark.createDataFrame(rows, "offset long, value string"))
+    for state in (cl.row_state, cl.cell_state):
+        got = sorted((r.table, r.row_key, r.row.get("v")) for r in state(changes).collect())
+        assert got == [("orders", "1", "new"), ("users", "1", "u")]
+
+
+def test_delete_without_key_is_rejected_and_dropped_types_are_counted(spark):
+    from pyspark.sql import Observation
+    rows = [_change(1, "INSERT", "1", 1, pk=(), v="a"), _change(2, "DELETE", "1", 2, pk=(), v="a"),
+            _change(3, "ALTER", "1", 3), _change(4, "insert", "1", 4)]
+    seen = Observation("dropped")
+    changes = parse.parse_changes(spark.createDataFrame(rows, "offset long, value string"), observe=seen)
+    assert cl.row_state(changes).count() == 1
+    assert seen.get["dropped_types"] == 2
+
+
+def test_null_keys_keep_their_side(spark):
+    o = spark.createDataFrame([(None, 0)], "order_id string, ms long").withColumn("ts", millis_to_ts("ms"))
+    p = spark.createDataFrame([(None, 0)], "order_id string, ms long").withColumn("ts", millis_to_ts("ms"))
+    got = sorted(r.outcome for r in
+                 joins.match_with_timeout(o, p, "order_id", "ts", "ts", "5 seconds").collect())
+    assert got == ["unmatched_order", "unmatched_pay"]
+
+
+def test_duplicate_dimension_keys_do_not_double_facts(spark):
+    fact = spark.createDataFrame([(1, 10.0), (2, 5.0)], "a long, m double")
+    dim = spark.createDataFrame([(1, "old", 0), (1, "new", 1), (2, "x", 0)], "k long, city string, seq int")
+    got = sorted((r.a, r.city, r.m) for r in
+                 dims.lookup(fact, dim, "a", "k", latest_by="seq").collect())
+    assert got == [(1, "new", 10.0), (2, "x", 5.0)]
+
+
+def test_flatten_with_and_without_levels(spark):
     from conftest import SF_SMALL
-    from mercato.plans import queries as q
-    changes = q.order_changes(spark, SF_SMALL)
-    mid = changes.approxQuantile("es", [0.5], 0.0)[0]
-    first, second = changes.where(F.col("es") < mid), changes.where(F.col("es") >= mid)
-    for apply in (cl.apply_row_changes, cl.apply_column_changes):
-        whole = apply(cl.empty_snapshot(spark), changes)
-        step = apply(apply(cl.empty_snapshot(spark), first), second)
-
-        def rows(df):
-            return sorted((r.row_key, r.es, tuple(sorted(r.row.items()))) for r in df.collect())
-        assert rows(step) == rows(whole)
+    from mercato.sources import domain
+    tree = domain.area_tree(spark, SF_SMALL)
+    with_levels = dims.flatten_hierarchy(tree, level_col="level")
+    assert sorted(map(tuple, with_levels.collect())) == sorted(map(tuple, dims.flatten_hierarchy(tree).collect()))
+    plan = with_levels._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("c_custkey") and plan.count("Relation") <= 3  # one scan per level

@@ -103,7 +103,7 @@ def _twelve_clicks(spark):
 
 def test_g5_repetition_no_skip(spark):
     out = patterns.repeated_all(_twelve_clicks(spark), ["uid", "product_id"], "ts", "offset",
-                                10, "10 seconds", payload=["area"])
+                                10, "10 seconds", payload=["area"], expand=True)
     rows = out.collect()
     assert sorted(r.click_count for r in rows) == [10, 10, 10, 11, 11, 12]
     assert {r.area for r in rows} == {"东莞"}

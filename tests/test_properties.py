@@ -1,5 +1,5 @@
-"""Properties: conservation in J6, late rows on a stream, the text
-source, and session settings restored after starting a stream."""
+"""Properties: conservation in J6, late rows on a stream, keyed logs, and
+session settings restored after starting a stream."""
 
 import datetime as dt
 import os
@@ -11,7 +11,6 @@ from mercato.operators import joins
 from mercato.streaming import feeds, jobs
 
 from conftest import SF_SMALL
-from test_goldens import ORDER_LINES
 
 
 def test_match_outcomes_conserve_rows(spark):
@@ -52,25 +51,10 @@ def test_late_row_is_dropped(spark, scratch):
     assert got[first] == 1  # the late click of batch 3 was not added
 
 
-def test_text_line_source_order_timeouts(spark, scratch):
-    path = os.path.join(scratch, "lines")
-    for i, line in enumerate(ORDER_LINES):  # one line per file: arrival order kept
-        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(path)
-    src = jobs.text_lines_source(spark, path, max_files_per_trigger=1)
-    # a socket line carries no offset; G4 has no equal times, so ties never matter
-    src = src.withColumn("offset", F.lit(0).cast("bigint"))
-    q = jobs.start(jobs.order_timeouts(src, "15 minutes", "500 milliseconds"), "txt_timeouts",
-                   os.path.join(scratch, "ckpt-txt"))
-    q.awaitTermination(180)
-    got = sorted(r.order_id for r in spark.table("txt_timeouts").collect())
-    # The watermark (11:25:14.5) passed 1001's 11:20:15 deadline, so both time out
-    assert got == ["1001", "8457"]
-
-
 def test_state_partitions_restored(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    with feeds.state_partitions(spark, 3) as n:
-        assert n == 3 and spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    with feeds.state_partitions(spark, 3):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
@@ -102,15 +86,20 @@ def test_stream_match_keeps_earliest_per_key(spark, scratch):
     assert set(got) <= {(r.order_id, r.outcome) for r in batch.collect()}
 
 
-def test_snapshot_store_versions(spark, scratch):
-    from mercato.sinks import SnapshotStore
-    st = SnapshotStore(spark, os.path.join(scratch, "store"), "k string, v bigint")
-    assert st.current_version() is None and st.read().count() == 0  # created on first write
-    one = spark.createDataFrame([("a", 1)], "k string, v bigint")
-    assert st.write_batch(0, lambda cur: cur.unionByName(one))
-    assert not st.write_batch(0, lambda cur: cur.limit(0))  # replayed batch: skipped
-    assert st.write_batch(1, lambda cur: cur.unionByName(one.selectExpr("'b' k", "2L v")))
-    assert st.current_version() == 1 and sorted(r.k for r in st.read().collect()) == ["a", "b"]
+def test_keyed_log(spark, scratch):
+    from mercato.operators import dims
+    from mercato.sinks import KeyedLog
+    st = KeyedLog(spark, os.path.join(scratch, "store"), "k string, v bigint, at bigint",
+                  lambda log: dims.latest_per_key(log, "k", "at"))
+    assert st.read().count() == 0  # created on first write
+    one = spark.createDataFrame([("a", 1, 5)], "k string, v bigint, at bigint")
+    st.append(one)
+    st.append(one)                                    # a replayed batch
+    st.append(one.selectExpr("k", "9L v", "3L at"))   # a late row
+    assert [(r.k, r.v) for r in st.read().collect()] == [("a", 1)]
+    write = st.sink(lambda batch, i: batch.selectExpr("'b' k", "v", "cast(%d as bigint) at" % i))
+    write(one, 0)       # another query, with a new checkpoint: its batch 0 is not lost
+    assert sorted(r.k for r in st.read().collect()) == ["a", "b"]
 
 
 def test_stateful_pattern_drops_late_rows(spark, scratch):
@@ -132,7 +121,7 @@ def test_stateful_pattern_drops_late_rows(spark, scratch):
     src = jobs.json_lines_source(spark, path, max_files_per_trigger=1)
     clicks = jobs.watermarked(parse_ops.parse_ad_clicks(src, keep=["offset"]), "ts", "0 seconds")
     job = stateful.repeated_all_stream(clicks, ["uid", "product_id"], "ts", "offset", 3,
-                                       "10 seconds")
+                                       "10 seconds", expand=True)
     q = jobs.start(job, "late_pattern", os.path.join(scratch, "ckpt-lp"))
     q.awaitTermination(120)
     got = [(r.click_count, r.start_ts.second, r.end_ts.second - r.start_ts.second)

@@ -44,7 +44,10 @@ def test_random_keys(spark, seed, k, factor, chunk):
         per_key[key] = evs
     df = spark.createDataFrame(rows, "offset long, uid string, product_id string, ts timestamp_ntz")
     got_all = patterns.repeated_all(df, ["uid", "product_id"], "ts", "offset", k,
-                                    f"{w} seconds", bucket_factor=factor).collect()
+                                    f"{w} seconds", bucket_factor=factor,
+                                    expand=True).collect()
+    got_ends = patterns.repeated_all(df, ["uid", "product_id"], "ts", "offset", k, f"{w} seconds",
+                                     bucket_factor=factor).collect()
     got_skip = patterns.repeated_skip_past_last(df, ["uid", "product_id"], "ts", "offset", k,
                                                 f"{w} seconds", bucket_factor=factor,
                                                 chunk_rows=chunk).collect()
@@ -56,3 +59,11 @@ def test_random_keys(spark, seed, k, factor, chunk):
                            int((r.end_ts - T0).total_seconds())) for r in rs if r.uid == key)
         assert conv(got_all) == exp_all, key
         assert conv(got_skip) == exp_skip, key
+        # one row per end: the longest of its runs, and where the shortest starts
+        longest = {}
+        for r in got_all:
+            if r.uid == key:
+                longest.setdefault((r.end_ts, r.shortest_start_ts), []).append((r.click_count, r.start_ts))
+        ends = [(r.end_ts, r.shortest_start_ts, r.click_count, r.start_ts) for r in got_ends if r.uid == key]
+        assert {e[:2] for e in ends} == set(longest)
+        assert all(any(x == e[2:] for x in longest[e[:2]]) for e in ends)

@@ -1,102 +1,164 @@
-"""Stream = batch parity: the streaming jobs over a file stream split
-into several files give the batch operators' rows, cut at the final watermark."""
+"""Streams: replayed logs give the batch operators' rows; bad rows, late
+rows, replays and restarts; state that goes away."""
 
+import datetime as dt
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from mercato.operators import changelog as cl
-from mercato.operators import parse, windows
-from mercato.sinks import SnapshotStore, changelog_sink
+from mercato.operators import parse, patterns, windows
+from mercato.plans import streamed
+from mercato.plans.queries import change_store
 from mercato.sources import domain
-from mercato.streaming import feeds, jobs
+from mercato.streaming import feeds, jobs, stateful
+from mercato.streaming.running import RunningTotals
 
 from conftest import SF_SMALL
-
-PARTS = 4
-
-
-def _split_write(df, path, parts=PARTS):
-    """Write in offset order, one file per micro-batch."""
-    feeds.write_feed(df, path, F.col("offset"), parts=parts)
+from test_goldens import ORDER_LINES
 
 
 def _run(spark, df, name, scratch):
     q = jobs.start(df, name, os.path.join(scratch, f"ckpt-{name}"))
-    q.awaitTermination(300)
+    feeds.run_to_end(q)
     return spark.table(name)
 
 
 def _rows(df, cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
 
 
-@pytest.fixture(scope="module")
-def envelope_dir(spark, tmp_path_factory):
-    path = str(tmp_path_factory.mktemp("envelopes"))
-    _split_write(domain.event_envelopes(spark, SF_SMALL), path)
-    return path
+def _files(spark, path, batches, schema="offset long, value string"):
+    """One file per batch, in order."""
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(path)
+    return jobs.json_lines_source(spark, path, max_files_per_trigger=1, schema=schema)
 
 
-def test_ad_click_counts_stream_equals_batch(spark, envelope_dir, scratch):
-    src = jobs.json_lines_source(spark, envelope_dir, max_files_per_trigger=1)
-    got = _run(spark, jobs.ad_click_counts(src, "1 hour", "5 minutes", "0 seconds"),
-               "ad_stream", scratch)
-    clicks = parse.parse_ad_clicks(spark.read.schema(jobs.VALUE_SCHEMA).json(envelope_dir))
-    last = clicks.agg(F.max("ts")).first()[0]
-    want = windows.window_aggregate(clicks, "ts", ["product_id"],
-                                    {"click_count": ("count", None)}, "1 hour", "5 minutes")
-    want = want.where(F.col("window_end") <= F.lit(last))
-    cols = ["product_id", "window_start", "window_end", "click_count"]
-    assert _rows(got, cols) == _rows(want, cols)
-    assert got.count() > 0
+def test_feed_is_the_whole_log_in_order(spark, scratch):
+    rows = [(i * 7 % 1000, f"v{i}") for i in range(1000)] + [(None, "no order"), (None, "none")]
+    df = spark.createDataFrame(rows, "offset long, value string")
+    tail = [spark.createDataFrame([(-1, "end")], "offset long, value string")]
+    path = feeds.write_feed(df, os.path.join(scratch, "feed"), F.col("offset"), files=5, tail=tail)
+    names = sorted(n for n in os.listdir(path) if n.startswith(("part-", "tail-")))
+    times = [os.stat(os.path.join(path, n)).st_mtime for n in names]
+    assert len(names) > 3 and times == sorted(times) and len(set(times)) == len(times)
+    per_file = [[r.offset for r in spark.read.schema(df.schema).json(os.path.join(path, n)).collect()]
+                for n in names]
+    assert per_file[-1] == [-1] and sum(map(len, per_file)) == len(rows) + 1
+    known = [o for f in per_file[:-1] for o in f if o is not None]
+    assert known == sorted(known) and len(known) == 1000
+    # no range holds much more than its share
+    assert max(map(len, per_file)) < 2 * len(rows) / 5
+
+
+@pytest.fixture(scope="module")
+def envelope_dir(spark, tmp_path_factory):
+    return streamed.envelope_log(spark, SF_SMALL, str(tmp_path_factory.mktemp("env") / "feed"))
 
 
 def test_channel_users_stream_equals_batch(spark, envelope_dir, scratch):
     src = jobs.json_lines_source(spark, envelope_dir, max_files_per_trigger=1)
     got = _run(spark, jobs.channel_users(src, "1 day", "0 seconds"), "channel_stream", scratch)
-    ch = parse.parse_channels(spark.read.schema(jobs.VALUE_SCHEMA).json(envelope_dir))
-    last = ch.agg(F.max("ts")).first()[0]
+    ch = parse.parse_channels(domain.event_envelopes(spark, SF_SMALL))
     want = windows.distinct_count(ch, "ts", ["channel"], "uid", "1 day")
-    want = want.where(F.col("window_end") <= F.lit(last))
     cols = ["channel", "window_start", "window_end", "user_count"]
-    assert _rows(got, cols) == _rows(want, cols)
-
-
-def test_order_timeouts_stream_within_batch(spark, scratch):
-    from mercato.operators import patterns
-    path = os.path.join(scratch, "lines")
-    _split_write(domain.order_status_lines(spark, SF_SMALL), path)
-    src = jobs.json_lines_source(spark, path, max_files_per_trigger=1)
-    got = _run(spark, jobs.order_timeouts(src, "1 day", "0 seconds"), "timeouts", scratch)
-    rows = parse.parse_order_lines(spark.read.schema(jobs.VALUE_SCHEMA).json(path),
-                                   keep=["offset"])
-    last = rows.agg(F.max("ts")).first()[0]
-    want = patterns.timed_out(rows, "order_id", "ts", "offset", F.col("status") == "1",
-                              F.col("status") == "2", "1 day", payload=["money"])
-    cols = ["order_id", "start_seq"]
-    g, w = set(_rows(got, cols)), set(_rows(want, cols))
-    closed = set(_rows(want.where(F.col("start_ts") + F.expr("INTERVAL 1 DAY") < F.lit(last)),
-                       cols))
-    assert g <= w and closed <= g and len(g) > 0
-
-
-def test_changelog_sink_matches_batch_and_is_idempotent(spark, scratch):
-    path = os.path.join(scratch, "changes")
-    _split_write(domain.change_log(spark, SF_SMALL), path)
-    store = SnapshotStore(spark, os.path.join(scratch, "store"),
-                          "row_key string, row map<string,string>, es bigint")
-    src = jobs.json_lines_source(spark, path, max_files_per_trigger=1)
-    changes = parse.filter_database(parse.parse_changes(src))
-    q = jobs.start(changes, "cl", os.path.join(scratch, "ckpt-cl"),
-                   foreach_batch=changelog_sink(store, cl.apply_row_changes))
-    q.awaitTermination(300)
-    batch = cl.apply_row_changes(
-        cl.empty_snapshot(spark),
-        parse.filter_database(parse.parse_changes(spark.read.schema(jobs.VALUE_SCHEMA).json(path))))
-    cols = ["row_key", "es"]
-    assert _rows(store.read(), cols) == _rows(batch, cols)
-    version = store.current_version()
-    assert store.write_batch(version, lambda cur: cur.limit(0)) is False  # replay ignored
-    assert _rows(store.read(), cols) == _rows(batch, cols)
+    assert _rows(got, cols) == _rows(want, cols) and got.count() > 0
+
+
+def test_a_failing_stream_raises(spark, scratch):
+    src = _files(spark, os.path.join(scratch, "in"), [[(0, "x")]])
+    bad = src.select(F.raise_error(F.col("value")).alias("r"))
+    with pytest.raises(Exception):
+        feeds.drain_to_parquet(bad, os.path.join(scratch, "out"))
+
+
+def test_ingest_into_one_store_twice_loses_nothing(spark, scratch):
+    """A second query with a new checkpoint over the same store; a replayed batch."""
+    path = streamed.change_log(spark, SF_SMALL, os.path.join(scratch, "feed"))
+    store = change_store(spark, os.path.join(scratch, "store"), cl.row_state)
+    messages = spark.read.schema(jobs.VALUE_SCHEMA).json(path)
+    want = cl.row_state(parse.filter_database(parse.parse_changes(messages)))
+    for attempt in ("first", "second"):
+        src = jobs.json_lines_source(spark, path, max_files_per_trigger=1)
+        changes = parse.filter_database(parse.parse_changes(src))
+        feeds.run_to_end(jobs.start(changes, attempt, os.path.join(scratch, attempt),
+                                    foreach_batch=store.sink(lambda b, _: cl.supported(b))))
+        cols = ["database", "table", "row_key", "es"]
+        assert _rows(store.read(), cols) == _rows(want, cols)
+
+
+def test_order_timeouts_survive_a_malformed_line(spark, scratch):
+    """G4 with a line whose time cannot be read, a line without a key, and the end."""
+    lines = [*ORDER_LINES[:2], "77,1,not a time,5.0", ",,,", *ORDER_LINES[2:],
+             f"0,1,{streamed.END_TEXT},0"]
+    src = _files(spark, os.path.join(scratch, "in"), [[(i, x)] for i, x in enumerate(lines)])
+    rows = jobs.watermarked(parse.parse_order_lines(src, keep=["offset"]), "ts", "500 milliseconds")
+    job = stateful.followed_by_stream(rows, "order_id", "ts", "offset", F.col("status") == "1",
+                                      F.col("status") == "2", "15 minutes")
+    q = jobs.start(job, "g4", os.path.join(scratch, "ckpt"))
+    feeds.run_to_end(q)
+    got = spark.table("g4")
+    batch = parse.parse_order_lines(spark.createDataFrame(
+        list(enumerate(lines[:-1])), "offset long, value string"), keep=["offset"])
+    want = patterns.timed_out(batch.where("ts is not null"), "order_id", "ts", "offset",
+                              F.col("status") == "1", F.col("status") == "2", "15 minutes")
+    assert _rows(got.where("outcome = 'timeout'"), ["order_id"]) == _rows(want, ["order_id"])
+    # what had no time was counted, and no key is left in the state
+    assert sum(p.observedMetrics["no_ts"].dropped for p in q.recentProgress
+               if "no_ts" in p.observedMetrics) == 2
+    assert q.recentProgress[-1].stateOperators[0].numRowsTotal == 0
+
+
+def _ad(offset, uid, ms):
+    return (offset, ('{"lagou_event":[{"name":"ad","json":{"product_id":"1"},"time":%d}],'
+                     '"attr":{"area":"x","uid":"%s","channel":"c"}}') % (ms, uid))
+
+
+@pytest.mark.parametrize("kind", ["skip", "all"])
+def test_pattern_state_goes_with_time(spark, scratch, kind):
+    base = 1_700_000_000_000
+    batches = [[_ad(i * 10 + j, f"u{i}-{j % 5}", base + i * 60_000 + j * 500) for j in range(10)]
+               for i in range(6)]
+    src = _files(spark, os.path.join(scratch, "in"), batches)
+    clicks = jobs.watermarked(parse.parse_ad_clicks(src, keep=["offset"]), "ts", "0 seconds")
+    op = stateful.repeated_skip_past_last_stream if kind == "skip" else stateful.repeated_all_stream
+    q = jobs.start(op(clicks, ["uid", "product_id"], "ts", "offset", 2, "10 seconds"),
+                   f"goes_{kind}", os.path.join(scratch, "ckpt"))
+    feeds.run_to_end(q)
+    kept = [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators]
+    assert max(kept) <= 10 and kept[-1] <= 5       # not the 30 users of all batches
+    assert spark.table(f"goes_{kind}").count() > 0
+
+
+def test_running_totals_exact_money_nulls_and_replay(spark, scratch):
+    rows = [("a", 1, 1.005, 0), ("a", 2, None, 1), ("b", 3, 2.5, 2), ("a", 4, 1.0, 3)]
+    schema = "city string, id long, money double, seq long"
+    df = spark.createDataFrame(rows, schema).withColumn(
+        "ts", F.timestamp_seconds(F.col("seq") + 1_700_000_000))
+    totals = RunningTotals(spark, os.path.join(scratch, "t"), ["city"], "id", "money", "ts", "seq")
+    for batch_id, part in enumerate((df.where("seq < 2"), df.where("seq >= 2"))):
+        totals.sink(part, batch_id)
+    totals.sink(df.where("seq >= 2"), 1)  # replayed
+    got = {r.id: (r.city, r.running_money, r.running_count) for r in totals.read().collect()}
+    batch = windows.running_totals(df, ["city"], "seq", {"m": ("money", "money"), "n": ("count", None)})
+    assert got == {r.id: (r.city, r.m or 0.0, r.n) for r in batch.collect()}
+    assert got[1][1] == 1.01 and got[4] == ("a", 2.01, 3)
+    later = RunningTotals(spark, os.path.join(scratch, "t"), ["city"], "id", "money", "ts", "seq", run="2")
+    later.sink(spark.createDataFrame([("a", 9, 1.0, 9, dt.datetime(2024, 1, 1))],
+                                     schema + ", ts timestamp"), 0)
+    assert {r.id: r.running_money for r in later.read().collect()}[9] == 3.01
+
+
+def test_processing_time_windows(spark, scratch):
+    """Every row falls in the window of its arrival; totals per product stay."""
+    src = _files(spark, os.path.join(scratch, "in"), [[_ad(i, "u", 1_700_000_000_000)] for i in range(3)])
+    clicks = jobs.with_processing_time(parse.parse_ad_clicks(src))
+    out = windows.window_aggregate(clicks, "proc_ts", ["product_id"], {"n": ("count", None)}, "1 hour")
+    q = jobs.start(out, "proc", os.path.join(scratch, "ckpt"), output_mode="complete")
+    feeds.run_to_end(q)
+    now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    got = spark.table("proc").collect()
+    assert sum(r.n for r in got) == 3
+    assert all(abs(r.window_end - now) < dt.timedelta(hours=2) for r in got)

@@ -11,7 +11,7 @@ edge survives: the last piece of that prefix. The pass runs over the characters,
 keeps back-pointers only for a window of the longest piece, and commits ids
 whenever all surviving paths of the window meet in one boundary. In this model
 no piece holds a word mark (U+2581) after another character, so all paths meet
-before each run of marks and a task caches the ids of short segments.
+before each run of marks and a task remembers the ids of short words.
 
 Defined results: null and empty texts have no ids; characters outside the model
 become byte pieces; ids equal the library's. Decoding gives the text back, except
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +32,26 @@ from pyspark.sql import functions as F
 from mercato.llm.common import texts_of
 
 MARK = "▁"
-CACHED_CHARS, CACHED_SEGMENTS, CACHED_PAIRS = 48, 1 << 19, 1 << 19
+CACHED_CHARS, CACHED_WORDS, CACHED_PARTS, CACHED_PAIRS = 48, 1 << 19, 1 << 19, 1 << 18
+DECODED_ROWS = 512
 _NORMAL, _BYTE, _CONTROL_KINDS = 1, 6, (2, 3)
-_ONE = (1,)
+
+
+class Recent:
+    """A table of short texts and their ids, bounded: when the newer half is full it
+    becomes the older one, and what is asked for again moves back."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size // 2, {}, {}
+
+    def learn(self, text: str, make) -> bytes:
+        if (found := self.old.get(text)) is None:
+            found = make(text)
+        if len(text) <= CACHED_CHARS:
+            if len(self.new) >= self.size:
+                self.new, self.old = {}, self.new
+            self.new[text] = found
+        return found
 
 
 class Model:
@@ -62,17 +80,24 @@ class Model:
                          if p.type == _BYTE else p.piece.replace(MARK, " ").encode()
                          for p in proto.pieces]
         # pieces that their own text merges to, with the symbols that stood at their
-        # left and right border on the way; and the lengths of such pieces by ending
+        # left and right border on the way; and a trie of them, read from the end
         self.borders: dict[str, tuple[list, list]] = {}
-        lengths: dict[str, set[int]] = {}
+        self.ending: dict = {}
         for piece in self.score:
             if (found := self._derive(piece)) is not None:
                 self.borders[piece] = found
-                if len(piece) > 1:
-                    lengths.setdefault(piece[-2:], set()).add(len(piece))
-        self.lengths = {k: (*sorted(v, reverse=True), 1) for k, v in lengths.items()}
+                node = self.ending
+                for c in reversed(piece):
+                    node = node.setdefault(c, {})
+                node[""] = piece
+        self.joined = {p[i:i + 2] for p in self.score for i in range(len(p) - 1)}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.segments: dict[str, bytes] = {}
+        self.words = Recent(CACHED_WORDS)
+        self.parts = Recent(CACHED_PARTS)
+        flat = [np.frombuffer(x, np.uint8) for x in self.bytes_of]
+        self.byte_count = np.array([len(x) for x in flat], np.int64)
+        self.byte_start = self.byte_count.cumsum() - self.byte_count
+        self.byte_flat = np.concatenate(flat)
 
     def _steps(self, text: str) -> Iterator[tuple[list[str], int, float]]:
         """The merge procedure itself, for the few characters of a piece or a pair:
@@ -127,21 +152,24 @@ class Model:
 
     def path(self, text: str) -> Iterator[str]:
         """Pieces of ``text`` (marks already in), committed as the paths meet."""
-        longest, borders, lengths, pairs = self.longest, self.borders, self.lengths, self.pairs
+        longest, ending, pairs, follows = self.longest, self.ending, self.pairs, self._follows
         base = 0          # position up to which all pieces are committed
         last = [""]       # last[i - base]: the last piece of the prefix up to i
         for end in range(1, len(text) + 1):
-            for size in lengths.get(text[end - 2:end], _ONE) if end > 1 else _ONE:
-                start = end - size
-                if start < base:
-                    continue
-                piece = text[start:end]
-                if size > 1 and piece not in borders:
-                    continue
-                before = last[start - base]
-                if not before or pairs.get((before, piece)) or self._follows(before, piece):
-                    last.append(piece)
+            # the one edge into ``end`` that survives, read back from its end
+            node, start, chosen = ending, end, text[end - 1]
+            while start > base:
+                start -= 1
+                node = node.get(text[start])
+                if node is None:
                     break
+                if (piece := node.get("")) is not None:
+                    before = last[start - base]
+                    if not before or (known := pairs.get((before, piece))) or (
+                            known is None and follows(before, piece)):
+                        chosen = piece
+                        break
+            last.append(chosen)
             if len(last) > 4 * longest:
                 # all paths of the window, traced back until they meet
                 live = set(range(end - longest + 1, end + 1))
@@ -164,31 +192,51 @@ class Model:
             end -= len(out[-1])
         return out[::-1]
 
-    def ids(self, segment: str) -> bytes:
-        """The ids of one segment, as the bytes of 32-bit numbers."""
+    def ids(self, text: str) -> bytes:
+        """The ids of a part of a text (marks in), as the bytes of 32-bit numbers."""
         out: list[int] = []
-        for piece in self.path(segment):
+        for piece in self.path(text):
             if piece in self.id:
                 out.append(self.id[piece])
             else:
                 out.extend(self.byte_ids[b] for b in piece.encode())
-        return np.array(out, np.int32).tobytes()
-
-    def __missing(self, segment: str) -> bytes:
-        found = self.ids(segment)
-        if len(segment) <= CACHED_CHARS:
-            if len(self.segments) >= CACHED_SEGMENTS:
-                self.segments.clear()
-            self.segments[segment] = found
-        return found
+        return array("i", out).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word mark and ``word``.
+
+        Where two neighbours stand together in no piece, every path has a boundary:
+        the parts between such places are encoded (and remembered) on their own.
+        """
+        text, joined, parts = MARK + word, self.joined, self.parts
+        start, out = 0, []
+        for i in range(1, len(text) + 1):
+            if i == len(text) or text[i - 1:i + 1] not in joined:
+                part = text[start:i]
+                out.append(parts.new.get(part) or parts.learn(part, self.ids))
+                start = i
+        return out[0] if len(out) == 1 else b"".join(out)
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
-        get, miss = self.segments.get, self.__missing
-        parts = [get(s) or miss(s) for s in
-                 _SEGMENT.findall(MARK + text.replace(" ", MARK))]
-        return np.frombuffer(b"".join(parts), np.int32)
+        if MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
+            # a run of marks belongs to the word after it
+            words = [w[1:] for w in _SEGMENT.findall(MARK + text.replace(" ", MARK))]
+        else:
+            words = text.split(" ")
+        known, encode = self.words, self._word
+        return np.frombuffer(b"".join([known.new.get(w) or known.learn(w, encode) for w in words]),
+                             np.int32)
+
+    def decode_flat(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all texts whose ids lie one after the other (``ends`` of each),
+        and the texts' ends in them."""
+        count = self.byte_count[ids]
+        stop = count.cumsum()
+        at = np.arange(stop[-1] if len(stop) else 0) + np.repeat(
+            self.byte_start[ids] - (stop - count), count)
+        return self.byte_flat[at], np.append(0, stop)[ends]
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -206,10 +254,14 @@ def loaded(path: str) -> Model:
     return _LOADED[path]
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """``docs`` with the ids of the whole text as ``out_col array<int>``. One scan,
-    no shuffle; a column of that name is replaced."""
-    keep = [c for c in docs.columns if c != out_col]
+def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids",
+           check_col: str | None = None) -> DataFrame:
+    """``docs`` with the ids of the whole text as ``out_col array<int>``; one scan, no
+    shuffle. With ``check_col`` the ids are decoded again on the spot, and that column
+    says whether the text came back (a literal U+2581 as a space). Columns of these
+    names are replaced."""
+    added = [out_col] + [check_col] * (check_col is not None)
+    keep = [c for c in docs.columns if c not in added]
     frame = docs.select(*[F.col(f"`{c}`") for c in keep])
     at = keep.index(text_col)
 
@@ -223,12 +275,38 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "i
                 ids = [model.encode(t) for t in texts]
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+                more = [column]
+                if check_col is not None:
+                    back = _texts(model, column).to_pylist()
+                    more.append(pa.array([t.replace(MARK, " ") == x for t, x in zip(texts, back)]))
                 part = b.slice(done, len(texts))
                 done += len(texts)
-                yield pa.RecordBatch.from_arrays([*part.columns, column], [*keep, out_col])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
-    return frame.mapInArrow(run, f"{fields}, `{out_col}` array<int>")
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], [*keep, *added])
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields]
+    fields += [f"`{out_col}` array<int>"] + [f"`{check_col}` boolean"] * (check_col is not None)
+    return frame.mapInArrow(run, ", ".join(fields))
+
+
+def _texts(model: Model, column):
+    """The texts of an Arrow column of ids."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    ends = np.append(0, pc.fill_null(pc.list_value_length(column), 0).to_numpy(
+        zero_copy_only=False).cumsum())
+    flat, ends = model.decode_flat(column.flatten().to_numpy(zero_copy_only=False), ends)
+    raw, begins, stops = flat.tobytes(), ends[:-1], ends[1:]
+    dummy = np.zeros(len(begins), np.int64)
+    some = stops > begins
+    dummy[some] = flat[begins[some]] == 32      # the space the encoder put before the text
+    try:
+        raw.decode()
+        texts = [raw[s:e].decode() for s, e in zip((begins + dummy).tolist(), stops.tolist())]
+    except UnicodeDecodeError:                  # ids that no text has
+        texts = [raw[s:e].decode("utf-8", "replace")
+                 for s, e in zip((begins + dummy).tolist(), stops.tolist())]
+    return pa.array(texts, pa.string())
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
@@ -242,9 +320,11 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", out_col: str = "tex
 
         model = loaded(path)
         for b in batches:
-            text = [model.decode(x.as_py() or ()) for x in b.column(at)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(text, pa.string())],
-                                             [*keep, out_col])
+            column = b.column(at)
+            for start in range(0, len(column), DECODED_ROWS):
+                part = b.slice(start, DECODED_ROWS)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, _texts(model, part.column(at))], [*keep, out_col])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
     return frame.mapInArrow(run, f"{fields}, `{out_col}` string")

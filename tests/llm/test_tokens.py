@@ -55,6 +55,9 @@ def test_ids_equal_the_library_and_decode_back(docs):
     back = sentencepiece.decode(ids.withColumnRenamed("text", "given"), PIECES)
     for r in back.collect():
         assert r.text == (r.given or "").replace("▁", " ")
+    checked = sentencepiece.encode(docs, PIECES, check_col="n_tokens")
+    assert checked.columns == ["doc_id", "text", "ids", "n_tokens"]
+    assert checked.where("n_tokens").count() == docs.count()
     assert sentencepiece.encode(docs.limit(0), PIECES).count() == 0
 
 

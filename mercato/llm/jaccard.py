@@ -16,10 +16,16 @@ as shingles. Two bitmaps differ in no more bits than the sets differ in shingles
 so the bit count bounds the overlap from above; only pairs below the bound are
 compared by intersecting the sorted arrays.
 
-*Links without all pairs.* First every document meets the smallest one of its
-tiles. Where a tile's members then still fall into several components, the members
-outside the largest are held against all, in blocks of bounded size, by bitmaps;
-in the first rounds each keeps its best partner per block only, in the last all
+*Links without all pairs.* The smallest document of a tile is its hub; documents
+that share a tile share the group of its hub. Groups are first cut down by bitmaps
+alone: documents that a chain of pairs within the bound connects are one family, and
+every link lies inside a family. Then each text goes once, to its family, where pairs
+of different components are held against each other by bitmaps and sets, and
+components joined as soon as one link is found. A family of more than ``GROUP``
+members (a huge group of near copies) does not go to one task: every member first
+meets the smallest; where they still fall into several components, the members
+outside the largest are held against all, in blocks of bounded size, by bitmaps; in
+the first rounds each keeps its best partner per block only, in the last all
 remaining pairs of different components are checked. No link between different
 components is lost; pairs inside a component need no check.
 
@@ -43,8 +49,8 @@ from mercato.llm.components import components
 
 BAND_GROWTH = 1.5
 ENTRIES = 1 << 20       # packed tile entries a map task holds before it sends them
-BLOCK = 256             # members of a block in the second comparison
-_TILE = "kind int, x long, y long"
+GROUP = 4096            # members of a group or family settled in one task
+BLOCK = 256             # members of a block of a larger family
 
 
 def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
@@ -109,79 +115,82 @@ def may_link(threshold: int, n_a, n_b, differing):
     return (both - differing) * (100 + threshold) >= 2 * threshold * both
 
 
+def _signatures(rows: DataFrame, size: int) -> DataFrame:
+    """Set size and bitmap of every row."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for b in batches:
+            sets = [s for texts in texts_of(b.column(1)) for s in shingle_sets(texts, size)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([bitmap(s).tobytes() for s in sets], pa.binary())], ["node", "n", "bits"])
+
+    return rows.mapInArrow(run, "node long, n long, bits binary")
+
+
 def _tiles_of(rows: DataFrame, size: int, threshold: int, buckets: int) -> DataFrame:
-    """Kind 0: (tile, document) for every tile with several members; kind 1: (set
-    size, document) for every row."""
+    """``(tile, member)`` for every tile with several members."""
     def pack(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         bands = Bands(threshold)
         held: list[tuple[np.ndarray, int]] = []
-        names = ["bucket", "tiles", "docs", "kinds", "x", "y"]
+        names = ["bucket", "tiles", "docs", "met"]
 
-        def sent(sizes: list[tuple[int, int]]):
-            tile = np.concatenate([t for t, _ in held]) if held else np.zeros(0, np.uint64)
+        def batch():
+            tile = np.concatenate([t for t, _ in held])
             doc = np.repeat([d for _, d in held], [len(t) for t, _ in held]).astype(np.int64)
             order = np.lexsort((doc, tile))
             tile, doc = tile[order], doc[order]
-            first = np.append(True, tile[1:] != tile[:-1])[:len(tile)]
+            first = np.append(True, tile[1:] != tile[:-1])
             group = first.cumsum() - 1
-            several = (np.bincount(group) > 1)[group] if len(tile) else first
+            several = (np.bincount(group) > 1)[group]
             # members that met in this task are reported here; one goes on
-            x = np.concatenate((tile[several].view(np.int64), np.array([n for _, n in sizes], np.int64)))
-            y = np.concatenate((doc[several], np.array([d for d, _ in sizes], np.int64)))
-            kind = np.repeat(np.array([0, 1], np.int8), [several.sum(), len(sizes)])
+            met = np.stack((tile[several].view(np.int64), doc[several]))
             tile, doc = tile[first], doc[first]
             bucket = (tile >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)
             cut = bucket.searchsorted(np.arange(buckets + 1, dtype=np.uint64))
-            some = np.flatnonzero(np.diff(cut)).tolist() or [0]
-            share = np.linspace(0, len(x), len(some) + 1).astype(int)
-            for i, b in enumerate(some):
-                at, part = slice(cut[b], cut[b + 1]), slice(share[i], share[i + 1])
-                yield [b, tile[at].tobytes(), doc[at].tobytes(), kind[part].tobytes(),
-                       x[part].tobytes(), y[part].tobytes()]
-
-        def batch(sizes):
-            cols = list(zip(*sent(sizes)))
-            kinds = [pa.int32(), *[pa.binary()] * 5]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
-
-        entries, sizes = 0, []
+            some = np.flatnonzero(np.diff(cut)).tolist()
+            share = np.linspace(0, met.shape[1], len(some) + 1).astype(int)
+            out = [[b, tile[cut[b]:cut[b + 1]].tobytes(), doc[cut[b]:cut[b + 1]].tobytes(),
+                    met[:, share[i]:share[i + 1]].tobytes()] for i, b in enumerate(some)]
+            kinds = [pa.int32(), *[pa.binary()] * 3]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+        entries = 0
         for b in batches:
             ids, done = b.column(0).to_pylist(), 0
             for texts in texts_of(b.column(1)):
                 for s in shingle_sets(texts, size):
-                    sizes.append((ids[done], len(s)))
-                    if len(s) and ids[done] is not None:
+                    if len(s):
                         held.append((bands.tiles(s), ids[done]))
                         entries += len(held[-1][0])
                     done += 1
-                if entries >= ENTRIES or len(sizes) >= ENTRIES:
-                    yield batch([(d, n) for d, n in sizes if d is not None])
-                    entries, sizes = 0, []
+                if entries >= ENTRIES:
+                    yield batch()
                     held.clear()
-        if sizes:
-            yield batch([(d, n) for d, n in sizes if d is not None])
+                    entries = 0
+        if held:
+            yield batch()
 
     def meet(table):
         import pyarrow as pa
 
-        cols = {n: np.frombuffer(b"".join(table.column(n).to_pylist()), k) for n, k in (
-            ("tiles", np.uint64), ("docs", np.int64), ("kinds", np.int8),
-            ("x", np.int64), ("y", np.int64))}
-        order = np.lexsort((cols["docs"], cols["tiles"]))
-        tile, doc = cols["tiles"][order], cols["docs"][order]
+        tile, doc = (np.frombuffer(b"".join(table.column(n).to_pylist()), k)
+                     for n, k in (("tiles", np.uint64), ("docs", np.int64)))
+        met = [np.frombuffer(x, np.int64).reshape(2, -1) for x in table.column("met").to_pylist()]
+        order = np.lexsort((doc, tile))
+        tile, doc = tile[order], doc[order]
         first = np.append(True, tile[1:] != tile[:-1])[:len(tile)]
         several = (np.bincount(first.cumsum() - 1) > 1)[first.cumsum() - 1] if len(tile) else first
         return pa.table({
-            "kind": pa.array(np.concatenate((np.zeros(several.sum(), np.int32),
-                                             cols["kinds"].astype(np.int32)))),
-            "x": np.concatenate((tile[several].view(np.int64), cols["x"])),
-            "y": np.concatenate((doc[several], cols["y"]))})
+            "tile": np.concatenate((tile[several].view(np.int64), *[m[0] for m in met])),
+            "member": np.concatenate((doc[several], *[m[1] for m in met]))})
 
-    packed = rows.mapInArrow(pack, "bucket int, tiles binary, docs binary, kinds binary, "
-                                   "x binary, y binary")
-    return packed.groupBy("bucket").applyInArrow(meet, _TILE)
+    packed = rows.mapInArrow(pack, "bucket int, tiles binary, docs binary, met binary")
+    return packed.groupBy("bucket").applyInArrow(meet, "tile long, member long")
 
 
 def _cards(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -232,9 +241,8 @@ def _linked(pairs: DataFrame, cards: DataFrame, size: int, threshold: int) -> Da
             for texts in texts_of(b.column(2)):
                 other = [t or "" for t in b.column(3).slice(done, len(texts)).to_pylist()]
                 done += len(texts)
-                for s, t in zip(shingle_sets(texts, size), shingle_sets(other, size)):
-                    both = len(np.intersect1d(s, t, assume_unique=True))
-                    keep.append(100 * both >= threshold * (len(s) + len(t) - both) > 0)
+                keep += [links(s, t, threshold) for s, t in
+                         zip(shingle_sets(texts, size), shingle_sets(other, size))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(
                 pa.array(keep, pa.bool_()))
 
@@ -315,6 +323,111 @@ def _close(left, right, threshold: int, best_only: bool) -> Iterator[tuple[int,
         yield from ((own, others[j]) for j in near[good])
 
 
+def _families(groups: DataFrame, signatures: DataFrame, threshold: int) -> DataFrame:
+    """Pairs ``(a, b)`` that join documents to families: those that a chain of pairs
+    within the bitmaps' bound connects in a group of bounded size."""
+    def near(table):
+        import pyarrow as pa
+
+        ids = table.column("member").to_numpy()
+        maps = [np.frombuffer(x, np.uint64) for x in table.column("bits").to_pylist()]
+        label = _joined(table.column("n").to_numpy(), maps, threshold)
+        head = ids[label]
+        own = head != ids
+        return pa.table({"a": ids[own], "b": head[own]})
+
+    return (groups.hint("merge").join(
+        signatures.select(F.col("node").alias("member"), "n", "bits"), "member")
+        .groupBy("hub").applyInArrow(near, "a long, b long"))
+
+
+def _settled(families: DataFrame, rows: DataFrame, size: int, threshold: int) -> DataFrame:
+    """``(node, root)`` of every member of families of bounded size."""
+    def settle(table):
+        import pyarrow as pa
+
+        ids = table.column("node").to_pylist()
+        sets = [s for texts in texts_of(table.column("text").combine_chunks())
+                for s in shingle_sets(texts, size)]
+        label = _components_of(sets, threshold)
+        of: dict[int, int] = {}
+        for at, i in enumerate(ids):  # rows of one identifier are one node
+            if of.setdefault(i, at) != at:
+                label[label == label[at]] = label[of[i]]
+        of = {i: int(label[at]) for i, at in of.items()}
+        least: dict[int, int] = {}
+        for i, own in of.items():
+            least[own] = min(i, least.get(own, i))
+        return pa.table({"node": pa.array(of, pa.int64()),
+                         "root": pa.array([least[own] for own in of.values()], pa.int64())})
+
+    # both sides grow with the corpus: the merge hint keeps either from a broadcast
+    return (families.hint("merge").join(rows, "node").select("family", "node", "text")
+            .groupBy("family").applyInArrow(settle, "node long, root long"))
+
+
+def _joined(sizes: np.ndarray, maps: list[np.ndarray], threshold: int, check=None) -> np.ndarray:
+    """Labels (positions) of sets that pairs within the bound join; with ``check(i, j)``
+    a pair must pass it too. Pairs inside a label are not looked at again."""
+    label = np.arange(len(maps))
+    tables: dict[int, np.ndarray] = {}
+    widths = np.array([len(m) for m in maps])
+    for i in range(len(maps)):
+        near = np.flatnonzero((label[i + 1:] != label[i]) & may_link(
+            threshold, sizes[i], sizes[i + 1:], abs(sizes[i + 1:] - sizes[i]))) + i + 1
+        if not len(near):
+            continue
+        width = min(widths[i], widths[near].min())
+        if width not in tables:  # narrower bitmaps are never in ``near`` at this width
+            tables[width] = np.stack([folded(m, width) if len(m) >= width else
+                                      np.zeros(width, np.uint64) for m in maps])
+        differing = np.bitwise_count(tables[width][near] ^ tables[width][i]).sum(1, dtype=np.int64)
+        good = may_link(threshold, sizes[i], sizes[near], differing)
+        for j in near[good][np.argsort(differing[good], kind="stable")].tolist():
+            if label[j] != label[i] and (check is None or check(i, j)):
+                low, high = sorted((label[i], label[j]))
+                label[label == high] = low
+    return label
+
+
+def _components_of(sets: list[np.ndarray], threshold: int) -> np.ndarray:
+    """A component (a position) for each set: equal sets first, then all pairs of
+    different components that the bitmaps let pass, the closest first."""
+    first: dict[bytes, int] = {}
+    same = np.array([first.setdefault(s.tobytes(), i) for i, s in enumerate(sets)], np.int64)
+    own = np.flatnonzero(same == np.arange(len(sets)))
+    kept = [sets[i] for i in own]
+    label = _joined(np.array([len(s) for s in kept]), [bitmap(s) for s in kept], threshold,
+                    lambda i, j: links(kept[i], kept[j], threshold))
+    out = np.empty(len(sets), np.int64)
+    out[own] = own[label]
+    return out[same]
+
+
+def links(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
+    """The exact check: intersection of two sorted arrays."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= threshold * (len(a) + len(b) - both) > 0
+
+
+def _large(groups: DataFrame, rows: DataFrame, size: int, threshold: int,
+           best_rounds: int) -> DataFrame:
+    """Links of groups of any size, without a group in one task."""
+    cards = _cards(rows, groups.select(F.col("member").alias("node")).distinct(), size)
+    stars = groups.where("member <> hub").select(F.col("member").alias("a"), F.col("hub").alias("b"))
+    found = _linked(stars, cards, size, threshold)
+    for step in range(best_rounds + 1):
+        more = _across(groups, written(components(found)), cards, threshold, step < best_rounds)
+        found = found.unionByName(_linked(written(more), cards, size, threshold))
+    return found
+
+
+def _over(rows: DataFrame, key: str) -> DataFrame:
+    """Keys of more than ``GROUP`` rows, written."""
+    return written(rows.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
+                   .where(F.col("c") > GROUP).select(key))
+
+
 def join(docs: DataFrame, size: int = 3, threshold: int = 90, id_col: str = "doc_id",
          text_col: str = "text", buckets: int | None = None, best_rounds: int = 2) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``.
@@ -326,44 +439,31 @@ def join(docs: DataFrame, size: int = 3, threshold: int = 90, id_col: str = "doc
                        F.col(f"`{text_col}`").alias("text"))
     if buckets is None:
         buckets = min(max(rows.count() // 256, 64), 1 << 16)
-    tiles = written(_tiles_of(rows, size, threshold, buckets))
-    member = tiles.where("kind = 0").select(F.col("x").alias("tile"), F.col("y").alias("member"))
+    signatures = written(_signatures(rows, size))
+    known = rows.where("node is not null")
+    member = written(_tiles_of(known, size, threshold, buckets))
     hubs = member.groupBy("tile").agg(F.min("member").alias("hub"), F.max("member").alias("far"))
     groups = written(member.join(hubs.where("hub < far").drop("far"), "tile")
                      .select("hub", "member").distinct())
-    cards = _cards(rows, groups.select(F.col("member").alias("node")).distinct(), size)
-    stars = groups.where("member <> hub").select(F.col("member").alias("a"), F.col("hub").alias("b"))
-    links = _linked(stars, cards, size, threshold)
-    tested = stars
-    roots = written(components(links))
-    for step in range(best_rounds + 1):
-        more = written(_across(groups, roots, cards, threshold, step < best_rounds)
-                       .join(tested, ["a", "b"], "left_anti"))
-        if more.isEmpty():
-            if step < best_rounds:
-                continue
-            break
-        found = _linked(more, cards, size, threshold)
-        tested = tested.unionByName(more)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            roots = written(components(links))
-    sized = (tiles.where("kind = 1").select(F.col("y").alias("doc_id"), F.col("x").alias("n_shingles"))
-             .join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-             .select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id")))
-    return sized.unionByName(_without_id(rows.where("node is null"), size))
-
-
-def _without_id(rows: DataFrame, size: int) -> DataFrame:
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for b in batches:
-            n = [len(s) for texts in texts_of(b.column(1)) for s in shingle_sets(texts, size)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), b.column(0)],
-                                             ["doc_id", "n_shingles", "component_id"])
-
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, component_id long")
+    wide = _over(groups, "hub")
+    if wide.isEmpty():
+        pairs = _families(groups, signatures, threshold)
+    else:   # a group too large for one task is taken as one family
+        pairs = _families(groups.join(wide, "hub", "left_anti"), signatures, threshold).unionByName(
+            groups.join(wide, "hub", "left_semi")
+            .select(F.col("member").alias("a"), F.col("hub").alias("b")))
+    families = written(components(pairs).withColumnRenamed("root", "family"))
+    large = _over(families, "family")
+    if large.isEmpty():
+        roots = _settled(families, known, size, threshold)
+    else:
+        roots = _settled(families.join(large, "family", "left_anti"), known, size, threshold)
+        rest = written(families.join(large, "family", "left_semi")
+                       .select(F.col("family").alias("hub"), F.col("node").alias("member")))
+        roots = roots.unionByName(components(_large(rest, known, size, threshold, best_rounds)))
+    return (signatures.join(roots, "node", "left")
+            .select(F.col("node").alias("doc_id"), F.col("n").alias("n_shingles"),
+                    F.coalesce("root", "node").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "doc_id",

@@ -6,6 +6,7 @@ import re
 import pytest
 
 from mercato.llm import jaccard, queries
+from mercato.llm.components import components
 from tests.conftest import SF_SMALL
 
 
@@ -48,8 +49,10 @@ def test_query_equals_brute_force(spark):
     assert rows_of(queries.op4_jaccard_join(spark, SF_SMALL)) == brute(docs)
 
 
-@pytest.mark.parametrize("size,threshold,seed", [(3, 90, 1), (5, 80, 2), (1, 95, 3)])
-def test_random_near_copies(spark, size, threshold, seed):
+@pytest.mark.parametrize("size,threshold,seed,group", [
+    (3, 90, 1, 4096), (5, 80, 2, 4096), (1, 95, 3, 4096), (3, 90, 4, 3)])
+def test_random_near_copies(spark, monkeypatch, size, threshold, seed, group):
+    monkeypatch.setattr(jaccard, "GROUP", group)
     rnd = random.Random(seed)
     rows, key = [(None, None), (None, "a b c d"), (1, ""), (2, " \n"), (3, "A b"), (4, "a  B"), (5, "a"),
                  (6, "a b c"), (7, None), (8, "a b c"), (8, "q r s t"), (9, "q r s t")], 100
@@ -68,9 +71,11 @@ def test_random_near_copies(spark, size, threshold, seed):
     assert rows_of(jaccard.join(docs, size, threshold)) == brute(rows, size, threshold)
 
 
-def test_a_far_hub_hides_no_links(spark, monkeypatch):
+@pytest.mark.parametrize("group", [4096, 3])
+def test_a_far_hub_hides_no_links(spark, monkeypatch, group):
     """All copies meet a hub that links with none of them; they link among each other."""
     monkeypatch.setattr(jaccard, "BLOCK", 8)
+    monkeypatch.setattr(jaccard, "GROUP", group)
     rnd = random.Random(5)
     words = [f"w{i}" for i in range(300)]
     far = [f"z{i}" if i % 40 == 0 else w for i, w in enumerate(words)]
@@ -91,3 +96,9 @@ def test_keep_one_and_empty(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None"]
     assert jaccard.join(docs.limit(0)).count() == 0
+
+
+def test_components_of_paths_and_stars(spark):
+    links = [(i, i + 1) for i in range(20, 60)] + [(5, 3), (3, 9), (9, 8), (100, 7), (100, 7), (4, 4)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == ({i: 20 for i in range(20, 61)} | {i: 3 for i in (3, 5, 8, 9)} | {7: 7, 100: 7})

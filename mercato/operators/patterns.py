@@ -4,25 +4,25 @@ J7 "A then B within W" finds each start's nearest following end with a
 backwards window per (key, minute), and across minutes from one summary row
 per active minute: linear, no pairs, no group larger than a key-minute.
 
-J8 "k or more events of a key within W" is computed over *time buckets*
-rather than whole keys. Each key's events are cut into buckets of
-``bucket_factor * W``; every bucket also receives, as context, the previous
-bucket's last W of events, so all window counts are exact inside the bucket.
-A key that holds a third of all rows is thus spread over many tasks.
-
-* No skip (J8n): each end event j with ``c_j`` events in ``(t_j - W, t_j]``
-  closes one match per length ``k .. c_j``; they are generated with
-  ``sequence`` and labelled by a lookup of the match's second event.
-* Skip past last (J8): picks are greedy in event order (a pick at j blocks
-  every later match starting at or before j). The only thing a segment of
-  the sequence needs from the past is how many of its first positions are
-  blocked, a number in ``0 .. k-1``. So each segment (a bucket, cut again
-  into chunks of at most ``chunk_rows`` positions) maps entry state -> exit
-  state (a table of k numbers, computed in pandas on its candidate positions,
-  streamed through ``mapInPandas`` one segment at a time), one small pass per key chains those tables in order
-  (one row per segment, not per event), and a last pass replays every
-  segment from its true entry state. Keys whose candidates cannot overlap
-  skip all of this (every candidate is a pick).
+J8 "k or more events of a key within W" works on positions: every event gets its
+number in its key's (time, seq) order. A key is cut into short time slices
+(``slice_width``, whatever W is): slices are counted, the counts summed to offsets (one
+row per non-empty slice), and events numbered inside their slice, so a key that holds
+a third of all rows is spread over its slices. Rows k-1 apart then meet in an equi-join
+on (key, position), which deals a hot key evenly.
+
+* No skip (J8n): each end event closes a run of every length from k to the events
+  in its W. How many lie in W follows from the number of events up to ``t - W``, found
+  by numbering probes at ``t - W`` among the events, slice by slice as above.
+* Skip past last (J8): picks are greedy in event order (a pick at j blocks every later
+  match starting at or before j). The only thing a segment of the sequence needs from
+  the past is how many of its first positions are blocked, a number in ``0 .. k-1``. So
+  each segment (``chunk_rows`` positions of a key) maps entry state -> exit state (a table
+  of k numbers, computed in pandas on its candidate positions, streamed through
+  ``mapInPandas`` one segment at a time), one small pass per key chains those tables
+  in order (one row per segment, not per event), and a last pass replays every segment
+  from its true entry state. Segments whose candidates cannot overlap skip all of
+  this (every candidate is a pick).
 """
 
 from __future__ import annotations
@@ -120,45 +120,62 @@ def timed_out(events: DataFrame, key: str, ts: str, seq: str, start_cond, end_co
 # ---------------------------------------------------------------- J8 / J8n
 
 
-def _bucketed(events: DataFrame, keys: list[str], ts: str, seq: str, payload: list[str],
-              w_us: int, bucket_us: int) -> DataFrame:
-    """Own rows plus context rows (previous bucket's last W), numbered per bucket."""
+def _offsets(rows: DataFrame, counted) -> DataFrame:
+    """Per slice (``_ks``: keys and slice) the ``counted`` rows of the key before it."""
+    per = rows.groupBy("_ks").agg(F.sum(counted).alias("_c"))
+    keys = [f for f in per.schema["_ks"].dataType.names if f != "_slice"]
+    before = (Window.partitionBy(*[F.col(f"_ks.{k}") for k in keys]).orderBy("_ks._slice")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    return per.select("_ks", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
+
+
+def _sliced(df: DataFrame, keys: list[str], time_us, slice_us: int) -> DataFrame:
+    # one non-null key per (key, slice): struct equality matches NULL fields
+    return df.withColumn("_ks", F.struct(
+        *[F.col(k) for k in keys], F.floor(time_us / slice_us).alias("_slice")))
+
+
+def _numbered(events: DataFrame, keys: list[str], ts: str, seq: str, payload: list[str],
+              slice_us: int) -> DataFrame:
+    """Events with their position (1, 2, ...) in their key's (time, seq) order; ``_key``
+    is the key as one struct. Events without a time are left out."""
     base = events.select(*keys, F.col(seq).alias("_seq"), F.col(ts).alias("_ts"),
-                         *payload).withColumn("_t", _us("_ts"))
-    home = F.floor(F.col("_t") / bucket_us)
-    # one pass: every row goes to its own bucket, and also to the next one as
-    # context when it lies in the last W of its bucket
-    tail = F.col("_t") >= (home + 1) * bucket_us - w_us
-    copies = F.when(tail, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
-    rows = (base.withColumn("_own", F.explode(copies))
-            .withColumn("_bucket", F.when(F.col("_own"), home).otherwise(home + 1)))
-    # one non-null key per (key, bucket); later joins on it (plus a position)
-    # find both sides already partitioned by it
-    rows = rows.withColumn("_bk", F.struct(*[F.col(k) for k in keys], F.col("_bucket")))
-    order = Window.partitionBy("_bk").orderBy("_t", "_seq")
-    recent = Window.partitionBy("_bk").orderBy("_t").rangeBetween(-(w_us - 1), 0)
-    rows = rows.withColumn("_pos", F.row_number().over(order))
-    rows = rows.withColumn("_prev_ts", F.lag("_ts", 1).over(order))
-    # events in (t - W, t] up to this one, this one included
-    return rows.withColumn("_cnt", F.col("_pos") - F.min("_pos").over(recent) + 1)
-
-
-def _match_rows(ends: DataFrame, rows: DataFrame, keys: list[str], payload: list[str],
-                count_col: str) -> DataFrame:
-    """Label matches (end, length) with their second event's payload and start time."""
-    ends = ends.withColumn("_pos", F.col("_pos") - F.col(count_col) + 2) \
-        .withColumnRenamed("_ts", "_end_ts")
-    second = rows.select("_bk", "_pos", F.col("_prev_ts").alias("start_ts"),
-                         *[F.col(p).alias(f"_s_{p}") for p in payload])
-    joined = ends.select("_bk", "_pos", *keys, count_col, "shortest_start_ts", "_end_ts").join(
-        second, ["_bk", "_pos"], "left")
-    return joined.select(*keys, F.col(count_col).cast("bigint").alias("click_count"),
-                         *[F.col(f"_s_{p}").alias(p) for p in payload],
-                         "start_ts", "shortest_start_ts", F.col("_end_ts").alias("end_ts"))
+                         *payload).withColumn("_t", _us("_ts")).where(F.col("_t").isNotNull())
+    rows = _sliced(base, keys, F.col("_t"), slice_us)
+    order = Window.partitionBy("_ks").orderBy("_t", "_seq")
+    rows = rows.join(_offsets(rows, F.lit(1)), "_ks")
+    return (rows.withColumn("_pos", F.col("_before") + F.row_number().over(order))
+            .withColumn("_key", F.struct(*[F.col(k) for k in keys]))
+            .drop("_ks", "_before"))
+
+
+def _events_before(rows: DataFrame, keys: list[str], w_us: int, slice_us: int) -> DataFrame:
+    """``rows`` with ``_old``, the number of their key's events at ``t - W`` or before."""
+    columns = rows.columns
+    probes = rows.withColumns({"_x": F.col("_t") - w_us, "_probe": F.lit(1)})
+    light = rows.select(*[F.col(c) if c in keys else F.lit(None).cast(t).alias(c)
+                          for c, t in rows.dtypes], F.col("_t").alias("_x"), F.lit(0).alias("_probe"))
+    both = _sliced(light.unionByName(probes), keys, F.col("_x"), slice_us)
+    event = 1 - F.col("_probe")
+    so_far = (Window.partitionBy("_ks").orderBy("_x", "_probe")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    both = both.join(_offsets(both, event), "_ks")
+    return (both.withColumn("_old", F.col("_before") + F.sum(event).over(so_far))
+            .where("_probe = 1").select(*columns, "_old"))
+
+
+def _at(rows: DataFrame, numbered: DataFrame, position, **columns: str) -> DataFrame:
+    """``rows`` with columns of their key's event at ``position`` (name = column there)."""
+    there = numbered.select(F.col("_key").alias("_there_key"), F.col("_pos").alias("_there_pos"),
+                            *[F.col(c).alias(name) for name, c in columns.items()])
+    here = rows.withColumn("_want", position)
+    return (here.join(there, (F.col("_key") == F.col("_there_key"))
+                      & (F.col("_want") == F.col("_there_pos")))
+            .drop("_there_key", "_there_pos", "_want"))
 
 
 def repeated_all(events: DataFrame, keys: Iterable[str], ts: str, seq: str, times: int,
-                 within, payload: Iterable[str] = (), bucket_factor: int = 16,
+                 within, payload: Iterable[str] = (), slice_width="1 hour",
                  expand: bool = False) -> DataFrame:
     """Runs of ``times`` or more consecutive events of a key spanning < W (J8n).
 
@@ -168,13 +185,22 @@ def repeated_all(events: DataFrame, keys: Iterable[str], ts: str, seq: str, time
     for every run (quadratic in the events of a W).
     """
     keys, payload = list(keys), list(payload)
-    w_us = duration.micros(within)
-    rows = _bucketed(events, keys, ts, seq, payload, w_us, w_us * bucket_factor)
-    rows = rows.withColumn("shortest_start_ts", F.lag("_ts", times - 1).over(
-        Window.partitionBy("_bk").orderBy("_t", "_seq")) if times > 1 else F.col("_ts"))
-    ends = rows.where(F.col("_own") & (F.col("_cnt") >= times))
-    lengths = F.explode(F.sequence(F.lit(times), F.col("_cnt"))) if expand else F.col("_cnt")
-    return _match_rows(ends.withColumn("_len", lengths), rows, keys, payload, "_len")
+    k, slice_us = int(times), duration.micros(slice_width)
+    if k < 2:
+        raise ValueError("a repetition pattern needs at least 2 events")
+    # numbered once, met several times: written to the shared checkpoint folder
+    numbered = materialize(_numbered(events, keys, ts, seq, payload, slice_us))
+    slim = numbered.drop(*payload)
+    ends = _events_before(slim, keys, duration.micros(within), slice_us)
+    ends = ends.withColumn("_cnt", F.col("_pos") - F.col("_old")).where(F.col("_cnt") >= k)
+    count = F.col("_cnt").cast("bigint")
+    lengths = F.explode(F.sequence(F.lit(k).cast("bigint"), count)) if expand else count
+    ends = ends.withColumnRenamed("_ts", "end_ts").withColumn("click_count", lengths)
+    ends = _at(ends, numbered, F.col("_pos") - F.col("click_count") + 1, start_ts="_ts")
+    ends = _at(ends, numbered, F.col("_pos") - (k - 1), shortest_start_ts="_ts")
+    if payload:
+        ends = _at(ends, numbered, F.col("_pos") - F.col("click_count") + 2, **{p: p for p in payload})
+    return ends.select(*keys, "click_count", *payload, "start_ts", "shortest_start_ts", "end_ts")
 
 
 def _exit_state(cands: np.ndarray, n_own: int, k: int, entry: int) -> tuple[int, list[int]]:
@@ -237,77 +263,51 @@ def _stream_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
 
 def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq: str,
                             times: int, within, payload: Iterable[str] = (),
-                            bucket_factor: int = 16, chunk_rows: int = 1 << 20) -> DataFrame:
+                            slice_width="1 hour", chunk_rows: int = 1 << 16) -> DataFrame:
     """Runs of ``times`` events within W, each event used at most once.
 
     A match is emitted at its ``times``-th event and all its events are
-    discarded, so every match has exactly ``times`` events. Output as
-    ``repeated_all``.
-
-    Fast path: in a bucket whose candidate ends are at least ``times``
-    positions apart (and none reaches back into the previous bucket) every
-    candidate is picked; this is decided with window functions, no Python.
-    Only buckets with overlapping candidates take the state-machine path, in
-    segments of at most ``chunk_rows`` positions.
+    discarded, so every match has exactly ``times`` events. Output: keys, click_count,
+    payload of the second event, start_ts, end_ts.
+
+    Fast path: in a segment whose candidate ends are at least ``times`` positions
+    apart (and none reaches back into the previous segment) every candidate is
+    picked; this is decided with window functions, no Python. Only segments with
+    overlapping candidates take the state-machine path.
     """
     keys, payload = list(keys), list(payload)
-    k = int(times)
+    k, chunk = int(times), int(chunk_rows)
     if k < 2:
         raise ValueError("a repetition pattern needs at least 2 events")
     w_us = duration.micros(within)
-    part = [*keys, "_bucket"]
-    bucket = Window.partitionBy("_bk")
-    order = bucket.orderBy("_t", "_seq")
-    rows = (_bucketed(events, keys, ts, seq, payload, w_us, w_us * bucket_factor)
-            .withColumn("_n_ctx", F.sum(F.when(F.col("_own"), 0).otherwise(1)).over(bucket))
-            .withColumn("_n_own", F.sum(F.when(F.col("_own"), 1).otherwise(0)).over(bucket))
-            # a match ending here starts k-1 rows back; its second event is k-2 back
-            .withColumn("_start_ts", F.lag("_ts", k - 1).over(order)))
-    for p in payload:
-        rows = rows.withColumn(f"_2_{p}", F.lag(p, k - 2).over(order))
-    # several passes read these rows: write them once to the shared checkpoint folder
-    rows = materialize(rows)
-    own = rows.where(F.col("_own"))
-    counts = own.where(F.col("_pos") == F.col("_n_ctx") + 1).select(*part, "_n_ctx", "_n_own")
-    cands = (own.where(F.col("_cnt") >= k).select(*part, "_pos", "_n_ctx", "_n_own")
-             .withColumn("_idx", F.col("_pos") - F.col("_n_ctx")))
-    gap = F.col("_idx") - F.lag("_idx").over(Window.partitionBy(*part).orderBy("_idx"))
-    cands = cands.withColumn("_gap", gap)
-    # A bucket whose candidates are k or more apart and none reaches back into
-    # the previous bucket picks every candidate whatever its entry state, and
-    # leaves a constant exit state: no Python for it.
-    per_bucket = (cands.groupBy(*part)
-                  .agg(F.bool_and((F.col("_idx") >= k) & (F.coalesce("_gap", F.lit(k)) >= k))
-                       .alias("_simple"), F.max("_idx").alias("_last")))
-    cands = _nsjoin(cands, per_bucket.select(*part, "_simple"), part)
-    fast = cands.where(F.col("_simple")).select(*part, "_pos")
-    slow = cands.where(~F.col("_simple"))
-    slow_keys = per_bucket.where(~F.col("_simple")).select(*keys).distinct()
-    # every bucket of a key with a slow bucket takes part in the chain
-    slow_counts = _nsjoin(_nsjoin(counts, slow_keys, keys),
-                          per_bucket.select(*part, "_simple", "_last"), part, "left")
-
-    # The state machine composes over any cut of a key's event sequence, so a
-    # slow bucket is cut again into chunks of at most ``chunk_rows`` positions:
-    # no Python group ever holds more candidates than that. Other buckets are
-    # one segment each: simple ones with a constant exit table, buckets without
-    # candidates with none (the state just runs down).
-    chunk = int(chunk_rows)
-    seg = [*part, "_chunk"]
-    slow = (slow.withColumn("_chunk", F.floor((F.col("_idx") - 1) / chunk))
-            .withColumn("_cidx", F.col("_idx") - F.col("_chunk") * chunk)
-            .withColumn("_cn", F.least(F.lit(chunk), F.col("_n_own") - F.col("_chunk") * chunk)))
-    is_slow = F.coalesce(~F.col("_simple"), F.lit(False))
-    n_chunks = F.when(is_slow, F.ceil(F.col("_n_own") / chunk)).otherwise(F.lit(1))
-    segments = (slow_counts
-                .withColumn("_chunk", F.explode(F.sequence(
-                    F.lit(0).cast("bigint"), n_chunks.cast("bigint") - 1)))
-                .withColumn("_cn", F.when(is_slow, F.least(
-                    F.lit(chunk), F.col("_n_own") - F.col("_chunk") * chunk))
-                    .otherwise(F.col("_n_own")))
-                .withColumn("_const", F.when(F.col("_simple"), F.array_repeat(
-                    F.greatest(F.lit(0), F.col("_last") + k - 1 - F.col("_n_own")).cast("int"),
-                    k))))
+    # numbered once, met several times: written to the shared checkpoint folder
+    numbered = materialize(_numbered(events, keys, ts, seq, payload, duration.micros(slice_width)))
+    slim = numbered.drop(*payload)
+    ends = _at(slim, numbered, F.col("_pos") - (k - 1), _start_t="_t", start_ts="_ts")
+    segment = F.floor((F.col("_pos") - 1) / chunk)
+    seg = [*keys, "_chunk"]
+    cands = (ends.where(F.col("_t") - F.col("_start_t") < w_us)
+             .withColumn("_chunk", segment)
+             .withColumn("_cidx", F.col("_pos") - F.col("_chunk") * chunk))
+    cands = materialize(cands.select(*seg, "_pos", "_cidx", "_key", "_ts", "start_ts"))
+    gap = F.col("_cidx") - F.lag("_cidx").over(Window.partitionBy(*seg).orderBy("_cidx"))
+    # A segment whose candidates are k or more apart and none reaches back into the
+    # previous segment picks every candidate whatever its entry state, and leaves a
+    # constant exit state: no Python for it. (A key's first candidate is at k or later.)
+    per_segment = (cands.withColumn("_gap", gap).groupBy(*seg)
+                   .agg(F.bool_and((F.col("_cidx") >= k) & (F.coalesce("_gap", F.lit(k)) >= k))
+                        .alias("_simple"), F.max("_cidx").alias("_last")))
+    sizes = slim.groupBy(*keys, segment.alias("_chunk")).agg(F.count(F.lit(1)).alias("_cn"))
+    cands = _nsjoin(cands, per_segment.select(*seg, "_simple"), seg)
+    fast = cands.where(F.col("_simple"))
+    slow = _nsjoin(cands.where(~F.col("_simple")), sizes, seg)
+    # every segment of a key with a slow segment takes part in the chain: simple ones
+    # with a constant exit table, those without candidates with none (the state just
+    # runs down)
+    slow_keys = per_segment.where(~F.col("_simple")).select(*keys).distinct()
+    segments = _nsjoin(_nsjoin(sizes, slow_keys, keys), per_segment, seg, "left")
+    segments = segments.withColumn("_const", F.when(F.col("_simple"), F.array_repeat(
+        F.greatest(F.lit(0), F.col("_last") + k - 1 - F.col("_cn")).cast("int"), k)))
 
     seg_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                            for f in slow.select(*seg).schema.fields)
@@ -336,24 +336,22 @@ def repeated_skip_past_last(events: DataFrame, keys: Iterable[str], ts: str, seq
         res["_entry"] = entries
         return res[g["_exits"].notna().to_numpy()]
 
-    entries = _stream_groups(summary, keys, ["_bucket", "_chunk"], chain,
-                             f"{seg_schema}, _entry int")
+    entries = _stream_groups(summary, keys, ["_chunk"], chain, f"{seg_schema}, _entry int")
 
     def replay(g: pd.DataFrame) -> pd.DataFrame:
         c = g["_cidx"].to_numpy()
         _, picks = _exit_state(c, int(g["_cn"].iloc[0]), k, int(g["_entry"].iloc[0]))
-        res = g[part].iloc[[0] * len(picks)].reset_index(drop=True)
-        offset = int(g["_chunk"].iloc[0]) * chunk + int(g["_n_ctx"].iloc[0])
-        res["_pos"] = np.asarray(picks, dtype="int64") + offset
+        res = g[seg].iloc[[0] * len(picks)].reset_index(drop=True)
+        res["_cidx"] = np.asarray(picks, dtype="int64")
         return res
 
-    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                           for f in rows.select(*part).schema.fields)
-    slow_picks = _stream_groups(
-        _nsjoin(slow, entries, seg).select(*seg, "_cidx", "_cn", "_n_ctx", "_entry"),
-        seg, ["_cidx"], replay, f"{key_schema}, _pos bigint")
-    picks = fast.unionByName(slow_picks)
-    ends = _nsjoin(own, picks, [*part, "_pos"])
-    return ends.select(*keys, F.lit(k).cast("bigint").alias("click_count"),
-                       *[F.col(f"_2_{p}").alias(p) for p in payload],
-                       F.col("_start_ts").alias("start_ts"), F.col("_ts").alias("end_ts"))
+    picks = _stream_groups(
+        _nsjoin(slow.select(*seg, "_cidx", "_cn"), entries, seg),
+        seg, ["_cidx"], replay, f"{seg_schema}, _cidx bigint")
+    slow_picks = _nsjoin(slow, picks, [*seg, "_cidx"])
+    found = fast.select(*keys, "_key", "_pos", "start_ts", "_ts").unionByName(
+        slow_picks.select(*keys, "_key", "_pos", "start_ts", "_ts"))
+    if payload:
+        found = _at(found, numbered, F.col("_pos") - (k - 2), **{p: p for p in payload})
+    return found.select(*keys, F.lit(k).cast("bigint").alias("click_count"), *payload, "start_ts",
+                        F.col("_ts").alias("end_ts"))

@@ -150,7 +150,7 @@ def test_repetition_matches_do_not_overlap(spark):
     df = spark.createDataFrame(rows, "offset long, uid string, product_id string, area string, "
                                      "ts timestamp_ntz")
     out = patterns.repeated_skip_past_last(df, ["uid", "product_id"], "ts", "offset", 3,
-                                           "10 seconds", payload=["area"], bucket_factor=2)
+                                           "10 seconds", payload=["area"], slice_width="2 seconds")
     got = sorted((r.start_ts, r.end_ts) for r in out.collect())
     assert got == [(T0, T0 + dt.timedelta(seconds=2)),
                    (T0 + dt.timedelta(seconds=3), T0 + dt.timedelta(seconds=5)),

@@ -44,12 +44,12 @@ def test_random_keys(spark, seed, k, factor, chunk):
         per_key[key] = evs
     df = spark.createDataFrame(rows, "offset long, uid string, product_id string, ts timestamp_ntz")
     got_all = patterns.repeated_all(df, ["uid", "product_id"], "ts", "offset", k,
-                                    f"{w} seconds", bucket_factor=factor,
+                                    f"{w} seconds", slice_width=f"{factor} seconds",
                                     expand=True).collect()
     got_ends = patterns.repeated_all(df, ["uid", "product_id"], "ts", "offset", k, f"{w} seconds",
-                                     bucket_factor=factor).collect()
+                                     slice_width=f"{factor} seconds").collect()
     got_skip = patterns.repeated_skip_past_last(df, ["uid", "product_id"], "ts", "offset", k,
-                                                f"{w} seconds", bucket_factor=factor,
+                                                f"{w} seconds", slice_width=f"{factor} seconds",
                                                 chunk_rows=chunk).collect()
     for key, evs in per_key.items():
         exp_all, exp_skip = brute(evs, k, w)

@@ -49,3 +49,18 @@ def test_skewed_query_matches_oracle(spark, skewed_dir, name):
     orows = res.fetchall()
     assert len(srows) == len(orows)
     assert digest(srows, df.columns)[0] == digest(orows, ocols)[0]
+
+
+def test_a_hot_key_is_dealt_over_many_groups(spark, skewed_dir):
+    """Largest group that the repetition patterns number at once: a time slice of a
+    key, not the key; and the segments of the state machine are of bounded size."""
+    from mercato.operators import patterns
+    from mercato.plans import queries as q
+    clicks = q.ad_clicks(spark, skewed_dir).withColumn("_t", F.unix_micros(F.col("ts").cast("timestamp")))
+    hot = clicks.groupBy("uid", "product_id").count().agg(F.max("count")).first()[0]
+    sliced = patterns._sliced(clicks, ["uid", "product_id"], F.col("_t"), 3_600_000_000)
+    largest = sliced.groupBy("_ks").count().agg(F.max("count")).first()[0]
+    assert hot > 20 and largest <= 3
+    numbered = patterns._numbered(clicks.drop("_t"), ["uid", "product_id"], "ts", "offset", [], 3_600_000_000)
+    top = numbered.groupBy("_key").agg(F.max("_pos").alias("p"), F.count("*").alias("c")).where("p <> c")
+    assert top.count() == 0  # positions are 1..n per key

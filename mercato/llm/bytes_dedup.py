@@ -41,12 +41,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm import hashing
-from mercato.llm.common import texts_of, written
+from mercato.llm.common import named, texts_of, written
 
 GRAM = 64
 PIECE = 1 << 20          # bytes hashed at a time; longer texts go in overlapping pieces
 MERGED = 1 << 16         # different contexts of one anchor merged in one task
 _PLACE_BITS = 21         # of a place within a buffer of up to 2 * PIECE bytes
+_NO_ID = -(1 << 63)      # stands for a null identifier
 _TAG = 1 << 32           # a row's tag stands above the place within its text
 
 
@@ -229,7 +230,7 @@ def _sent(texts: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
             if held:
                 yield shard(held)
 
-    return (texts.join(asked, "doc").select("doc", "text", "tag", "asked")
+    return (texts.join(asked.hint("merge"), "doc").select("doc", "text", "tag", "asked")
             .mapInArrow(run, "bucket int, anchor long, doc long, start long, n int, off int, "
                              "single boolean, merged boolean, context binary"))
 
@@ -286,10 +287,10 @@ def _count(sent: DataFrame, window: int) -> DataFrame:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc`` (null identifiers as the smallest number), ``text``, ``tag``, ``doc_id``;
-    the tag tells rows of a repeated identifier apart by their texts."""
-    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63))).alias("doc"),
-                       F.col(f"`{text_col}`").alias("text"), F.col(f"`{id_col}`").alias("doc_id"))
+    """``doc`` (null identifiers as the smallest number), ``text``, ``tag``; the tag
+    tells rows of a repeated identifier apart by their texts."""
+    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NO_ID)).alias("doc"),
+                       named(text_col, "text"))
     again = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc")
     if again.isEmpty():
         return rows.withColumn("tag", F.lit(0).cast("long"))
@@ -306,10 +307,10 @@ def dedup(docs: DataFrame, window: int = 400, id_col: str = "doc_id", text_col:
     ``buckets`` deals the anchors to be merged; by default one per 1024 documents (32
     at least, 65536 at most), so that a bucket's contexts stay small in memory.
     """
-    rows = _rows(docs, id_col, text_col)
+    texts = _rows(docs, id_col, text_col)
     if buckets is None:
         buckets = min(max(docs.count() // 1024, 32), 1 << 16)
-    seen = written(_occurrences(rows.select("doc", "text", "tag"), window))
+    seen = written(_occurrences(texts, window))
     classes = seen.groupBy("anchor", "digest").agg(
         F.count(F.lit(1)).alias("c"), F.min(F.struct("doc", "start", "n", "off")).alias("one"))
     classes = written(classes.select("anchor", "digest", "c", "one.*"))
@@ -320,9 +321,9 @@ def dedup(docs: DataFrame, window: int = 400, id_col: str = "doc_id", text_col:
     chosen = (classes.join(mixed, "anchor")
               .withColumn("single", F.col("c") == 1)
               .withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)).cast("int")))
-    # both joins with the texts deal them by document, in one and the same exchange
-    texts = rows.select("doc", "text", "tag", "doc_id")
-    sent = _sent(texts.select("doc", "text", "tag"), chosen, window)
+    # both joins with the texts deal them by document, in one and the same exchange:
+    # same columns, and a merge at any size
+    sent = _sent(texts, chosen, window)
     if mixed.where("not merged").isEmpty():
         found = _merge(sent, window)
     else:
@@ -332,7 +333,8 @@ def dedup(docs: DataFrame, window: int = 400, id_col: str = "doc_id", text_col:
                       "left_semi").select("doc", "start", "n")
     spans = (whole.unionByName(found).groupBy("doc")
              .agg(F.collect_list(F.struct("start", "n")).alias("spans")))
-    return _apply(texts.join(spans, "doc", "left").select("doc_id", "text", "tag", "spans"), window)
+    return _apply(texts.join(spans.hint("merge"), "doc", "left").select("doc", "text", "tag", "spans"),
+                  window)
 
 
 def _apply(judged: DataFrame, window: int) -> DataFrame:
@@ -365,7 +367,7 @@ def _apply(judged: DataFrame, window: int) -> DataFrame:
                 [b.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds)]],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"])
 
-    kind = dict(judged.dtypes)["doc_id"]
-    return judged.mapInArrow(
-        run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+    out = judged.mapInArrow(
+        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
              "removed array<struct<start: int, end: int>>")
+    return out.withColumn("doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))

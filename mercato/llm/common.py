@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mercato.session import checkpoint_dir
 
-BATCH_BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
-
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of the corpus, as it is."""
@@ -28,6 +28,25 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Rows of an Arrow batch for what is executed inside the block; for rows that hold
+    much each, so that a batch stays small in a Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def named(column: str, name: str):
+    """A column under a name; without an alias where it has that name already (two
+    frames with and without a redundant alias do not share an exchange)."""
+    return F.col(f"`{column}`") if column == name else F.col(f"`{column}`").alias(name)
+
+
 def texts_of(column, max_bytes: int = 4 << 20):
     """Cut an Arrow text column into runs of at most ``max_bytes`` (one text at
     least): yields lists of str, null as ''. Bounds what a task holds as Python

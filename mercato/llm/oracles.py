@@ -1,6 +1,74 @@
 """DuckDB SQL for the queries of this package that SQL can express."""
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLES: dict[str, str] = {
+    # all 13-word windows, the smallest document of each, the words they cover
+    "op1_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+f AS (SELECT k, min(doc_id) AS first FROM p GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM p JOIN f USING (k) WHERE first < doc_id),
+words AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t, count(*) AS n
+         FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op3_decontaminate": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, s, array_to_string(w[i:i + s - 1], ' ') AS k
+       FROM (SELECT *, unnest(range(1, len(w) - s + 2)) AS i
+             FROM (SELECT *, least(10, len(w)) AS s FROM b WHERE len(w) > 0))),
+p AS (SELECT doc_id, i, s, array_to_string(w[i:i + s - 1], ' ') AS k
+      FROM (SELECT doc_id, w, s, unnest(range(1, len(w) - s + 2)) AS i
+            FROM d, (SELECT DISTINCT s FROM bw) WHERE len(w) >= s)),
+hit AS (SELECT doc_id, i, s, item_id FROM p JOIN bw USING (s, k)),
+n AS (SELECT doc_id, count(*) AS n_hit
+      FROM (SELECT DISTINCT doc_id, unnest(range(i, i + s)) AS i FROM hit) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items
+       FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
+""",
+    "op4_jaccard_join": rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS k
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS met
+          FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+          WHERE 100 * met >= 90 * (x.n + y.n - met)),
+e AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN e ON e.a = r.b)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+""",
+    # bytes as two hex digits each
+    "op6_suffix_dedup": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, i, hash(substr(h, 2 * i + 1, 800)) AS k
+      FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM d WHERE length(h) >= 800)),
+r AS (SELECT doc_id, i FROM p WHERE k IN (SELECT k FROM p GROUP BY k HAVING count(*) > 1)),
+m AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400, true) AS fresh FROM r),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b
+         FROM (SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM m)
+         GROUP BY doc_id, g),
+cut AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS from_ FROM runs),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a) AS t, max(b) AS e,
+                sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans
+         FROM cut JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(t || substr(h, 2 * e + 1), h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
     "op2_exact_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
            FROM documents),

@@ -23,7 +23,7 @@ from mercato.llm.common import read
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.dedup(read(spark, sf_dir, "documents"), window=13)
+    return substring.dedup(read(spark, sf_dir, "documents"), window=13).drop("removed")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +53,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bytes_dedup.dedup(read(spark, sf_dir, "documents"), window=400)
+    return bytes_dedup.dedup(read(spark, sf_dir, "documents"), window=400).drop("removed")
 
 
 def tokenizer_file(name: str) -> str:

@@ -44,13 +44,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm import hashing
-from mercato.llm.common import texts_of, written
+from mercato.llm.common import arrow_rows, texts_of, written
 from mercato.llm.components import components
 
 BAND_GROWTH = 1.5
 ENTRIES = 1 << 20       # packed tile entries a map task holds before it sends them
 GROUP = 4096            # members of a group or family settled in one task
 BLOCK = 256             # members of a block of a larger family
+TILE_BYTES = 5          # of a tile's hash, beside its bucket
+PAIRS = 512             # pairs of texts in one Arrow batch
 
 
 def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
@@ -136,10 +138,14 @@ def _tiles_of(rows: DataFrame, size: int, threshold: int, buckets: int) -> DataF
 
         bands = Bands(threshold)
         held: list[tuple[np.ndarray, int]] = []
-        names = ["bucket", "tiles", "docs", "met"]
+        names = ["bucket", "entries", "tiles", "docs", "met"]
 
         def batch():
+            # bucket above, the low bytes of the tile below: two tiles that fall together
+            # only bring a pair more to check
             tile = np.concatenate([t for t, _ in held])
+            tile = (((tile >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)
+                     << np.uint64(8 * TILE_BYTES)) | (tile & np.uint64((1 << 8 * TILE_BYTES) - 1)))
             doc = np.repeat([d for _, d in held], [len(t) for t, _ in held]).astype(np.int64)
             order = np.lexsort((doc, tile))
             tile, doc = tile[order], doc[order]
@@ -149,13 +155,14 @@ def _tiles_of(rows: DataFrame, size: int, threshold: int, buckets: int) -> DataF
             # members that met in this task are reported here; one goes on
             met = np.stack((tile[several].view(np.int64), doc[several]))
             tile, doc = tile[first], doc[first]
-            bucket = (tile >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)
+            bucket = tile >> np.uint64(8 * TILE_BYTES)
             cut = bucket.searchsorted(np.arange(buckets + 1, dtype=np.uint64))
             some = np.flatnonzero(np.diff(cut)).tolist()
             share = np.linspace(0, met.shape[1], len(some) + 1).astype(int)
-            out = [[b, tile[cut[b]:cut[b + 1]].tobytes(), doc[cut[b]:cut[b + 1]].tobytes(),
+            out = [[b, int(cut[b + 1] - cut[b]), hashing.planes(tile[cut[b]:cut[b + 1]], TILE_BYTES),
+                    hashing.planes(doc[cut[b]:cut[b + 1]]),
                     met[:, share[i]:share[i + 1]].tobytes()] for i, b in enumerate(some)]
-            kinds = [pa.int32(), *[pa.binary()] * 3]
+            kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 3]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
@@ -178,8 +185,11 @@ def _tiles_of(rows: DataFrame, size: int, threshold: int, buckets: int) -> DataF
     def meet(table):
         import pyarrow as pa
 
-        tile, doc = (np.frombuffer(b"".join(table.column(n).to_pylist()), k)
-                     for n, k in (("tiles", np.uint64), ("docs", np.int64)))
+        counts = table.column("entries").to_pylist()
+        tile, doc = (np.concatenate([hashing.from_planes(x, n, k) for x, n in
+                                     zip(table.column(c).to_pylist(), counts)])
+                     for c, k in (("tiles", np.uint64), ("docs", np.int64)))
+        tile |= np.uint64(table.column("bucket")[0].as_py() << 8 * TILE_BYTES)
         met = [np.frombuffer(x, np.int64).reshape(2, -1) for x in table.column("met").to_pylist()]
         order = np.lexsort((doc, tile))
         tile, doc = tile[order], doc[order]
@@ -189,12 +199,12 @@ def _tiles_of(rows: DataFrame, size: int, threshold: int, buckets: int) -> DataF
             "tile": np.concatenate((tile[several].view(np.int64), *[m[0] for m in met])),
             "member": np.concatenate((doc[several], *[m[1] for m in met]))})
 
-    packed = rows.mapInArrow(pack, "bucket int, tiles binary, docs binary, met binary")
+    packed = rows.mapInArrow(pack, "bucket int, entries int, tiles binary, docs binary, met binary")
     return packed.groupBy("bucket").applyInArrow(meet, "tile long, member long")
 
 
-def _cards(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """Size, digest, bitmap and text of the documents that share a tile."""
+def _cards(texts: DataFrame, size: int) -> DataFrame:
+    """Size, digest, bitmap and text of the members ``(node, text)`` of large families."""
     def run(batches: Iterator) -> Iterator:
         import hashlib
 
@@ -209,8 +219,8 @@ def _cards(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 pa.array([bitmap(s).tobytes() for s in sets], pa.binary()), b.column(1),
             ], ["node", "n", "digest", "bits", "text"])
 
-    return written(rows.join(wanted, "node", "left_semi")
-                   .mapInArrow(run, "node long, n long, digest binary, bits binary, text string"))
+    return written(texts.mapInArrow(
+        run, "node long, n long, digest binary, bits binary, text string"))
 
 
 def _linked(pairs: DataFrame, cards: DataFrame, size: int, threshold: int) -> DataFrame:
@@ -255,8 +265,9 @@ def _linked(pairs: DataFrame, cards: DataFrame, size: int, threshold: int) -> Da
     seen = written(seen.mapInArrow(bound, "a long, b long, verdict int").where("verdict > 0"))
     texts = (seen.where("verdict = 2").join(side("a", "text"), "a").join(side("b", "text"), "b")
              .select("a", "b", "a_text", "b_text"))
-    return written(seen.where("verdict = 1").select("a", "b")
-                   .unionByName(texts.mapInArrow(exact, "a long, b long")).distinct())
+    with arrow_rows(pairs.sparkSession, PAIRS):     # a row holds two whole texts
+        return written(seen.where("verdict = 1").select("a", "b")
+                       .unionByName(texts.mapInArrow(exact, "a long, b long")).distinct())
 
 
 def _across(groups: DataFrame, roots: DataFrame, cards: DataFrame, threshold: int,
@@ -269,36 +280,43 @@ def _across(groups: DataFrame, roots: DataFrame, cards: DataFrame, threshold: in
     labelled = (groups.join(roots.select(F.col("node").alias("member"), "root"), "member", "left")
                 .select("hub", "member", F.coalesce("root", "member").alias("root")))
     sizes = labelled.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("c"))
-    mixed = (sizes.groupBy("hub").agg(
-        F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("m"), F.count(F.lit(1)).alias("k"))
-        .where("k > 1").select("hub", F.col("top.root").alias("main"),
-                               F.ceil(F.col("m") / BLOCK).alias("blocks")))
+    mixed = (sizes.groupBy("hub").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("m"))
+             .where("m > top.c")
+             .select("hub", F.col("top.root").alias("main"),
+                     F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"),
+                     F.ceil((F.col("m") - F.col("top.c")) / BLOCK).cast("int").alias("others")))
     signed = (labelled.join(mixed, "hub")
-              .join(cards.select(F.col("node").alias("member"), "n", "bits"), "member")
-              .withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks"))))
-    card = F.struct("member", "root", "n", "bits")
-    all_blocks = signed.groupBy("hub", "block").agg(F.collect_list(card).alias("u"))
-    few = (signed.where("root <> main").groupBy("hub", "block").agg(F.collect_list(card).alias("v"))
-           .withColumnRenamed("block", "other"))
-
-    def hold(batches: Iterator) -> Iterator:
+              .join(cards.select(F.col("node").alias("member"), "n", "bits"), "member"))
+    spread = F.xxhash64("member")
+
+    def each(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    # every block of all members with every block of those outside the main component
+    columns = ["hub", "block", "other", "few", "member", "root", "n", "bits"]
+    everyone = (signed.withColumn("block", F.pmod(spread, F.col("blocks")).cast("int"))
+                .withColumn("other", each("others")).withColumn("few", F.lit(False)))
+    few = (signed.where("root <> main").withColumn("other", F.pmod(spread, F.col("others")).cast("int"))
+           .withColumn("block", each("blocks")).withColumn("few", F.lit(True)))
+
+    def hold(table):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        for b in batches:
-            found: list[tuple[int, int]] = []
-            for u, v in zip(b.column(0), b.column(1)):
-                found.extend(_close(_unpacked(u.as_py()), _unpacked(v.as_py()), threshold, best_only))
-            a, c = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
+        sides = [_unpacked(table.filter(pc.equal(table.column("few"), side))) for side in (True, False)]
+        found = list(_close(*sides, threshold, best_only))
+        a, c = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(c, pa.int64())})
 
-    return (few.join(all_blocks, "hub").select("v", "u").mapInArrow(hold, "a long, b long")
+    return (everyone.select(*columns).unionByName(few.select(*columns))
+            .groupBy("hub", "block", "other").applyInArrow(hold, "a long, b long")
             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
 
-def _unpacked(cards: list[dict]):
-    return ([c["member"] for c in cards], np.array([c["root"] for c in cards]),
-            np.array([c["n"] for c in cards]), [np.frombuffer(c["bits"], np.uint64) for c in cards])
+def _unpacked(cards):
+    return (cards.column("member").to_pylist(), cards.column("root").to_numpy(),
+            cards.column("n").to_numpy(),
+            [np.frombuffer(x, np.uint64) for x in cards.column("bits").to_pylist()])
 
 
 def _close(left, right, threshold: int, best_only: bool) -> Iterator[tuple[int, int]]:
@@ -341,8 +359,9 @@ def _families(groups: DataFrame, signatures: DataFrame, threshold: int) -> DataF
         .groupBy("hub").applyInArrow(near, "a long, b long"))
 
 
-def _settled(families: DataFrame, rows: DataFrame, size: int, threshold: int) -> DataFrame:
-    """``(node, root)`` of every member of families of bounded size."""
+def _settled(members: DataFrame, size: int, threshold: int) -> DataFrame:
+    """``(node, root)`` of every member ``(family, node, text)`` of families of bounded
+    size."""
     def settle(table):
         import pyarrow as pa
 
@@ -361,9 +380,7 @@ def _settled(families: DataFrame, rows: DataFrame, size: int, threshold: int) ->
         return pa.table({"node": pa.array(of, pa.int64()),
                          "root": pa.array([least[own] for own in of.values()], pa.int64())})
 
-    # both sides grow with the corpus: the merge hint keeps either from a broadcast
-    return (families.hint("merge").join(rows, "node").select("family", "node", "text")
-            .groupBy("family").applyInArrow(settle, "node long, root long"))
+    return members.groupBy("family").applyInArrow(settle, "node long, root long")
 
 
 def _joined(sizes: np.ndarray, maps: list[np.ndarray], threshold: int, check=None) -> np.ndarray:
@@ -410,10 +427,10 @@ def links(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
     return 100 * both >= threshold * (len(a) + len(b) - both) > 0
 
 
-def _large(groups: DataFrame, rows: DataFrame, size: int, threshold: int,
-           best_rounds: int) -> DataFrame:
-    """Links of groups of any size, without a group in one task."""
-    cards = _cards(rows, groups.select(F.col("member").alias("node")).distinct(), size)
+def _large(members: DataFrame, size: int, threshold: int, best_rounds: int) -> DataFrame:
+    """Links of families ``(family, node, text)`` of any size, none in one task."""
+    cards = _cards(members.select("node", "text"), size)
+    groups = written(members.select(F.col("family").alias("hub"), F.col("node").alias("member")).distinct())
     stars = groups.where("member <> hub").select(F.col("member").alias("a"), F.col("hub").alias("b"))
     found = _linked(stars, cards, size, threshold)
     for step in range(best_rounds + 1):
@@ -453,14 +470,15 @@ def join(docs: DataFrame, size: int = 3, threshold: int = 90, id_col: str = "doc
             groups.join(wide, "hub", "left_semi")
             .select(F.col("member").alias("a"), F.col("hub").alias("b")))
     families = written(components(pairs).withColumnRenamed("root", "family"))
+    # each text goes once to its family. Both sides grow with the corpus: the merge hint
+    # keeps either from a broadcast
+    members = written(families.hint("merge").join(known, "node").select("family", "node", "text"))
     large = _over(families, "family")
     if large.isEmpty():
-        roots = _settled(families, known, size, threshold)
+        roots = _settled(members, size, threshold)
     else:
-        roots = _settled(families.join(large, "family", "left_anti"), known, size, threshold)
-        rest = written(families.join(large, "family", "left_semi")
-                       .select(F.col("family").alias("hub"), F.col("node").alias("member")))
-        roots = roots.unionByName(components(_large(rest, known, size, threshold, best_rounds)))
+        roots = _settled(members.join(large, "family", "left_anti"), size, threshold).unionByName(
+            components(_large(members.join(large, "family", "left_semi"), size, threshold, best_rounds)))
     return (signatures.join(roots, "node", "left")
             .select(F.col("node").alias("doc_id"), F.col("n").alias("n_shingles"),
                     F.coalesce("root", "node").alias("component_id")))
@@ -470,6 +488,6 @@ def keep_one(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str =
              text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component (the smallest identifier) left."""
     found = join(docs, size, threshold, id_col, text_col)
-    gone = (found.where("component_id <> doc_id")
-            .select(F.col("doc_id").alias("__gone")).distinct())
+    gone = written(found.where("component_id <> doc_id")
+                   .select(F.col("doc_id").alias("__gone")).distinct())
     return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")

@@ -308,14 +308,16 @@ def infer(pages: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             html_col: str = "html") -> DataFrame:
-    """``(page_id, url, text)`` for every page. The wrappers are joined to the pages
-    by host; a hot host is split there by adaptive execution."""
+    """``(page_id, url, text)`` for every page. The wrappers are joined to the pages by
+    host and share, so that a hot host is read by as many tasks as there are shares."""
     rows = pages.select(
         F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"),
         F.lower(F.regexp_extract(F.coalesce(F.col(f"`{url_col}`"), F.lit("")),
                                  r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
         F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias("html"))
-    wrappers = infer(rows.select("host", "html"))
+    wrappers = infer(rows.select("host", "html")).withColumn(
+        "share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    rows = rows.withColumn("share", F.pmod(F.xxhash64("page_id", "html"), F.lit(SHARES)).cast("int"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -337,5 +339,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 [b.column(0), b.column(1), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
     kind = dict(rows.dtypes)["page_id"]
-    return (rows.join(wrappers, "host", "left").select("page_id", "url", "html", "wrapper")
+    return (rows.join(wrappers, ["host", "share"], "left").select("page_id", "url", "html", "wrapper")
             .mapInArrow(run, f"page_id {kind}, url string, text string"))

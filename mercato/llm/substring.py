@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.llm import hashing
-from mercato.llm.common import texts_of, written
+from mercato.llm.common import named, texts_of, written
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 GRAM = 5                # words of a minimiser's gram
@@ -228,7 +228,7 @@ def _source_digests(rows: DataFrame, paths: DataFrame, window: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                              ["source", "source_start", "n", "digest"])
 
-    return (rows.join(asked, "doc").select("doc", "text", "tag", "spans")
+    return (rows.join(asked.hint("merge"), "doc").select("doc", "text", "tag", "spans")
             .mapInArrow(run, "source long, source_start long, n int, digest binary"))
 
 
@@ -278,17 +278,17 @@ def dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: s
     ``buckets`` deals the edges; by default one per 256 documents (64 at least, 65536
     at most), so that a bucket's edges stay small in memory.
     """
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"),
-                       F.col(f"`{text_col}`").alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), named(text_col, "text"))
     if buckets is None:
         buckets = min(max(rows.count() // 256, 64), 1 << 16)
     known = _tagged(rows.where("doc is not null"))
     paths = written(_paths(_find(known, window, buckets)))
-    # both joins below deal the texts by identifier, in one and the same exchange
+    # both joins below deal the texts by identifier, in one and the same exchange (same
+    # columns, and a merge at any size)
     digests = _source_digests(known, paths, window)
     proven = (paths.join(digests, ["source", "source_start", "n"])
               .groupBy("doc").agg(F.collect_list(F.struct("start", "n", "digest")).alias("spans")))
-    judged = known.join(proven, "doc", "left").select("doc", "text", "tag", "spans")
+    judged = known.join(proven.hint("merge"), "doc", "left").select("doc", "text", "tag", "spans")
     blank = rows.where("doc is null").select("doc", "text", F.lit(0).cast("long").alias("tag"), F.lit(
         None).cast("array<struct<start: long, n: int, digest: binary>>").alias("spans"))
 

@@ -4,8 +4,8 @@ Two documents link when ``100 * |A n B| >= threshold * |A u B|`` over their sets
 distinct word shingles (ASCII lower-cased; equality of shingles by 64-bit hash).
 
 *Tiles.* Sizes are cut into bands. Linked sets differ in at most H shingles, where
-H follows from the band, so if the hash range is cut into H + 1 slices, two linked
-sets agree on at least one whole slice. A tile is (band, slice, content of the
+H follows from the band, so if the hash range is cut into H + 1 slices and some spare
+ones, two linked sets agree on more slices than are spare. A tile is (band, slice, content of the
 slice); a document enters the tiles of its band and, if a linked set may be that
 small, of the band below. Tiles are found from packed (tile, document) runs: a task
 keeps one entry per tile, so a tile shared by a third of all rows arrives as one
@@ -72,10 +72,14 @@ class Bands:
             low.append(max(low[-1] + 1, int(low[-1] * BAND_GROWTH)))
         self.low = np.array(low)
 
-    def slices(self, band: int) -> int:
+    def slices(self, band: int) -> tuple[int, int]:
+        """Slices of a band, and how many of them are spare: linked sets agree on more
+        slices than that. A set with no more empty slices than spare ones need not enter
+        the tiles of its empty slices: what it links with agrees on a filled one too."""
         top = int(self.low[band + 1]) - 1
         both = top + top * 100 // self.threshold
-        return both * (100 - self.threshold) // (100 + self.threshold) + 1
+        needed = both * (100 - self.threshold) // (100 + self.threshold) + 1
+        return needed + needed // 4, needed // 4
 
     def tiles(self, shingles: np.ndarray) -> np.ndarray:
         """The tiles of one (non-empty) set, as 64-bit hashes."""
@@ -84,11 +88,13 @@ class Bands:
                                np.cumsum(hashing.mix(shingles), dtype=np.uint64)))
         band = int(self.low.searchsorted(n, "right")) - 1
         while band >= 0 and (int(self.low[band + 1]) - 1) * 100 >= self.threshold * n:
-            k = self.slices(band)
+            k, spare = self.slices(band)
             number = np.arange(k + 1, dtype=np.uint64)
             at = ((shingles >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).searchsorted(number)
             where = number[:-1] * np.uint64(2654435761) + np.uint64(band << 40)
-            out.append(hashing.mix(hashing.mix(where) ^ (sums[at[1:]] - sums[at[:-1]])))
+            tiles = hashing.mix(hashing.mix(where) ^ (sums[at[1:]] - sums[at[:-1]]))
+            filled = at[1:] > at[:-1]
+            out.append(tiles[filled] if k - filled.sum() <= spare else tiles)
             band -= 1
         return np.concatenate(out)
 
@@ -343,7 +349,8 @@ def _close(left, right, threshold: int, best_only: bool) -> Iterator[tuple[int,
 
 def _families(groups: DataFrame, signatures: DataFrame, threshold: int) -> DataFrame:
     """Pairs ``(a, b)`` that join documents to families: those that a chain of pairs
-    within the bitmaps' bound connects in a group of bounded size."""
+    within the bitmaps' bound connects in a group. A group of more than ``GROUP``
+    members is dealt as pairs of blocks of about half that size."""
     def near(table):
         import pyarrow as pa
 
@@ -354,9 +361,15 @@ def _families(groups: DataFrame, signatures: DataFrame, threshold: int) -> DataF
         own = head != ids
         return pa.table({"a": ids[own], "b": head[own]})
 
-    return (groups.hint("merge").join(
+    blocks = F.when(F.col("c") > GROUP, F.ceil(F.col("c") / (GROUP // 2 + 1))).otherwise(1)
+    sized = groups.join(groups.groupBy("hub").agg(F.count(F.lit(1)).alias("c")), "hub")
+    dealt = (sized.withColumn("blocks", blocks.cast("int"))
+             .withColumn("own", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("hub", "member", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
+    return (dealt.hint("merge").join(
         signatures.select(F.col("node").alias("member"), "n", "bits"), "member")
-        .groupBy("hub").applyInArrow(near, "a long, b long"))
+        .groupBy("hub", "i", "j").applyInArrow(near, "a long, b long"))
 
 
 def _settled(members: DataFrame, size: int, threshold: int) -> DataFrame:
@@ -462,13 +475,7 @@ def join(docs: DataFrame, size: int = 3, threshold: int = 90, id_col: str = "doc
     hubs = member.groupBy("tile").agg(F.min("member").alias("hub"), F.max("member").alias("far"))
     groups = written(member.join(hubs.where("hub < far").drop("far"), "tile")
                      .select("hub", "member").distinct())
-    wide = _over(groups, "hub")
-    if wide.isEmpty():
-        pairs = _families(groups, signatures, threshold)
-    else:   # a group too large for one task is taken as one family
-        pairs = _families(groups.join(wide, "hub", "left_anti"), signatures, threshold).unionByName(
-            groups.join(wide, "hub", "left_semi")
-            .select(F.col("member").alias("a"), F.col("hub").alias("b")))
+    pairs = _families(groups, signatures, threshold)
     families = written(components(pairs).withColumnRenamed("root", "family"))
     # each text goes once to its family. Both sides grow with the corpus: the merge hint
     # keeps either from a broadcast

@@ -48,7 +48,8 @@ from mercato.llm.common import arrow_rows, texts_of, written
 from mercato.llm.components import components
 
 BAND_GROWTH = 1.5
-ENTRIES = 1 << 20       # packed tile entries a map task holds before it sends them
+ENTRIES = 1 << 19       # packed tile entries a map task holds before it sends them
+TEXT_BYTES = 1 << 20    # text hashed at a time
 GROUP = 4096            # members of a group or family settled in one task
 BLOCK = 256             # members of a block of a larger family
 TILE_BYTES = 5          # of a tile's hash, beside its bucket
@@ -129,7 +130,7 @@ def _signatures(rows: DataFrame, size: int) -> DataFrame:
         import pyarrow as pa
 
         for b in batches:
-            sets = [s for texts in texts_of(b.column(1)) for s in shingle_sets(texts, size)]
+            sets = [s for texts in texts_of(b.column(1), TEXT_BYTES) for s in shingle_sets(texts, size)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([bitmap(s).tobytes() for s in sets], pa.binary())], ["node", "n", "bits"])
@@ -175,7 +176,7 @@ def _tiles_of(rows: DataFrame, size: int, threshold: int, buckets: int) -> DataF
         entries = 0
         for b in batches:
             ids, done = b.column(0).to_pylist(), 0
-            for texts in texts_of(b.column(1)):
+            for texts in texts_of(b.column(1), TEXT_BYTES):
                 for s in shingle_sets(texts, size):
                     if len(s):
                         held.append((bands.tiles(s), ids[done]))
@@ -217,7 +218,7 @@ def _cards(texts: DataFrame, size: int) -> DataFrame:
         import pyarrow as pa
 
         for b in batches:
-            sets = [s for texts in texts_of(b.column(1)) for s in shingle_sets(texts, size)]
+            sets = [s for texts in texts_of(b.column(1), TEXT_BYTES) for s in shingle_sets(texts, size)]
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
@@ -254,7 +255,7 @@ def _linked(pairs: DataFrame, cards: DataFrame, size: int, threshold: int) -> Da
 
         for b in batches:
             keep, done = [], 0
-            for texts in texts_of(b.column(2)):
+            for texts in texts_of(b.column(2), TEXT_BYTES):
                 other = [t or "" for t in b.column(3).slice(done, len(texts)).to_pylist()]
                 done += len(texts)
                 keep += [links(s, t, threshold) for s, t in
@@ -379,7 +380,7 @@ def _settled(members: DataFrame, size: int, threshold: int) -> DataFrame:
         import pyarrow as pa
 
         ids = table.column("node").to_pylist()
-        sets = [s for texts in texts_of(table.column("text").combine_chunks())
+        sets = [s for texts in texts_of(table.column("text").combine_chunks(), TEXT_BYTES)
                 for s in shingle_sets(texts, size)]
         label = _components_of(sets, threshold)
         of: dict[int, int] = {}

@@ -37,7 +37,7 @@ from mercato.llm.common import named, texts_of, written
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 GRAM = 5                # words of a minimiser's gram
-RUN_BYTES = 8 << 20     # text in which a task meets equal edges before sending
+RUN_BYTES = 4 << 20     # text in which a task meets equal edges before sending
 SPANS = 256             # source spans of one document digested in one row
 _HASH_BYTES = 5
 _PLACE = (1 << 32) - 1     # of a place: the word; above it, the row's tag

@@ -11,8 +11,14 @@ then by host; a host with a third of all pages arrives as a few rows per task.
 The wrapper decides once per host which part is the article: its ``article`` (else
 ``main``) elements, or, where a host has neither, the element that holds most of the
 varying text outside links. Menus, headers, footers, sidebars, notices, adverts,
-forms and comments are known by element or by class and id words, and left out. The
-pages are then read along the wrapper of their host.
+forms and comments are known by element or by a whole class, id or role token, and left
+out: on layout elements by any such word; on text elements (paragraphs, tables, list
+items, inline elements) only by a class that says advert, notice, sidebar or
+navigation; headings, ``html``, ``body`` and ``main`` never, ids of sections neither. An
+``article`` named so is left out only where the host has another one; what holds the
+article stays. A layout element with such a word inside a longer token ("cookie-notice")
+is judged by the wrapper: it goes if it is on every page of a host whose pages differ in
+their plain text, and constant or mostly links. The pages are then read along the wrapper of their host.
 
 Defined results: null html gives an empty text, a null or odd url the host ''. A page
 without the host's article element is judged by its own text. Blocks are texts between
@@ -27,7 +33,8 @@ from __future__ import annotations
 import html as _html
 import json
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +59,14 @@ WORDS = frozenset(
     "notice notices cookie cookies consent alert popup modal overlay newsletter subscribe signup "
     "login share sharing social related recommended comment comments reply replies respond "
     "discussion disqus pagination pager toolbar skip".split())
+# words that say furniture of text and inline elements too
+STRONG = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo nav navbar navigation "
+    "breadcrumb breadcrumbs sidebar aside notice notices cookie cookies consent alert popup modal "
+    "overlay pagination pager toolbar".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+TEXTUAL = frozenset(
+    "p pre blockquote table caption thead tbody tfoot tr td th li dl dt dd figcaption".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
 HOLDERS = frozenset("ul ol dl table tbody thead article section div body main td".split())
@@ -61,28 +76,50 @@ _TOKEN = re.compile(
     rf"|<({'|'.join(RAW)})\b(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"<]*\"|'[^'<]*'|[\"'])*+)>?"
     r"|([^<]+|<)", re.S | re.I)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _SPLIT = re.compile(r"[^a-z]+")
 
-
-def _kind(name: str, attributes: str) -> tuple[str, bool]:
-    """What tells an element from its siblings, and whether it is page furniture."""
-    if not attributes.strip():
-        return name, name in FURNITURE
-    words = sorted({w for _, v in _ATTRIBUTE.findall(attributes)
-                    for w in _SPLIT.split(v.lower()) if w})
-    return ".".join([name, *words]), name in FURNITURE or not WORDS.isdisjoint(words)
+# how sure it is that an element is page furniture
+PLAIN, HINTED, NAMED, ALWAYS = range(4)
+
+
+def _level(name: str, values: dict[str, str]) -> int:
+    if name in FURNITURE:
+        return NAMED if name == "form" else ALWAYS
+    if name in TEXTUAL or name in INLINE:
+        return PLAIN if STRONG.isdisjoint(values["class"].split()) else NAMED
+    if name in ("html", "body", "main") or name in HEADINGS:
+        return PLAIN
+    classes = values["class"].split()
+    ids = [] if name == "section" or "section" in classes else values["id"].split()
+    tokens = [*classes, *ids, *values["role"].split()]
+    if not WORDS.isdisjoint(tokens):
+        return HINTED if name == "article" else NAMED
+    parts = (w for t in tokens for w in _SPLIT.split(t))
+    return PLAIN if name == "article" or WORDS.isdisjoint(parts) else HINTED
+
+
+def _kind(name: str, attributes: str) -> tuple[str, int]:
+    """What tells an element from its siblings, and its level as page furniture."""
+    values = {"class": "", "id": "", "role": ""}
+    if attributes.strip():
+        for key, value in _ATTRIBUTE.findall(attributes):
+            if (key := key.lower()) in values and not values[key]:
+                values[key] = value.strip("\"'").lower()
+    level = _level(name, values)
+    words = sorted({w for v in values.values() for w in _SPLIT.split(v) if w})
+    return ".".join([name, *words, *([str(level)] if words and level else [])]), level
 
 
 # A node is [kind, times, furniture, children, text]; kind '#' marks a text. ``times`` is
-# '1', '?', '+' or '*'. Of a text, children is [characters, characters in links], and
+# '1', '?', '+' or '*'; furniture is a level, also part of the kind. Of a text, children is [characters, characters in links], and
 # text is the constant text or None (a slot).
 KIND, TIMES, FURNISHED, CHILDREN, TEXT = range(5)
 
 
 def parse(page: str) -> list:
     """The tree of block elements of a page; block texts are its leaves."""
-    root = ["", "1", False, [], None]
+    root = ["", "1", PLAIN, [], None]
     stack, parts, linked, in_link = [root], [], 0, False
 
     def flush():
@@ -90,7 +127,7 @@ def parse(page: str) -> list:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                stack[-1][CHILDREN].append(["#", "1", False, [len(text), min(linked, len(text))], text])
+                stack[-1][CHILDREN].append(["#", "1", PLAIN, [len(text), min(linked, len(text))], text])
             parts, linked = [], 0
 
     def close(upto: int):
@@ -125,7 +162,7 @@ def parse(page: str) -> list:
                 flush()
             continue
         kind, furniture = _kind(name, m[4])
-        if name in INLINE and not furniture:
+        if name in INLINE and furniture < NAMED:
             in_link = in_link or name == "a"
             continue
         flush()
@@ -140,7 +177,7 @@ def parse(page: str) -> list:
                 if own in HOLDERS:
                     break
         node = [kind, "1", furniture, [], None]
-        if len(stack) < DEEPEST or furniture and not stack[-1][FURNISHED]:
+        if len(stack) < DEEPEST or furniture >= NAMED > stack[-1][FURNISHED]:
             stack[-1][CHILDREN].append(node)
             stack.append(node)
     flush()
@@ -154,7 +191,7 @@ def _times(a: str, b: str) -> str:
 
 def _merged(a: list, b: list, times: str) -> list:
     if a[KIND] == "#":
-        return ["#", times, False, [a[3][0] + b[3][0], a[3][1] + b[3][1]],
+        return ["#", times, PLAIN, [a[3][0] + b[3][0], a[3][1] + b[3][1]],
                 a[TEXT] if a[TEXT] == b[TEXT] else None]
     return [a[KIND], times, a[FURNISHED], align(a[CHILDREN], b[CHILDREN]), None]
 
@@ -216,27 +253,41 @@ def _weight(node: list) -> int:
     """Varying characters outside links and furniture below a node."""
     if node[KIND] == "#":
         return node[CHILDREN][0] - node[CHILDREN][1] if node[TEXT] is None else 0
-    return 0 if node[FURNISHED] else sum(map(_weight, node[CHILDREN]))
+    return sum(_weight(c) for c in node[CHILDREN] if c[FURNISHED] < NAMED)
 
 
-def _places(node: list, name: str, path: tuple = ()) -> Iterator[tuple]:
-    """Paths (of kinds) of the outermost elements of a name outside furniture."""
+def _places(node: list, name: str, levels: tuple, through: int = HINTED,
+            path: tuple = ()) -> Iterator[tuple]:
+    """``(path, node)`` of the outermost elements of a name and of some levels, sought
+    in elements up to the level ``through``; paths are of kinds."""
     for c in node[CHILDREN]:
-        if c[KIND] != "#" and not c[FURNISHED]:
-            if c[KIND].partition(".")[0] == name:
-                yield (*path, c[KIND])
-            else:
-                yield from _places(c, name, (*path, c[KIND]))
+        if c[KIND] != "#":
+            own = (*path, c[KIND])
+            if c[KIND].partition(".")[0] == name and c[FURNISHED] in levels:
+                yield own, c
+            elif c[FURNISHED] <= through:
+                yield from _places(c, name, levels, through, own)
 
 
 def main_places(wrapper: list) -> list[tuple]:
     """Paths of the elements that hold the article."""
-    for name in ("article", "main"):
-        if found := [*dict.fromkeys(_places(wrapper, name))]:
-            return found
+    either = (PLAIN, HINTED)
+    for name, levels, through in (("article", (PLAIN,), HINTED), ("main", either, HINTED),
+                                  ("article", either, HINTED), ("main", either, NAMED)):
+        if found := dict(_places(wrapper, name, levels, through)):
+            return [*found]
+    # an article inside furniture, if there is less text outside it; where no text varies
+    # (one page), all texts count
+    found = list(_places(wrapper, "article", either, NAMED))
+    for view in (lambda n: n, _slots):
+        inside, outside = sum(_weight(view(c)) for _, c in found), _weight(view(wrapper))
+        if inside > outside:
+            return [*dict(found)]
+        if outside:
+            break
     path, node = (), wrapper
     while True:
-        inner = [c for c in node[CHILDREN] if c[KIND] != "#"]
+        inner = [c for c in node[CHILDREN] if c[KIND] != "#" and c[FURNISHED] < NAMED]
         heaviest = max(inner, key=_weight, default=None)
         if heaviest is None or _weight(heaviest) * 2 < _weight(node) or not _weight(heaviest) \
                 or not any(c[KIND] != "#" for c in heaviest[CHILDREN]):
@@ -244,23 +295,66 @@ def main_places(wrapper: list) -> list[tuple]:
         path, node = (*path, heaviest[KIND]), heaviest
 
 
-def _blocks(node: list, places: set, path: tuple, inside: bool) -> Iterator[str]:
+def _texts(node: list) -> Iterator[list]:
+    if node[KIND] == "#":
+        yield node
+    for c in node[CHILDREN] if node[KIND] != "#" else ():
+        yield from _texts(c)
+
+
+def _holders(places: Iterable[tuple]) -> set[tuple]:
+    return {p[:i] for p in places for i in range(1, len(p) + 1)}
+
+
+def dropped(wrapper: list, varied: bool, places: Iterable[tuple]) -> set[tuple]:
+    """Paths of the hinted elements that the host's pages show to be furniture; pages of
+    one and the same text (not ``varied``) show nothing."""
+    holders = _holders(places)
+    named = any(p[-1:] and p[-1].partition(".")[0] == "article" and not p[-1].endswith(f".{HINTED}")
+                for p in places)
+    verdicts: dict[tuple, bool] = {}
+
+    def judge(node: list, path: tuple, always: bool):
+        for c in node[CHILDREN]:
+            own, every = (*path, c[KIND]), always and c[TIMES] in "1+"
+            if c[KIND] == "#" or c[FURNISHED] >= NAMED and own not in holders:
+                continue
+            if c[FURNISHED] == HINTED:
+                if c[KIND].partition(".")[0] == "article":
+                    gone = named
+                else:
+                    texts = list(_texts(c))
+                    gone = every and varied and (
+                        all(t[TEXT] is not None for t in texts)
+                        or sum(t[CHILDREN][1] for t in texts) * 2 > sum(t[CHILDREN][0] for t in texts))
+                verdicts[own] = gone and verdicts.get(own, True)
+            judge(c, own, every)
+
+    judge(wrapper, (), True)
+    return {p for p, gone in verdicts.items() if gone}
+
+
+def _blocks(node: list, places: set, holders: set, gone: set, path: tuple, inside: bool) -> Iterator[str]:
     inside = inside or path in places
     for c in node[CHILDREN]:
         if c[KIND] == "#":
             if inside:
                 yield c[TEXT]
-        elif not c[FURNISHED]:
-            yield from _blocks(c, places, (*path, c[KIND]), inside)
+            continue
+        own = (*path, c[KIND])
+        if own in holders or c[FURNISHED] < NAMED and own not in gone:
+            yield from _blocks(c, places, holders, gone, own, inside)
 
 
-def article(page: str, places: set[tuple]) -> str:
-    """The main text of one page, given where its host's wrapper has the article."""
+def article(page: str, places: set[tuple], gone: set[tuple] = frozenset()) -> str:
+    """The main text of one page, given where its host's wrapper has the article and
+    which hinted elements it shows to be furniture."""
     tree = parse(page)
     if not any(_present(tree, p) for p in places):
-        own = [tree[KIND], "1", False, [_slots(c) for c in tree[CHILDREN]], None]
+        own = [tree[KIND], "1", PLAIN, [_slots(c) for c in tree[CHILDREN]], None]
         places = set(main_places(own))
-    return "\n\n".join(_blocks(tree, places, (), False))
+        gone = gone | dropped(own, False, places)
+    return "\n\n".join(_blocks(tree, places, _holders(places), gone, (), False))
 
 
 def _present(node: list, path: tuple) -> bool:
@@ -273,22 +367,43 @@ def _slots(node: list) -> list:
     return [*node[:CHILDREN], [_slots(c) for c in node[CHILDREN]], None]
 
 
+def _own(node: list) -> int:
+    """A digest of the texts of a page outside furniture and what may be furniture; an
+    article or main element in them counts."""
+    def texts(n: list, on: bool) -> Iterator[str]:
+        for c in n[CHILDREN]:
+            if c[KIND] == "#":
+                if on:
+                    yield c[TEXT]
+            elif c[FURNISHED] < ALWAYS:
+                yield from texts(c, on and c[FURNISHED] == PLAIN
+                                 or c[KIND].partition(".")[0] in ("article", "main"))
+
+    return zlib.crc32("\n".join(texts(node, True)).encode("utf-8", "replace"))
+
+
 def infer(pages: DataFrame) -> DataFrame:
-    """``(host, wrapper)``: the wrapper of every host, as JSON, from ``(host, html)``."""
+    """``(host, wrapper, lo, hi)``: the wrapper of every host, as JSON, and the smallest
+    and largest digest of its pages' plain texts, from ``(host, html)``."""
     def partial(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for b in batches:
             hosts, done = b.column(0).to_pylist(), 0
             wrappers: dict[str, list] = {}
+            seen: dict[str, tuple[int, int]] = {}
             for texts in texts_of(b.column(1)):
                 for text in texts:
-                    host, tree = hosts[done], folded(parse(text)[CHILDREN])
+                    host, root = hosts[done], parse(text)
                     done += 1
+                    own, tree = _own(root), folded(root[CHILDREN])
+                    lo, hi = seen.get(host, (own, own))
+                    seen[host] = min(lo, own), max(hi, own)
                     wrappers[host] = align(wrappers[host], tree) if host in wrappers else tree
             yield pa.RecordBatch.from_arrays(
                 [pa.array([*wrappers], pa.string()),
-                 pa.array(map(json.dumps, wrappers.values()), pa.string())], ["host", "wrapper"])
+                 pa.array(map(json.dumps, wrappers.values()), pa.string()),
+                 *(pa.array([seen[h][i] for h in wrappers], pa.int64()) for i in (0, 1))], columns)
 
     def meet(table):
         import pyarrow as pa
@@ -296,13 +411,15 @@ def infer(pages: DataFrame) -> DataFrame:
         whole = None
         for text in sorted(table.column("wrapper").to_pylist()):
             whole = json.loads(text) if whole is None else align(whole, json.loads(text))
-        return pa.table({"host": table.column("host").to_pylist()[:1], "wrapper": [json.dumps(whole)]})
+        return pa.table({"host": table.column("host").to_pylist()[:1], "wrapper": [json.dumps(whole)],
+                         "lo": [min(table.column("lo").to_pylist())],
+                         "hi": [max(table.column("hi").to_pylist())]})
 
-    schema = "host string, wrapper string"
+    columns, schema = ["host", "wrapper", "lo", "hi"], "host string, wrapper string, lo long, hi long"
     parts = pages.mapInArrow(partial, schema)
     shared = parts.withColumn("share", F.pmod(F.xxhash64("wrapper"), F.lit(SHARES)))
     return (shared.groupBy("host", "share").applyInArrow(
-        lambda t: meet(t.select(["host", "wrapper"])), schema)
+        lambda t: meet(t.select(columns)), schema)
         .groupBy("host").applyInArrow(meet, schema))
 
 
@@ -322,22 +439,23 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        known: dict[str, set] = {}
+        known: dict[tuple, tuple] = {}
         for b in batches:
-            wrapped, done, out = b.column(3).to_pylist(), 0, []
+            wrapped, done, out = list(zip(*(b.column(i).to_pylist() for i in (3, 4, 5)))), 0, []
             for texts in texts_of(b.column(2)):
                 for page in texts:
-                    wrapper = wrapped[done]
+                    key = wrapper, lo, hi = wrapped[done]
                     done += 1
-                    if wrapper not in known:
+                    if key not in known:
                         if len(known) > 4096:
                             known.clear()
-                        tree = ["", "1", False, json.loads(wrapper) if wrapper else [], None]
-                        known[wrapper] = set(main_places(tree))
-                    out.append(article(page, known[wrapper]))
+                        tree = ["", "1", PLAIN, json.loads(wrapper) if wrapper else [], None]
+                        places = set(main_places(tree))
+                        known[key] = places, dropped(tree, lo != hi, places)
+                    out.append(article(page, *known[key]))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
     kind = dict(rows.dtypes)["page_id"]
-    return (rows.join(wrappers, ["host", "share"], "left").select("page_id", "url", "html", "wrapper")
+    return (rows.join(wrappers, ["host", "share"], "left").select("page_id", "url", "html", "wrapper", "lo", "hi")
             .mapInArrow(run, f"page_id {kind}, url string, text string"))

@@ -70,3 +70,26 @@ def test_query_equals_a_plain_reading(spark):
     assert len(got) == len(pages)
     for r in got:
         assert r.text == plain(pages[r.page_id]) and r.n_chars == len(r.text)
+
+
+def test_words_in_classes_and_ids_do_not_cost_text(spark):
+    inner = ('<h1>T{i}</h1><section id="login-flow"><h2 id="related-work">R{i}</h2><p>s{i}</p></section>'
+             '<h2 id="how-to-share-files">H</h2><table class="header"><tr><td>c{i}</table>'
+             '<p class="ad-hoc">a <span class="comment"># x</span> <i data-id="ad">y</i></p>'
+             '<div class="cookie-notice">We bake</div><div class="share-links"><a>{i} Tweet</a></div>'
+             '<div class="share-price">up {i}</div><p class="ad">Buy {i}</p><div class="menu">m{i}</div>')
+    want = "T{i}\n\nR{i}\n\ns{i}\n\nH\n\nc{i}\n\na # x y\n\nup {i}"
+    pages = [f'<body class="no-sidebar"><article class="post has-comments">{inner}'
+             '<article class="comment">no {i}</article></article></body>',
+             f'<body class="no-sidebar"><div class="modal"><article>{inner}</article></div></body>',
+             f'<form id=all><main class="header">{inner}</main></form>',
+             f'<article class="related">{inner}</article>']
+    rows = [(10 * k + i, f"http://h{k}/{i}", p.replace("{i}", str(i))) for k, p in enumerate(pages) for i in range(3)]
+    alone = '<div class="modal"><article><p>a</p><p>b</p><div class="ad-hoc">c</div></article></div>'
+    rows += [(97, "http://once", alone), (98, "http://twice", alone), (99, "http://twice", alone)]
+    got = {r.page_id: r.text for r in H.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(len(pages)):
+        for i in range(3):
+            assert got[10 * k + i] == want.format(i=i), (k, i)
+    assert got[99] == got[98] == got[97] == "a\n\nb\n\nc"

@@ -24,7 +24,9 @@ Defined results: null html gives an empty text, a null or odd url the host ''. A
 without the host's article element is judged by its own text. Blocks are texts between
 block elements; white space in a block becomes one space; blocks are joined by an empty
 line; nothing else is dropped. Broken markup (unclosed or stray tags) is read as
-browsers do for paragraphs and lists. Repeated rows are extracted each. Extra columns
+browsers do for paragraphs and lists; scripts, styles, text areas and titles run to their
+end tag or the end of the page, and of an embedded element (a button, say) that is not
+closed before its parent only the tag is left out. Repeated rows are extracted each. Extra columns
 are ignored.
 """
 
@@ -34,6 +36,7 @@ import html as _html
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
@@ -49,8 +52,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt "
     "ruby s samp small span strike strong sub sup time tt u var".split())
-RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math",
-       "object", "select", "button", "canvas", "audio", "video")
+# elements whose content is text up to their own end tag, or the end of the page
+RAW = ("script", "style", "textarea", "title")
+# inline elements left out with their content, if their end tag comes before their parent's
+EMBEDDED = frozenset(
+    "noscript template iframe svg math object select button canvas audio video".split())
 FURNITURE = frozenset(
     "nav header footer aside form menu dialog head figure fieldset datalist address".split())
 WORDS = frozenset(
@@ -71,11 +77,14 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
 HOLDERS = frozenset("ul ol dl table tbody thead article section div body main td".split())
 
+FOREIGN = ("svg", "math")       # '/>' closes these and what is in them
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
-    rf"|<({'|'.join(RAW)})\b(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?>.*?(?:</\1\s*>|\Z)"
+    rf"|<({'|'.join(RAW)})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"<]*\"|'[^'<]*'|[\"'])*+)>?"
     r"|([^<]+|<)", re.S | re.I)
+_EMBEDDED = re.compile(rf"<(?:{'|'.join(sorted(EMBEDDED))})(?=[\s/>])", re.I)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _SPLIT = re.compile(r"[^a-z]+")
 
@@ -117,6 +126,30 @@ def _kind(name: str, attributes: str) -> tuple[str, int]:
 KIND, TIMES, FURNISHED, CHILDREN, TEXT = range(5)
 
 
+def _embedded(tokens: list[re.Match]) -> dict[int, int]:
+    """Token of the start tag -> token of the end tag, of the embedded elements that are
+    closed before an element around them is."""
+    ends, stack, opened = {}, [], Counter()
+    for at, m in enumerate(tokens):
+        if m[3] is None:
+            continue
+        name = m[3].lower()
+        if not m[2]:
+            foreign = name in FOREIGN or any(opened[f] for f in FOREIGN)
+            if name not in VOID and not (foreign and m[4].endswith("/")):
+                stack.append((name, at))
+                opened[name] += 1
+        elif opened[name]:
+            while True:
+                own, start = stack.pop()
+                opened[own] -= 1
+                if own == name:
+                    break
+            if name in EMBEDDED:
+                ends[start] = at
+    return ends
+
+
 def parse(page: str) -> list:
     """The tree of block elements of a page; block texts are its leaves."""
     root = ["", "1", PLAIN, [], None]
@@ -134,7 +167,13 @@ def parse(page: str) -> list:
         flush()
         del stack[upto:]
 
-    for m in _TOKEN.finditer(page):
+    tokens, ends, after = _TOKEN.finditer(page), {}, -1
+    if _EMBEDDED.search(page):
+        tokens = list(tokens)
+        ends = _embedded(tokens)
+    for at, m in enumerate(tokens):
+        if at <= after:
+            continue
         name = m[3]
         if name is None:
             if (text := m[5]) is not None:
@@ -145,6 +184,10 @@ def parse(page: str) -> list:
                 parts.append(" ")
             continue
         name = name.lower()
+        if name in EMBEDDED:
+            parts.append(" ")
+            after = ends.get(at, at)
+            continue
         if m[2]:
             if name == "a":
                 in_link = False

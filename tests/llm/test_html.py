@@ -93,3 +93,19 @@ def test_words_in_classes_and_ids_do_not_cost_text(spark):
         for i in range(3):
             assert got[10 * k + i] == want.format(i=i), (k, i)
     assert got[99] == got[98] == got[97] == "a\n\nb\n\nc"
+
+
+def test_elements_that_are_not_closed_cost_no_text():
+    for tag in ("<svg-icon name=x></svg-icon>", "<video-js>", "<button-group>", "<select-menu>", "<style-guide>",
+                '<svg viewBox="0 0 1 1"/>', "<svg><path d=x/><g/></svg>", "<math/>", "<button>", "<object>",
+                "<iframe src='x>y'>", "<select>", "</button>", "<SVG\n/>", "<button>b</button>",
+                "<noscript><p>n</p></noscript>", "<script>s</script >", "<select><option>o<option>p</select>",
+                "<button><svg/><b>b</button>", "<template><button>x</template>", "<svg><svg/>x</svg>"):
+        page = f"<article><div><p>a {tag} b</p><p>c</div>{tag}<p>d</p></article><button>x</button>"
+        assert H.article(page, {("article",)}).split() == ["a", "b", "c", "d"], tag
+        if "-" not in tag:
+            assert H.article(page, {("article",)}) == "a b\n\nc\n\nd", tag
+    assert H.article("<article>a<button>b<p>c</p><button>x</button><p>d</article>e</button>",
+                     {("article",)}) == "a b\n\nc\n\nd"
+    for page in ("<button>" * 20_000, "<svg><p>" * 20_000 + "</svg>" * 20_000, "<script " + "a='b' " * 5_000):
+        H.article(page, {("article",)})

@@ -23,7 +23,8 @@ their plain text, and constant or mostly links. The pages are then read along th
 Defined results: null html gives an empty text, a null or odd url the host ''. A page
 without the host's article element is judged by its own text. Blocks are texts between
 block elements; white space in a block becomes one space; blocks are joined by an empty
-line; nothing else is dropped. Broken markup (unclosed or stray tags) is read as
+line; nothing else is dropped (captions, addresses, formulas and the text shown for an
+object, audio, video or canvas are kept). Broken markup (unclosed or stray tags) is read as
 browsers do for paragraphs and lists; scripts, styles, text areas and titles run to their
 end tag or the end of the page, and of an embedded element (a button, say) that is not
 closed before its parent only the tag is left out. Repeated rows are extracted each. Extra columns
@@ -55,10 +56,15 @@ INLINE = frozenset(
 # elements whose content is text up to their own end tag, or the end of the page
 RAW = ("script", "style", "textarea", "title")
 # inline elements left out with their content, if their end tag comes before their parent's
-EMBEDDED = frozenset(
-    "noscript template iframe svg math object select button canvas audio video".split())
+EMBEDDED = frozenset("noscript template iframe svg select button".split())
+# inline elements whose texts are kept, set off by spaces: formulas and the text shown for
+# what cannot be played
+SPACED = frozenset(
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose "
+    "msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd mlabeledtr "
+    "none maction semantics annotation annotation-xml object canvas audio video".split())
 FURNITURE = frozenset(
-    "nav header footer aside form menu dialog head figure fieldset datalist address".split())
+    "nav header footer aside form menu dialog head fieldset datalist".split())
 WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner "
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget "
@@ -72,7 +78,8 @@ STRONG = frozenset(
     "overlay pagination pager toolbar".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 TEXTUAL = frozenset(
-    "p pre blockquote table caption thead tbody tfoot tr td th li dl dt dd figcaption".split())
+    "p pre blockquote table caption thead tbody tfoot tr td th li dl dt dd figure figcaption "
+    "address".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
 HOLDERS = frozenset("ul ol dl table tbody thead article section div body main td".split())
@@ -95,7 +102,7 @@ PLAIN, HINTED, NAMED, ALWAYS = range(4)
 def _level(name: str, values: dict[str, str]) -> int:
     if name in FURNITURE:
         return NAMED if name == "form" else ALWAYS
-    if name in TEXTUAL or name in INLINE:
+    if name in TEXTUAL or name in INLINE or name in SPACED:
         return PLAIN if STRONG.isdisjoint(values["class"].split()) else NAMED
     if name in ("html", "body", "main") or name in HEADINGS:
         return PLAIN
@@ -188,6 +195,8 @@ def parse(page: str) -> list:
             parts.append(" ")
             after = ends.get(at, at)
             continue
+        if name in SPACED:
+            parts.append(" ")
         if m[2]:
             if name == "a":
                 in_link = False
@@ -196,7 +205,7 @@ def parse(page: str) -> list:
             if at:
                 close(at)
                 in_link = False
-            elif name not in INLINE:
+            elif name not in INLINE and name not in SPACED:
                 flush()
             continue
         if name in VOID:
@@ -205,12 +214,12 @@ def parse(page: str) -> list:
                 flush()
             continue
         kind, furniture = _kind(name, m[4])
-        if name in INLINE and furniture < NAMED:
+        if (name in INLINE or name in SPACED) and furniture < NAMED:
             in_link = in_link or name == "a"
             continue
         flush()
         in_link = False
-        if name not in INLINE:
+        if name not in INLINE and name not in SPACED:
             closes = CLOSES.get(name, ()) or (("p",) if stack[-1][KIND].partition(".")[0] == "p" else ())
             for i in range(len(stack) - 1, 0, -1):
                 own = stack[i][KIND].partition(".")[0]

@@ -109,3 +109,13 @@ def test_elements_that_are_not_closed_cost_no_text():
                      {("article",)}) == "a b\n\nc\n\nd"
     for page in ("<button>" * 20_000, "<svg><p>" * 20_000 + "</svg>" * 20_000, "<script " + "a='b' " * 5_000):
         H.article(page, {("article",)})
+
+
+def test_figures_addresses_formulas_and_objects_are_text():
+    page = ("<article><figure><table><tr><td>1<td>2</table><figcaption>Cap</figcaption></figure>"
+            "<figure class=quote><blockquote>Q</blockquote></figure><address>Road 1</address>"
+            "<p>If <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> then</p>"
+            "<object data=x><p>Object</p></object><p>a<canvas>b</canvas>c</p><video><source src=x>Film</video>"
+            "<audio>Song</audio><form>F</form><fieldset>G</fieldset><button>B</button></article>")
+    assert H.article(page, {("article",)}).split("\n\n") == [
+        "1", "2", "Cap", "Q", "Road 1", "If x = 1 2 then", "Object", "a b c", "Film Song"]

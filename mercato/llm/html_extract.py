@@ -37,7 +37,7 @@ import html as _html
 import json
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from mercato.llm.common import texts_of
 
-DEEPEST = 200           # elements nested deeper count as part of their parent
+DEEPEST = 200           # texts of elements nested deeper are filed under an ancestor
 SHARES = 16             # partial wrappers of a host meet in this many groups first
 
 # fixed values: HTML element kinds and the words that name page furniture
@@ -161,6 +161,8 @@ def parse(page: str) -> list:
     """The tree of block elements of a page; block texts are its leaves."""
     root = ["", "1", PLAIN, [], None]
     stack, parts, linked, in_link = [root], [], 0, False
+    # of the open elements (not the root): names, depths in the tree, places by name, holders
+    names, depths, opened, holders = [""], [0], defaultdict(list), [0]
 
     def flush():
         nonlocal parts, linked
@@ -172,7 +174,11 @@ def parse(page: str) -> list:
 
     def close(upto: int):
         flush()
-        del stack[upto:]
+        for name in reversed(names[upto:]):
+            opened[name].pop()
+            if name in HOLDERS:
+                holders.pop()
+        del stack[upto:], names[upto:], depths[upto:]
 
     tokens, ends, after = _TOKEN.finditer(page), {}, -1
     if _EMBEDDED.search(page):
@@ -200,10 +206,8 @@ def parse(page: str) -> list:
         if m[2]:
             if name == "a":
                 in_link = False
-            at = next((i for i in range(len(stack) - 1, 0, -1)
-                       if stack[i][KIND].partition(".")[0] == name), 0)
-            if at:
-                close(at)
+            if opened[name]:
+                close(opened[name][-1])
                 in_link = False
             elif name not in INLINE and name not in SPACED:
                 flush()
@@ -220,18 +224,26 @@ def parse(page: str) -> list:
         flush()
         in_link = False
         if name not in INLINE and name not in SPACED:
-            closes = CLOSES.get(name, ()) or (("p",) if stack[-1][KIND].partition(".")[0] == "p" else ())
-            for i in range(len(stack) - 1, 0, -1):
-                own = stack[i][KIND].partition(".")[0]
-                if own in closes:
-                    close(i)
-                    break
-                if own in HOLDERS:
-                    break
-        node = [kind, "1", furniture, [], None]
-        if len(stack) < DEEPEST or furniture >= NAMED > stack[-1][FURNISHED]:
-            stack[-1][CHILDREN].append(node)
-            stack.append(node)
+            closes = CLOSES.get(name, ()) or (("p",) if names[-1] == "p" else ())
+            last = max((opened[c][-1] for c in closes if opened[c]), default=0)
+            if last and last >= holders[-1]:
+                close(last)
+        # a deeper element is open like any other, but its blocks go to the tree's deepest
+        # element around it; furniture and articles have nodes of their own there too
+        top, depth = stack[-1], depths[-1]
+        if depth < DEEPEST or top[FURNISHED] < NAMED and (
+                furniture >= NAMED or name in ("article", "main") and depth < DEEPEST + 8):
+            node = [kind, "1", furniture, [], None]
+            top[CHILDREN].append(node)
+            depth += 1
+        else:
+            node = top
+        opened[name].append(len(stack))
+        if name in HOLDERS:
+            holders.append(len(stack))
+        stack.append(node)
+        names.append(name)
+        depths.append(depth)
     flush()
     return root
 

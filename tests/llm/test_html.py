@@ -119,3 +119,16 @@ def test_figures_addresses_formulas_and_objects_are_text():
             "<audio>Song</audio><form>F</form><fieldset>G</fieldset><button>B</button></article>")
     assert H.article(page, {("article",)}).split("\n\n") == [
         "1", "2", "Cap", "Q", "Road 1", "If x = 1 2 then", "Object", "a b c", "Film Song"]
+
+
+def test_deep_nests_close_no_ancestor():
+    for tag, depth in (("div", 250), ("div", 20_000), ("blockquote", 300)):
+        nest = f"<{tag}>" * depth + "<p>deep<ul><li>l<li>m</ul>" + f"</{tag}>" * depth
+        page = f"<div id=page><article><p>a</p>{nest}<p>b</p>{nest}<p>c</article><p>no</p></div>"
+        assert H.article(page, {("div.page", "article")}) == (
+            "a\n\ndeep\n\nl\n\nm\n\nb\n\ndeep\n\nl\n\nm\n\nc"), (tag, depth)
+    page = "<div>" * 300 + "<p>x</p><article><p>a<div class=ad><p>no</div><p>b</article>" + "</div>" * 300 + "y"
+    assert H.article(page, {("article",)}) == "a\n\nb"
+    for page in ("<td><div>" + "<blockquote>" * 20_000 + "<td></td>" * 20_000, "<article>" * 20_000 + "x",
+                 "<div>" * 20_000 + "</p></div>" * 20_000, "<nav><article>" * 9_000 + "x"):
+        H.folded(H.parse(page)[H.CHILDREN])

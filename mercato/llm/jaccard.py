@@ -494,8 +494,27 @@ def join(docs: DataFrame, size: int = 3, threshold: int = 90, id_col: str = "doc
 
 def keep_one(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component (the smallest identifier) left."""
+    """``docs`` with one document of each component (the smallest identifier) left.
+
+    Where identifiers repeat or are null, a document is an identifier with a text, in the
+    order of the identifiers (null last) and text digests; equal rows are one document.
+    """
+    node = F.col(f"`{id_col}`").cast("long")
+    if not (docs.select(node.alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+            .where("c > 1 or node is null").isEmpty()):
+        docs, id_col = _numbered(docs, id_col, text_col), "__node"
     found = join(docs, size, threshold, id_col, text_col)
     gone = written(found.where("component_id <> doc_id")
                    .select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti").drop("__node")
+
+
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with a ``__node`` for every pair of identifier and text, in their order."""
+    keyed = docs.withColumn("__sha", F.coalesce(F.sha2(F.col(f"`{text_col}`"), 256), F.lit("")))
+    one = F.col(f"`{id_col}`")
+    pairs = keyed.select(one.alias("__id"), F.col("__sha").alias("__text")).distinct()
+    nodes = written(pairs.orderBy(F.col("__id").cast("long").asc_nulls_last(), "__id", "__text")
+                    .withColumn("__node", F.monotonically_increasing_id()))
+    return (keyed.join(nodes, one.eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__text")))
+            .drop("__sha", "__id", "__text"))

@@ -98,6 +98,20 @@ def test_keep_one_and_empty(spark):
     assert jaccard.join(docs.limit(0)).count() == 0
 
 
+def test_keep_one_of_repeated_and_null_identifiers(spark):
+    near = "a b c d e f g h i j k l m n o p q r s t u v w"
+    rows = [(1, near), (2, near + " x"), (2, "quite another text of some more words"), (None, near + " y"),
+            (7, "z " * 3 + near.upper() + " q r s t"), (7, "one two three four five six seven eight nine ten"),
+            (7, "One two three four five six seven eight nine ten"), (None, "p1 p2 p3 p4 p5 p6"),
+            (None, "P1 p2 p3 p4 p5 p6"), (None, None), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = sorted((str(r.doc_id), str(r.text).lower()) for r in kept.collect())
+    assert got == sorted((str(i), str(t).lower()) for i, t in (
+        rows[0], rows[2], rows[4], rows[5], rows[7], rows[9], rows[10]))
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(20, 60)] + [(5, 3), (3, 9), (9, 8), (100, 7), (100, 7), (4, 4)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -2,6 +2,15 @@
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of an ASCII expression, bit by bit."""
+    bits = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: [ascii(substr({text}, i::INT, 1)), 0, 0, 0, 0, 0, 0, 0]::BIGINT[]))"
+    step = "xor(xor(a, b) >> 1, (xor(a, b) & 1) * 3988292384)"
+    return f"xor(list_reduce({bits}, lambda a, b: {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
 ORACLES: dict[str, str] = {
     # all 13-word windows, the smallest document of each, the words they cover
     "op1_substring_dedup": r"""
@@ -95,5 +104,83 @@ a AS (SELECT conv_id, count(*) AS n_turns,
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
        sha256(loss) AS loss_sha256, formatted_chars
 FROM a
+""",
+    # every prefix of every rebuilt conversation by the hashes of its turns; subtrees by members
+    "op11_prefix_trie": rf"""
+WITH own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+cs AS (SELECT c, {crc32("c::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT c FROM own)),
+built AS (SELECT cs.c, i, role, text FROM cs JOIN own ON own.c = cs.c - cs.c % 5 AND i <= h
+          UNION ALL SELECT cs.c, i + 9, role, text FROM cs JOIN own ON own.c = cs.c AND i > h),
+t AS (SELECT c, row_number() OVER w AS d, octet_length(encode(text)) AS b,
+             string_agg(md5(length(role) || ':' || role || text), '') OVER w AS k
+      FROM built WINDOW w AS (PARTITION BY c ORDER BY i)),
+p AS (SELECT c, d, b, k FROM t UNION ALL SELECT c, 0, 0, '' FROM cs),
+len AS (SELECT c, max(d) AS n FROM p GROUP BY c),
+node AS (SELECT d, k, min(p.c) AS conv_id, count(*) AS n_convs, any_value(b) AS b, count(*) FILTER (n > d) AS more,
+                coalesce(string_agg(p.c::VARCHAR, ',' ORDER BY p.c) FILTER (n = d), '') AS ends
+         FROM p JOIN len USING (c) GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, left(k, -32) AS k, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+sub AS (SELECT a.d, a.k, sum((b.n_convs - 1) * b.b)::BIGINT AS saved_tokens, count(*) FILTER (b.more = 0) AS n_leaves
+        FROM node a JOIN node b ON b.d >= a.d AND left(b.k, 32 * a.d) = a.k GROUP BY a.d, a.k)
+SELECT node.conv_id, node.d AS depth, up.conv_id AS parent_conv_id, node.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, sha256(node.ends) AS ends_sha256
+FROM node JOIN sub USING (d, k) LEFT JOIN kids USING (d, k)
+LEFT JOIN node up ON up.d = node.d - 1 AND up.k = left(node.k, -32)
+""",
+    # states: 0 nothing, 1 s, 2 u, 3 a; up to two inserts before each row and behind the last
+    "op12_structure_repair": rf"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS x
+  FROM conversations),
+bad AS (SELECT conv_id, turn, CASE WHEN x = 4 THEN 'user' ELSE role END AS role,
+               CASE WHEN x = 1 THEN '' WHEN x = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM raw JOIN (VALUES (0), (1)) v(copy) ON copy = 0 OR x = 3 WHERE x <> 0),
+num AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM bad),
+r AS (SELECT *, substr(role, 1, 1) AS i, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before,
+             CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
+                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS f
+      FROM num),
+stats AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                 count(*) FILTER (f = 'b') AS blank, count(*) FILTER (f = 'd') AS duplicate,
+                 count(*) FILTER (f = 't') AS truncated, max(pos) AS n,
+                 count(*) FILTER (pos > 1 AND before || i NOT IN ('su', 'ua', 'au')) AS illegal
+          FROM r GROUP BY conv_id),
+ins AS (SELECT * FROM (VALUES (0, 0, 0, []), (1, 0, 1, []), (2, 0, 2, []), (3, 0, 3, []),
+    (0, 1, 2, ['user:']), (1, 1, 2, ['user:']), (2, 1, 3, ['assistant:']), (3, 1, 2, ['user:']),
+    (0, 2, 3, ['user:', 'assistant:']), (1, 2, 3, ['user:', 'assistant:']), (2, 2, 2, ['assistant:', 'user:']),
+    (3, 2, 3, ['user:', 'assistant:'])) v(s, k, q, lines)),
+edit AS (SELECT * FROM (VALUES (0, 'D', 0), (1, 'D', 1), (2, 'D', 2), (3, 'D', 3), (0, 'Ks', 1),
+    (0, 'Ku', 2), (1, 'Ku', 2), (3, 'Ku', 2), (2, 'Ka', 3), (0, 'R', 2), (1, 'R', 2), (2, 'R', 3), (3, 'R', 2)) v(s, e, q)),
+dp AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS pos, 0 AS s, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS lines FROM r
+  UNION ALL
+  SELECT conv_id, pos, s, cost, audit, lines FROM (
+    SELECT r.conv_id, r.pos, edit.q AS s, dp.audit || repeat('I', k) || left(e, 1) AS audit,
+           dp.cost + 3 * k + CASE left(e, 1) WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+             + CASE WHEN f = 't' AND e <> 'D' THEN 3 ELSE 0 END AS cost,
+           list_concat(list_concat(dp.lines, ins.lines::VARCHAR[]), CASE left(e, 1) WHEN 'D' THEN []
+             WHEN 'K' THEN [role || ':' || text] ELSE [CASE edit.q WHEN 2 THEN 'user:' ELSE 'assistant:' END || text] END)
+             AS lines
+    FROM dp JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.pos = dp.pos + 1
+    JOIN ins ON ins.s = dp.s JOIN edit ON edit.s = ins.q
+    WHERE (e = 'D' OR f NOT IN ('b', 'd')) AND (e IN ('D', 'R') OR e = 'K' || i))
+  QUALIFY row_number() OVER (PARTITION BY conv_id, pos, s ORDER BY cost, audit) = 1),
+done AS (SELECT dp.conv_id, dp.cost + 3 * k AS cost, audit || repeat('I', k) AS audit,
+                list_concat(dp.lines, ins.lines::VARCHAR[]) AS lines
+         FROM dp JOIN stats ON stats.conv_id IS NOT DISTINCT FROM dp.conv_id AND n = pos
+         JOIN ins ON ins.s = dp.s AND ins.q IN (0, 3)
+         QUALIFY row_number() OVER (PARTITION BY dp.conv_id ORDER BY dp.cost + 3 * k, audit || repeat('I', k)) = 1)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN stats ON stats.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM o.conv_id
 """,
 }

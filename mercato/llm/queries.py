@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from mercato.llm import (
     bytes_dedup,
     chat,
+    chat_repair,
     decontaminate,
     exact_dedup,
     html_extract,
     jaccard,
+    prefix_trie,
     quality,
     sentencepiece,
     substring,
@@ -92,6 +94,24 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.render(chat.reconstruct(log)))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trie = prefix_trie.build(prefix_trie.rebuilt(turns))
+    return prefix_trie.with_ends_digest(trie).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        "ends_sha256")
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    told = chat_repair.report(chat_repair.damage(turns)).withColumnRenamed("conv_id", "c")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (turns.select("conv_id").distinct().join(told, F.expr("conv_id <=> c"), "left").select(
+        "conv_id", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in numbers),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256")))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -104,4 +124,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_extract": op8_html_extract,
         "op9_chat_format": op9_chat_format,
         "op10_token_count": op10_token_count,
+        "op11_prefix_trie": op11_prefix_trie,
+        "op12_structure_repair": op12_structure_repair,
     }

@@ -182,5 +182,22 @@ SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN stats ON stats.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM o.conv_id
+""",
+    "op13_minhash_dedup": rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS k
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS met
+          FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+          WHERE 100 * met >= 80 * (x.n + y.n - met)),
+e AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN e ON e.a = r.b)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id,
+       d.doc_id IS NOT DISTINCT FROM c.component_id AS kept
+FROM d LEFT JOIN n USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
 """,
 }

@@ -11,6 +11,7 @@ from mercato.llm import (
     bytes_dedup,
     chat,
     chat_repair,
+    chosen_path,
     decontaminate,
     exact_dedup,
     html_extract,
@@ -112,6 +113,10 @@ def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256")))
 
 
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.join(read(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -126,4 +131,5 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_token_count": op10_token_count,
         "op11_prefix_trie": op11_prefix_trie,
         "op12_structure_repair": op12_structure_repair,
+        "op13_minhash_dedup": op13_minhash_dedup,
     }

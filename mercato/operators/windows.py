@@ -111,6 +111,65 @@ def pane_aggregate(df: DataFrame, ts: str, keys: Iterable[str], measures: Measur
         *[_finish(kind, F.col(name)).alias(name) for name, (kind, _) in measures.items()])
 
 
+def sliding_aggregate(df: DataFrame, ts: str, keys: Iterable[str], measures: Measures,
+                      width, slide, chunk: int = 4096) -> DataFrame:
+    """Sliding windows from two signed events per pane: the rows of ``window_aggregate``.
+
+    A pane enters with the first window that covers it and leaves behind the last. Per key,
+    the windows' totals are running sums of the entering and leaving amounts over the window
+    starts, constant between two events, so whatever width / slide is, a pane is
+    shuffled as two rows; the windows themselves are only written out at the end. Running sums
+    are taken in ranges of ``chunk`` starts with offsets, so a hot key is many tasks.
+
+    ``count``, ``sum`` of integers or decimals and ``money`` can be taken back; with other
+    measures (``min``, ``max``, sums of doubles) use ``pane_aggregate``.
+    """
+    keys = list(keys)
+    exact = {name: kind in ("count", "money", "money_sum") or (kind == "sum" and isinstance(
+        df.schema[col].dataType, (T.IntegralType, T.DecimalType))) for name, (kind, col) in measures.items()}
+    if not all(exact.values()):
+        raise ValueError(f"cannot be taken back exactly: {[n for n, ok in exact.items() if not ok]}")
+    width_us, slide_us = duration.micros(width), duration.micros(slide)
+    if width_us % slide_us:
+        raise ValueError("pane windows need the slide to divide the width")
+    n = width_us // slide_us
+    # a sum over nothing but NULLs is NULL: sums bring the count of their values
+    known = {name: f"_known_{name}" for name, (kind, _) in measures.items() if kind != "count"}
+    names = ["_rows", *measures, *known.values()]
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    panes = df.where(F.col(ts).isNotNull()).groupBy(*keys, F.floor(us / slide_us).alias("_pane")).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[_partial(kind, col).alias(name) for name, (kind, col) in measures.items()],
+        *[F.count(measures[name][1]).alias(k) for name, k in known.items()])
+    amounts = [F.coalesce(F.col(c), F.lit(0)) for c in names]
+    events = panes.select(*keys, F.explode(F.array(
+        F.struct((F.col("_pane") - (n - 1)).alias("_at"), *[a.alias(c) for c, a in zip(names, amounts)]),
+        F.struct((F.col("_pane") + 1).alias("_at"), *[(-a).alias(c) for c, a in zip(names, amounts)]))).alias("_e"))
+    events = events.select(F.struct(*[F.col(k) for k in keys], F.floor(F.col("_e._at") / chunk).alias("_chunk"))
+                           .alias("_rk"), "_e.*")
+    net = events.repartition("_rk").groupBy("_rk", "_at").agg(*[F.sum(c).alias(c) for c in names])
+    per_chunk = net.groupBy("_rk").agg(F.min("_at").alias("_first"), *[F.sum(c).alias(c) for c in names])
+    order = Window.partitionBy(*[F.col(f"_rk.{k}") for k in keys]).orderBy("_rk._chunk")
+    offsets = per_chunk.select(
+        "_rk", F.lead("_first").over(order).alias("_next_first"),
+        *[F.coalesce(F.sum(c).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_o_{c}")
+          for c in names])
+    within = Window.partitionBy("_rk").orderBy("_at")
+    total = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = net.join(offsets, "_rk").select(
+        "_rk", "_at", F.coalesce(F.lead("_at").over(within), F.col("_next_first")).alias("_until"),
+        *[(F.col(f"_o_{c}") + F.sum(c).over(total)).alias(c) for c in names])
+    spread = rows.where("_rows > 0").withColumn("_start", F.explode(F.sequence("_at", F.col("_until") - 1)))
+    ts_type = _ts_type(df, ts)
+    start = F.timestamp_micros(F.col("_start") * slide_us)
+    end = F.timestamp_micros(F.col("_start") * slide_us + width_us)
+    return spread.select(
+        *[F.col(f"_rk.{k}").alias(k) for k in keys], start.cast(ts_type).alias("window_start"),
+        end.cast(ts_type).alias("window_end"),
+        *[(F.when(F.col(known[name]) > 0, _finish(kind, F.col(name))) if name in known else F.col(name)).alias(name)
+          for name, (kind, _) in measures.items()])
+
+
 def at_least(df: DataFrame, col: str, threshold: int) -> DataFrame:
     """Threshold filter after aggregation, ``count >= k`` (P10)."""
     return df.where(F.col(col) >= F.lit(threshold))

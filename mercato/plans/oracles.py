@@ -362,6 +362,31 @@ FROM {ORDERS} o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.area
 WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
 GROUP BY d.city, d.province"""
 
+ORACLES["city_order_total_maintained"] = ORACLES["city_order_total_stored"]
+
+# What every change takes back and adds, the running totals of each city, both sides of each step.
+ORACLES["city_order_retractions"] = f"""WITH {AREA_DIM}, {CHANGES},
+img AS (
+  SELECT row_key, es, change_id, pos, type <> 'DELETE' AS alive,
+         last_value(o_custkey IGNORE NULLS) OVER w AS cust, last_value(o_totalprice IGNORE NULLS) OVER w AS price
+  FROM changes WHERE tbl = 'orders' AND row_key IS NOT NULL
+  WINDOW w AS (PARTITION BY row_key ORDER BY es, change_id, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+was AS (SELECT *, lag(alive) OVER w AS alive0, lag(cust) OVER w AS cust0, lag(price) OVER w AS price0
+        FROM img WINDOW w AS (PARTITION BY row_key ORDER BY es, change_id, pos)),
+signed AS (SELECT row_key, es, change_id, pos, -1 AS sign, cust0 AS cust, price0 AS price FROM was WHERE alive0
+           UNION ALL SELECT row_key, es, change_id, pos, 1, cust, price FROM was WHERE alive),
+net AS (SELECT d.city, d.province, es, change_id, pos, row_key, sum(sign * CAST(price AS DECIMAL(18,2))) AS m,
+               sum(sign) AS n
+        FROM signed JOIN area_dim d ON cust * 10 + 3 = d.areaid GROUP BY ALL HAVING m <> 0 OR n <> 0),
+run AS (SELECT *, sum(m) OVER w AS tm, sum(n) OVER w AS tn FROM net
+        WINDOW w AS (PARTITION BY city, province ORDER BY es, change_id, pos, row_key
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT city, province, es, change_id, pos, row_key, false AS is_add, CAST(tm - m AS DOUBLE) AS total_money,
+       CAST(tn - n AS BIGINT) AS order_count FROM run WHERE tn - n > 0
+UNION ALL
+SELECT city, province, es, change_id, pos, row_key, true, CAST(tm AS DOUBLE), CAST(tn AS BIGINT)
+FROM run WHERE tn > 0"""
+
 # ---------------------------------------------------------------- streamed twins
 # A replayed log ends with a marker that closes everything, so each streamed query
 # gives all rows of its batch query (late rows in the feed are dropped).

@@ -15,7 +15,7 @@ from ..functions import duration
 from ..functions.text import channel_message, match_message
 from ..functions.time import format_ts, ts_to_millis
 from ..operators import changelog as cl
-from ..operators import dims, joins, parse, patterns, windows
+from ..operators import dims, joins, parse, patterns, retract, windows
 from ..schemas import AREA_DIMENSION_COLUMNS
 from ..session import prepare
 from ..sinks import KeyedLog
@@ -108,15 +108,15 @@ def order_area_missing(spark, sf):
 # ------------------------------------------------------------ feature 2: sliding city totals
 
 def city_order_sliding(spark, sf):
-    """A2 with panes: per (area, day pane) partials, joined to the dimension,
-    then per (city, province) windows built from the panes."""
+    """A2: per (area, day pane) partials, joined to the dimension; per (city, province) a
+    pane enters and leaves the windows as two signed rows."""
     width, slide = P["order_window"]
     orders = domain.trade_orders(spark, sf)
     pane = F.window("create_time", duration.text(slide)).start
     per_area = orders.groupBy("area_id", pane.alias("pane")).agg(
         F.sum(F.col("total_money").cast(MONEY)).alias("_m"), F.count(F.lit(1)).alias("_n"))
     joined = dims.lookup(per_area, area_dimension(spark, sf), "area_id", "areaid")
-    return windows.pane_aggregate(
+    return windows.sliding_aggregate(
         joined, "pane", ["city", "province"],
         {"total_money": ("money_sum", "_m"), "order_count": ("sum", "_n")}, width, slide)
 
@@ -140,23 +140,25 @@ def ad_events(spark, sf):
     return ad_clicks(spark, sf).select("offset", "area", "uid", "product_id", "ts")
 
 
-def _ad_sliding(spark, sf, panes: bool):
-    width, slide = P["ad_window"]
-    clicks = ad_clicks(spark, sf)
-    op = windows.pane_aggregate if panes else windows.window_aggregate
-    out = op(clicks, "ts", ["product_id"], {"click_count": ("count", None)}, width, slide)
-    return out.select("product_id", "window_start", "window_end",
-                      format_ts("window_end").alias("end_time"), "click_count")
+def _with_end(windowed):
+    return windowed.select("product_id", "window_start", "window_end",
+                           format_ts("window_end").alias("end_time"), "click_count")
 
 
 def ad_click_sliding(spark, sf):
-    """A3 with ``F.window`` (each click copied to width/slide windows)."""
-    return _ad_sliding(spark, sf, panes=False)
+    """A3: clicks enter and leave the sliding windows as signed rows."""
+    return _with_end(windows.sliding_aggregate(
+        ad_clicks(spark, sf), "ts", ["product_id"], {"click_count": ("count", None)}, *P["ad_window"]))
 
 
 def ad_click_sliding_panes(spark, sf):
-    """A3 from slide-wide panes; same rows as ``ad_click_sliding``."""
-    return _ad_sliding(spark, sf, panes=True)
+    """A3 from stored panes: counts per slide-wide pane (what a job may keep instead of the
+    clicks), then the windows of any width over them."""
+    width, slide = P["ad_window"]
+    panes = windows.window_aggregate(ad_clicks(spark, sf), "ts", ["product_id"],
+                                     {"clicks": ("count", None)}, slide)
+    return _with_end(windows.sliding_aggregate(
+        panes, "window_start", ["product_id"], {"click_count": ("sum", "clicks")}, width, slide))
 
 
 # ------------------------------------------------------------ feature 4: blacklists
@@ -358,6 +360,32 @@ def city_totals_of(kept: DataFrame, dim: DataFrame, customer: str, money: str) -
         F.sum("_m").cast("double").alias("total_money"), F.sum("_n").alias("order_count"))
 
 
+ORDER_IMAGE = {"cust": ("o_custkey", "bigint"), "total_money": ("o_totalprice", "double")}
+
+
+def signed_city_orders(spark, sf):
+    """Signed orders with their city: every change of the orders table takes back what the order
+    was and adds what it is (P11), passed through the area join (J1)."""
+    changes = parse.filter_table(order_changes(spark, sf), domain.CHANGE_TABLE)
+    signed = retract.signed_rows(retract.row_images(changes, ORDER_IMAGE))
+    signed = signed.withColumn("area_id", F.col("cust") * 10 + domain.LEVEL_AREA)
+    return dims.lookup(signed, area_dimension(spark, sf).select("areaid", "city", "province"),
+                       "area_id", "areaid")
+
+
+def city_order_total_maintained(spark, sf):
+    """Feature 1 by incremental view maintenance: the sum of all signed rows is the total
+    over the stored orders (``city_order_total_stored``)."""
+    return retract.totals(signed_city_orders(spark, sf), ["city", "province"], "total_money")
+
+
+def city_order_retractions(spark, sf):
+    """The add-retract stream of feature 1. Every change of an order takes back its
+    city's old totals and adds the new ones."""
+    return retract.changelog_of_totals(signed_city_orders(spark, sf), ["city", "province"], "total_money",
+                                       ["es", "change_id", "pos", "row_key"])
+
+
 def row_upsert(spark, sf):
     """K2 + P15: the dimension written as text rows keyed by its first field."""
     return _dimension_store(spark, sf)
@@ -405,6 +433,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_as_json": row_as_json,
     "row_as_dashed": row_as_dashed,
     "city_order_total_stored": city_order_total_stored,
+    "city_order_total_maintained": city_order_total_maintained,
+    "city_order_retractions": city_order_retractions,
 }
 
 

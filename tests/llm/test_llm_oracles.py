@@ -19,7 +19,7 @@ from tests.conftest import SF_SMALL  # noqa: E402
 def test_registered():
     names = set(entry.queries())
     assert set(registered()) <= names and "pipeline" in names
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in registered()}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in registered()}
     assert set(ORACLES) <= set(entry.oracle_sql())
 
 

@@ -156,15 +156,15 @@ def run(args) -> object:
             return _start(totals, args, output_mode="update",
                           foreach_batch=store.sink(renewed_totals))
         if args.job == "city-running":
-            totals = RunningTotals(spark, args.out, ["city", "province"], "order_id",
+            totals = RunningTotals(spark, args.out, "city string, province string", "order_id",
                                    "total_money", "create_time", "offset", run=_checkpoint(args))
             return _start(joined, args, foreach_batch=totals.sink)
-        closed = jobs.city_totals_panes(joined, *p["order_window"])
+        closed = jobs.city_totals(joined, *p["order_window"])
         return _start(serving_rows(closed), args, foreach_batch=serving_store(spark, args.out).sink())
 
     if args.job == "ad-clicks":
         width, slide = p["ad_window"]
-        return _start(jobs.ad_click_counts_panes(_source(spark, args), width, slide, delay), args)
+        return _start(jobs.ad_click_counts(_source(spark, args), width, slide, delay), args)
     if args.job == "blacklist":
         return _start(jobs.blacklist_counts(_source(spark, args), p["blacklist_window"],
                                             p["blacklist_threshold"], delay), args)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import AREA_DIMENSION_COLUMNS
+from ..session import materialize
 
 
 def flatten_hierarchy(tree: DataFrame, id_col: str = "id", name_col: str = "name",
@@ -39,6 +40,51 @@ def flatten_hierarchy(tree: DataFrame, id_col: str = "id", name_col: str = "name
     return area.join(upper, F.col("_city_id") == F.col("cid")).select(*AREA_DIMENSION_COLUMNS)
 
 
+def ancestors(tree: DataFrame, id_col: str = "id", name_col: str = "name", parent_col: str = "pid") -> DataFrame:
+    """The way up from every node, at any depth (J2): id, name, depth (1 for a root), root, path
+    (structs id, name from the root down to the node) and ``cyclic``.
+
+    Parent doubling: a round joins what is known of 2^k levels with what is known of the node
+    there, so a tree of depth d takes log2(d) rounds. A node whose parent is not in the table is a
+    root. Where the way up meets a node twice it ends: such nodes are ``cyclic``, with NULL depth,
+    root and path, and are found in the round that first goes around their cycle. Identifiers
+    are unique.
+    """
+    known = tree.select(F.col(id_col).alias("id"), F.col(name_col).alias("name"), F.col(parent_col).alias("_up"))
+    upper = known.select(F.col("id").alias("_id"), F.struct("id", "name").alias("_n"))
+    # chain: the ancestors nearest first; _up: the node behind them, NULL at the root
+    step = materialize(known.join(upper, F.col("_up") == F.col("_id"), "left").select(
+        "id", "name", F.when(F.col("_id").isNotNull(), F.array("_n")).otherwise(F.array().cast(
+            f"array<{_type(known, 'id', 'name')}>")).alias("chain"), F.col("_id").alias("_up")))
+    around = F.size(F.array_distinct(F.transform("chain", lambda c: c["id"]))) < F.size("chain")
+    around = around | F.exists("chain", lambda c: c["id"] == F.col("id"))
+    lost = None
+    while not step.where("_up is not null").isEmpty():
+        there = step.select(F.col("id").alias("_id"), F.col("chain").alias("_more"), F.col("_up").alias("_next"))
+        step = materialize(step.join(there, F.col("_up") == F.col("_id"), "left").select(
+            "id", "name", F.concat("chain", F.coalesce("_more", F.array().cast(step.schema["chain"].dataType)))
+            .alias("chain"), F.col("_next").alias("_up"), F.col("_up").alias("_was")))
+        # the node behind the chain may already be a lost one: then the way up is lost too
+        gone = step.where(around).select("id", "name")
+        if lost is not None:
+            into = step.join(lost.select(F.col("id").alias("_gone")), F.col("_was") == F.col("_gone")).select("id", "name")
+            gone = gone.unionByName(into).distinct()
+        lost = materialize(gone if lost is None else lost.unionByName(gone).distinct())
+        step = step.drop("_was").join(lost.select("id"), "id", "left_anti")
+    whole = F.concat(F.reverse("chain"), F.array(F.struct("id", "name")))
+    found = step.select("id", "name", F.size(whole).alias("depth"), whole[0]["name"].alias("root"), whole.alias("path"),
+                        F.lit(False).alias("cyclic"))
+    if lost is None:
+        return found
+    return found.unionByName(lost.select("id", "name", *[F.lit(None).cast(found.schema[c].dataType).alias(c)
+                                                         for c in ("depth", "root", "path")],
+                                         F.lit(True).alias("cyclic")))
+
+
+def _type(df: DataFrame, *columns: str) -> str:
+    return "struct<" + ", ".join(f"{c}: {df.schema[c].dataType.simpleString()}" for c in columns) + ">"
+
+
 def latest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
     """One row per key, the one with the greatest ``order_col`` (last duplicate wins).
 

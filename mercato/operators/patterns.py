@@ -6,7 +6,8 @@ per active minute: linear, no pairs, no group larger than a key-minute.
 
 J8 "k or more events of a key within W" works on positions: every event gets its
 number in its key's (time, seq) order. A key is cut into short time slices
-(``slice_width``, whatever W is): slices are counted, the counts summed to offsets (one
+(``slice_width``, whatever W is; heavy ones are cut at quantiles, ``operators.slices``): slices
+are counted, the counts summed to offsets (one
 row per non-empty slice), and events numbered inside their slice, so a key that holds
 a third of all rows is spread over its slices. Rows k-1 apart then meet in an equi-join
 on (key, position), which deals a hot key evenly.
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 
 from ..functions import duration
 from ..session import materialize
+from .slices import sliced
 
 # ---------------------------------------------------------------- J7 / J7t
 
@@ -129,19 +131,14 @@ def _offsets(rows: DataFrame, counted) -> DataFrame:
     return per.select("_ks", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
 
 
-def _sliced(df: DataFrame, keys: list[str], time_us, slice_us: int) -> DataFrame:
-    # one non-null key per (key, slice): struct equality matches NULL fields
-    return df.withColumn("_ks", F.struct(
-        *[F.col(k) for k in keys], F.floor(time_us / slice_us).alias("_slice")))
-
-
 def _numbered(events: DataFrame, keys: list[str], ts: str, seq: str, payload: list[str],
               slice_us: int) -> DataFrame:
     """Events with their position (1, 2, ...) in their key's (time, seq) order; ``_key``
     is the key as one struct. Events without a time are left out."""
     base = events.select(*keys, F.col(seq).alias("_seq"), F.col(ts).alias("_ts"),
                          *payload).withColumn("_t", _us("_ts")).where(F.col("_t").isNotNull())
-    rows = _sliced(base, keys, F.col("_t"), slice_us)
+    # read twice (heavy slices are counted first), derived once
+    rows = sliced(materialize(base), keys, F.col("_t"), F.col("_seq"), slice_us)
     order = Window.partitionBy("_ks").orderBy("_t", "_seq")
     rows = rows.join(_offsets(rows, F.lit(1)), "_ks")
     return (rows.withColumn("_pos", F.col("_before") + F.row_number().over(order))
@@ -153,9 +150,9 @@ def _events_before(rows: DataFrame, keys: list[str], w_us: int, slice_us: int) -
     """``rows`` with ``_old``, the number of their key's events at ``t - W`` or before."""
     columns = rows.columns
     probes = rows.withColumns({"_x": F.col("_t") - w_us, "_probe": F.lit(1)})
-    light = rows.select(*[F.col(c) if c in keys else F.lit(None).cast(t).alias(c)
+    light = rows.select(*[F.col(c) if c in (*keys, "_pos") else F.lit(None).cast(t).alias(c)
                           for c, t in rows.dtypes], F.col("_t").alias("_x"), F.lit(0).alias("_probe"))
-    both = _sliced(light.unionByName(probes), keys, F.col("_x"), slice_us)
+    both = sliced(light.unionByName(probes), keys, F.col("_x"), F.struct("_probe", "_pos"), slice_us)
     event = 1 - F.col("_probe")
     so_far = (Window.partitionBy("_ks").orderBy("_x", "_probe")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -33,7 +33,7 @@ def _cells(fields: dict[str, tuple[str, str]]) -> dict[str, Column]:
 
 
 def row_images(changes: DataFrame, fields: dict[str, tuple[str, str]],
-               slice_us: int = DAY_US, most: int = slices.MOST) -> DataFrame:
+               slice_us: int = DAY_US, most: int | None = None) -> DataFrame:
     """Every supported change with its row ``before`` and ``after`` (structs of the typed
     ``fields``: ``{name: (cell, type)}``; NULL where there is no row). Columns: database, table,
     row_key, es, change_id, pos, before, after."""

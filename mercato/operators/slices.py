@@ -21,16 +21,16 @@ FRACTION = 1000
 PER_CUT = 256       # sampled rows between two cuts: slices differ by some six percent
 
 
-def heavy_groups(df: DataFrame, group: str, most: int = MOST) -> DataFrame:
+def heavy_groups(df: DataFrame, group: str, most: int | None = None) -> DataFrame:
     """``(group, _rows, _limit)`` of the groups that hold more than ``most`` rows and a
     thousandth of all: a thousand groups at most."""
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_rows"))
-    limit = sizes.agg(F.greatest(F.lit(most), F.ceil(F.sum("_rows") / FRACTION)).alias("_limit"))
+    limit = sizes.agg(F.greatest(F.lit(most or MOST), F.ceil(F.sum("_rows") / FRACTION)).alias("_limit"))
     return sizes.crossJoin(limit).where("_rows > _limit")
 
 
 def sliced(df: DataFrame, keys: Iterable[str], at: Column, then: Column, slice_us: int,
-           most: int = MOST) -> DataFrame:
+           most: int | None = None) -> DataFrame:
     """``df`` with ``_ks``: the keys and, as ``_slice``, an ordered slice of ``(at, then)``.
 
     ``at`` are microseconds; ``then`` orders rows of one ``at``. One struct per (key,

@@ -111,6 +111,62 @@ def pane_aggregate(df: DataFrame, ts: str, keys: Iterable[str], measures: Measur
         *[_finish(kind, F.col(name)).alias(name) for name, (kind, _) in measures.items()])
 
 
+def _window_runs(events: DataFrame, keys: list[str], names: list[str], chunk: int) -> DataFrame:
+    """Signed events ``(keys, _at, names)`` -> a row ``(_rk, _start, totals)`` per window start that
+    has rows (the first of ``names`` counts them). Totals are running sums over ``_at``, in ranges
+    of ``chunk`` with offsets, and stand until the key's next event."""
+    events = events.select(F.struct(*[F.col(k) for k in keys], F.floor(F.col("_at") / chunk).alias("_chunk"))
+                           .alias("_rk"), "_at", *names)
+    net = events.repartition("_rk").groupBy("_rk", "_at").agg(*[F.sum(c).alias(c) for c in names])
+    per_chunk = net.groupBy("_rk").agg(F.min("_at").alias("_first"), *[F.sum(c).alias(c) for c in names])
+    order = Window.partitionBy(*[F.col(f"_rk.{k}") for k in keys]).orderBy("_rk._chunk")
+    offsets = per_chunk.select(
+        "_rk", F.lead("_first").over(order).alias("_next_first"),
+        *[F.coalesce(F.sum(c).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_o_{c}")
+          for c in names])
+    within = Window.partitionBy("_rk").orderBy("_at")
+    total = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = net.join(offsets, "_rk").select(
+        "_rk", "_at", F.coalesce(F.lead("_at").over(within), F.col("_next_first")).alias("_until"),
+        *[(F.col(f"_o_{c}") + F.sum(c).over(total)).alias(c) for c in names])
+    return rows.where(F.col(names[0]) > 0).withColumn("_start", F.explode(F.sequence("_at", F.col("_until") - 1)))
+
+
+def sliding_distinct(df: DataFrame, ts: str, keys: Iterable[str], distinct_col: str, width, slide,
+                     out: str = "user_count", chunk: int = 4096) -> DataFrame:
+    """Exact distinct values per key in sliding windows (A5 over A2's windows).
+
+    The windows that a value is in are the union of those of its panes. Per (key, value) each
+    pane adds the windows that the pane before has not given: two signed events, whatever width /
+    slide is. No window holds a set; a hot key is spread over its values, then over ranges of
+    windows. NULL values do not count, as in ``count(distinct)``.
+    """
+    keys = list(keys)
+    width_us, slide_us = duration.micros(width), duration.micros(slide)
+    if width_us % slide_us:
+        raise ValueError("pane windows need the slide to divide the width")
+    n = width_us // slide_us
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    panes = df.where(F.col(ts).isNotNull()).select(
+        *keys, F.col(distinct_col).alias("_value"), F.floor(us / slide_us).alias("_pane")).distinct()
+    value = Window.partitionBy(*keys, "_value").orderBy("_pane")
+    fresh = F.greatest(F.col("_pane") - (n - 1), F.lag("_pane").over(value) + 1)
+    known = F.col("_value").isNotNull().cast("bigint")
+    events = panes.select(*keys, known.alias("_u"), fresh.alias("_a"), (F.col("_pane") + 1).alias("_b")).select(
+        *keys, F.explode(F.array(
+            F.struct(F.col("_a").alias("_at"), F.lit(1).cast("bigint").alias("_rows"), F.col("_u").alias("_users")),
+            F.struct(F.col("_b").alias("_at"), F.lit(-1).cast("bigint").alias("_rows"), (-F.col("_u")).alias("_users"))))
+        .alias("_e")).select(*keys, "_e.*")
+    # partial sums before the shuffle: many values enter a key's windows together
+    events = events.groupBy(*keys, "_at").agg(F.sum("_rows").alias("_rows"), F.sum("_users").alias("_users"))
+    spread = _window_runs(events, keys, ["_rows", "_users"], chunk)
+    ts_type = _ts_type(df, ts)
+    start = F.timestamp_micros(F.col("_start") * slide_us)
+    end = F.timestamp_micros(F.col("_start") * slide_us + width_us)
+    return spread.select(*[F.col(f"_rk.{k}").alias(k) for k in keys], start.cast(ts_type).alias("window_start"),
+                         end.cast(ts_type).alias("window_end"), F.col("_users").alias(out))
+
+
 def sliding_aggregate(df: DataFrame, ts: str, keys: Iterable[str], measures: Measures,
                       width, slide, chunk: int = 4096) -> DataFrame:
     """Sliding windows from two signed events per pane: the rows of ``window_aggregate``.
@@ -145,21 +201,7 @@ def sliding_aggregate(df: DataFrame, ts: str, keys: Iterable[str], measures: Mea
     events = panes.select(*keys, F.explode(F.array(
         F.struct((F.col("_pane") - (n - 1)).alias("_at"), *[a.alias(c) for c, a in zip(names, amounts)]),
         F.struct((F.col("_pane") + 1).alias("_at"), *[(-a).alias(c) for c, a in zip(names, amounts)]))).alias("_e"))
-    events = events.select(F.struct(*[F.col(k) for k in keys], F.floor(F.col("_e._at") / chunk).alias("_chunk"))
-                           .alias("_rk"), "_e.*")
-    net = events.repartition("_rk").groupBy("_rk", "_at").agg(*[F.sum(c).alias(c) for c in names])
-    per_chunk = net.groupBy("_rk").agg(F.min("_at").alias("_first"), *[F.sum(c).alias(c) for c in names])
-    order = Window.partitionBy(*[F.col(f"_rk.{k}") for k in keys]).orderBy("_rk._chunk")
-    offsets = per_chunk.select(
-        "_rk", F.lead("_first").over(order).alias("_next_first"),
-        *[F.coalesce(F.sum(c).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"_o_{c}")
-          for c in names])
-    within = Window.partitionBy("_rk").orderBy("_at")
-    total = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = net.join(offsets, "_rk").select(
-        "_rk", "_at", F.coalesce(F.lead("_at").over(within), F.col("_next_first")).alias("_until"),
-        *[(F.col(f"_o_{c}") + F.sum(c).over(total)).alias(c) for c in names])
-    spread = rows.where("_rows > 0").withColumn("_start", F.explode(F.sequence("_at", F.col("_until") - 1)))
+    spread = _window_runs(events.select(*keys, "_e.*"), keys, names, chunk)
     ts_type = _ts_type(df, ts)
     start = F.timestamp_micros(F.col("_start") * slide_us)
     end = F.timestamp_micros(F.col("_start") * slide_us + width_us)

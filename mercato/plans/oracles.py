@@ -387,6 +387,68 @@ UNION ALL
 SELECT city, province, es, change_id, pos, row_key, true, CAST(tm AS DOUBLE), CAST(tn AS BIGINT)
 FROM run WHERE tn > 0"""
 
+CHANNELS = """ch AS (
+  SELECT c.c_mktsegment AS channel, CAST(e.user_id AS VARCHAR) AS uid,
+         date_trunc('millisecond', e.ts) AS ts
+  FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey)"""
+
+ORACLES["channel_users_sliding"] = f"""WITH {CHANNELS}
+{_sliding('ch', 'channel', 'ts', *P['channel_sliding'], 'count(DISTINCT uid) AS user_count')}"""
+
+# The two slots row by row: what a fired timer flushes, then what the arrival does.
+ORACLES["order_pay_arrival"] = f"""WITH RECURSIVE ev AS (
+  SELECT o_orderkey AS k, 0 AS side, epoch_us(o_orderdate) AS t, 0 AS ln FROM orders
+  UNION ALL SELECT o_orderkey, 0, epoch_us(o_orderdate) + 2 * CAST(86400000000 AS BIGINT), 8
+  FROM orders WHERE o_orderkey % 10 = 0
+  UNION ALL SELECT l_orderkey, 1, epoch_us(l_shipdate::TIMESTAMP), l_linenumber FROM lineitem),
+a AS (SELECT *, (t // 86400000000 + (CAST(k AS BIGINT) * 7 + ln) % 3) AS day FROM ev),
+w AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY day, ln) AS rn, count(*) OVER (PARTITION BY k) AS n,
+             max(CASE WHEN side = 0 THEN t END) OVER p AS top0, max(CASE WHEN side = 1 THEN t END) OVER p AS top1
+      FROM a WINDOW p AS (ORDER BY day, k, ln ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+r AS (SELECT *, CASE WHEN top0 IS NOT NULL AND top1 IS NOT NULL THEN least(top0, top1) - 1000 END AS wm FROM w),
+m AS (
+  SELECT DISTINCT k, CAST(0 AS BIGINT) AS rn, CAST(NULL AS INTEGER) AS slot, CAST(NULL AS BIGINT) AS st,
+         CAST([] AS BIGINT[]) AS dues, CAST([] AS STRUCT(o BIGINT, p BIGINT, outcome VARCHAR)[]) AS outs FROM r
+  UNION ALL
+  SELECT k, rn, CASE WHEN met THEN NULL ELSE side END, CASE WHEN met THEN NULL ELSE t END,
+         CASE WHEN met THEN d1 ELSE list_append(d1, t + {TOL_US}) END,
+         CASE WHEN met THEN list_append(o1, {{'o': CASE WHEN side = 0 THEN t ELSE s1t END,
+                                             'p': CASE WHEN side = 1 THEN t ELSE s1t END, 'outcome': 'matched'}})
+              ELSE o1 END
+  FROM (SELECT *, s1 IS NOT NULL AND s1 <> side AS met FROM (
+    SELECT k, next AS rn, side, t, CASE WHEN fired THEN NULL ELSE slot END AS s1, st AS s1t,
+           CASE WHEN fired THEN list_filter(dues, lambda d: d > wm) ELSE dues END AS d1,
+           CASE WHEN fired AND slot = 0 THEN list_append(outs, {{'o': st, 'p': NULL, 'outcome': 'unmatched_order'}})
+                WHEN fired AND slot = 1 THEN list_append(outs, {{'o': NULL, 'p': st, 'outcome': 'unmatched_pay'}})
+                ELSE outs END AS o1
+    FROM (SELECT m.k, m.slot, m.st, m.dues, m.outs, r.wm, r.side, r.t, r.rn AS next,
+                 coalesce(len(list_filter(m.dues, lambda d: d <= r.wm)) > 0, false) AS fired
+          FROM m JOIN r ON r.k = m.k AND r.rn = m.rn + 1)))),
+x AS (SELECT m.k, CASE WHEN slot = 0 THEN list_append(outs, {{'o': st, 'p': NULL, 'outcome': 'unmatched_order'}})
+                       WHEN slot = 1 THEN list_append(outs, {{'o': NULL, 'p': st, 'outcome': 'unmatched_pay'}})
+                       ELSE outs END AS outs
+      FROM m JOIN (SELECT DISTINCT k, n FROM r) c ON c.k = m.k AND c.n = m.rn),
+y AS (SELECT k, unnest(outs) AS e FROM x)
+SELECT k AS order_id, make_timestamp(e.o) AS order_ts, make_timestamp(e.p) AS pay_ts, e.outcome AS outcome FROM y"""
+
+ORACLES["area_paths"] = f"""WITH RECURSIVE tree AS (
+  SELECT CAST(r_regionkey AS BIGINT) * 10 + 1 AS id, r_name AS name, CAST(0 AS BIGINT) AS pid FROM region
+  UNION ALL SELECT CAST(n_nationkey AS BIGINT) * 10 + 2, n_name, CAST(n_regionkey AS BIGINT) * 10 + 1 FROM nation
+  UNION ALL SELECT CAST(c_custkey AS BIGINT) * 10 + 3, c_name, CAST(c_nationkey AS BIGINT) * 10 + 2 FROM customer
+  UNION ALL SELECT CAST(o_orderkey AS BIGINT) * 10 + 4, 'order ' || o_orderkey, CAST(o_custkey AS BIGINT) * 10 + 3
+  FROM {ORDERS}
+  UNION ALL SELECT (CAST(l_orderkey AS BIGINT) * 8 + l_linenumber) * 10 + 5, 'item ' || l_linenumber,
+                   CAST(l_orderkey AS BIGINT) * 10 + 4 FROM lineitem),
+down AS (
+  SELECT id, 1 AS depth, name AS root, name AS path FROM tree WHERE pid NOT IN (SELECT id FROM tree)
+  UNION ALL SELECT t.id, depth + 1, root, path || '/' || t.name FROM tree t JOIN down ON t.pid = down.id)
+SELECT id, depth, root, path FROM down"""
+
+# The aggregate interface gives what the built-ins give.
+for _name, _builtin in (("user_city_orders", "city_order_total"), ("user_ad_clicks", "ad_click_sliding"),
+                        ("user_blacklist", "blacklist_tumbling"), ("user_channel_users", "channel_users")):
+    ORACLES[_name] = ORACLES[_builtin]
+
 # ---------------------------------------------------------------- streamed twins
 # A replayed log ends with a marker that closes everything, so each streamed query
 # gives all rows of its batch query (late rows in the feed are dropped).
@@ -394,7 +456,7 @@ FROM run WHERE tn > 0"""
 for _name in ("ad_click_sliding", "ad_click_sliding_panes", "blacklist_tumbling", "channel_users",
               "click_browse_interval", "click_browse_window", "order_timeout", "order_paid",
               "order_pay_match", "city_order_sliding", "city_serving_state", "city_order_total",
-              "city_order_total_stored", "order_area_missing", "changelog_state",
+              "city_order_total_stored", "city_order_total_maintained", "order_area_missing", "changelog_state",
               "changelog_partial", "blacklist_repeat_skip", "blacklist_repeat_all"):
     ORACLES[f"stream_{_name}"] = ORACLES[_name]
 
@@ -408,3 +470,17 @@ SELECT city, province, order_id, CAST(sum(m) OVER w AS DOUBLE) AS running_money,
 FROM t
 WINDOW w AS (PARTITION BY city, province ORDER BY od, order_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+# By processing time: the fed clock says when a message was processed.
+ORACLES["stream_channel_users_processing"] = f"""WITH ch AS (
+  SELECT c.c_mktsegment AS channel, CAST(e.user_id AS VARCHAR) AS uid,
+         date_trunc('second', e.ts) + to_hours(CAST(e.event_id * 7919 % 7 AS INTEGER)) AS ts
+  FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey)
+{_tumbling('ch', 'channel', 'ts', P['channel_window'], 'count(DISTINCT uid) AS user_count')}"""
+
+ORACLES["stream_city_order_processing"] = f"""WITH {AREA_DIM},
+t AS (SELECT d.city, d.province, o.o_orderdate + to_hours(CAST(o.o_orderkey * 7919 % 5 AS INTEGER)) AS ts,
+             CAST(o.o_totalprice AS DECIMAL(18,2)) AS m
+      FROM {ORDERS} o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid)
+{_sliding('t', 'city, province', 'ts', ORDER_WIDTH, ORDER_SLIDE,
+          'CAST(sum(m) AS DOUBLE) AS total_money, count(*) AS order_count')}"""

@@ -19,6 +19,7 @@ SPEC = {
     "repeat_times": 10,
     "repeat_within": "10 seconds",
     "channel_window": "10 seconds",
+    "channel_sliding": ("1 hour", "10 seconds"),
     "pay_within": "15 minutes",
     "interval_bounds": ("-10 minutes", "0 seconds"),
     "window_join_width": "2 seconds",
@@ -41,6 +42,7 @@ FIXTURE = {
     "repeat_times": 3,
     "repeat_within": "7 days",
     "channel_window": "1 day",
+    "channel_sliding": ("7 days", "1 day"),
     "pay_within": "1 day",
     "interval_bounds": ("-6 hours", "0 seconds"),
     "window_join_width": "1 day",

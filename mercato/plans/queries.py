@@ -15,11 +15,12 @@ from ..functions import duration
 from ..functions.text import channel_message, match_message
 from ..functions.time import format_ts, ts_to_millis
 from ..operators import changelog as cl
-from ..operators import dims, joins, parse, patterns, retract, windows
+from ..operators import aggregates, dims, joins, parse, patterns, retract, windows
 from ..schemas import AREA_DIMENSION_COLUMNS
 from ..session import prepare
 from ..sinks import KeyedLog
 from ..sources import domain
+from ..sources.keyed_scan import scan_keyed, write_keyed
 from ..streaming.feeds import run_folder
 from .presets import FIXTURE
 
@@ -199,6 +200,11 @@ def channel_users(spark, sf):
                                   P["channel_window"])
 
 
+def channel_users_sliding(spark, sf):
+    """A5 over sliding windows: exact distinct users from signed events."""
+    return windows.sliding_distinct(channel_events(spark, sf), "ts", ["channel"], "uid", *P["channel_sliding"])
+
+
 def channel_message_lines(spark, sf):
     """P14 on A5."""
     out = channel_users(spark, sf)
@@ -274,6 +280,58 @@ def order_pay_message(spark, sf):
                       match_message("order_id", "outcome", order_first).alias("message"))
 
 
+def order_pay_arrival(spark, sf):
+    """J6q: the match as its two slots take repeated orders and payments, in arrival order."""
+    orders, pays = domain.arrivals(spark, sf)
+    return joins.match_in_arrival_order(orders, pays, "order_id", "ts", "ts", "offset", P["match_tolerance"],
+                                        chunk=domain.ARRIVALS_A_DAY)
+
+
+def area_paths(spark, sf):
+    """J2 at any depth: the way from the root to every node of a five-level tree."""
+    found = dims.ancestors(domain.deep_tree(spark, sf)).where("not cyclic")
+    return found.select("id", "depth", "root",
+                        F.array_join(F.transform("path", lambda p: p["name"]), "/").alias("path"))
+
+
+# ------------------------------------------------------------ user-defined aggregates
+
+def user_city_orders(spark, sf):
+    """Sum and count per city through the aggregate interface."""
+    orders = dims.lookup(domain.trade_orders(spark, sf), area_dimension(spark, sf), "area_id", "areaid")
+    orders = orders.withColumn("cents", (F.col("total_money").cast(MONEY) * 100).cast("bigint"))
+    out = aggregates.aggregate(orders, ["city", "province"], ["cents"], aggregates.SumAndCount(), "t")
+    return out.select("city", "province", F.col("t.total").alias("total_money"), F.col("t.n").alias("order_count"))
+
+
+def user_ad_clicks(spark, sf):
+    """Clicks per product and pane through the interface, sliding windows over the panes."""
+    width, slide = P["ad_window"]
+    clicks = ad_clicks(spark, sf).withColumn("pane", F.window("ts", duration.text(slide)).start)
+    panes = aggregates.aggregate(clicks, ["product_id", "pane"], [], aggregates.Count(), "clicks")
+    return _with_end(windows.sliding_aggregate(
+        panes, "pane", ["product_id"], {"click_count": ("sum", "clicks")}, width, slide))
+
+
+def user_blacklist(spark, sf):
+    """Clicks per user, product and window through the interface."""
+    clicks = ad_clicks(spark, sf).withColumn("w", F.window("ts", duration.text(P["blacklist_window"])))
+    clicks = clicks.select("uid", "product_id", F.col("w.start").alias("window_start"),
+                           F.col("w.end").alias("window_end"))
+    keys = ["uid", "product_id", "window_start", "window_end"]
+    out = windows.at_least(aggregates.aggregate(clicks, keys, [], aggregates.Count(), "click_count"),
+                           "click_count", P["blacklist_threshold"])
+    return out.select(*keys, format_ts("window_end").alias("end_time"), "click_count")
+
+
+def user_channel_users(spark, sf):
+    """Distinct users per channel and window; the sets are dealt over the users."""
+    ch = channel_events(spark, sf).withColumn("w", F.window("ts", duration.text(P["channel_window"])))
+    ch = ch.select("channel", "uid", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
+    return aggregates.spread(ch, ["channel", "window_start", "window_end"], "uid", aggregates.DistinctCount(),
+                             "user_count")
+
+
 # ------------------------------------------------------------ change log and stores
 
 def changelog_rows(spark, sf):
@@ -391,14 +449,21 @@ def row_upsert(spark, sf):
     return _dimension_store(spark, sf)
 
 
+def _stored_dimension(spark, sf, name):
+    """The dimension as K2 has written it, scanned in key order."""
+    path = run_folder(spark, name)
+    write_keyed(_dimension_store(spark, sf), path)
+    return scan_keyed(spark, path)
+
+
 def row_as_json(spark, sf):
     """S3: the keyed store scanned as (row_key, JSON of cells)."""
-    return cl.scan_as_json(_dimension_store(spark, sf))
+    return cl.scan_as_json(_stored_dimension(spark, sf, "row_as_json"))
 
 
 def row_as_dashed(spark, sf):
     """The keyed store scanned as (row_key, cells joined by '-')."""
-    return cl.scan_as_dashed(_dimension_store(spark, sf))
+    return cl.scan_as_dashed(_stored_dimension(spark, sf, "row_as_dashed"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -435,6 +500,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "city_order_total_stored": city_order_total_stored,
     "city_order_total_maintained": city_order_total_maintained,
     "city_order_retractions": city_order_retractions,
+    "channel_users_sliding": channel_users_sliding,
+    "order_pay_arrival": order_pay_arrival,
+    "area_paths": area_paths,
+    "user_city_orders": user_city_orders,
+    "user_ad_clicks": user_ad_clicks,
+    "user_blacklist": user_blacklist,
+    "user_channel_users": user_channel_users,
 }
 
 

@@ -23,9 +23,10 @@ from ..session import materialize
 from ..sinks import KeyedLog
 from ..sources import domain
 from ..streaming import feeds, jobs, stateful
+from ..streaming.maintained import MaintainedTotals, signed_rows_stream
 from ..streaming.running import RunningTotals
 from .presets import FIXTURE as P
-from .queries import area_dimension, change_store, city_totals_of, typed_state
+from .queries import ORDER_IMAGE, area_dimension, change_store, city_totals_of, typed_state
 
 NO_DELAY = "0 seconds"
 LATE_DAYS = 21
@@ -91,8 +92,8 @@ def _envelope_stream(spark: SparkSession, sf: str, name: str, order=None) -> tup
 
 
 def stream_ad_click_sliding(spark, sf):
-    """A3 on a stream: sliding counts per product, emitted as windows close. The log
-    is out of order by up to 20 events, which the watermark's delay allows for (W4)."""
+    """A3 on a stream: sliding counts per product, emitted as windows close; panes enter and
+    leave a running total by timers (W8). The log is out of order by up to 20 events, which the watermark's delay allows for (W4)."""
     scrambled = F.col("offset") + F.pmod(F.col("offset") * 7919, F.lit(20))
     src, folder = _envelope_stream(spark, sf, "ad_click_sliding", scrambled)
     width, slide = P["ad_window"]
@@ -102,11 +103,10 @@ def stream_ad_click_sliding(spark, sf):
 
 
 def stream_ad_click_sliding_panes(spark, sf):
-    """A3 from panes on a stream: pane counts chained into sliding windows."""
+    """A3 on a stream in log order: pane counts chained into sliding windows."""
     src, folder = _envelope_stream(spark, sf, "ad_click_sliding_panes")
     width, slide = P["ad_window"]
-    out = feeds.drain_to_parquet(jobs.ad_click_counts_panes(src, width, slide, NO_DELAY),
-                                 folder)
+    out = feeds.drain_to_parquet(jobs.ad_click_counts(src, width, slide, NO_DELAY), folder)
     return out.select("product_id", "window_start", "window_end",
                       format_ts("window_end").alias("end_time"), "click_count")
 
@@ -127,6 +127,29 @@ def stream_channel_users(spark, sf):
     return out.select("channel", "window_start", "window_end", "user_count")
 
 
+CLOCKED = "offset bigint, value string, arrived string"
+
+
+def _clocked_feed(df, path, hours, end):
+    """Messages in the order of a fed clock: ``at`` (a time) and some hours."""
+    arrived = df.withColumn("arrived", F.date_format(F.timestamp_seconds(
+        F.unix_seconds(F.col("at").cast("timestamp")) + hours * 3600), "yyyy-MM-dd HH:mm:ss"))
+    end = end.withColumn("arrived", F.lit(END_TEXT))
+    return feeds.write_feed(arrived.select("offset", "value", "arrived"), path, F.col("arrived"), tail=[end])
+
+
+def stream_channel_users_processing(spark, sf):
+    """A5 by processing time (W2) with a fed clock: a window closes when the clock passes it."""
+    folder = feeds.run_folder(spark, "channel_users_processing")
+    times = domain.table(spark, sf, "events").select(F.col("event_id").alias("offset"), F.col("ts").alias("at"))
+    envelopes = domain.event_envelopes(spark, sf).join(times, "offset")
+    end = F.lit('{"lagou_event": [], "attr": {}}')
+    _clocked_feed(envelopes, f"{folder}/feed", F.col("offset") * 7919 % 7, _marker(spark, end))
+    src = jobs.json_lines_source(spark, f"{folder}/feed", max_files_per_trigger=1, schema=CLOCKED)
+    out = feeds.drain_to_parquet(jobs.channel_users_processing(src, P["channel_window"], "arrived"), folder)
+    return out.select("channel", "window_start", "window_end", "user_count")
+
+
 def _click_browse_streams(spark, sf, name):
     folder = feeds.run_folder(spark, name)
     for kind, side_name in (("click", "clicks"), ("view", "browses")):
@@ -167,21 +190,21 @@ def _order_outcomes(spark, sf, name):
     job = stateful.followed_by_stream(rows, "order_id", "ts", "offset",
                                       F.col("status") == "1", F.col("status") == "2",
                                       P["pay_within"], payload="money")
-    return feeds.drain_to_parquet(job, folder)
+    return feeds.drain_to_outputs(job, folder)
 
 
 def stream_order_timeout(spark, sf):
     """J7t on a stream: a created order times out once the watermark passes its
     creation time + W with no payment (stateful, no pairs)."""
-    out = _order_outcomes(spark, sf, "order_timeout")
-    return out.where(F.col("outcome") == "timeout").select(
+    out = _order_outcomes(spark, sf, "order_timeout").read("timeout")      # the side output (K6)
+    return out.select(
         "order_id", "start_seq", to_wall_time("start_ts").alias("start_ts"), "money")
 
 
 def stream_order_paid(spark, sf):
     """J7 on a stream: created orders with their first payment within W."""
-    out = _order_outcomes(spark, sf, "order_paid")
-    return out.where(F.col("outcome") == "paid").select(
+    out = _order_outcomes(spark, sf, "order_paid").read("paid")            # the main output
+    return out.select(
         "order_id", "start_seq", to_wall_time("start_ts").alias("start_ts"), "money",
         "end_seq", to_wall_time("end_ts").alias("end_ts"))
 
@@ -203,7 +226,10 @@ def stream_order_pay_match(spark, sf):
 
     job = jobs.order_pay_outcomes(side("orders", "order_ts"), side("pays", "pay_ts"),
                                   P["match_tolerance"], NO_DELAY)
-    return feeds.drain_to_parquet(job, folder)
+    outputs = feeds.drain_to_outputs(job, folder)
+    # the main output and the two side outputs (K6), each from its own folder
+    sides = [outputs.read(o).withColumn("outcome", F.lit(o)) for o in ("matched", "unmatched_order", "unmatched_pay")]
+    return sides[0].unionByName(sides[1]).unionByName(sides[2])
 
 
 def _static_dimension(spark, sf):
@@ -229,7 +255,7 @@ def _typed_order_stream(spark, sf, folder):
 def _city_sliding_stream(spark, sf, folder):
     joined = dims.lookup(_typed_order_stream(spark, sf, folder), _static_dimension(spark, sf),
                          "area_id", "areaid")
-    return jobs.city_totals_panes(joined, *P["order_window"])
+    return jobs.city_totals(joined, *P["order_window"])
 
 
 def stream_city_order_sliding(spark, sf):
@@ -239,6 +265,27 @@ def stream_city_order_sliding(spark, sf):
     return feeds.drain_to_parquet(_city_sliding_stream(spark, sf, folder), folder)
 
 
+def stream_city_order_processing(spark, sf):
+    """A2 by processing time (W2) with a fed clock, as feature 2 is run: inserted orders count
+    when they are processed."""
+    folder = feeds.run_folder(spark, "city_order_processing")
+    es = F.get_json_object("value", "$.es").cast("bigint")
+    log = domain.change_log(spark, sf).withColumn("at", F.timestamp_millis(es))
+    end = F.lit('{"data": [], "database": "", "type": "INSERT"}')
+    _clocked_feed(log, f"{folder}/feed", F.floor(F.col("offset") / 16) * 7919 % 5, _marker(spark, end))
+    src = jobs.json_lines_source(spark, f"{folder}/feed", max_files_per_trigger=1, schema=CLOCKED)
+    # the clock comes before any row is dropped: it also moves on messages that are not taken
+    clocked = jobs.by_processing_time(src.withColumn("proc", F.lit(None).cast("timestamp_ntz")), "proc", "arrived")
+    changes = parse.filter_database(parse.parse_changes(clocked, types=STATISTICS_TYPES, keep=["offset", "proc"],
+                                                        observe="change_types"))
+    orders = parse.decode_row(parse.filter_table(changes, domain.CHANGE_TABLE), {
+        "cust": ("o_custkey", "bigint"), "total_money": ("o_totalprice", "double")}, keep=["offset", "proc"])
+    orders = orders.withColumn("area_id", F.col("cust") * 10 + domain.LEVEL_AREA).withColumnRenamed(
+        "proc", "create_time")
+    joined = dims.lookup(orders, _static_dimension(spark, sf), "area_id", "areaid")
+    return feeds.drain_to_parquet(jobs.city_totals(joined, *P["order_window"]), folder)
+
+
 def stream_order_area_missing(spark, sf):
     """The J3 audit on a stream: inserted orders without an area."""
     folder = feeds.run_folder(spark, "order_area_missing")
@@ -331,8 +378,7 @@ def stream_city_order_total_stored(spark, sf):
 
 
 def stream_blacklist_repeat_skip(spark, sf):
-    """J8 on a stream: a custom stateful operator (applyInPandasWithState with
-    event-time timeouts); matches ending before the final watermark."""
+    """J8 on a stream: state variables and event-time timers (transformWithState)."""
     src, folder = _envelope_stream(spark, sf, "blacklist_repeat_skip")
     clicks = jobs.watermarked(parse.parse_ad_clicks(src, keep=["offset"]), "ts", NO_DELAY)
     job = stateful.repeated_skip_past_last_stream(
@@ -362,14 +408,34 @@ def stream_city_order_running(spark, sf):
     folder = feeds.run_folder(spark, "city_order_running")
     joined = dims.lookup(_typed_order_stream(spark, sf, folder), _static_dimension(spark, sf),
                          "area_id", "areaid")
-    totals = RunningTotals(spark, f"{folder}/totals", ["city", "province"], "order_id", "total_money",
-                           "create_time", "offset")
+    totals = RunningTotals(spark, f"{folder}/totals", "city string, province string", "order_id",
+                           "total_money", "create_time", "offset")
     feeds.run_to_end(jobs.start(joined, "city_order_running", f"{folder}/checkpoint",
                                 foreach_batch=totals.sink))
     return totals.read()
 
 
+def stream_city_order_total_maintained(spark, sf):
+    """P11 on a stream: every change of an order takes back what it was and adds what it is; the
+    totals per city are the increments of all micro-batches."""
+    folder = feeds.run_folder(spark, "city_order_total_maintained")
+    change_log(spark, sf, f"{folder}/feed")
+    src = jobs.json_lines_source(spark, f"{folder}/feed", max_files_per_trigger=1)
+    changes = parse.filter_table(parse.filter_database(parse.parse_changes(src, observe="change_types")),
+                                 domain.CHANGE_TABLE)
+    signed = signed_rows_stream(changes.where(F.col("es") < END_MS), ORDER_IMAGE)
+    signed = signed.withColumn("area_id", F.col("cust") * 10 + domain.LEVEL_AREA)
+    joined = dims.lookup(signed, _static_dimension(spark, sf), "area_id", "areaid")
+    totals = MaintainedTotals(spark, f"{folder}/totals", "city string, province string", "total_money")
+    feeds.run_to_end(jobs.start(joined, "city_order_total_maintained", f"{folder}/checkpoint",
+                                foreach_batch=totals.sink))
+    return totals.read()
+
+
 STREAMED = {
+    "stream_channel_users_processing": stream_channel_users_processing,
+    "stream_city_order_processing": stream_city_order_processing,
+    "stream_city_order_total_maintained": stream_city_order_total_maintained,
     "stream_ad_click_sliding": stream_ad_click_sliding,
     "stream_ad_click_sliding_panes": stream_ad_click_sliding_panes,
     "stream_blacklist_tumbling": stream_blacklist_tumbling,

@@ -7,6 +7,7 @@ import os
 import re
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -76,8 +77,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Cut a long or many-times-reused lineage: a reliable checkpoint written to
-    the shared ``spark.checkpoint.dir`` (never a local checkpoint), so a lost
-    executor does not force recomputation from the sources."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut a long or many-times-reused lineage: write Parquet to the shared
+    ``spark.checkpoint.dir`` and read it back (never a local checkpoint), so a lost
+    executor costs a re-read, and the optimizer knows how large the rows are."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/mercato-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

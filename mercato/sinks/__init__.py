@@ -1,5 +1,6 @@
 """Sinks of the warehouse's jobs."""
 
 from .keyed import KeyedLog
+from .outputs import Outputs
 
-__all__ = ["KeyedLog"]
+__all__ = ["KeyedLog", "Outputs"]

@@ -26,6 +26,11 @@ Rules (not data):
   two other tables (one with the same keys, one with composite keys and two rows
   per message), of another database, in types that are not taken, a database name
   in capitals, and DELETEs that name no key.
+* deep tree: the area tree with orders below areas and line items below orders (five
+  levels); orders of customer -1 hang nowhere.
+* arrivals: orders at their order date (every 10th once more two days later) and a payment
+  per line item at its ship date; a row arrives up to two days after its time.
+* clock: an envelope is processed up to six hours after its event, a change up to four hours.
 """
 
 from __future__ import annotations
@@ -140,6 +145,36 @@ def order_status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def deep_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, name, pid): region, nation, customer, order, line item."""
+    orders = table(spark, sf_dir, "orders").select(
+        node_id("o_orderkey", 4).alias("id"), F.concat(F.lit("order "), "o_orderkey").alias("name"),
+        (ordering_customer() * 10 + LEVEL_AREA).alias("pid"))
+    items = table(spark, sf_dir, "lineitem").select(
+        ((F.col("l_orderkey").cast("bigint") * 8 + F.col("l_linenumber")) * 10 + 5).alias("id"),
+        F.concat(F.lit("item "), "l_linenumber").alias("name"), node_id("l_orderkey", 4).alias("pid"))
+    return area_tree(spark, sf_dir).drop("level").unionByName(orders).unionByName(items)
+
+
+ARRIVALS_A_DAY = 16 * 10**12     # arrival numbers of a day
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Order and payment rows (order_id, ts, offset); ``offset`` is the order of arrival."""
+    def arriving(df, line):
+        day = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (DAY_MS * 1000))
+        day = day + F.pmod(F.col("order_id") * 7 + line, F.lit(3))
+        return df.select("order_id", "ts", ((day * 10**12 + F.col("order_id")) * 16 + line).cast("bigint").alias("offset"))
+
+    orders = order_events(spark, sf_dir)
+    again = (orders.where(F.col("order_id") % 10 == 0)
+             .withColumn("ts", F.col("ts") + F.expr("INTERVAL 2 DAYS")))
+    pays = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_shipdate").cast("timestamp_ntz").alias("ts"), "l_linenumber")
+    return (arriving(orders, F.lit(0)).unionByName(arriving(again, F.lit(8))),
+            arriving(pays, F.col("l_linenumber")))
+
+
 def click_log(spark: SparkSession, sf_dir: str, event_type: str = "click") -> DataFrame:
     """(user_id, event_id, ts) of one event type: clicks, or ``view`` for browsing."""
     return (table(spark, sf_dir, "events")

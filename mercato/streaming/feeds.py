@@ -21,6 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from ..sinks.outputs import Outputs
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
@@ -82,16 +86,20 @@ def state_partitions(spark: SparkSession, n: int | None = None):
 
     A stream fixes its state partitions (``spark.sql.shuffle.partitions``) at its
     first batch, for the life of its checkpoint, from the session copy taken when
-    it starts. ``None`` keeps the session's value; the setting is restored.
+    it starts. ``None`` keeps the session's value. State goes to RocksDB, which state
+    variables and timers need. The settings are restored.
     """
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
+    settings = {STATE_STORE: ROCKSDB}
     if n is not None:
-        spark.conf.set(key, str(n))
+        settings["spark.sql.shuffle.partitions"] = str(n)
+    old = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for key, value in old.items():
+            spark.conf.set(key, value)
 
 
 def run_to_end(query) -> None:
@@ -112,3 +120,12 @@ def drain_to_parquet(stream: DataFrame, folder: str, output_mode: str = "append"
                  .trigger(availableNow=True).start())
     run_to_end(query)
     return spark.read.schema(stream.schema).parquet(f"{folder}/data")
+
+
+def drain_to_outputs(stream: DataFrame, folder: str, tag: str = "outcome") -> Outputs:
+    """Run ``stream`` over everything available into main and side outputs (K6)."""
+    outputs = Outputs(stream.sparkSession, folder, tag)
+    with state_partitions(stream.sparkSession):
+        query = outputs.writer(stream, f"{folder}/checkpoint").trigger(availableNow=True).start()
+    run_to_end(query)
+    return outputs

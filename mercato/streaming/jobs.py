@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..functions import duration
 from ..functions.time import to_event_time, to_wall_time
 from ..operators import joins, parse, windows
+from . import stateful
 
 VALUE_SCHEMA = "offset bigint, value string"
 # later than any event; a message of this time only moves the watermark
@@ -83,12 +84,16 @@ def watermarked(df: DataFrame, ts: str, delay) -> DataFrame:
     return timed.where(F.col(ts) < F.lit(END_OF_LOG).cast("timestamp"))
 
 
-def with_processing_time(df: DataFrame, col: str = "proc_ts") -> DataFrame:
-    """Processing-time mode (W2): stamp rows with the micro-batch's current time.
+def by_processing_time(df: DataFrame, ts: str, clock: str | None = None) -> DataFrame:
+    """Processing-time mode (W2): ``ts`` is when a row is processed, and the watermark follows it
+    without delay, so a window closes when the clock passes its end.
 
-    Windows over it are not reproducible; the registered jobs use event time.
+    Without ``clock`` that is the micro-batch's current time. ``clock`` names a column that
+    tells the time instead (an arrival stamp, or a test's clock): the windows of a replayed log
+    are then the same every time. The event time is given up, as the reference's jobs do.
     """
-    return df.withColumn(col, F.current_timestamp())
+    now = F.current_timestamp() if clock is None else F.col(clock).cast("timestamp")
+    return watermarked(df.withColumn(ts, now.cast("timestamp_ntz")), ts, "0 seconds")
 
 
 def _wall(df: DataFrame, *cols: str) -> DataFrame:
@@ -100,45 +105,27 @@ def _wall(df: DataFrame, *cols: str) -> DataFrame:
 # ----------------------------------------------------------------- jobs
 
 def ad_click_counts(envelopes: DataFrame, width, slide, delay) -> DataFrame:
-    """Feature 3: clicks per product over sliding windows."""
+    """Feature 3: clicks per product over sliding windows (P5, P9, A3). Clicks are counted
+    per pane, a pane enters and leaves the windows' total once."""
     clicks = watermarked(parse.parse_ad_clicks(envelopes, keep=["offset"]), "ts", delay)
-    out = windows.window_aggregate(clicks, "ts", ["product_id"],
-                                   {"click_count": ("count", None)}, width, slide)
-    return _wall(out, "window_start", "window_end")
+    return stateful.sliding_totals_stream(clicks, "ts", ["product_id"], {"click_count": ("count", None)}, width, slide)
 
 
-def ad_click_counts_panes(envelopes: DataFrame, width, slide, delay) -> DataFrame:
-    """Feature 3 from panes on a stream: clicks are counted per slide-wide pane,
-    and the pane counts, stamped with ``window_time`` (the pane's last instant),
-    feed a second windowed aggregation. Two chained stateful aggregations in
-    append mode; a row is copied once, not width/slide times."""
+def ad_click_counts_copied(envelopes: DataFrame, width, slide, delay) -> DataFrame:
+    """Feature 3 with ``F.window``, which copies a click to each of its windows; for slides that
+    do not divide the width."""
     clicks = watermarked(parse.parse_ad_clicks(envelopes, keep=["offset"]), "ts", delay)
-    panes = (clicks.groupBy(F.window("ts", duration.text(slide)).alias("_pane"), "product_id")
-             .agg(F.count(F.lit(1)).alias("_n"))
-             .select("product_id", "_n", F.window_time("_pane").alias("_pane_ts")))
-    out = (panes.groupBy(F.window("_pane_ts", duration.text(width), duration.text(slide))
-                         .alias("_w"), "product_id")
-           .agg(F.sum("_n").alias("click_count"))
-           .select("product_id", F.col("_w.start").alias("window_start"),
-                   F.col("_w.end").alias("window_end"), "click_count"))
+    out = windows.window_aggregate(clicks, "ts", ["product_id"],
+                                   {"click_count": ("count", None)}, width, slide)
     return _wall(out, "window_start", "window_end")
 
 
-def city_totals_panes(orders: DataFrame, width, slide) -> DataFrame:
-    """Feature 2 from panes on a stream: watermarked, joined orders are totalled per
-    city and slide-wide pane, and the pane totals feed the sliding windows (A2); a
-    row is copied once, not width/slide times."""
-    panes = (orders.groupBy(F.window("create_time", duration.text(slide)).alias("_pane"),
-                            "city", "province")
-             .agg(F.sum(F.col("total_money").cast(windows.MONEY)).alias("_m"),
-                  F.count(F.lit(1)).alias("_n"))
-             .select("city", "province", "_m", "_n", F.window_time("_pane").alias("_pane_ts")))
-    out = (panes.groupBy(F.window("_pane_ts", duration.text(width), duration.text(slide))
-                         .alias("_w"), "city", "province")
-           .agg(F.sum("_m").cast("double").alias("total_money"), F.sum("_n").alias("order_count"))
-           .select("city", "province", F.col("_w.start").alias("window_start"),
-                   F.col("_w.end").alias("window_end"), "total_money", "order_count"))
-    return _wall(out, "window_start", "window_end")
+def city_totals(orders: DataFrame, width, slide) -> DataFrame:
+    """Feature 2 on a stream: watermarked, joined orders are totalled per city and pane, a
+    pane enters and leaves the sliding windows' totals once (A2)."""
+    return stateful.sliding_totals_stream(
+        orders, "create_time", ["city", "province"],
+        {"total_money": ("money", "total_money"), "order_count": ("count", None)}, width, slide)
 
 
 def blacklist_counts(envelopes: DataFrame, width, threshold: int, delay) -> DataFrame:
@@ -151,7 +138,16 @@ def blacklist_counts(envelopes: DataFrame, width, threshold: int, delay) -> Data
 
 def channel_users(envelopes: DataFrame, width, delay) -> DataFrame:
     """Feature 5: exact distinct users per channel and tumbling window (A5)."""
-    ch = watermarked(parse.parse_channels(envelopes, keep=["offset"]), "ts", delay)
+    return _users_of(watermarked(parse.parse_channels(envelopes, keep=["offset"]), "ts", delay), width)
+
+
+def channel_users_processing(envelopes: DataFrame, width, clock: str | None = None) -> DataFrame:
+    """Feature 5 by processing time, as the reference runs it."""
+    keep = ["offset"] if clock is None else ["offset", clock]
+    return _users_of(by_processing_time(parse.parse_channels(envelopes, keep=keep), "ts", clock), width)
+
+
+def _users_of(ch: DataFrame, width) -> DataFrame:
     out = windows.distinct_count(ch, "ts", ["channel"], "uid", width, streaming=True)
     return _wall(out, "window_start", "window_end")
 
@@ -187,17 +183,17 @@ def click_browse_windows(clicks: DataFrame, browses: DataFrame, width, delay) ->
 
 
 def order_pay_outcomes(orders: DataFrame, pays: DataFrame, tolerance, delay) -> DataFrame:
-    """Two-stream match with timeout (J6); unmatched rows leave after the watermark.
+    """Two-stream match with timeout (J6); unmatched rows leave after the watermark."""
+    return stateful.match_with_timeout_stream(
+        watermarked(orders, "order_ts", delay), watermarked(pays, "pay_ts", delay), "order_id",
+        "order_ts", "pay_ts", tolerance)
 
-    Each side keeps only the first row per key within the watermark (the
-    earliest, for streams in time order), as the batch form keeps the earliest.
-    """
-    o = watermarked(orders, "order_ts", delay).dropDuplicatesWithinWatermark(["order_id"])
-    p = watermarked(pays, "pay_ts", delay).dropDuplicatesWithinWatermark(["order_id"])
-    out = joins.match_with_timeout(o.withColumnRenamed("order_id", "k"),
-                                   p.withColumnRenamed("order_id", "k"),
-                                   "k", "order_ts", "pay_ts", tolerance, dedupe=False)
-    return _wall(out, "order_ts", "pay_ts")
+
+def order_pay_arrivals(orders: DataFrame, pays: DataFrame, tolerance, delay) -> DataFrame:
+    """The same as the reference's two slots take the rows, in arrival order (J6q)."""
+    return stateful.match_in_arrival_order_stream(
+        watermarked(orders, "order_ts", delay), watermarked(pays, "pay_ts", delay), "order_id",
+        "order_ts", "pay_ts", "offset", tolerance)
 
 
 def start(df: DataFrame, name: str, checkpoint: str, output_mode: str = "append",

@@ -137,7 +137,7 @@ def test_running_totals_exact_money_nulls_and_replay(spark, scratch):
     schema = "city string, id long, money double, seq long"
     df = spark.createDataFrame(rows, schema).withColumn(
         "ts", F.timestamp_seconds(F.col("seq") + 1_700_000_000))
-    totals = RunningTotals(spark, os.path.join(scratch, "t"), ["city"], "id", "money", "ts", "seq")
+    totals = RunningTotals(spark, os.path.join(scratch, "t"), "city string", "id", "money", "ts", "seq")
     for batch_id, part in enumerate((df.where("seq < 2"), df.where("seq >= 2"))):
         totals.sink(part, batch_id)
     totals.sink(df.where("seq >= 2"), 1)  # replayed
@@ -145,20 +145,132 @@ def test_running_totals_exact_money_nulls_and_replay(spark, scratch):
     batch = windows.running_totals(df, ["city"], "seq", {"m": ("money", "money"), "n": ("count", None)})
     assert got == {r.id: (r.city, r.m or 0.0, r.n) for r in batch.collect()}
     assert got[1][1] == 1.01 and got[4] == ("a", 2.01, 3)
-    later = RunningTotals(spark, os.path.join(scratch, "t"), ["city"], "id", "money", "ts", "seq", run="2")
+    later = RunningTotals(spark, os.path.join(scratch, "t"), "city string", "id", "money", "ts", "seq", run="2")
     later.sink(spark.createDataFrame([("a", 9, 1.0, 9, dt.datetime(2024, 1, 1))],
                                      schema + ", ts timestamp"), 0)
     assert {r.id: r.running_money for r in later.read().collect()}[9] == 3.01
 
 
+def test_running_rows_repeat_as_they_came(spark, scratch):
+    """Repeated identifiers, rows without one, NULL keys; snapshots every two batches, replays."""
+    rows = [("a", 1, 1.0, 0), ("a", None, 2.0, 1), ("a", None, 3.0, 2), (None, 1, 4.0, 3), ("a", 1, 1.0, 4),
+            ("b", 5, None, 5), (None, None, 6.0, 6), ("a", 1, 1.0, 7)]
+    df = spark.createDataFrame(rows, "city string, id long, money double, seq long").withColumn(
+        "ts", F.timestamp_seconds(F.col("seq") + 1_700_000_000))
+    totals = RunningTotals(spark, os.path.join(scratch, "t"), "city string", "id", "money", "ts", "seq", every=2)
+    for batch_id in range(8):
+        part = df.where(F.col("seq") == batch_id)
+        totals.sink(part, batch_id)
+        if batch_id % 3 == 0:
+            totals.sink(part, batch_id)
+    got = sorted(((r.city, r.id, r.running_money, r.running_count) for r in totals.read().collect()), key=str)
+    want, sums = [], {}
+    for city, id_, money, _ in rows:
+        m, n = sums.get(city, (0.0, 0))
+        sums[city] = (m + (money or 0.0), n + 1)
+        want.append((city, id_, *sums[city]))
+    assert got == sorted(want, key=str)
+    assert len(os.listdir(os.path.join(scratch, "t", "totals"))) == 3
+    assert {r.city: (float(r.money or 0), r.n) for r in totals.increments.read().collect()} == sums
+
+
 def test_processing_time_windows(spark, scratch):
-    """Every row falls in the window of its arrival; totals per product stay."""
+    """W2 with the machine's clock: every row falls in the window of its arrival."""
     src = _files(spark, os.path.join(scratch, "in"), [[_ad(i, "u", 1_700_000_000_000)] for i in range(3)])
-    clicks = jobs.with_processing_time(parse.parse_ad_clicks(src))
-    out = windows.window_aggregate(clicks, "proc_ts", ["product_id"], {"n": ("count", None)}, "1 hour")
+    clicks = jobs.by_processing_time(parse.parse_ad_clicks(src), "ts")
+    out = windows.window_aggregate(clicks, "ts", ["product_id"], {"n": ("count", None)}, "1 hour")
     q = jobs.start(out, "proc", os.path.join(scratch, "ckpt"), output_mode="complete")
     feeds.run_to_end(q)
     now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
     got = spark.table("proc").collect()
     assert sum(r.n for r in got) == 3
-    assert all(abs(r.window_end - now) < dt.timedelta(hours=2) for r in got)
+    assert all(abs(r.window_end.replace(tzinfo=None) - now) < dt.timedelta(hours=2) for r in got)
+
+
+def test_processing_time_windows_follow_a_fed_clock(spark, scratch):
+    """A window closes when the clock passes its end, whatever the events' own times."""
+    def row(i, at):
+        return (*_ad(i, f"u{i}", 1_700_000_000_000 - i), f"2024-01-01 00:{at}:00")
+    src = _files(spark, os.path.join(scratch, "in"), [[row(0, "01"), row(1, "02")], [row(2, "11")], [row(3, "12")],
+                                                      [row(4, "35")]], "offset long, value string, arrived string")
+    job = jobs.channel_users_processing(src, "10 minutes", "arrived")
+    out = feeds.drain_to_parquet(job, os.path.join(scratch, "run"))
+    got = sorted((r.window_start.minute, r.user_count) for r in out.collect())
+    assert got == [(0, 2), (10, 2)]          # the window of minute 35 is still open
+
+
+def test_outputs_are_committed_together(spark, scratch):
+    """K6: a main and a side output of one stream; files of a batch that never committed are not
+    read, and the batch is written once when it runs again."""
+    rows = [[(i, "paid" if i % 3 else "timeout")] for i in range(6)]
+    src = _files(spark, os.path.join(scratch, "in"), rows, "n long, outcome string")
+    outputs = feeds.drain_to_outputs(src, os.path.join(scratch, "out"))
+    assert sorted(r.n for r in outputs.read("paid").collect()) == [1, 2, 4, 5]
+    assert sorted(r.n for r in outputs.read("timeout").collect()) == [0, 3]
+    # what a failed batch left in one output: a file beside the log of commits
+    lost = os.path.join(scratch, "lost")
+    spark.createDataFrame([(99,)], "n long").coalesce(1).write.parquet(lost)
+    name = next(f for f in os.listdir(lost) if f.startswith("part-"))
+    with open(os.path.join(lost, name), "rb") as f, \
+            open(os.path.join(scratch, "out", "data", "outcome=timeout", name), "wb") as to:
+        to.write(f.read())
+    assert sorted(r.n for r in outputs.read("timeout").collect()) == [0, 3]
+    spark.createDataFrame([(7, "timeout")], "n long, outcome string").coalesce(1).write.mode("append").json(
+        os.path.join(scratch, "in"))
+    feeds.drain_to_outputs(src, os.path.join(scratch, "out"))
+    assert sorted(r.n for r in outputs.read("timeout").collect()) == [0, 3, 7]
+    assert outputs.read("paid").columns == ["n"] and outputs.read().count() == 7
+
+
+def test_maintained_totals_take_changes_in_any_order(spark, scratch):
+    """Late and repeated changes; the signed rows of all batches sum to the log's state."""
+    from mercato.operators import retract
+    from mercato.streaming.maintained import MaintainedTotals, signed_rows_stream
+    from test_retract import FIELDS, SCHEMA, random_log
+
+    log = [r for r in random_log(8, changes=120)]
+    log += log[:20]
+    batches = [log[i::4] for i in range(4)]
+    for b in batches:
+        spark.createDataFrame(b, SCHEMA).coalesce(1).write.mode("append").json(os.path.join(scratch, "in"))
+    src = jobs.json_lines_source(spark, os.path.join(scratch, "in"), 1, SCHEMA)
+    totals = MaintainedTotals(spark, os.path.join(scratch, "t"), "cust bigint", "money", every=2)
+    feeds.run_to_end(jobs.start(signed_rows_stream(src, FIELDS), "m", os.path.join(scratch, "ckpt"),
+                                foreach_batch=totals.sink))
+    totals.sink(spark.createDataFrame([], "cust bigint, money double, sign int"), 50)
+    want = retract.totals(retract.signed_rows(retract.row_images(
+        spark.createDataFrame(log, SCHEMA).dropDuplicates(["table", "row_key", "es", "change_id"]), FIELDS)),
+        ["cust"], "money")
+    assert {r.cust: (r.total_money, r.order_count) for r in totals.read().collect()} == {
+        r.cust: (r.total_money or 0.0, r.order_count) for r in want.collect()}
+
+
+def test_two_slots_on_a_stream(spark, scratch):
+    """J6q, one row per micro-batch: a repeated order is lost, a timer that was not taken back
+    flushes a newer row early."""
+    def at(s):
+        return dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+
+    orders = [("a", 0, 0), ("a", 2, 2), ("b", 3, 3), ("z", 9, 8), ("z", 30, 11)]       # key, second, arrival
+    pays = [("b", 3, 4), ("b", 4, 5), ("z", 8, 9), ("z", 30, 12)]
+    schema = "order_id string, ts timestamp_ntz, offset long"
+    frames = [spark.createDataFrame([(k, at(s), n) for k, s, n in rows], schema) for rows in (orders, pays)]
+    from mercato.operators import joins
+    batch = joins.match_in_arrival_order(*frames, "order_id", "ts", "ts", "offset", "5 seconds")
+
+    def side(rows, name, ts):
+        path = os.path.join(scratch, name)
+        for k, s, n in rows:
+            spark.createDataFrame([(k, str(at(s)), n)], "order_id string, ts string, offset long").coalesce(1) \
+                .write.mode("append").json(path)
+        return (spark.readStream.schema("order_id string, ts string, offset long")
+                .option("maxFilesPerTrigger", 1).json(path)
+                .select("order_id", F.col("ts").cast("timestamp_ntz").alias(ts), "offset"))
+
+    job = jobs.order_pay_arrivals(side([*orders, ("end", 9999, 99)], "o", "order_ts"),
+                                  side([*pays, ("end", 9999, 99)], "p", "pay_ts"), "5 seconds", "0 seconds")
+    got = feeds.drain_to_parquet(job, os.path.join(scratch, "run")).where("order_id <> 'end'")
+    columns = ["order_id", "order_ts", "pay_ts", "outcome"]
+    told = _rows(batch, columns)
+    assert ("a", at(2), None, "unmatched_order") in told and not any(r[1] == at(0) for r in told)
+    assert len(_rows(got, columns)) == len(told)

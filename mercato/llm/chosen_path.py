@@ -11,15 +11,15 @@ pair at the threshold 0.8 survives any depth with probability 0.93, and pairs be
 die out. Independent trees are repeated to the target recall (``trees_for``).
 
 *Nodes.* Small nodes are compared exhaustively by sketches (cutoff five standard
-deviations below a pair at the threshold). What is similar is confirmed on full sets. First each set
-meets only the leader of its cluster, so a family of near copies becomes a component with one
-check per set; then, per node, only pairs of different components are left. Nodes with few
-of these per row are compared in full, the others branch again; what counts as few doubles
-with each level, which ends the recursion. Nodes that are one component go.
+deviations below a pair at the threshold), and what is similar is confirmed on full sets.
+First each set meets the leaders of its clusters, so a family of near copies becomes a
+component with a check or two per set. Then, per node, only sets with a similar one in another
+component are left; where these are few, their texts go to the node and are held against each
+other there: no pairs are sent, only links. Equal nodes of different trees are one. Other
+nodes branch again; what counts as few doubles with each level, which ends the recursion.
 
 *Hot nodes.* Rows are dealt by ranges of (path, set), so a node that holds a third of all sets
-is many pieces; a piece sends its leader to the next tier, which joins the pieces. No
-pairs within a group are emitted beyond those whose components differ.
+is many pieces; a piece sends its leader to the next tier, which joins the pieces.
 
 Defined results: null or blank texts have an empty set, linked with nothing, not with each
 other; texts of fewer than ``size`` words are one shingle. Every row is a document of its own,
@@ -45,10 +45,12 @@ CHOSEN = 2              # positions along which a set leaves a node
 STEPS = 2               # tokens chosen between two comparisons of a tree's nodes
 RECALL = 0.999999       # target for a pair at the threshold, over all trees
 PIECE = 1024            # sets of a node compared at a time
-FEW = 512               # pairs of different components per row of a small node, at first
+FEW = 4096              # pairs of different components per row of a small node, at first
+SHINGLES = 1 << 22      # shingles of a small node's sets together, at first
 TEXT_BYTES = 1 << 20    # text hashed at a time
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_ROWS = "kind int, path long, id long, s0 long, s1 long, other long"
+_NODE = ["path", "id", "n", "s0", "s1"]
+_ROWS = "kind int, path long, id long, n int, s0 long, s1 long, other long"
 
 
 def trees_for(recall: float, threshold: int) -> int:
@@ -144,8 +146,8 @@ def _sketch(sig: np.ndarray) -> np.ndarray:
 
 
 def _branch(rows: DataFrame, trees: int = 0) -> DataFrame:
-    """``(path, id, s0, s1)`` of the nodes below: of ``(id, sig)`` rows those of each tree, of
-    ``(id, sig, path)`` rows those below their path."""
+    """The ``_NODE`` rows below: of ``(id, n, sig)`` rows those of each tree, of ``(id, n, sig,
+    path)`` rows those below their path."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -153,17 +155,17 @@ def _branch(rows: DataFrame, trees: int = 0) -> DataFrame:
         for b in batches:
             for i in range(0, b.num_rows, 2048):
                 part = b.slice(i, 2048)
-                sig, ids = _signed(part.column(1)), part.column(0).to_numpy()
+                ids, n = part.column(0).to_numpy(), part.column(1).to_numpy()
+                sig = _signed(part.column(2))
                 sketch = _sketch(sig)
                 starts = ([np.full(len(ids), root) for root in roots] if trees
-                          else [part.column(2).to_numpy().view(np.uint64)])
+                          else [part.column(3).to_numpy().view(np.uint64)])
                 for paths in starts:
                     below, at = _children(sig, paths, STEPS)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (below.view(np.int64), ids[at], *sketch[at].T)],
-                        ["path", "id", "s0", "s1"])
+                        [pa.array(x) for x in (below.view(np.int64), ids[at], n[at], *sketch[at].T)], _NODE)
 
-    return rows.mapInArrow(run, "path long, id long, s0 long, s1 long")
+    return rows.mapInArrow(run, "path long, id long, n int, s0 long, s1 long")
 
 
 def _equal_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -213,29 +215,25 @@ def _leaders(batches: Iterator, least: int, ranged: bool) -> Iterator:
     nodes that go on in another piece."""
     import pyarrow as pa
 
-    def rows(kind, path, ids, sketch, other=None):
-        n = len(ids)
+    def rows(kind, at, other=None):
+        ids = columns[1]
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, kind, np.int32)), pa.array(np.broadcast_to(path, n)), pa.array(ids),
-             pa.array(sketch[:, 0]), pa.array(sketch[:, 1]),
-             pa.array(ids if other is None else other)], ["kind", "path", "id", "s0", "s1", "other"])
+            [pa.array(np.full(len(at), kind, np.int32)), *(pa.array(c[at]) for c in columns),
+             pa.array(ids[at if other is None else other])], ["kind", *_NODE, "other"])
 
     first = True
     for (columns, bounds, on_before, on_after), last in _lookahead(_groups(batches, 1, PIECE)):
-        paths, ids, *sketch = columns
-        sketch = np.stack(sketch, 1)
+        sketch = np.stack(columns[3:], 1)
         size = np.diff(bounds)
         more = np.zeros(len(size), bool)
         more[0] |= on_before or (ranged and first)
         more[-1] |= on_after or (ranged and last)
         first = False
-        pair = np.flatnonzero((size == 2) & ~more)
+        pair = bounds[np.flatnonzero((size == 2) & ~more)]
         if len(pair):
-            a, b = bounds[pair], bounds[pair] + 1
-            x = (sketch[a] ^ sketch[b]).view(np.uint64)
-            near = WIDTH - np.bitwise_count(x).sum(1).astype(np.int64) >= least
-            if near.any():
-                yield rows(0, paths[a[near]], ids[b[near]], sketch[a[near]], ids[a[near]])
+            differ = np.bitwise_count((sketch[pair] ^ sketch[pair + 1]).view(np.uint64)).sum(1).astype(np.int64)
+            pair = pair[WIDTH - differ >= least]
+            yield rows(0, pair + 1, pair)
         for g in np.flatnonzero((size > 2) | more):
             for s in range(bounds[g], bounds[g + 1], PIECE):
                 e = min(s + PIECE, int(bounds[g + 1]))
@@ -247,14 +245,12 @@ def _leaders(batches: Iterator, least: int, ranged: bool) -> Iterator:
                         leader[(leader < 0) & near[i]] = i
                 follows = np.flatnonzero(leader != np.arange(e - s))
                 if len(follows):
-                    yield rows(0, paths[s], ids[s:e][follows], sketch[s:e][follows], ids[s:e][leader[follows]])
+                    yield rows(0, s + follows, s + leader[follows])
                 # settled: no similar pair but those of a set and its leader
                 if pieces or near.sum() > e - s + 2 * len(follows):
-                    yield rows(1, paths[s], ids[s:e], sketch[s:e])
+                    yield rows(1, np.arange(s, e))
                 if pieces:
-                    most = s + int(np.bincount(leader).argmax())
-                    top = slice(most, most + 1)
-                    yield rows(2, paths[s], ids[top], sketch[top])
+                    yield rows(2, np.array([s + int(np.bincount(leader).argmax())]))
 
 
 def _lookahead(items: Iterator) -> Iterator:
@@ -270,136 +266,210 @@ def _lookahead(items: Iterator) -> Iterator:
 
 def _met(nodes: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """Similar pairs ``(a, b)`` of a level's nodes, and the rows that are not settled."""
-    columns = ("path", "id", "s0", "s1")
-    dealt = nodes.repartitionByRange("path", "id").sortWithinPartitions("path", "id").select(*columns)
+    dealt = nodes.repartitionByRange("path", "id").sortWithinPartitions("path", "id").select(*_NODE)
     met = written(dealt.mapInArrow(lambda b: _leaders(b, least, True), _ROWS))
-    rows, pairs, tier = met.where("kind = 1").select(*columns), met.where("kind = 0"), met.where("kind = 2")
+    rows, pairs, tier = met.where("kind = 1").select(*_NODE), met.where("kind = 0"), met.where("kind = 2")
     while not tier.isEmpty():               # leaders of pieces: a thousandth of the rows each time
-        dealt = tier.select(*columns).distinct().repartition("path").sortWithinPartitions("path", "id")
+        dealt = tier.select(*_NODE).distinct().repartition("path").sortWithinPartitions("path", "id")
         met = written(dealt.mapInArrow(lambda b: _leaders(b, least, False), _ROWS))
         pairs, tier = pairs.unionByName(met.where("kind = 0")), met.where("kind = 2")
-    return pairs.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct(), rows
+    pairs = pairs.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b"))
+    return written(pairs.distinct()), rows
 
 
-def _remaining(batches: Iterator, least: int, best: bool) -> Iterator:
-    """All similar pairs of different components in (path, chunk) groups: rows outside the main
-    component against all rows; with ``best`` only each row's nearest per other component."""
+def _across(batches: Iterator, least: int) -> Iterator:
+    """Of (path, chunk) groups the sets that have a similar one in another component, under the
+    digest of the group's sets."""
+    import hashlib
+
     import pyarrow as pa
 
     for columns, bounds, _, _ in _groups(batches, 2, 0):
-        _, chunk, ids, s0, s1, comp, main = columns
+        _, _, ids, s0, s1, comp, main = columns
         sketch = np.stack((s0, s1), 1)
-        out = []
         for s, e in zip(bounds[:-1], bounds[1:]):
             rest = np.flatnonzero(~main[s:e]) + s
+            hit = np.zeros(e - s, bool)
             for i in range(0, len(rest), 256):
                 mine = rest[i:i + 256]
-                for j in range(s, e, 1 << 14):
-                    end = min(e, j + (1 << 14))
-                    equal = _equal_bits(sketch[mine], sketch[j:end])
-                    fits = (equal >= least) & (comp[mine][:, None] != comp[None, j:end])
-                    fits &= main[None, j:end] | ((chunk[s] == 0) & (ids[mine][:, None] > ids[None, j:end]))
-                    x, y = np.nonzero(fits)
-                    if best and len(x):
-                        order = np.lexsort((-equal[x, y], comp[y + j], x))
-                        x, y = x[order], y[order]
-                        top = np.concatenate(([True], (x[1:] != x[:-1]) | (comp[y + j][1:] != comp[y + j][:-1])))
-                        x, y = x[top], y[top]
-                    if len(x):
-                        out.append((ids[mine[x]], ids[y + j]))
-        if out:
-            a, b = (np.concatenate(x) for x in zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+                near = (_equal_bits(sketch[mine], sketch[s:e]) >= least) & (comp[mine][:, None] != comp[None, s:e])
+                hit |= near.any(0)
+                hit[mine - s] |= near.any(1)
+            at = np.flatnonzero(hit) + s
+            if len(at):
+                digest = np.frombuffer(hashlib.sha256(np.sort(ids[at]).tobytes()).digest()[:16], np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), digest[0])), pa.array(np.full(len(at), digest[1])),
+                     *(pa.array(x[at]) for x in (ids, s0, s1, comp))], ["g0", "g1", "id", "s0", "s1", "comp"])
+
+
+def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Parity bitmaps of sets, rows of 64-bit words, several bits per shingle of the largest. Two
+    bitmaps differ in no more bits than the sets differ in shingles."""
+    bits = 64
+    while bits < 4 * max(map(len, sets)):
+        bits *= 2
+    at = np.concatenate(sets) & np.uint64(bits - 1)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    out = np.zeros((len(sets), bits // 64), np.uint64)
+    np.bitwise_xor.at(out, (row, (at >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (at & np.uint64(63)))
+    return out
+
+
+def _links_of(rows: list, threshold: int) -> Iterator:
+    """Links between the components of a group's sets."""
+    ids, sketch, comp, sets = zip(*rows)
+    sketch, comp, n = np.array(sketch), np.array(comp), np.array([len(s) for s in sets])
+    bitmaps = _bitmaps(sets)
+    step = max(1, (1 << 22) // bitmaps.shape[1])        # pairs whose bitmaps are held at a time
+    for i in range(0, len(ids), 256):
+        equal = _equal_bits(sketch[i:i + 256], sketch)
+        x, y = np.nonzero((equal >= cutoff(threshold)) & (comp[i:i + 256, None] != comp)
+                          & (np.arange(len(ids)) < np.arange(i, min(i + 256, len(ids)))[:, None])
+                          & (100 * np.minimum(n[i:i + 256, None], n) >= threshold * np.maximum(n[i:i + 256, None], n)))
+        x += i
+        order = np.argsort(-equal[x - i, y], kind="stable")          # the likeliest links first
+        for j in range(0, len(x), step):
+            a, b = x[order[j:j + step]], y[order[j:j + step]]
+            differ = np.bitwise_count(bitmaps[a] ^ bitmaps[b]).sum(1).astype(np.int64)
+            may = (n[a] + n[b] - differ) * (100 + threshold) >= 2 * threshold * (n[a] + n[b])
+            for u, v in zip(a[may], b[may]):
+                if comp[u] != comp[v]:
+                    both = _common(sets[u], sets[v])
+                    if 100 * both >= threshold * (n[u] + n[v] - both):
+                        comp[comp == comp[v]] = comp[u]
+                        yield max(ids[u], ids[v]), min(ids[u], ids[v])
+
+
+def _linked(batches: Iterator, size: int, threshold: int) -> Iterator:
+    """Links between components in groups of sets, from rows sorted by group: similar pairs are
+    held against each other until their components are one. A group's sets are held."""
+    group, held = None, []
+    for batch in batches:
+        out, at = [], 0
+        for texts in texts_of(batch.column(6), TEXT_BYTES):
+            part = batch.slice(at, len(texts))
+            at += len(texts)
+            for g0, g1, i, s0, s1, c, mine in zip(
+                    *(part.column(j).to_pylist() for j in range(6)), shingle_sets(texts, size)):
+                if (g0, g1) != group:
+                    out += _links_of(held, threshold) if len(held) > 1 else []
+                    group, held = (g0, g1), []
+                held.append((i, (s0, s1), c, mine))
+        yield _pairs(out)
+    if len(held) > 1:
+        yield _pairs(list(_links_of(held, threshold)))
+
+
+def _pairs(rows: list):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = b.searchsorted(a)
+    at[at == len(b)] = 0
+    return int((b[at] == a).sum())
 
 
 def _confirmed(batches: Iterator, size: int, threshold: int) -> Iterator:
     """Pairs that link, from rows by hub: the hub's text first, then those it is held
     against. One hub's set is held."""
-    import pyarrow as pa
-
     hub, held = None, None
     for batch in batches:
-        a, b = [], []
-        at = 0
+        out, at = [], 0
         for texts in texts_of(batch.column(2), TEXT_BYTES):
             part = batch.slice(at, len(texts))
             at += len(texts)
-            sets = shingle_sets(texts, size)
-            for h, other, mine in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), sets):
+            for h, other, mine in zip(part.column(0).to_pylist(), part.column(1).to_pylist(),
+                                      shingle_sets(texts, size)):
                 if other is None:
                     hub, held = h, mine
                     continue
                 assert hub == h
-                both = len(np.intersect1d(held, mine, assume_unique=True))
+                both = _common(held, mine)
                 if 100 * both >= threshold * (len(held) + len(mine) - both):
-                    a.append(other)
-                    b.append(h)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-
-def _confirm(pairs: DataFrame, keyed: DataFrame, size: int, threshold: int) -> DataFrame:
-    """Those of the pairs that link on their full sets. A hub (the smaller set of a pair) has
-    as many partners as the nodes' pieces gave it."""
-    needed = pairs.select("a").union(pairs.select("b")).distinct()
-    texts = written(keyed.select("row", "text").join(needed, F.col("row") == F.col("a"), "left_semi"))
-    hubs = pairs.select("b").distinct().join(texts, F.col("b") == F.col("row")).select(
-        "b", F.lit(None).cast("long").alias("a"), "text")
-    rows = pairs.join(texts, F.col("a") == F.col("row")).select("b", "a", "text").unionByName(hubs)
-    dealt = rows.repartition("b").sortWithinPartitions("b", F.col("a").asc_nulls_first())
-    with arrow_rows(pairs.sparkSession, 512):
-        return written(dealt.mapInArrow(lambda b: _confirmed(b, size, threshold), "a long, b long"))
+                    out.append((other, h))
+        yield _pairs(out)
 
 
 class _Links:
-    """Links and components so far, and the pairs already held against each other."""
-
-    def __init__(self, keyed: DataFrame, size: int, threshold: int):
-        self.keyed, self.size, self.threshold = keyed, size, threshold
-        self.asked = self.links = self.roots = None
-
-    def add(self, pairs: DataFrame) -> bool:
-        """Confirm pairs not yet asked for; whether any is a link."""
-        if self.asked is not None:
-            pairs = pairs.join(self.asked, ["a", "b"], "left_anti")
-        pairs = written(pairs)
-        if pairs.isEmpty():
-            return False
-        self.asked = pairs if self.asked is None else self.asked.unionByName(pairs)
-        links = _confirm(pairs, self.keyed, self.size, self.threshold)
-        if links.isEmpty():
-            return False
-        self.links = links if self.links is None else self.links.unionByName(links)
-        self.roots = written(components(self.links))
-        return True
-
-    def labelled(self, rows: DataFrame) -> DataFrame:
+    """Links and components so far. ``texts`` holds the sets that may have a partner."""
+
+    def __init__(self, texts: DataFrame, size: int, threshold: int):
+        self.texts, self.size, self.threshold = texts, size, threshold
+        self.links = self.roots = None
+        self.stale = False
+
+    def add(self, links: DataFrame, name: bool) -> None:
+        """Take in links; ``name`` the components anew."""
+        links = written(links)
+        if not links.isEmpty():
+            self.links = links if self.links is None else self.links.unionByName(links)
+            self.stale = True
+        if name and self.stale:
+            self.roots, self.stale = written(components(self.links)), False
+
+    def confirm(self, pairs: DataFrame, name: bool) -> None:
+        """Add those of the pairs that link on their full sets. A pair's smaller set is its hub,
+        a leader of pieces, so a hub has as many partners as these had rows."""
+        texts = self.texts.hint("merge")
+        hubs = pairs.select("b").distinct().join(texts, F.col("b") == F.col("id")).select(
+            "b", F.lit(None).cast("long").alias("a"), "text")
+        rows = pairs.join(texts, F.col("a") == F.col("id")).select("b", "a", "text").unionByName(hubs)
+        dealt = rows.repartition("b").sortWithinPartitions("b", F.col("a").asc_nulls_first())
+        size, threshold = self.size, self.threshold
+        with arrow_rows(pairs.sparkSession, 512):
+            self.add(dealt.mapInArrow(lambda b: _confirmed(b, size, threshold), "a long, b long"), name)
+
+    def labelled(self, rows: DataFrame, node: str = "id", name: str = "comp") -> DataFrame:
         """The rows with the component of their set."""
         if self.roots is None:
-            return rows.withColumn("comp", F.col("id"))
-        return (rows.join(self.roots, F.col("id") == F.col("node"), "left")
-                .withColumn("comp", F.coalesce("root", "id")).drop("node", "root"))
+            return rows.withColumn(name, F.col(node))
+        roots = self.roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+        return (rows.join(roots, F.col(node) == F.col("_node"), "left")
+                .withColumn(name, F.coalesce("_root", node)).drop("_node", "_root"))
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose sets are in different components."""
+        return self.labelled(self.labelled(pairs, "a", "_x"), "b", "_y").where("_x <> _y").select("a", "b")
+
+    def within(self, groups: DataFrame) -> None:
+        """Add the links between components in groups of sets (``_across``), and name them."""
+        texts = self.texts.hint("merge")
+        rows = groups.dropDuplicates(["g0", "g1", "id"]).join(texts, "id")
+        dealt = (rows.select("g0", "g1", "id", "s0", "s1", "comp", "text").repartition("g0", "g1")
+                 .sortWithinPartitions("g0", "g1", "id"))
+        size, threshold = self.size, self.threshold
+        with arrow_rows(groups.sparkSession, 512):
+            self.add(dealt.mapInArrow(lambda b: _linked(b, size, threshold), "a long, b long"), True)
 
 
 def _open(rows: DataFrame) -> DataFrame:
     """Rows of the nodes that hold several components, with the size of the main one and the
     pairs of different components."""
-    sizes = rows.groupBy("path", "comp").agg(F.count(F.lit(1)).alias("n"))
+    sizes = rows.groupBy("path", "comp").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("_n"))
     nodes = sizes.groupBy("path").agg(
-        F.sum("n").alias("m"), F.max("n").alias("n_main"), F.max_by("comp", "n").alias("main"),
-        ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).cast("double").alias("pairs"))
-    return join_hot(rows, nodes, ["path"], "m", "id").where("pairs > 0")
+        F.sum("k").alias("m"), F.max("k").alias("n_main"), F.max_by("comp", "k").alias("main"),
+        F.sum("_n").alias("shingles"),
+        ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).cast("double").alias("pairs"))
+    return join_hot(rows, written(nodes.where("pairs > 0")), ["path"], "m", "id")
 
 
-def _cross(rows: DataFrame, least: int, best: bool) -> DataFrame:
-    """The pairs of different components in small nodes. The main component's rows are dealt
-    to chunks, the others go to every chunk of their node."""
+def _groups_of(rows: DataFrame, least: int) -> DataFrame:
+    """The sets of small nodes that have a similar one in another component. The main
+    component's rows are dealt to chunks, the others go to every chunk of their node."""
     chunks = F.ceil(F.col("n_main") / PIECE).cast("int")
     rows = rows.withColumn("is_main", F.col("comp") == F.col("main")).withColumn("chunk", F.explode(
         F.when(F.col("is_main"), F.array(F.pmod(F.xxhash64("id"), chunks).cast("int")))
         .otherwise(F.sequence(F.lit(0), chunks - 1))))
     dealt = (rows.select("path", F.col("chunk").cast("long"), "id", "s0", "s1", "comp", "is_main")
              .repartition("path", "chunk").sortWithinPartitions("path", "chunk", "id"))
-    return dealt.mapInArrow(lambda b: _remaining(b, least, best), "a long, b long").distinct()
+    return dealt.mapInArrow(lambda b: _across(b, least), "g0 long, g1 long, id long, s0 long, s1 long, comp long")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, threshold: int = 80,
@@ -410,33 +480,38 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size:
         keyed = written(_keyed(docs, size))
     classes = written(keyed.where("n > 0").groupBy("d0", "d1").agg(
         F.min("row").alias("id"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")))
-    signed = written(keyed.select(F.col("row").alias("id"), "sig").join(classes.select("id"), "id", "left_semi"))
+    signed = written(keyed.select(F.col("row").alias("id"), F.col("n").cast("int").alias("n"), "sig")
+                     .join(classes.select("id").hint("merge"), "id", "left_semi"))
 
-    least, found = cutoff(threshold), _Links(keyed, size, threshold)
+    least, shingles, found = cutoff(threshold), SHINGLES, None
     nodes = written(_branch(signed, trees_for(recall, threshold)))
     while True:
         pairs, rows = _met(nodes, least)
-        found.add(pairs)
         rows = written(rows)
-        if rows.isEmpty():
+        if found is None:                   # deeper levels only hold sets of these
+            partners = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(rows.select("id")).distinct()
+            texts = written(keyed.select(F.col("row").alias("id"), "text").join(
+                partners.hint("merge"), "id", "left_semi"))
+            found = _Links(texts, size, threshold)
+        done = rows.isEmpty()
+        found.confirm(pairs.groupBy("a").agg(F.min("b").alias("b")), True)
+        found.confirm(found.apart(pairs), done)         # else named together with what the nodes give
+        if done:
             break
-        few_pairs = F.col("pairs") <= F.col("m") * few
-        small = rows = written(_open(found.labelled(rows)))
-        for best in (True, False):
-            found.add(_cross(small.where(few_pairs), least, best))
-            if best:
-                small = written(_open(found.labelled(rows.where(few_pairs).select("path", "id", "s0", "s1"))))
-        large = rows.where(~few_pairs)
+        rows = written(_open(found.labelled(rows)))
+        small = (F.col("pairs") <= F.col("m") * few) & (F.col("shingles") <= shingles)
+        found.within(written(_groups_of(rows.where(small), least)))
+        large = rows.where(~small)
         if large.isEmpty():
             break
-        nodes = written(_branch(large.select("path", "id").join(signed, "id").select("id", "sig", "path")))
-        few *= 2
+        nodes = written(_branch(large.select("path", "id").join(signed, "id").select("id", "n", "sig", "path")))
+        few, shingles = few * 2, shingles * 2
 
     named = classes
     if found.roots is not None:
         named = found.labelled(classes)
         whole = named.groupBy("comp").agg(F.min("least").alias("smallest"), F.count(F.lit(1)).alias("members"))
-        named = join_hot(named, whole, ["comp"], "members", "id").withColumn("least", F.col("smallest"))
+        named = join_hot(named, written(whole), ["comp"], "members", "id").withColumn("least", F.col("smallest"))
     named = named.select("d0", "d1", F.col("least").alias("component_id"), "rows")
     rows = keyed.select("row", "doc_id", "n", "d0", "d1")
     linked = join_hot(rows.where("n > 0"), written(named), ["d0", "d1"], "rows", "row")

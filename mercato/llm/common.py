@@ -43,18 +43,17 @@ def arrow_rows(spark: SparkSession, rows: int):
 
 def join_hot(rows: DataFrame, totals: DataFrame, keys: list[str], size: str, spread: str,
              least: int = 100_000) -> DataFrame:
-    """``rows`` joined with ``totals``, which holds one row per key and in ``size`` the number of
-    its rows. A key of more than a thousandth of all rows (and ``least``) is hot: its rows are
-    dealt to several tasks by ``spread``. There are at most a thousand hot keys, so
-    only these are broadcast."""
-    most = max(least, -(-(totals.agg(F.sum(size)).first()[0] or 0) // 1000))
-    hot = totals.where(F.col(size) > most).select(*keys, F.ceil(F.col(size) / most).cast("int").alias("__pieces"))
-    if hot.isEmpty():
-        return rows.join(totals, keys)
-    salted = rows.join(F.broadcast(hot), keys, "left").withColumn("__salt", F.coalesce(
-        F.pmod(F.xxhash64(spread), F.col("__pieces")).cast("int"), F.lit(0))).drop("__pieces")
-    dealt = totals.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.when(
-        F.col(size) > most, F.ceil(F.col(size) / most).cast("int") - 1).otherwise(0))))
+    """``rows`` joined with ``totals`` (a written table), which holds one row per key and in
+    ``size`` the number of its rows. A key of more than a thousandth of all rows (and ``least``)
+    is hot: its rows are dealt to several tasks by ``spread``. There are at most a thousand
+    hot keys, so only these are broadcast."""
+    most = totals.agg(F.greatest(F.lit(least), F.ceil(F.sum(size) / 1000)).alias("__most"))
+    hot = F.broadcast(totals.select(*keys, size).crossJoin(most).where(F.col(size) > F.col("__most"))
+                      .select(*keys, F.ceil(F.col(size) / F.col("__most")).cast("int").alias("__pieces")))
+    piece = F.coalesce(F.pmod(F.xxhash64(spread), F.col("__pieces")).cast("int"), F.lit(0))
+    salted = rows.join(hot, keys, "left").withColumn("__salt", piece).drop("__pieces")
+    dealt = totals.join(hot, keys, "left").withColumn("__salt", F.explode(
+        F.sequence(F.lit(0), F.coalesce("__pieces", F.lit(1)) - 1))).drop("__pieces")
     return salted.join(dealt, [*keys, "__salt"]).drop("__salt")
 
 

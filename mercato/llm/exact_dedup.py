@@ -1,13 +1,12 @@
 """Exact dedup by a tree-merge of sorted digest runs (DataFrame functions only).
 
-Every input partition first reduces its own rows to one sorted run of
-``(digest, smallest id, count)``. Runs are then exchanged in binomial rounds:
-``fan_in`` neighbouring runs (three binomial levels at a time for 8) meet, are
-merged by digest and again keep the smallest identifier and the count, until one
-run is left. A merge is keyed by (run, digest), so a round is dealt over all
-tasks, and a digest that holds a third of all rows enters a round as at most one
-row per run. Entries only merge when the SHA-256, the length and a second,
-independent 64-bit hash of the normalised text all agree (the verification).
+Every input partition first reduces its own rows to one run of ``(digest, smallest id,
+count)``. Runs are then exchanged in binomial rounds: ``fan_in`` neighbouring runs (three binomial
+levels at a time for 8) meet, sorted by digest and identifier; of equal neighbours the first, with
+the smallest identifier, stays and takes their counts, until one run is left. A merge is
+keyed by (run, digest), so a round is dealt over all tasks, and a digest that holds a third of
+all rows enters a round as at most one row per run. Entries only merge when the SHA-256, the
+length and a second, independent 64-bit hash of the normalised text all agree (the verification).
 
 Defined results: a null text counts as empty; texts are equal when identical
 after every run of ``[\\x20\\x09-\\x0D]`` becomes one space; of equal texts the
@@ -23,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.llm.common import written
+from mercato.llm.common import join_hot, written
 
 WHITE = r"[\x20\x09-\x0D]+"
 _KEY = ("digest", "chars", "second")
@@ -48,10 +47,11 @@ def merge_runs(keyed: DataFrame, runs: int = 512, fan_in: int = 8) -> DataFrame:
                                        F.count(F.lit(1)).alias("group_size")))
     while runs > 1:
         runs = -(-runs // fan_in)
-        step = (step.sortWithinPartitions("run", *_KEY)
-                .withColumn("run", F.floor(F.col("run") / F.lit(fan_in)).cast("int"))
-                .groupBy("run", *_KEY).agg(F.min("keep_id").alias("keep_id"),
-                                           F.sum("group_size").alias("group_size")))
+        step = step.withColumn("run", F.floor(F.col("run") / F.lit(fan_in)).cast("int"))
+        sorted_run = Window.partitionBy("run", *_KEY).orderBy(F.col("keep_id").asc_nulls_last())
+        equal = sorted_run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        step = (step.withColumn("at", F.row_number().over(sorted_run))
+                .withColumn("group_size", F.sum("group_size").over(equal)).where("at = 1").drop("at"))
     return step.drop("run")
 
 
@@ -60,12 +60,13 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     The keyed rows (identifier and digests, no text) are written once and used
-    for the runs and for handing the verdicts back. That join is on the digest;
-    a hot digest is split there by adaptive execution.
+    for the runs and for handing the verdicts back. That join is on the digest; the rows
+    of a hot digest are dealt to several tasks.
     """
     keyed = written(_keyed(docs, id_col, text_col))
-    groups = merge_runs(keyed, runs, fan_in)
-    return (keyed.join(groups, list(_KEY))
+    groups = written(merge_runs(keyed, runs, fan_in))
+    return (join_hot(keyed.withColumn("spread", F.monotonically_increasing_id()), groups, list(_KEY),
+                     "group_size", "spread")
             .select(F.col("id").alias("doc_id"), "keep_id", "group_size",
                     F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     F.lower(F.hex("digest")).alias("text_sha256")))

@@ -59,6 +59,30 @@ def events_of_turns(turns: DataFrame) -> DataFrame:
                         "turn", "role", "text")
 
 
+def drafted(turns: DataFrame) -> DataFrame:
+    """Finished turns as the log of how they came about: by place, a turn is streamed (a message and
+    a delta), edited (a wrong draft, an edit that replaces it, a delta) or answered again (a
+    discarded answer with a delta, then a regeneration). Folding the log gives the turns back.
+    Turns are numbered by (turn, role, text), so turns of one number are messages of their own."""
+    text = F.coalesce("text", F.lit(""))
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    half = F.floor(F.length("text") / 2).cast("int")
+    head, tail = F.substr("text", F.lit(1), half), F.substr("text", half + 1)
+
+    def event(kind, said):
+        return F.struct(F.lit(kind).alias("kind"), said.alias("text"))
+
+    wrong = F.concat(F.lit("draft: "), F.reverse("text"))
+    ways = (F.array(event(MESSAGE, head), event(DELTA, tail)),
+            F.array(event(MESSAGE, wrong), event(DELTA, F.lit(" ...")), event(EDIT, head), event(DELTA, tail)),
+            F.array(event(MESSAGE, wrong), event(DELTA, F.lit(" ...")), event(REGENERATE, F.col("text"))))
+    way = F.when(F.col("place") % 3 == 0, ways[0]).when(F.col("place") % 3 == 1, ways[1]).otherwise(ways[2])
+    rows = turns.select("conv_id", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"), place.alias("place"))
+    return rows.select("conv_id", "place", "role", F.posexplode(way).alias("step", "e")).select(
+        "conv_id", (F.col("place").cast("long") * 8 + F.col("step")).alias("seq"), F.col("e.kind").alias("kind"),
+        F.col("place").alias("turn"), "role", F.col("e.text").alias("text"))
+
+
 def reconstruct(events: DataFrame) -> DataFrame:
     """Fold an event log into ``(conv_id, position, role, text)`` messages."""
     conv = Window.partitionBy("conv_id")

@@ -91,7 +91,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         forged.alias("text"))
-    log = chat.events_of_turns(turns.unionByName(probe))
+    log = chat.drafted(turns.unionByName(probe))
     return chat.digest(chat.render(chat.reconstruct(log)))
 
 

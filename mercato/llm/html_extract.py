@@ -69,8 +69,19 @@ WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner "
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget "
     "notice notices cookie cookies consent alert popup modal overlay newsletter subscribe signup "
-    "login share sharing social related recommended comment comments reply replies respond "
+    "login share sharing social related recommended comment comments commentlist reply replies respond "
     "discussion disqus pagination pager toolbar skip".split())
+# words an article uses for its own sections too: never sure by themselves
+AMBIGUOUS = frozenset("related recommended discussion reply replies respond".split())
+# what the parts of a compound name (comment-list, ad-slot, sidebar-left) say, and the parts that
+# may stand beside them
+COMPOUND = tuple((frozenset(own.split()), frozenset(beside.split())) for own, beside in (
+    ("comment comments commentlist disqus", "list area section thread threads box body item items block reader "
+     "readers user users post page main content entry count title"),
+    ("ad ads adv advert adverts advertisement", "slot unit block banner space zone area placement leaderboard "
+     "top bottom left right inner label google rail sticky mobile desktop box"),
+    ("sidebar", "left right main primary secondary inner area content widget widgets sticky page site blog")))
+LAYOUT = frozenset("wrap wrapper container row col column md lg sm xs fluid flex grid clearfix div".split())
 # words that say furniture of text and inline elements too
 STRONG = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo nav navbar navigation "
@@ -107,14 +118,22 @@ def _level(name: str, values: dict[str, str]) -> int:
     if name in ("html", "body", "main") or name in HEADINGS:
         return PLAIN
     classes = values["class"].split()
-    ids = [] if name == "section" or "section" in classes else values["id"].split()
+    ids = values["id"].split()
+    if name == "section" or "section" in classes:     # an article's sections are named by what they say
+        ids = [i for i in ids if _compound({w for w in _SPLIT.split(i) if w}) and "comment" in i]
     tokens = [*classes, *ids, *values["role"].split()]
-    if not WORDS.isdisjoint(tokens):
+    if not (WORDS - AMBIGUOUS).isdisjoint(tokens):
         return HINTED if name == "article" else NAMED
     parts = (w for t in tokens for w in _SPLIT.split(t))
     return PLAIN if name == "article" or WORDS.isdisjoint(parts) else HINTED
 
 
+def _compound(words: set[str]) -> bool:
+    """Whether words are those of a compound furniture name and of its layout only."""
+    words = words - LAYOUT
+    return any(words & own and words <= own | beside for own, beside in COMPOUND)
+
+
 def _kind(name: str, attributes: str) -> tuple[str, int]:
     """What tells an element from its siblings, and its level as page furniture."""
     values = {"class": "", "id": "", "role": ""}
@@ -123,6 +142,9 @@ def _kind(name: str, attributes: str) -> tuple[str, int]:
             if (key := key.lower()) in values and not values[key]:
                 values[key] = value.strip("\"'").lower()
     level = _level(name, values)
+    # a page's own identifiers would make every page's elements kinds of their own
+    if name == "section" or name in TEXTUAL or name in HEADINGS or any(c.isdigit() for c in values["id"]):
+        values["id"] = ""
     words = sorted({w for v in values.values() for w in _SPLIT.split(v) if w})
     return ".".join([name, *words, *([str(level)] if words and level else [])]), level
 
@@ -217,6 +239,8 @@ def parse(page: str) -> list:
             if name == "hr":
                 flush()
             continue
+        if opened["head"] and name != "head":       # what cannot be in a head begins the body
+            close(opened["head"][-1])
         kind, furniture = _kind(name, m[4])
         if (name in INLINE or name in SPACED) and furniture < NAMED:
             in_link = in_link or name == "a"
@@ -313,11 +337,21 @@ def _joined(nodes: list) -> list:
     return out
 
 
-def _weight(node: list) -> int:
-    """Varying characters outside links and furniture below a node."""
+def _weight(node: list, forms: bool = False) -> int:
+    """Varying characters outside links and furniture below a node (with ``forms``, also in
+    forms that hold blocks of text)."""
     if node[KIND] == "#":
         return node[CHILDREN][0] - node[CHILDREN][1] if node[TEXT] is None else 0
-    return sum(_weight(c) for c in node[CHILDREN] if c[FURNISHED] < NAMED)
+    return sum(_weight(c, forms) for c in node[CHILDREN] if c[FURNISHED] < NAMED or forms and _page_form(c))
+
+
+def _page_form(node: list) -> bool:
+    """A form around headings or paragraphs, as servers put one around a page's content."""
+    def blocks(n: list) -> int:
+        return sum(1 if c[KIND].partition(".")[0] in ("h1", "h2", "p") else blocks(c)
+                   for c in n[CHILDREN] if c[KIND] != "#")
+
+    return node[KIND].partition(".")[0] == "form" and blocks(node) > 1
 
 
 def _places(node: list, name: str, levels: tuple, through: int = HINTED,
@@ -350,10 +384,15 @@ def main_places(wrapper: list) -> list[tuple]:
         if outside:
             break
     path, node = (), wrapper
+    slots = wrapper if _weight(wrapper, True) else _slots(wrapper)
+    forms = _weight(slots, True) > 2 * _weight(slots)       # most of the text is in forms
+    if forms:
+        node = slots
     while True:
-        inner = [c for c in node[CHILDREN] if c[KIND] != "#" and c[FURNISHED] < NAMED]
-        heaviest = max(inner, key=_weight, default=None)
-        if heaviest is None or _weight(heaviest) * 2 < _weight(node) or not _weight(heaviest) \
+        inner = [c for c in node[CHILDREN] if c[KIND] != "#" and (
+            c[FURNISHED] < NAMED or forms and _page_form(c))]
+        heaviest = max(inner, key=lambda n: _weight(n, forms), default=None)
+        if heaviest is None or _weight(heaviest, forms) * 2 < _weight(node, forms) or not _weight(heaviest, forms) \
                 or not any(c[KIND] != "#" for c in heaviest[CHILDREN]):
             return [path]
         path, node = (*path, heaviest[KIND]), heaviest
@@ -366,14 +405,25 @@ def _texts(node: list) -> Iterator[list]:
         yield from _texts(c)
 
 
+def _chars(node: list) -> int:
+    return sum(t[CHILDREN][0] for t in _texts(node))
+
+
+def _heads(node: list) -> bool:
+    """Whether a page's main heading is in an element."""
+    return any(c[KIND].partition(".")[0] == "h1" or _heads(c) for c in node[CHILDREN] if c[KIND] != "#")
+
+
 def _holders(places: Iterable[tuple]) -> set[tuple]:
     return {p[:i] for p in places for i in range(1, len(p) + 1)}
 
 
 def dropped(wrapper: list, varied: bool, places: Iterable[tuple]) -> set[tuple]:
     """Paths of the hinted elements that the host's pages show to be furniture; pages of
-    one and the same text (not ``varied``) show nothing."""
+    one and the same text (not ``varied``) show nothing. An element with a compound name (comment-list,
+    ad-slot, sidebar-left) is furniture if it is neither most of the text nor around the heading."""
     holders = _holders(places)
+    most = _chars(wrapper) / 2
     named = any(p[-1:] and p[-1].partition(".")[0] == "article" and not p[-1].endswith(f".{HINTED}")
                 for p in places)
     verdicts: dict[tuple, bool] = {}
@@ -388,9 +438,11 @@ def dropped(wrapper: list, varied: bool, places: Iterable[tuple]) -> set[tuple]:
                     gone = named
                 else:
                     texts = list(_texts(c))
+                    words = set(c[KIND].split(".")[1:-1])
                     gone = every and varied and (
                         all(t[TEXT] is not None for t in texts)
                         or sum(t[CHILDREN][1] for t in texts) * 2 > sum(t[CHILDREN][0] for t in texts))
+                    gone = gone or own not in holders and _compound(words) and _chars(c) <= most and not _heads(c)
                 verdicts[own] = gone and verdicts.get(own, True)
             judge(c, own, every)
 

@@ -132,3 +132,74 @@ def test_deep_nests_close_no_ancestor():
     for page in ("<td><div>" + "<blockquote>" * 20_000 + "<td></td>" * 20_000, "<article>" * 20_000 + "x",
                  "<div>" * 20_000 + "</p></div>" * 20_000, "<nav><article>" * 9_000 + "x"):
         H.folded(H.parse(page)[H.CHILDREN])
+
+
+BODY = "<h1>Title {i}</h1><p>" + "Words of page {i}, told at length. " * 4 + "</p><p>End {i}.</p>"
+SAID = "Title {i}\n\n" + ("Words of page {i}, told at length. " * 4).strip() + "\n\nEnd {i}."
+
+
+def _host(spark, layouts, pages=6):
+    """Layouts (one host each) -> texts per layout."""
+    rows = [(k * 100 + i, f"http://h{k}/{i}", x.replace("{body}", BODY).replace("{i}", str(i)))
+            for k, x in enumerate(layouts) for i in range(pages)]
+    got = {r.page_id: r.text for r in H.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    return [[got[k * 100 + i] for i in range(pages)] for k in range(len(layouts))]
+
+
+def _says(more=""):
+    return [(SAID + more).replace("{i}", str(i)) for i in range(6)]
+
+
+def test_pages_without_a_head_end_tag(spark):
+    layouts = ["<html><head><title>T</title><meta charset=x><body><article>{body}</article>",
+               "<head><title>T</title><link rel=x><div id=content>{body}</div>",
+               "<head><script>x</script><style>y</style><p>lead {i}</p>{body}"]
+    got = _host(spark, layouts)
+    assert got[0] == got[1] == _says()
+    assert got[2] == [f"lead {i}\n\n" + t for i, t in enumerate(_says())]
+
+
+def test_forms_around_a_page(spark):
+    layouts = ["<body><form id=f><div id=content>{body}</div></form>",
+               "<body><form id=f><nav><a>n</a></nav><div id=content>{body}</div><input></form><footer>f</footer>",
+               "<body><div id=content>{body}</div><form><p>Your name {i}</p><p>Your mail</p></form>"]
+    assert _host(spark, layouts) == [_says()] * 3
+
+
+def test_reader_comments_and_adverts_in_compound_names(spark):
+    around = ['<section id="comments"><p>I say {i} and {i}</p></section>',
+              '<section id="comments" class="comments-area"><p>I say {i}</p></section>',
+              '<div class="comment-list"><p>I say {i}</p><p>No {i}</p></div>',
+              '<ol class="commentlist"><li>I say {i}<li>No {i}</ol>',
+              '<div class="ad-container"><p>Buy {i} now</p></div>',
+              '<div class="sidebar-left"><p>Side {i}</p></div>']
+    layouts = [f"<body><article>{{body}}{x}</article>" for x in around]
+    layouts += [f"<body><div id=content>{{body}}</div>{x}" for x in around]
+    assert _host(spark, layouts) == [_says()] * len(layouts)
+    # on some pages only
+    some = _host(spark, ["<body><article>{body}<div class='ad-slot'>Buy {i}</div></article>"])[0]
+    assert some == _says()
+
+
+def test_sections_of_the_article_with_such_names(spark):
+    layouts = ['<body><article>{body}<div class="discussion"><p>Shown {i}</p></div></article>',
+               '<body><article>{body}<section class="related"><p>Shown {i}</p></section></article>',
+               '<body><article>{body}<div class="no-comments"><p>Shown {i}</p></div></article>',
+               '<body><div class="post has-comments">{body}<p>Shown {i}</p></div>',
+               '<body class="sidebar-left"><article>{body}<p>Shown {i}</p></article>']
+    assert _host(spark, layouts) == [_says("\n\nShown {i}")] * len(layouts)
+
+
+def test_own_identifiers_do_not_widen_a_wrapper():
+    """Sections, headings and paragraphs with identifiers of their own on every page."""
+    def page(i):
+        return "<article>" + "".join(
+            f'<section id="s{chr(97 + i % 26)}{chr(97 + j)}"><h2 id="about-{i}-{j}">h</h2><p id=p{i}{j}>x{i}</p></section>'
+            for j in range(10)) + "</article>"
+
+    whole = H.folded(H.parse(page(0))[H.CHILDREN])
+    first = len(str(whole))
+    for i in range(1, 300):
+        whole = H.align(whole, H.folded(H.parse(page(i))[H.CHILDREN]))
+    assert len(str(whole)) <= first + 20

@@ -51,6 +51,7 @@ from .schemas import STATISTICS_TYPES
 from .session import prepare
 from .sinks import KeyedLog
 from .streaming import jobs, stateful
+from .streaming.feeds import state_partitions
 from .streaming.running import RunningTotals
 
 PRESETS = {"spec": presets.SPEC, "literal": presets.LITERAL,
@@ -101,7 +102,8 @@ def _start(df: DataFrame, args, output_mode: str = "append", foreach_batch=None)
         writer = writer.format("parquet").option("path", args.out)
     if args.available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    with state_partitions(df.sparkSession, stream=df):
+        return writer.start()
 
 
 def _orders(spark: SparkSession, args) -> DataFrame:

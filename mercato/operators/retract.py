@@ -19,6 +19,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import slices, windows
 from .changelog import DELETE_TYPE, KEY, ORDER, supported
 
@@ -42,7 +43,8 @@ def row_images(changes: DataFrame, fields: dict[str, tuple[str, str]],
     rows = supported(changes)
     rows = rows.select(*KEY, *ORDER, (F.lower("type") == DELETE_TYPE).alias("_gone"),
                        *[c.alias(f"_said_{n}") for n, c in said.items()])
-    rows = slices.sliced(rows, KEY, F.col("es") * 1000, F.struct("change_id", "pos"), slice_us, most)
+    # read twice (heavy slices are counted first), derived once
+    rows = slices.sliced(materialize(rows), KEY, F.col("es") * 1000, F.struct("change_id", "pos"), slice_us, most)
 
     # within a slice: what the row's present life (since the last deletion) has said so far
     before = Window.partitionBy("_ks").orderBy(*_PLACE).rowsBetween(Window.unboundedPreceding, -1)

@@ -444,6 +444,12 @@ down AS (
   UNION ALL SELECT t.id, depth + 1, root, path || '/' || t.name FROM tree t JOIN down ON t.pid = down.id)
 SELECT id, depth, root, path FROM down"""
 
+ORACLES["event_scalars"] = f"""WITH {STATUS_LINES}
+SELECT seq AS "offset", len(string_split(v, ',')) AS n_parts, string_split(v, ',')[2] AS status, ts,
+       sha256('{{"line":"' || v || '"}}') AS row_key
+FROM (SELECT seq, ts, order_id || ',' || status || ',' || strftime(ts, '%Y-%m-%d %H:%M:%S') || ','
+             || CAST(money AS VARCHAR) AS v FROM lines)"""
+
 # The aggregate interface gives what the built-ins give.
 for _name, _builtin in (("user_city_orders", "city_order_total"), ("user_ad_clicks", "ad_click_sliding"),
                         ("user_blacklist", "blacklist_tumbling"), ("user_channel_users", "channel_users")):
@@ -484,3 +490,6 @@ t AS (SELECT d.city, d.province, o.o_orderdate + to_hours(CAST(o.o_orderkey * 79
       FROM {ORDERS} o JOIN area_dim d ON CAST(o.o_custkey AS BIGINT) * 10 + 3 = d.areaid)
 {_sliding('t', 'city, province', 'ts', ORDER_WIDTH, ORDER_SLIDE,
           'CAST(sum(m) AS DOUBLE) AS total_money, count(*) AS order_count')}"""
+
+ORACLES["stream_csv_orders"] = f"""WITH {STATUS_LINES}
+SELECT order_id, status, ts, money FROM lines"""

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import duration
-from ..functions.text import channel_message, match_message
-from ..functions.time import format_ts, ts_to_millis
+from ..functions.text import channel_message, match_message, split_text
+from ..functions.time import format_ts, parse_text_ts, seconds_to_ts, ts_to_millis
 from ..operators import changelog as cl
 from ..operators import aggregates, dims, joins, parse, patterns, retract, windows
 from ..schemas import AREA_DIMENSION_COLUMNS
@@ -125,13 +125,9 @@ def city_order_sliding(spark, sf):
 def city_serving_state(spark, sf):
     """K4: latest window per (province, city), keyed as the serving store."""
     sliding = city_order_sliding(spark, sf)
-    latest = (sliding.groupBy("province", "city")
-              .agg(F.max_by(F.struct("total_money", "order_count", "window_end"),
-                            F.col("window_end")).alias("_r")))
-    return latest.select(F.concat("province", "city").alias("redis_key"),
-                         F.col("_r.total_money").alias("total_money"),
-                         F.col("_r.order_count").alias("order_count"),
-                         ts_to_millis("_r.window_end").alias("time"))
+    keyed = sliding.select(F.concat("province", "city").alias("redis_key"), "total_money", "order_count",
+                           ts_to_millis("window_end").alias("time"))
+    return dims.latest_per_key(keyed, "redis_key", "time")
 
 
 # ------------------------------------------------------------ feature 3: ad clicks
@@ -219,6 +215,16 @@ def csv_orders(spark, sf):
     return order_lines(spark, sf)
 
 
+def event_scalars(spark, sf):
+    """numeric text to time, the parts of a line, the key of a row without one."""
+    rows = domain.order_status_lines(spark, sf).withColumn("parts", split_text("value", ","))
+    at = F.unix_seconds(parse_text_ts(F.col("parts")[2]).cast("timestamp")).cast("string")
+    return rows.select("offset", F.size("parts").alias("n_parts"), F.col("parts")[1].alias("status"),
+                       seconds_to_ts(at).alias("ts"),
+                       parse.row_key(F.array().cast("array<string>"),
+                                     F.create_map(F.lit("line"), F.col("value"))).alias("row_key"))
+
+
 def _pay_args():
     return dict(key="order_id", ts="ts", seq="offset",
                 start_cond=F.col("status") == "1", end_cond=F.col("status") == "2",
@@ -484,6 +490,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "channel_users": channel_users,
     "channel_message": channel_message_lines,
     "csv_orders": csv_orders,
+    "event_scalars": event_scalars,
     "order_timeout": order_timeout,
     "order_paid": order_paid,
     "click_browse_interval": click_browse_interval,

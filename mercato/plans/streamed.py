@@ -193,6 +193,14 @@ def _order_outcomes(spark, sf, name):
     return feeds.drain_to_outputs(job, folder)
 
 
+def stream_csv_orders(spark, sf):
+    """S2, P8 on a stream: plain text lines, as the socket carries them."""
+    folder = feeds.run_folder(spark, "csv_orders")
+    domain.order_status_lines(spark, sf).select("value").write.text(f"{folder}/feed")
+    rows = parse.parse_order_lines(jobs.text_lines_source(spark, f"{folder}/feed", max_files_per_trigger=4))
+    return feeds.drain_to_parquet(rows, folder)
+
+
 def stream_order_timeout(spark, sf):
     """J7t on a stream: a created order times out once the watermark passes its
     creation time + W with no payment (stateful, no pairs)."""
@@ -312,7 +320,7 @@ def stream_city_serving_state(spark, sf):
     store = serving_store(spark, f"{folder}/store")
     feeds.run_to_end(jobs.start(serving_rows(_city_sliding_stream(spark, sf, folder)),
                                 "city_serving_state", f"{folder}/checkpoint",
-                                foreach_batch=store.sink()))
+                                foreach_batch=store.sink(), partitions=feeds.replay_partitions(spark)))
     return store.read()
 
 
@@ -343,7 +351,8 @@ def stream_city_order_total(spark, sf):
                                 "order_count": ("count", None)})
     store = totals_store(spark, f"{folder}/store")
     feeds.run_to_end(jobs.start(totals, "city_order_total", f"{folder}/checkpoint",
-                                output_mode="update", foreach_batch=store.sink(renewed_totals)))
+                                output_mode="update", foreach_batch=store.sink(renewed_totals),
+                                partitions=feeds.replay_partitions(spark)))
     return store.read().select("city", "province", "total_money", "order_count")
 
 
@@ -355,7 +364,8 @@ def _ingested(spark, sf, name, state):
     changes = parse.filter_database(parse.parse_changes(src, observe="change_types"))
     store = change_store(spark, f"{folder}/store", state)
     feeds.run_to_end(jobs.start(changes.where(F.col("es") < END_MS), name, f"{folder}/checkpoint",
-                                foreach_batch=store.sink(lambda batch, _: cl.supported(batch))))
+                                foreach_batch=store.sink(lambda batch, _: cl.supported(batch)),
+                                partitions=feeds.replay_partitions(spark)))
     return store.read()
 
 
@@ -411,7 +421,7 @@ def stream_city_order_running(spark, sf):
     totals = RunningTotals(spark, f"{folder}/totals", "city string, province string", "order_id",
                            "total_money", "create_time", "offset")
     feeds.run_to_end(jobs.start(joined, "city_order_running", f"{folder}/checkpoint",
-                                foreach_batch=totals.sink))
+                                foreach_batch=totals.sink, partitions=feeds.replay_partitions(spark)))
     return totals.read()
 
 
@@ -428,11 +438,12 @@ def stream_city_order_total_maintained(spark, sf):
     joined = dims.lookup(signed, _static_dimension(spark, sf), "area_id", "areaid")
     totals = MaintainedTotals(spark, f"{folder}/totals", "city string, province string", "total_money")
     feeds.run_to_end(jobs.start(joined, "city_order_total_maintained", f"{folder}/checkpoint",
-                                foreach_batch=totals.sink))
+                                foreach_batch=totals.sink, partitions=feeds.replay_partitions(spark)))
     return totals.read()
 
 
 STREAMED = {
+    "stream_csv_orders": stream_csv_orders,
     "stream_channel_users_processing": stream_channel_users_processing,
     "stream_city_order_processing": stream_city_order_processing,
     "stream_city_order_total_maintained": stream_city_order_total_maintained,

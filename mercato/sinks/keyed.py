@@ -16,6 +16,7 @@ job, run outside the write path.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -58,7 +59,13 @@ class KeyedLog:
         return write
 
     def compact(self, root: str, needed: Callable[[DataFrame], DataFrame]) -> "KeyedLog":
-        """A store at ``root`` holding only the ``needed`` rows of this log."""
+        """A store at ``root`` holding only the ``needed`` rows of this log. It is written beside
+        and named last, so what a failed run left is never taken for a store."""
         smaller = KeyedLog(self.spark, root, self.schema, self.resolve, self.partition_by)
-        smaller.append(needed(self.log()))
+        draft = f"{smaller.root}/_log-{uuid.uuid4().hex}"
+        needed(self.log()).write.partitionBy(*self.partition_by).parquet(draft)
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        fs = path(draft).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(path(f"{smaller.root}/log")) or not fs.rename(path(draft), path(f"{smaller.root}/log")):
+            raise ValueError(f"{smaller.root} already holds a store")
         return smaller

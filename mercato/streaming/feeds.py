@@ -81,15 +81,17 @@ def _in_order(spark: SparkSession, path: str) -> None:
 
 
 @contextlib.contextmanager
-def state_partitions(spark: SparkSession, n: int | None = None):
+def state_partitions(spark: SparkSession, n: int | None = None, stream: DataFrame | None = None):
     """Number of state partitions for streams started inside the block.
 
     A stream fixes its state partitions (``spark.sql.shuffle.partitions``) at its
     first batch, for the life of its checkpoint, from the session copy taken when
-    it starts. ``None`` keeps the session's value. State goes to RocksDB, which state
-    variables and timers need. The settings are restored.
+    it starts. ``None`` keeps the session's value. With a ``stream`` that uses state variables and
+    timers its state goes to RocksDB, which they need. The settings are restored.
     """
-    settings = {STATE_STORE: ROCKSDB}
+    settings = {}
+    if stream is not None and "TransformWithState" in stream._jdf.queryExecution().analyzed().toString():
+        settings[STATE_STORE] = ROCKSDB
     if n is not None:
         settings["spark.sql.shuffle.partitions"] = str(n)
     old = {key: spark.conf.get(key) for key in settings}
@@ -102,6 +104,11 @@ def state_partitions(spark: SparkSession, n: int | None = None):
             spark.conf.set(key, value)
 
 
+def replay_partitions(spark: SparkSession) -> int:
+    """State partitions of a replayed log: a partition per core, which is what a replay can use."""
+    return spark.sparkContext.defaultParallelism
+
+
 def run_to_end(query) -> None:
     """Wait, without a limit, for an ``availableNow`` query to end; raise if it failed."""
     query.awaitTermination()
@@ -113,7 +120,7 @@ def drain_to_parquet(stream: DataFrame, folder: str, output_mode: str = "append"
                      partitions: int | None = None) -> DataFrame:
     """Run ``stream`` over everything available into Parquet; return what it wrote."""
     spark = stream.sparkSession
-    with state_partitions(spark, partitions):
+    with state_partitions(spark, partitions or replay_partitions(spark), stream):
         query = (stream.writeStream.outputMode(output_mode).format("parquet")
                  .option("path", f"{folder}/data")
                  .option("checkpointLocation", f"{folder}/checkpoint")
@@ -125,7 +132,8 @@ def drain_to_parquet(stream: DataFrame, folder: str, output_mode: str = "append"
 def drain_to_outputs(stream: DataFrame, folder: str, tag: str = "outcome") -> Outputs:
     """Run ``stream`` over everything available into main and side outputs (K6)."""
     outputs = Outputs(stream.sparkSession, folder, tag)
-    with state_partitions(stream.sparkSession):
+    spark = stream.sparkSession
+    with state_partitions(spark, replay_partitions(spark), stream):
         query = outputs.writer(stream, f"{folder}/checkpoint").trigger(availableNow=True).start()
     run_to_end(query)
     return outputs

@@ -210,5 +210,5 @@ def start(df: DataFrame, name: str, checkpoint: str, output_mode: str = "append"
         writer = writer.format(sink).queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    with state_partitions(df.sparkSession, partitions):
+    with state_partitions(df.sparkSession, partitions, df):
         return writer.start()

@@ -14,25 +14,29 @@ from mercato.sources.keyed_scan import scan_keyed, write_keyed
 T0 = dt.datetime(2024, 1, 1)
 
 
-class Longest(aggregates.UserAggregate):
-    """An aggregate no built-in gives: the longest value, and how often values were longer."""
+def longest():
+    """An aggregate no built-in gives (a class of its own, so workers need not import this file)."""
+    class Longest(aggregates.UserAggregate):
+        """An aggregate no built-in gives: the longest value, and how often values were longer."""
 
-    accumulator, returns = "text string, n bigint", "struct<text: string, n: bigint>"
+        accumulator, returns = "text string, n bigint", "struct<text: string, n: bigint>"
 
-    def create(self):
-        return None, 0
+        def create(self):
+            return None, 0
 
-    def add(self, acc, rows):
-        values = rows.iloc[:, 0].dropna().tolist()
-        best = max([*values, *([acc[0]] if acc[0] is not None else [])], key=lambda v: (len(v), v), default=None)
-        return best, acc[1] + len(values)
+        def add(self, acc, rows):
+            values = rows.iloc[:, 0].dropna().tolist()
+            best = max([*values, *([acc[0]] if acc[0] is not None else [])], key=lambda v: (len(v), v), default=None)
+            return best, acc[1] + len(values)
 
-    def merge(self, a, b):
-        texts = [t for t in (a[0], b[0]) if t is not None]
-        return max(texts, key=lambda v: (len(v), v), default=None), a[1] + b[1]
+        def merge(self, a, b):
+            texts = [t for t in (a[0], b[0]) if t is not None]
+            return max(texts, key=lambda v: (len(v), v), default=None), a[1] + b[1]
 
-    def result(self, acc):
-        return acc
+        def result(self, acc):
+            return acc
+
+    return Longest()
 
 
 @pytest.mark.parametrize("most", [1 << 16, 2])
@@ -53,10 +57,10 @@ def test_user_aggregates_equal_plain_python(spark, most):
     sums = got(aggregates.SumAndCount(), ["cents"])
     assert {g: tuple(r) for g, r in sums.items()} == {
         g: (sum(c or 0 for _, c in x) / 100, len(x)) for g, x in want.items()}
-    longest = got(Longest(), ["v"])
+    longer = got(longest(), ["v"])
     for g, x in want.items():
         values = [v for v, _ in x if v]
-        assert tuple(longest[g]) == (max(values, key=len, default=None), len(values))
+        assert tuple(longer[g]) == (max(values, key=len, default=None), len(values))
     spread = aggregates.spread(df, ["k"], "v", aggregates.DistinctCount(), "n", parts=3)
     assert {r.k: r.n for r in spread.collect()} == {k: len({v for a, _, v, _ in rows if a == k and v})
                                                     for k in ("a", "b", None)}

@@ -54,11 +54,11 @@ def test_skewed_query_matches_oracle(spark, skewed_dir, name):
 def test_a_hot_key_is_dealt_over_many_groups(spark, skewed_dir):
     """Largest group that the repetition patterns number at once: a time slice of a
     key, not the key; and the segments of the state machine are of bounded size."""
-    from mercato.operators import patterns
+    from mercato.operators import patterns, slices
     from mercato.plans import queries as q
     clicks = q.ad_clicks(spark, skewed_dir).withColumn("_t", F.unix_micros(F.col("ts").cast("timestamp")))
     hot = clicks.groupBy("uid", "product_id").count().agg(F.max("count")).first()[0]
-    sliced = patterns._sliced(clicks, ["uid", "product_id"], F.col("_t"), 3_600_000_000)
+    sliced = slices.sliced(clicks, ["uid", "product_id"], F.col("_t"), F.col("offset"), 3_600_000_000)
     largest = sliced.groupBy("_ks").count().agg(F.max("count")).first()[0]
     assert hot > 8 and largest <= 2
     numbered = patterns._numbered(clicks.drop("_t"), ["uid", "product_id"], "ts", "offset", [], 3_600_000_000)

@@ -53,6 +53,26 @@ def test_feed_is_the_whole_log_in_order(spark, scratch):
     assert max(map(len, per_file)) < 2 * len(rows) / 5
 
 
+def test_a_larger_log_has_more_files_in_as_many_batches(spark, scratch, monkeypatch):
+    """The sort behind a file stays bounded; the tail keeps a micro-batch of its own."""
+    monkeypatch.setattr(feeds, "FILE_ROWS", 100)
+    df = spark.range(950).select(F.col("id").alias("offset"), F.col("id").cast("string").alias("value"))
+    tail = [spark.createDataFrame([(-i, "end")], df.schema) for i in (1, 2)]
+    path = feeds.write_feed(df, os.path.join(scratch, "feed"), F.col("offset"), tail=tail)
+    per = feeds.batch_files(spark, path)
+    names = sorted(n for n in os.listdir(path) if n.startswith(("part-", "tail-")))
+    log = [n for n in names if n.startswith("part-")]
+    assert per == 3 and len(log) == 12 and len(names) == 14
+    sizes = [spark.read.text(os.path.join(path, n)).count() for n in log]
+    assert sum(sizes) == 950 and max(sizes) < 200
+    batches = []
+    feeds.run_to_end(jobs.start(jobs.json_lines_source(spark, path, per), "f", os.path.join(scratch, "ckpt"),
+                                foreach_batch=lambda b, _: batches.append([r.offset for r in b.collect()])))
+    assert len(batches) == 5 and sorted(batches[-1]) == [-2, -1]
+    assert sorted(o for b in batches[:-1] for o in b) == list(range(950))
+    assert all(max(a) < min(b) for a, b in zip(batches[:-1], batches[1:-1]))
+
+
 @pytest.fixture(scope="module")
 def envelope_dir(spark, tmp_path_factory):
     return streamed.envelope_log(spark, SF_SMALL, str(tmp_path_factory.mktemp("env") / "feed"))

@@ -141,65 +141,68 @@ def _watermarked_arrivals(rows: DataFrame, chunk: int) -> DataFrame:
 
 
 def _slot_machine(batches: Iterator, tol: int) -> Iterator:
-    """The two slots over sorted (key, range) groups. A group's first row brings the state that the
-    range before left; outcomes (kind 0) and the state at its end (kind 1) are sent. State: side
-    and time in the slot, due times of the timers that have not fired."""
-    import pandas as pd
+    """The two slots over sorted (key, range) groups, in Arrow batches. A group's first row brings
+    the state that the range before left; outcomes (kind 0) and the state at its end (kind 1)
+    are sent. State: side and time in the slot, due times (ascending) of the timers that
+    have not fired."""
+    import heapq
 
-    names = ["_k", "_range", "_kind", "order_us", "pay_us", "outcome", "_slot_side", "_slot_t", "_dues"]
-    group, out = None, []
+    import pyarrow as pa
+
+    columns = ("_k", "_range", "_start", "_side", "_t", "_wm", "_last", "_slot_side", "_slot_t", "_dues")
+    group, out, kind = None, [], None
     side = t = None
     dues: list = []
+    last = False
 
-    def flush(key):
+    def flush():
         if side is not None:
-            out.append((key, group[1], 0, *((t, None) if side == 0 else (None, t)),
+            out.append((*group, 0, *((t, None) if side == 0 else (None, t)),
                         "unmatched_order" if side == 0 else "unmatched_pay", None, None, None))
 
-    last = False
-    for pdf in batches:
+    def end():
+        if last:
+            flush()
+        else:
+            out.append((*group, 1, None, None, None, side, t if side is not None else None, sorted(dues)))
+
+    def sent():
+        schema = pa.schema([("_k", kind), ("_range", pa.int64()), ("_kind", pa.int32()), ("order_us", pa.int64()),
+                            ("pay_us", pa.int64()), ("outcome", pa.string()), ("_slot_side", pa.int32()),
+                            ("_slot_t", pa.int64()), ("_dues", pa.list_(pa.int64()))])
+        values = zip(*out) if out else [[]] * len(schema)
+        return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
+
+    for batch in batches:
+        kind = batch.schema.field("_k").type
         for key, rng, start, x_side, x_t, wm, is_last, s_side, s_t, s_dues in zip(
-                pdf["_k"], pdf["_range"], pdf["_start"], pdf["_side"], pdf["_t"], pdf["_wm"], pdf["_last"],
-                pdf["_slot_side"], pdf["_slot_t"], pdf["_dues"]):
+                *[batch.column(c).to_pylist() for c in columns]):
             if start:
                 if group is not None:
-                    if last:
-                        flush(group[0])
-                    else:
-                        out.append((*group, 1, None, None, None, side, t, dues))
+                    end()
                 group, last = (key, rng), bool(is_last)
-                side, t = (None, None) if pd.isna(s_side) else (int(s_side), int(s_t))
-                dues = [] if s_dues is None else [int(d) for d in s_dues]
+                side, t, dues = s_side, s_t, list(s_dues or ())
                 continue
-            if dues and not pd.isna(wm):
-                left = [d for d in dues if d > wm]
-                if len(left) < len(dues):               # a timer has fired, whoever set it
-                    flush(key)
-                    side, dues = None, left
+            if dues and wm is not None and dues[0] <= wm:
+                flush()                                 # a timer has fired, whoever set it
+                side = None
+                while dues and dues[0] <= wm:
+                    heapq.heappop(dues)
             if side is not None and side != x_side:
-                pair = (t, int(x_t)) if side == 0 else (int(x_t), t)
-                out.append((key, rng, 0, *pair, "matched", None, None, None))
+                pair = (t, x_t) if side == 0 else (x_t, t)
+                out.append((*group, 0, *pair, "matched", None, None, None))
                 side = None
             else:
-                side, t = int(x_side), int(x_t)         # an older row in the slot is lost
-                dues = [*dues, t + tol]
-        yield _frame(out, names)
+                side, t = x_side, x_t                   # an older row in the slot is lost
+                heapq.heappush(dues, t + tol)
+        yield sent()
         out = []
     if group is not None:
-        if last:
-            flush(group[0])
-        else:
-            out.append((*group, 1, None, None, None, side, t, dues))
-        yield _frame(out, names)
-
+        end()
+        yield sent()
 
-def _frame(rows: list, names: list[str]):
-    import pandas as pd
 
-    df = pd.DataFrame(rows, columns=names, dtype=object)
-    for c in ("_range", "_kind", "order_us", "pay_us", "_slot_side", "_slot_t"):
-        df[c] = df[c].astype("Int64")
-    return df
+WHOLE = 1 << 12     # arrivals of a key that are one range, wherever they lie
 
 
 def match_in_arrival_order(orders: DataFrame, pays: DataFrame, key: str, order_ts: str, pay_ts: str,
@@ -213,9 +216,9 @@ def match_in_arrival_order(orders: DataFrame, pays: DataFrame, key: str, order_t
     newer row. The log's end fires all. ``seq`` is the arrival order over both sides, integral and
     unique. Output: order_id, order_ts, pay_ts, outcome; a key with repeated rows has several.
 
-    A key's arrivals are taken in ranges of ``chunk`` numbers. All ranges run at once from an empty
-    slot; a range whose predecessor left something else runs again from that, until all
-    agree (a key within one range is done at once).
+    The arrivals of a key with more than ``WHOLE`` (or ``chunk``) of them are taken in ranges of
+    ``chunk`` numbers. All ranges run at once from an empty slot; a range whose predecessor left
+    something else runs again from that, until all agree. Any other key is one range, done at once.
     """
     from pyspark.sql import types as T
 
@@ -228,6 +231,11 @@ def match_in_arrival_order(orders: DataFrame, pays: DataFrame, key: str, order_t
 
     both = side(orders, order_ts, 0).unionByName(side(pays, pay_ts, 1))
     rows = materialize(_watermarked_arrivals(both, chunk))
+    hot = rows.groupBy("_k").count().where(F.col("count") > min(WHOLE, chunk)).select(
+        F.col("_k").alias("_hot"))
+    rows = materialize(rows.join(hot, F.col("_k") == F.col("_hot"), "left")
+                       .withColumn("_range", F.when(F.col("_hot").isNotNull(), F.col("_range")).otherwise(
+                           F.lit(0).cast("bigint"))).drop("_hot"))
     state = {"_slot_side": "int", "_slot_t": "bigint", "_dues": "array<bigint>"}
     order = Window.partitionBy("_k").orderBy("_range")
     ranges = (rows.select("_k", "_range").distinct()
@@ -241,12 +249,13 @@ def match_in_arrival_order(orders: DataFrame, pays: DataFrame, key: str, order_t
     def run(starts: DataFrame) -> DataFrame:
         heads = starts.select("_k", "_range", F.lit(True).alias("_start"), F.lit(None).cast("int").alias("_side"),
                               *[F.lit(None).cast("bigint").alias(c) for c in ("_t", "_wm", "_seq")], "_last", *state)
-        body = rows.join(starts.select("_k", "_range"), ["_k", "_range"]).select(
+        body = rows if starts is started else rows.join(starts.select("_k", "_range"), ["_k", "_range"])
+        body = body.select(
             "_k", "_range", F.lit(False).alias("_start"), "_side", "_t", "_wm", "_seq",
             F.lit(None).cast("boolean").alias("_last"), *[F.lit(None).cast(t).alias(c) for c, t in state.items()])
         dealt = heads.unionByName(body).repartition("_k", "_range").sortWithinPartitions(
             "_k", "_range", F.col("_seq").asc_nulls_first())
-        return materialize(dealt.mapInPandas(lambda b: _slot_machine(b, tol), out))
+        return materialize(dealt.mapInArrow(lambda b: _slot_machine(b, tol), out))
 
     done = run(started)
     several = started.where("not (_first and _last)")

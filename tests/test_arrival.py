@@ -81,3 +81,19 @@ def test_golden_and_quirks(spark):
 def test_rows_without_a_key_or_time(spark):
     orders = spark.createDataFrame([(None, T0, 1), ("a", None, 2)], SCHEMA)
     assert joins.match_in_arrival_order(orders, orders.limit(0), "order_id", "ts", "ts", "offset", "5 seconds").count() == 0
+
+
+def test_a_key_with_few_arrivals_is_one_range(spark, monkeypatch):
+    """Arrivals of a key that lie ranges apart are one group: no round per range. Only keys with
+    many arrivals are cut."""
+    groups = []
+    machine_of = joins.materialize
+    monkeypatch.setattr(joins, "materialize", lambda df: groups.append(machine_of(df)) or groups[-1])
+    # 40 keys with an arrival in each of eight ranges, sides in turn; one hot key
+    events = [(n, n // 40 % 2, f"k{n % 40}", n) for n in range(320)]
+    events += [(1000 + n, n % 2, "hot", 1000 + n) for n in range(60)]
+    assert matched(spark, events, 500, 50) == sorted(machine(events, 500), key=str)
+    started = next(g for g in groups if "_first" in g.columns)
+    per_key = {r._k: r.n for r in started.groupBy("_k").agg({"_range": "count"}).withColumnRenamed(
+        "count(_range)", "n").collect()}
+    assert per_key.pop("hot") == 2 and set(per_key.values()) == {1}

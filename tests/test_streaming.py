@@ -296,3 +296,36 @@ def test_two_slots_on_a_stream(spark, scratch):
     want = [("a", None, at(7), "unmatched_pay"), ("a", at(4), None, "unmatched_order")]
     for found in (batch, got):
         assert _rows(found.where("order_id = 'a'"), columns) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("split", [1, 2])
+def test_starts_and_ends_of_one_millisecond(spark, scratch, split):
+    """J7, J7t: several creations of an order that time out in the same millisecond, in one micro-batch or
+    in two, and one that an end resolves."""
+    at = "2024-01-01 00:00:00"
+    lines = [f"7,1,{at},1.0", f"7,1,{at},2.0", f"8,1,{at},3.0", f"7,1,{at},4.0", f"8,1,{at},5.0",
+             "8,2,2024-01-01 00:05:00,6.0", f"0,1,{streamed.END_TEXT},0"]
+    numbered = list(enumerate(lines))
+    batches = [numbered] if split == 1 else [numbered[:3], numbered[3:5], numbered[5:]]
+    src = _files(spark, os.path.join(scratch, "in"), batches)
+    rows = jobs.watermarked(parse.parse_order_lines(src, keep=["offset"]), "ts", "0 seconds")
+    args = ("order_id", "ts", "offset", F.col("status") == "1", F.col("status") == "2", "15 minutes")
+    name = f"one_ms_{split}"
+    feeds.run_to_end(jobs.start(stateful.followed_by_stream(rows, *args), name, os.path.join(scratch, "ckpt")))
+    got = {(r.order_id, r.start_seq, r.outcome) for r in spark.table(name).collect()}
+    assert got == {("7", 0, "timeout"), ("7", 1, "timeout"), ("7", 3, "timeout"), ("8", 2, "paid"), ("8", 4, "paid")}
+
+
+@pytest.mark.parametrize("kind", ["skip", "all"])
+def test_events_of_one_millisecond_in_two_batches(spark, scratch, kind):
+    """J8, J8n: events that wait under the same millisecond, brought by different micro-batches."""
+    base = 1_700_000_000_000
+    batches = [[_ad(0, "u", base), _ad(1, "u", base)], [_ad(2, "u", base), _ad(3, "v", base)],
+               [_ad(4, "u", base + 1_000), _ad(5, "w", base + 60_000)], [_ad(6, "w", base + 120_000)]]
+    src = _files(spark, os.path.join(scratch, "in"), batches)
+    clicks = jobs.watermarked(parse.parse_ad_clicks(src, keep=["offset"]), "ts", "0 seconds")
+    op = stateful.repeated_skip_past_last_stream if kind == "skip" else stateful.repeated_all_stream
+    feeds.run_to_end(jobs.start(op(clicks, ["uid", "product_id"], "ts", "offset", 3, "10 seconds"),
+                                f"same_ms_{kind}", os.path.join(scratch, "ckpt")))
+    got = sorted((r.uid, r.click_count) for r in spark.table(f"same_ms_{kind}").collect())
+    assert got == ([("u", 3)] if kind == "skip" else [("u", 3), ("u", 4)])

@@ -316,6 +316,34 @@ def test_starts_and_ends_of_one_millisecond(spark, scratch, split):
     assert got == {("7", 0, "timeout"), ("7", 1, "timeout"), ("7", 3, "timeout"), ("8", 2, "paid"), ("8", 4, "paid")}
 
 
+def _spread(spark, scratch, name, hours):
+    """3000 keys in four micro-batches, a row each at ``hours`` apart, and the end."""
+    base = 1_700_000_000
+    log = spark.range(12_000).select(
+        (F.col("id") % 3000).alias("order_id"),
+        F.date_format(F.timestamp_seconds(base + F.floor(F.col("id") / 3000) * 3600 * hours), "yyyy-MM-dd HH:mm:ss")
+        .alias("ts"))
+    path = os.path.join(scratch, name)
+    end = spark.range(1).select(F.lit(-1).cast("bigint").alias("order_id"), F.lit(streamed.END_TEXT).alias("ts"))
+    feeds.write_feed(log, path, F.col("ts"), 4, tail=[end])
+    return (jobs.json_lines_source(spark, path, 1, "order_id bigint, ts string")
+            .select("order_id", F.col("ts").cast("timestamp_ntz").alias("at")))
+
+
+def test_state_of_many_keys_is_kept_by_bucket(spark, scratch):
+    """3000 keys are asked for in buckets, not one by one; a match leaves once, later rows of a side
+    and keys that are out of reach leave nothing behind."""
+    orders, pays = (_spread(spark, scratch, n, 1) for n in ("orders", "pays"))
+    job = jobs.order_pay_outcomes(orders.withColumnRenamed("at", "order_ts"), pays.withColumnRenamed("at", "pay_ts"),
+                                  "10 hours", "0 seconds")
+    q = jobs.start(job, "by_bucket", os.path.join(scratch, "ckpt"))
+    feeds.run_to_end(q)
+    got = spark.table("by_bucket")
+    assert got.count() == 3000 and got.where("outcome = 'matched' AND order_ts = pay_ts").count() == 3000
+    kept = [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators]
+    assert 0 < max(kept) < 2800 and kept[-1] == 0
+
+
 @pytest.mark.parametrize("kind", ["skip", "all"])
 def test_events_of_one_millisecond_in_two_batches(spark, scratch, kind):
     """J8, J8n: events that wait under the same millisecond, brought by different micro-batches."""

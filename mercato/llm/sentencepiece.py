@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import texts_of
+from mercato.llm.common import kept, texts_of
 
 MARK = "▁"
 CACHED_CHARS, CACHED_WORDS, CACHED_PARTS, CACHED_PAIRS = 48, 1 << 19, 1 << 19, 1 << 18
@@ -81,7 +81,7 @@ class Model:
                          for p in proto.pieces]
         # pieces that their own text merges to, with the symbols that stood at their
         # left and right border on the way; and a trie of them, read from the end
-        self.borders: dict[str, tuple[list, list]] = {}
+        self.borders: dict[str, tuple[tuple, tuple]] = {}
         self.ending: dict = {}
         for piece in self.score:
             if (found := self._derive(piece)) is not None:
@@ -113,13 +113,13 @@ class Model:
             parts[-best[1]:2 - best[1]] = [parts[-best[1]] + parts[1 - best[1]]]
         yield parts, -1, -math.inf
 
-    def _derive(self, piece: str) -> tuple[list, list] | None:
+    def _derive(self, piece: str) -> tuple[tuple, tuple] | None:
         """Border symbols of ``piece`` as (symbol, score it was made at, score it is
         used up at), left and right; None if its text merges to something else."""
         left, right = [[piece[0], math.inf, -math.inf]], [[piece[-1], math.inf, -math.inf]]
         for parts, i, score in self._steps(piece):
             if i < 0:
-                return (left, right) if parts == [piece] else None
+                return (tuple(map(tuple, left)), tuple(map(tuple, right))) if parts == [piece] else None
             for border, touched in ((left, i == 0), (right, i + 2 == len(parts))):
                 if touched:
                     border[-1][2] = score
@@ -244,14 +244,11 @@ class Model:
 
 
 _SEGMENT = re.compile(f"{MARK}+[^{MARK}]*")
-_LOADED: dict[str, Model] = {}
 
 
 def loaded(path: str) -> Model:
     """The model of ``path``, read once per worker process."""
-    if path not in _LOADED:
-        _LOADED[path] = Model(path)
-    return _LOADED[path]
+    return kept(path, lambda: Model(path))
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids",
@@ -271,7 +268,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "i
         model = loaded(path)
         for b in batches:
             done = 0
-            for texts in texts_of(b.column(at)):
+            for texts in texts_of(b.column(at), keeps=path):
                 ids = [model.encode(t) for t in texts]
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))

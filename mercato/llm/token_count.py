@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import texts_of
+from mercato.llm.common import kept, texts_of
 
 KNOWN_WORDS = 1 << 19
 _NONE = np.iinfo(np.int64).max
@@ -147,14 +147,9 @@ class Bpe:
         return [s + sum(map(get, words)) for s, words in zip(special, cut)]
 
 
-_LOADED: dict[str, Bpe] = {}
-
-
 def loaded(path: str) -> Bpe:
     """The table for ``path``, read once per worker process."""
-    if path not in _LOADED:
-        _LOADED[path] = Bpe(path)
-    return _LOADED[path]
+    return kept(path, lambda: Bpe(path))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id",
@@ -165,7 +160,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
 
         bpe = loaded(path)
         for b in batches:
-            n = [c for texts in texts_of(b.column(1)) for c in bpe.count(texts)]
+            n = [c for texts in texts_of(b.column(1), keeps=path) for c in bpe.count(texts)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(n, pa.int64())],
                 ["doc_id", "n_bytes", "n_tokens"])

@@ -65,3 +65,20 @@ def test_the_window_stays_bounded():
     model = sentencepiece.loaded(PIECES)
     first = next(iter(model.path("ab" * 1_000_000)))  # committed long before the end is read
     assert first
+
+
+def test_a_worker_lets_go_of_another_operators_tables(docs):
+    """pipeline: the encoder's tables do not stay in a worker that serves the classifier next."""
+    import gc
+    import weakref
+
+    import pyarrow as pa
+
+    from mercato.llm import quality
+
+    path = str(public_tokenizers.path("piece_bpe_32k.model"))
+    model = weakref.ref(sentencepiece.loaded(path))
+    assert sentencepiece.loaded(path) is model()           # kept for the next task
+    quality._matrix(pa.array(["some text"]))
+    gc.collect()
+    assert model() is None

@@ -5,8 +5,8 @@ accumulators merge and what comes out. ``aggregate`` runs it like a built-in: ea
 rows to one accumulator per key (rows never meet by key before that), accumulators are
 shuffled and merged key by key. A hot key costs one accumulator per task and flush.
 
-Rows come to ``add`` as pandas columns, an Arrow batch's rows of one key at a time, so an aggregate
-works on arrays. Where an accumulator grows with its values (a set), deal the key over them
+Rows come to ``add`` as pandas columns, those of one key among many Arrow batches' rows at a time, so
+an aggregate works on arrays. An accumulator that ``add`` or ``merge`` is given is theirs to change. Where an accumulator grows with its values (a set), deal the key over them
 (``spread``) and add up the results.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 KEYS = 1 << 16      # accumulators a task holds before it sends them
+ROWS, BYTES = 1 << 17, 16 << 20     # rows, or Arrow bytes, that are grouped at a time
 
 
 class UserAggregate(ABC):
@@ -82,18 +83,21 @@ class SumAndCount(UserAggregate):
 
 
 class DistinctCount(UserAggregate):
-    """Distinct values; the accumulator is the set of them."""
+    """Distinct values; the accumulator is the set of them (a list as it arrives). Values are added to
+    the set in place, so many small additions cost no more than their values."""
 
     accumulator, returns = "values array<string>", "bigint"
 
     def create(self):
-        return ([],)
+        return (set(),)
 
     def add(self, acc, rows):
-        return (sorted({*acc[0], *rows.iloc[:, 0].dropna().astype(str)}),)
+        return self.merge(acc, ([str(v) for v in rows.iloc[:, 0].tolist() if v is not None and v == v],))
 
     def merge(self, a, b):
-        return (sorted({*a[0], *b[0]}),)
+        values = a[0] if isinstance(a[0], set) else set(a[0])
+        values.update(b[0])
+        return (values,)
 
     def result(self, acc):
         return len(acc[0])
@@ -103,7 +107,28 @@ def _columns(schema: str) -> list[str]:
     return StructType.fromDDL(schema).fieldNames()
 
 
+def _gathered(batches: Iterator) -> Iterator:
+    """Batches of about ``ROWS`` rows (``BYTES`` bytes): a key's rows come in fewer pieces."""
+    import pyarrow as pa
+
+    some: list = []
+
+    def joined():
+        whole = pa.Table.from_batches(some).combine_chunks().to_batches()
+        some.clear()
+        return whole
+
+    for b in batches:
+        if b.num_rows:
+            some.append(b)
+        if sum(x.num_rows for x in some) >= ROWS or sum(x.nbytes for x in some) >= BYTES:
+            yield from joined()
+    if some:
+        yield from joined()
+
+
 def _partial(batches: Iterator, keys: list[str], agg: UserAggregate, names: list[str], most: int) -> Iterator:
+    import numpy as np
     import pyarrow as pa
 
     held: dict[tuple, tuple] = {}
@@ -112,19 +137,25 @@ def _partial(batches: Iterator, keys: list[str], agg: UserAggregate, names: list
         rows = [(*k, *acc) for k, acc in held.items()]
         held.clear()
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], kinds[i] if i < len(kinds) else None) for i in range(len(names))], names)
+            [pa.array([list(r[i]) if isinstance(r[i], set) else r[i] for r in rows],
+                      kinds[i] if i < len(kinds) else None) for i in range(len(names))], names)
 
     kinds: list = []
-    for b in batches:
+    for b in _gathered(batches):
         kinds = [b.schema.field(i).type for i in range(len(keys))]
         # keys by their codes: pandas would turn NULL integers into floats
         codes = pd.DataFrame({i: b.column(i).dictionary_encode(null_encoding="encode").indices.to_numpy()
                               for i in range(len(keys))})
-        rows = b.select(b.schema.names[len(keys):]).to_pandas()
-        for _, at in codes.groupby(list(codes.columns), sort=False).indices.items() if len(codes.columns) else [
-                (None, range(b.num_rows))]:
-            key = tuple(b.column(i)[int(at[0])].as_py() for i in range(len(keys)))
-            held[key] = agg.add(held.get(key) or agg.create(), rows.iloc[at])
+        group = (codes.groupby(list(codes.columns), sort=False).ngroup().to_numpy() if len(codes.columns)
+                 else np.zeros(b.num_rows, np.int64))
+        # rows of a key side by side: a piece is a slice
+        order = group.argsort(kind="stable")
+        cuts = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1)).tolist()
+        rows = b.select(b.schema.names[len(keys):]).to_pandas().iloc[order]
+        first = pa.array(order[cuts[:-1]])
+        found = zip(*(b.column(i).take(first).to_pylist() for i in range(len(keys)))) if keys else [()]
+        for key, start, end in zip(found, cuts[:-1], cuts[1:]):
+            held[key] = agg.add(held.get(key) or agg.create(), rows.iloc[start:end])
             if len(held) >= most:
                 yield sent()
     if held:

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from ..schemas import AREA_DIMENSION_COLUMNS
 from ..session import materialize
+from . import slices
+
+TASK_ROWS = 250_000      # nodes of a tree that meet in one task, about
 
 
 def flatten_hierarchy(tree: DataFrame, id_col: str = "id", name_col: str = "name",
@@ -40,7 +43,26 @@ def flatten_hierarchy(tree: DataFrame, id_col: str = "id", name_col: str = "name
     return area.join(upper, F.col("_city_id") == F.col("cid")).select(*AREA_DIMENSION_COLUMNS)
 
 
-def ancestors(tree: DataFrame, id_col: str = "id", name_col: str = "name", parent_col: str = "pid") -> DataFrame:
+def _behind(rows: DataFrame, there: DataFrame, tasks: int, most: int | None = None) -> DataFrame:
+    """``rows`` left-joined with ``there`` (``_id``, one row each) on ``_up``, in ``tasks`` tasks.
+
+    Rows that are done (``_up`` NULL) would all be one key and do not take part. A node behind more than a
+    thousandth of the rows (a thousand nodes at most, ``slices.heavy_groups``) goes to its rows instead.
+    """
+    columns = [c for c in there.columns if c != "_id"]
+    none = [F.lit(None).cast(there.schema[c].dataType).alias(c) for c in ("_id", *columns)]
+    done, going = rows.where("_up is null"), rows.where("_up is not null")
+    heavy = slices.heavy_groups(going.select("_up"), "_up", most).select(F.col("_up").alias("_heavy"))
+    few = materialize(there.join(F.broadcast(heavy), F.col("_id") == F.col("_heavy"), "left_semi"))
+    taken = F.broadcast(few.select(F.col("_id").alias("_taken")))
+    rest = going.join(taken, F.col("_up") == F.col("_taken"), "left_anti").repartition(tasks, "_up")
+    met = rest.join(there.repartition(tasks, "_id"), F.col("_up") == F.col("_id"), "left")
+    return (met.unionByName(going.join(F.broadcast(few), F.col("_up") == F.col("_id")))
+            .unionByName(done.select("*", *none)))
+
+
+def ancestors(tree: DataFrame, id_col: str = "id", name_col: str = "name", parent_col: str = "pid",
+              task_rows: int = TASK_ROWS) -> DataFrame:
     """The way up from every node, at any depth (J2): id, name, depth (1 for a root), root, path
     (structs id, name from the root down to the node) and ``cyclic``.
 
@@ -48,12 +70,13 @@ def ancestors(tree: DataFrame, id_col: str = "id", name_col: str = "name", paren
     there, so a tree of depth d takes log2(d) rounds. A node whose parent is not in the table is a
     root. Where the way up meets a node twice it ends: such nodes are ``cyclic``, with NULL depth,
     root and path, and are found in the round that first goes around their cycle. Identifiers
-    are unique.
+    are unique. About ``task_rows`` nodes meet in a task, however many nodes a tree has.
     """
     known = tree.select(F.col(id_col).alias("id"), F.col(name_col).alias("name"), F.col(parent_col).alias("_up"))
+    tasks = max(known.sparkSession.sparkContext.defaultParallelism, -(-known.count() // task_rows))
     upper = known.select(F.col("id").alias("_id"), F.struct("id", "name").alias("_n"))
     # chain: the ancestors nearest first; _up: the node behind them, NULL at the root
-    step = materialize(known.join(upper, F.col("_up") == F.col("_id"), "left").select(
+    step = materialize(_behind(known, upper, tasks).select(
         "id", "name", F.when(F.col("_id").isNotNull(), F.array("_n")).otherwise(F.array().cast(
             f"array<{_type(known, 'id', 'name')}>")).alias("chain"), F.col("_id").alias("_up")))
     around = F.size(F.array_distinct(F.transform("chain", lambda c: c["id"]))) < F.size("chain")
@@ -61,7 +84,7 @@ def ancestors(tree: DataFrame, id_col: str = "id", name_col: str = "name", paren
     lost = None
     while not step.where("_up is not null").isEmpty():
         there = step.select(F.col("id").alias("_id"), F.col("chain").alias("_more"), F.col("_up").alias("_next"))
-        step = materialize(step.join(there, F.col("_up") == F.col("_id"), "left").select(
+        step = materialize(_behind(step, there, tasks).select(
             "id", "name", F.concat("chain", F.coalesce("_more", F.array().cast(step.schema["chain"].dataType)))
             .alias("chain"), F.col("_next").alias("_up"), F.col("_up").alias("_was")))
         # the node behind the chain may already be a lost one: then the way up is lost too

@@ -8,8 +8,8 @@ state; the running sums are the add-retract stream of the view.
 
 ``row_images`` finds what a row was and became, with column-level puts (K1b): a put overwrites
 only the cells it carries, a deletion ends the row, a later put begins a new one. A
-key's changes are taken slice by slice, the images handed on between slices, so that a key
-that holds a third of the log is many tasks.
+key's changes are one window. A key that holds more than a thousandth of them (``slices.heavy_keys``) is
+taken slice by slice, the images handed on between slices, so that a third of the log is many tasks.
 """
 
 from __future__ import annotations
@@ -38,21 +38,52 @@ def row_images(changes: DataFrame, fields: dict[str, tuple[str, str]],
     """Every supported change with its row ``before`` and ``after`` (structs of the typed
     ``fields``: ``{name: (cell, type)}``; NULL where there is no row). Columns: database, table,
     row_key, es, change_id, pos, before, after."""
-    names = list(fields)
     said = _cells(fields)
     rows = supported(changes)
     rows = rows.select(*KEY, *ORDER, (F.lower("type") == DELETE_TYPE).alias("_gone"),
                        *[c.alias(f"_said_{n}") for n, c in said.items()])
-    # read twice (heavy slices are counted first), derived once
-    rows = slices.sliced(materialize(rows), KEY, F.col("es") * 1000, F.struct("change_id", "pos"), slice_us, most)
-
-    # within a slice: what the row's present life (since the last deletion) has said so far
-    before = Window.partitionBy("_ks").orderBy(*_PLACE).rowsBetween(Window.unboundedPreceding, -1)
+    # read twice (the changes of heavy keys are counted first), derived once
+    rows = materialize(rows)
+    heavy = materialize(slices.heavy_keys(rows, KEY, most))
+    if heavy.isEmpty():
+        return _images(rows, fields)
+    heavy = F.broadcast(heavy)
+    return _images(rows.join(heavy, list(KEY), "left_anti"), fields).unionByName(
+        _images_by_slice(rows.join(heavy, list(KEY), "left_semi"), fields, slice_us, most))
+
+
+def _so_far(rows: DataFrame, names: Iterable[str], keys: Iterable[str]) -> DataFrame:
+    """``rows`` with ``_life``, the deletions of the keys before a change, and what the row's present life
+    (since the last deletion) has said so far, as ``_here_<name>``. All in one order of the rows."""
+    order = Window.partitionBy(*keys).orderBy(*_PLACE)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("_life", F.coalesce(F.sum(F.col("_gone").cast("int")).over(before), F.lit(0)))
-    life = (Window.partitionBy("_ks", "_life").orderBy(*_PLACE)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    for n in names:
-        rows = rows.withColumn(f"_here_{n}", F.last(f"_said_{n}", ignorenulls=True).over(life))
+
+    def here(name):
+        said = F.col(f"_said_{name}")
+        last = F.last(F.when(said.isNotNull(), F.struct("_life", said.alias("said"))), ignorenulls=True).over(so_far)
+        return F.when(last["_life"] == F.col("_life"), last["said"]).alias(f"_here_{name}")
+
+    return rows.select("*", *[here(n) for n in names])
+
+
+def _images(rows: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """The images of keys whose changes meet in one task each."""
+    key = KEY[::-1]     # the row key first, which tells rows apart soonest
+    rows = _so_far(rows, fields, key)
+    now = F.struct(*[F.col(f"_here_{n}")["v"].try_cast(kind).alias(n) for n, (_, kind) in fields.items()])
+    rows = rows.select(*KEY, *ORDER, F.when(~F.col("_gone"), now).alias("after"))
+    return rows.select(*KEY, *ORDER, F.lag("after").over(Window.partitionBy(*key).orderBy(*_PLACE)).alias("before"),
+                       "after")
+
+
+def _images_by_slice(rows: DataFrame, fields: dict[str, tuple[str, str]], slice_us: int, most: int | None) -> DataFrame:
+    """The images of keys with many changes."""
+    names = list(fields)
+    # within a slice first
+    rows = _so_far(slices.sliced(rows, KEY, F.col("es") * 1000, F.struct("change_id", "pos"), slice_us, most),
+                   names, ["_ks"])
 
     # what each slice leaves behind, and what the slices before it leave to it
     newest = Window.partitionBy("_ks").orderBy(*[F.col(c).desc() for c in _PLACE])

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 MOST = 1 << 16
 FRACTION = 1000
+BUCKETS = 1 << 16   # hashes that keys are counted by at first
 PER_CUT = 256       # sampled rows between two cuts: slices differ by some six percent
 
 
@@ -29,6 +30,17 @@ def heavy_groups(df: DataFrame, group: str, most: int | None = None) -> DataFram
     return sizes.crossJoin(limit).where("_rows > _limit")
 
 
+def heavy_keys(df: DataFrame, keys: Iterable[str], most: int | None = None) -> DataFrame:
+    """The ``keys`` that ``heavy_groups`` would name, found without a shuffle of all keys: rows are
+    counted by a hash of their key first, and keys only where a hash holds as many rows as a heavy key."""
+    keys = list(keys)
+    rows = df.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).alias("_bucket"))
+    full = heavy_groups(rows, "_bucket", most).select("_bucket", "_limit")
+    counts = rows.join(F.broadcast(full), "_bucket").groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.first("_limit").alias("_limit"))
+    return counts.where("_rows > _limit").select(*keys)
+
+
 def sliced(df: DataFrame, keys: Iterable[str], at: Column, then: Column, slice_us: int,
            most: int | None = None) -> DataFrame:
     """``df`` with ``_ks``: the keys and, as ``_slice``, an ordered slice of ``(at, then)``.

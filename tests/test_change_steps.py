@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from mercato.operators import changelog, parse
+from mercato.operators import changelog, parse, retract, slices
 from mercato.plans import queries
-from test_retract import SCHEMA, random_log
+from test_retract import FIELDS, SCHEMA, random_log, replay
 
 
 def plan_of(df):
@@ -51,3 +51,28 @@ def test_a_cell_named_twice_is_one_cell(spark):
     assert [(r.row, r.es) for r in changelog.cell_state(changes).collect()] == [({"k": "1", "a": "x", "b": "z"}, 6)]
     one = parse.parse_changes(spark.createDataFrame([(message % (5, 1),)], "value string"))
     assert changelog.cell_state(one).select(F.size("row")).first()[0] == 2
+
+
+@pytest.mark.parametrize("seed,slice_us,most", [(21, 1_000_000, 20), (22, 50_000_000, 60), (23, retract.DAY_US, 1)])
+def test_heavy_and_light_keys_have_the_images_of_a_replay(spark, monkeypatch, seed, slice_us, most):
+    """Some keys in slices, some in one window, some sharing a hash with a heavy one."""
+    monkeypatch.setattr(slices, "PER_CUT", 3)
+    monkeypatch.setattr(slices, "BUCKETS", 5)
+    log = random_log(seed)
+    df = spark.createDataFrame(log, SCHEMA).repartition(5)
+    got = retract.row_images(df, FIELDS, slice_us, most)
+    rows = [(r.table, r.row_key, r.es, r.change_id, r.before and tuple(r.before), r.after and tuple(r.after))
+            for r in got.collect()]
+    assert sorted(rows, key=str) == sorted(replay(log), key=str)
+    ch = changelog.supported(df)
+    sizes = ch.groupBy(*changelog.KEY).count()
+    heavy = slices.heavy_keys(ch, changelog.KEY, most)
+    assert heavy.exceptAll(sizes.where(f"count > {most}").drop("count")).isEmpty()
+    assert heavy.count() == sizes.where(f"count > {most}").count() > 0
+
+
+def test_light_keys_are_shuffled_once(spark):
+    """Without a heavy key no images are handed on between slices."""
+    images = retract.row_images(spark.createDataFrame(random_log(24), SCHEMA), FIELDS)
+    plan = plan_of(images)
+    assert plan.count("Exchange") == 1 and "Join" not in plan

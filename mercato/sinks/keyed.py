@@ -50,7 +50,7 @@ class KeyedLog:
         return self.resolve(self.log())
 
     def append(self, rows: DataFrame) -> None:
-        rows.write.mode("append").partitionBy(*self.partition_by).parquet(f"{self.root}/log")
+        rows.write.mode("append").option("compression", "zstd").partitionBy(*self.partition_by).parquet(f"{self.root}/log")
 
     def sink(self, shape: Callable[[DataFrame, int], DataFrame] = lambda batch, _: batch):
         """``foreachBatch`` function appending ``shape(batch, batch_id)``."""
@@ -63,7 +63,7 @@ class KeyedLog:
         and named last, so what a failed run left is never taken for a store."""
         smaller = KeyedLog(self.spark, root, self.schema, self.resolve, self.partition_by)
         draft = f"{smaller.root}/_log-{uuid.uuid4().hex}"
-        needed(self.log()).write.partitionBy(*self.partition_by).parquet(draft)
+        needed(self.log()).write.option("compression", "zstd").partitionBy(*self.partition_by).parquet(draft)
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         fs = path(draft).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if fs.exists(path(f"{smaller.root}/log")) or not fs.rename(path(draft), path(f"{smaller.root}/log")):

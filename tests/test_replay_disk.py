@@ -7,7 +7,10 @@ import time
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from mercato.operators import changelog as cl
+from mercato.operators import parse
 from mercato.plans import streamed
+from mercato.plans.queries import change_store
 from mercato.session import checkpoint_dir
 from mercato.sources import domain
 from mercato.streaming import feeds, jobs
@@ -70,3 +73,28 @@ def test_a_failed_replay_keeps_its_feed(spark, scratch):
     except Exception:
         pass
     assert os.path.isdir(path) and os.path.isdir(os.path.join(scratch, "checkpoint"))
+
+
+def test_a_store_is_written_small(spark, scratch):
+    changes = parse.filter_database(parse.parse_changes(domain.change_log(spark, SF_SMALL)))
+    store = change_store(spark, scratch)
+    store.append(cl.supported(changes))
+    names = [n for _, _, found in os.walk(os.path.join(scratch, "log")) for n in found if n.endswith(".parquet")]
+    assert names and all(n.endswith(".zstd.parquet") for n in names)
+    assert store.log().count() == cl.supported(changes).count()
+
+
+def _nodes(plan):
+    yield plan
+    children = plan.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
+
+
+def test_puts_send_their_cells_on_without_the_names(spark):
+    """What meets a key's deletion carries its row, not the sorted names of the row's columns beside it."""
+    changes = parse.parse_changes(spark.createDataFrame([("{}",)], "value string"))
+    plan = cl.cell_state(changes)._jdf.queryExecution().optimizedPlan()
+    (met,) = [n for n in _nodes(plan) if n.nodeName() == "Window" and "_dead" in n.windowExpressions().toString()]
+    sent = {met.child().output().apply(i).name() for i in range(met.child().output().size())}
+    assert {"row", "_gone", "row_key"} <= sent and not sent & {"_columns", "type"}

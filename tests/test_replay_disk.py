@@ -98,3 +98,17 @@ def test_puts_send_their_cells_on_without_the_names(spark):
     (met,) = [n for n in _nodes(plan) if n.nodeName() == "Window" and "_dead" in n.windowExpressions().toString()]
     sent = {met.child().output().apply(i).name() for i in range(met.child().output().size())}
     assert {"row", "_gone", "row_key"} <= sent and not sent & {"_columns", "type"}
+
+
+def test_a_replay_keeps_small_state(spark, scratch):
+    """State of a replay is compressed well and not kept for versions far back; the session's own stays."""
+    asked = ("spark.sql.streaming.stateStore.rocksdb.compression", "spark.sql.streaming.minBatchesToRetain")
+    seen, before = [], [spark.conf.get(k, None) for k in asked]
+    rows = spark.range(9).select(F.col("id").alias("offset"), F.lit("x").alias("value"))
+    feed = feeds.write_feed(rows, feeds.feed_path(scratch), F.col("offset"))
+    src = jobs.json_lines_source(spark, feed)
+    feeds.replay(spark, scratch, lambda: jobs.start(
+        src, "f", os.path.join(scratch, "checkpoint"),
+        foreach_batch=lambda b, _: seen.append([b.sparkSession.conf.get(k) for k in asked])))
+    assert seen and all(s == ["zstd", "2"] for s in seen)
+    assert [spark.conf.get(k, None) for k in asked] == before

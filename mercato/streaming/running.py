@@ -38,7 +38,7 @@ class RunningTotals:
 
     def sink(self, batch: DataFrame, batch_id: int) -> None:
         self.increments.carry(batch_id)
-        batch = batch.persist()
+        batch = batch.select(*dict.fromkeys([*self.keys, self.id_col, self.money, self.ts, self.seq])).persist()
         try:
             if batch.isEmpty():
                 return

@@ -14,6 +14,7 @@ from mercato.plans.queries import change_store
 from mercato.session import checkpoint_dir
 from mercato.sources import domain
 from mercato.streaming import feeds, jobs
+from mercato.streaming.running import RunningTotals
 
 
 def _there(spark, folder):
@@ -112,3 +113,13 @@ def test_a_replay_keeps_small_state(spark, scratch):
         foreach_batch=lambda b, _: seen.append([b.sparkSession.conf.get(k) for k in asked])))
     assert seen and all(s == ["zstd", "2"] for s in seen)
     assert [spark.conf.get(k, None) for k in asked] == before
+
+
+def test_running_totals_keep_the_columns_they_need(spark, scratch):
+    """A batch is kept while it is worked on, without the columns that it only brings along."""
+    totals = RunningTotals(spark, scratch, "city string", "order_id", "money", "ts", "offset")
+    rows = spark.range(20).select(
+        F.col("id").alias("order_id"), F.lit("c").alias("city"), F.lit(1.5).alias("money"), F.col("id").alias("offset"),
+        F.timestamp_seconds(F.col("id")).alias("ts"), F.raise_error(F.lit("asked for")).alias("along"))
+    totals.sink(rows, 0)
+    assert totals.read().agg(F.max("running_money"), F.max("running_count")).first() == (30.0, 20)
